@@ -117,10 +117,10 @@ def stored_articles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Path cache: labelled documents, of which the toxic ones are excluded."""
+    """Path cache, as a stored table: labelled documents, of which the toxic ones are excluded."""
     known = articles(spark, sf).join(labelled(spark, sf), "id")
     toxic = F.col("toxic") == 1
-    return known.select(
+    cache = known.select(
         "site",
         "path",
         F.when(~toxic, F.col("external_id")).alias("external_id"),
@@ -128,6 +128,7 @@ def paths(spark: SparkSession, sf: str) -> DataFrame:
         "created_at",
         "updated_at",
     )
+    return settle(cache)
 
 
 def event_dwell(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:

@@ -12,8 +12,12 @@ MICROS = 1_000_000
 
 def round_second(ts: Column) -> Column:
     """Nearest whole second; an exact half goes to the even second."""
-    seconds = F.unix_micros(ts).cast("decimal(20,0)") / F.lit(MICROS).cast("decimal(20,0)")
-    return F.timestamp_micros(F.bround(seconds, 0).cast("bigint") * F.lit(MICROS))
+    micros = F.unix_micros(ts)
+    rest = F.pmod(micros, F.lit(MICROS))
+    down = micros - rest
+    down_is_odd = F.pmod(down, F.lit(2 * MICROS)) != 0
+    up = (rest > MICROS // 2) | ((rest == MICROS // 2) & down_is_odd)
+    return F.timestamp_micros(F.when(up, down + MICROS).otherwise(down))
 
 
 def chunk_name(ts: Column) -> Column:

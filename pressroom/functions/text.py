@@ -49,6 +49,7 @@ def starts_with_any(text: Column, prefixes) -> Column:
     return found
 
 
-def has_json_key(json: Column, key: str) -> Column:
-    """True when the key is present, even with a null value; false on bad JSON."""
-    return F.coalesce(F.array_contains(F.json_object_keys(json), key), F.lit(False))
+def lacks_json_keys(keys: Column, *wanted: str) -> Column:
+    """True when one of ``wanted`` is not among ``keys`` (``json_object_keys`` of a text);
+    a key with a null value is there."""
+    return F.array_size(F.array_except(F.array(*[F.lit(w) for w in wanted]), keys)) > 0

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressroom import config
-from pressroom.functions import clock
+from pressroom.functions import clock, computed_once
 
 
 def _all_present(columns) -> Column:
@@ -19,20 +19,19 @@ def judge_lines(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS, text: str
     """Parse each JSON line once and add one column per field plus ``reason``, which is
     NULL for a usable line. A null value is usable, an absent key is not."""
     schema = ", ".join(f"{name} string" for name in (*fields, "_bad"))
-    parsed = lines.withColumn(
-        "_json", F.from_json(F.col(text), schema, {"columnNameOfCorruptRecord": "_bad"})
-    )
-    parsed = parsed.select("*", *[F.col(f"_json.{name}").alias(name) for name in fields])
+    options = {"columnNameOfCorruptRecord": "_bad"}
+    parsed = computed_once(lines, _json=F.from_json(F.col(text), schema, options))
+    parsed = parsed.select("*", "_json.*").drop("_json")
     keys = F.json_object_keys(F.col(text))
     absent = F.array_size(F.array_except(F.array(*[F.lit(f) for f in fields]), keys))
     # the key list is only built for lines where some field came out null
     reason = (
-        F.when(F.col("_json").isNull() | F.col("_json._bad").isNotNull(), F.lit("malformed_json"))
+        F.when(F.col("_bad").isNotNull() | F.col(text).isNull(), F.lit("malformed_json"))
         .when(_all_present(fields), F.lit(None).cast("string"))
         .when(keys.isNull(), F.lit("malformed_json"))
         .when(absent > 0, F.lit("missing_field"))
     )
-    return parsed.withColumn("reason", reason).drop("_json")
+    return parsed.withColumn("reason", reason).drop("_bad")
 
 
 def parse_events(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS, text: str = "value") -> DataFrame:

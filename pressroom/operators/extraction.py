@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressroom import config
-from pressroom.functions import text
+from pressroom.functions import computed_once, text
 from pressroom.operators.html import page_facts
 
 
@@ -25,10 +25,6 @@ def fetched() -> Column:
     return F.col("body").isNotNull() & F.coalesce(F.col("status") < 400, F.lit(True))
 
 
-def is_json(body: Column) -> Column:
-    return F.json_object_keys(body).isNotNull()
-
-
 def _with_errors(df: DataFrame, chain: list[tuple[Column, str, str]]) -> DataFrame:
     """``chain`` is (condition, failure type, message); the first that holds wins."""
     error, message = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -86,7 +82,8 @@ def id_from_api_json(df: DataFrame, prefixes=config.INVALID_PREFIXES, path: str
 
     A rejected article keeps its id next to the error, as far as it is known.
     """
-    parsed = df.withColumn("_j", F.from_json("body", ARC_LOOKUP))
+    body = F.col("body")
+    parsed = computed_once(df, _j=F.from_json(body, ARC_LOOKUP), _k=F.json_object_keys(body))
     in_house = F.col("_j.source.system").isin(*config.IN_HOUSE_PLATFORMS)
     first_site = F.get(F.col("_j.taxonomy.sites"), F.lit(0))["_id"]
     skipped = text.starts_with_any(text.strip_query_suffix(F.col(path)), prefixes)
@@ -94,7 +91,7 @@ def id_from_api_json(df: DataFrame, prefixes=config.INVALID_PREFIXES, path: str
         parsed,
         [
             (skipped, "failed_site_validation", "Path has an invalid prefix"),
-            (~fetched() | ~is_json(F.col("body")), "fetch_error", "Content lookup failed"),
+            (~fetched() | F.col("_k").isNull(), "fetch_error", "Content lookup failed"),
             (F.col("_j._id").isNull(), "no_external_id", "External ID not in response"),
             (F.coalesce(~in_house, F.lit(True)), "failed_site_validation", "Not an in-house article"),
             (first_site == config.TEST_SITE, "failed_site_validation", "Test article"),
@@ -104,7 +101,7 @@ def id_from_api_json(df: DataFrame, prefixes=config.INVALID_PREFIXES, path: str
         F.col("error_type").isNull() | F.col("msg").isin("Not an in-house article", "Test article"),
         F.col("_j._id"),
     )
-    return out.withColumn("external_id", known).drop("_j")
+    return out.withColumn("external_id", known).drop("_j", "_k")
 
 
 # ---------------------------------------------------------------- article metadata
@@ -113,7 +110,7 @@ def id_from_api_json(df: DataFrame, prefixes=config.INVALID_PREFIXES, path: str
 
 def metadata_from_html(df: DataFrame, title_path: tuple[str, ...] = ("header", "h1")) -> DataFrame:
     """Title, publish time and canonical path of an article page."""
-    rows = df.withColumn("_f", page_facts(F.col("body"), *title_path))
+    rows = computed_once(df, _f=page_facts(F.col("body"), *title_path))
     out = _with_errors(
         rows,
         [
@@ -134,32 +131,28 @@ def metadata_from_html(df: DataFrame, title_path: tuple[str, ...] = ("header", "
 TRIBUNE_ARTICLE = "headline string, pub_date string, url string, id string"
 
 
-def _tribune_columns(rows: DataFrame, item: str, json: str) -> DataFrame:
-    body = F.col(json)
-    missing = ~(
-        text.has_json_key(body, "headline")
-        & text.has_json_key(body, "pub_date")
-        & text.has_json_key(body, "url")
-        & text.has_json_key(body, "id")
-    )
+def _tribune_columns(rows: DataFrame) -> DataFrame:
+    body = F.col("body")
+    rows = computed_once(rows, _j=F.from_json(body, TRIBUNE_ARTICLE), _k=F.json_object_keys(body))
+    keys = F.col("_k")
+    missing = text.lacks_json_keys(keys, "headline", "pub_date", "url", "id")
     shaped = (
-        rows.withColumn("title", F.col(f"{item}.headline"))
-        .withColumn("published_at", text.to_utc(F.col(f"{item}.pub_date")))
-        .withColumn("new_path", text.url_path(F.col(f"{item}.url")))
-        .withColumn("new_external_id", F.col(f"{item}.id"))
+        rows.withColumn("title", F.col("_j.headline"))
+        .withColumn("published_at", text.to_utc(F.col("_j.pub_date")))
+        .withColumn("new_path", text.url_path(F.col("_j.url")))
+        .withColumn("new_external_id", F.col("_j.id"))
     )
     return _with_errors(
         shaped,
         [
-            (~fetched() | ~is_json(body), "fetch_error", "Response is not JSON"),
+            (~fetched() | keys.isNull(), "fetch_error", "Response is not JSON"),
             (missing, "malformed_api_response", "Article field missing"),
         ],
-    )
+    ).drop("_j", "_k")
 
 
 def metadata_from_tribune_json(df: DataFrame) -> DataFrame:
-    rows = df.withColumn("_j", F.from_json("body", TRIBUNE_ARTICLE))
-    return _tribune_columns(rows, "_j", "body").drop("_j")
+    return _tribune_columns(df)
 
 
 ARC_ARTICLE = (
@@ -182,34 +175,35 @@ def validate(df: DataFrame, rules: list[tuple[Column, str]], message: str = "msg
     return df.withColumn(message, first_error(rules))
 
 
-def _arc_columns(rows: DataFrame, item: str, strict_dates: bool, parsed: Column) -> DataFrame:
-    broken = first_error(arc_rules(item, strict_dates))
+def _arc_columns(rows: DataFrame, strict_dates: bool, parsed: Column) -> DataFrame:
+    broken = first_error(arc_rules("_j", strict_dates))
     failure = (
         F.when(~fetched(), F.lit("fetch_error"))
         .when(~parsed | broken.isNotNull(), F.lit("malformed_api_response"))
-        .when(F.col(f"{item}._id").isNull(), F.lit("fetch_error"))
+        .when(F.col("_j._id").isNull(), F.lit("fetch_error"))
     )
     words = (
         F.when(~fetched(), F.lit("Article was not fetched"))
         .when(~parsed, F.lit("Cannot parse article response JSON"))
         .when(broken.isNotNull(), broken)
-        .when(F.col(f"{item}._id").isNull(), F.lit("Error parsing external_id"))
+        .when(F.col("_j._id").isNull(), F.lit("Error parsing external_id"))
     )
     return (
         rows.withColumn(
-            "title", text.headline(F.col(f"{item}.headlines.meta_title"), F.col(f"{item}.headlines.basic"))
+            "title", text.headline(F.col("_j.headlines.meta_title"), F.col("_j.headlines.basic"))
         )
-        .withColumn("published_at", text.parse_publish_date(F.col(f"{item}.publish_date")))
-        .withColumn("new_path", F.col(f"{item}.canonical_url"))
-        .withColumn("new_external_id", F.col(f"{item}._id"))
+        .withColumn("published_at", text.parse_publish_date(F.col("_j.publish_date")))
+        .withColumn("new_path", F.col("_j.canonical_url"))
+        .withColumn("new_external_id", F.col("_j._id"))
         .withColumn("error_type", failure)
         .withColumn("msg", words)
     )
 
 
 def metadata_from_arc_json(df: DataFrame, strict_dates: bool = False) -> DataFrame:
-    rows = df.withColumn("_j", F.from_json("body", ARC_ARTICLE))
-    return _arc_columns(rows, "_j", strict_dates, is_json(F.col("body"))).drop("_j")
+    body = F.col("body")
+    rows = computed_once(df, _j=F.from_json(body, ARC_ARTICLE), _k=F.json_object_keys(body))
+    return _arc_columns(rows, strict_dates, F.col("_k").isNotNull()).drop("_j", "_k")
 
 
 # ------------------------------------------------------------------- bulk responses
@@ -228,15 +222,14 @@ def bulk_from_tribune(responses: DataFrame, start, end) -> DataFrame:
     """Articles of ``results[]`` published in ``[start, end)``, and items with errors."""
     listed = F.from_json("body", "results array<string>")["results"]
     rows = responses.select("site", "status", F.explode(listed).alias("body"))
-    rows = rows.withColumn("_j", F.from_json("body", TRIBUNE_ARTICLE))
-    return _bulk(_tribune_columns(rows, "_j", "body"), start, end)
+    return _bulk(_tribune_columns(rows), start, end)
 
 
 def bulk_from_arc(responses: DataFrame, start, end) -> DataFrame:
     """Articles of ``content_elements[]`` published in ``[start, end)``, and items with errors."""
     listed = F.from_json("body", f"content_elements array<struct<{_as_fields(ARC_ARTICLE)}>>")
     rows = responses.select("site", "status", "body", F.explode(listed["content_elements"]).alias("_j"))
-    return _bulk(_arc_columns(rows, "_j", False, F.lit(True)), start, end)
+    return _bulk(_arc_columns(rows, False, F.lit(True)), start, end)
 
 
 def _as_fields(schema: str) -> str:

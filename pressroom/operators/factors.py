@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pressroom.config import TrainingParams
 from pressroom.functions.vectors import l2_normalise
 from pressroom.operators.evaluation import factor_mrr, split_interactions
-from pressroom.session import settle, shuffle_parts, use_checkpoint_dir
+from pressroom.session import settle, shuffle_parts, checkpoint_dir
 
 
 def rating_table(prepared: DataFrame, implicit: bool) -> DataFrame:
@@ -25,7 +25,7 @@ def rating_table(prepared: DataFrame, implicit: bool) -> DataFrame:
 
 
 def fit(prepared: DataFrame, params: TrainingParams) -> ALSModel:
-    use_checkpoint_dir(prepared.sparkSession)
+    checkpoint_dir(prepared.sparkSession)
     blocks = shuffle_parts(prepared)
     als = ALS(
         userCol="user_id",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,28 +23,34 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Point checkpoints at the shared folder the cluster names.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session without such a folder gets a scratch one: on a cluster a
     machine-local folder would be lost with its machine.
     """
     context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(shared)
-    elif context.getCheckpointDir() is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pressroom-checkpoint-"))
+        folder = tempfile.mkdtemp(prefix="pressroom-checkpoint-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` out and read it back, so that a later lost executor cannot
-    recompute it differently (sampled range bounds, partition ids) or repeat a fit."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    A lost executor can then not recompute it differently (sampled range bounds, partition
+    ids) or repeat expensive work. Unlike an RDD checkpoint the rows are computed once, and
+    readers prune columns and know the true size.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/settled/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_parts(df: DataFrame) -> int:
