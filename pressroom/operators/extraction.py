@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pressroom import config
 from pressroom.functions import computed_once, text
 from pressroom.operators.html import page_facts
+from pressroom.operators.skew import lookup_join
 
 
 def first_error(rules: list[tuple[Column, str]]) -> Column:
@@ -244,12 +245,20 @@ def _no_response(df: DataFrame, responses: DataFrame) -> DataFrame:
     return df
 
 
+def _with_response(df: DataFrame, responses: DataFrame, kind: str, key: str) -> DataFrame:
+    """Attach each row's response. Responses nobody asked for are dropped first, so only
+    wanted bodies are shuffled."""
+    keys = ["site", key]
+    wanted = lookup_join(responses, df.select(*keys).distinct(), keys, "left_semi")
+    return df.join(latest_responses(wanted, kind, key), keys, "left")
+
+
 def _page_by_path(df: DataFrame, responses: DataFrame) -> DataFrame:
-    return df.join(latest_responses(responses, "page", "path"), ["site", "path"], "left")
+    return _with_response(df, responses, "page", "path")
 
 
 def _article_by_id(df: DataFrame, responses: DataFrame) -> DataFrame:
-    return df.join(latest_responses(responses, "article", "external_id"), ["site", "external_id"], "left")
+    return _with_response(df, responses, "article", "external_id")
 
 
 # name -> (how a row gets its response, what is read from it)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom import config
@@ -11,18 +11,28 @@ from pressroom.operators.metrics import RunMetrics
 from pressroom.sources import chunks, tables
 
 
+def judge(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS) -> DataFrame:
+    """Parsed lines with the reason why a line cannot be used, as in ``events.judge_lines``;
+    an unreadable time is one more."""
+    judged = events.judge_lines(lines, fields)
+    no_time = F.col("collector_tstamp").try_cast("timestamp").isNull()
+    bad_time = F.when(no_time, F.lit("bad_timestamp"))
+    return judged.withColumn("reason", F.coalesce(F.col("reason"), bad_time))
+
+
+def events_from_judged(judged: DataFrame) -> DataFrame:
+    usable = judged.filter(F.col("reason").isNull())
+    return events.aggregate_pings(events.normalise_events(usable))
+
+
 def events_from_lines(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS) -> DataFrame:
     """``(value, site)`` lines -> pre-aggregated events; unusable lines are left out."""
-    usable = events.normalise_events(events.parse_events(lines, fields))
-    return events.aggregate_pings(usable.filter(F.col("activity_time").isNotNull()))
+    return events_from_judged(judge(lines, fields))
 
 
 def rejected_lines(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS) -> DataFrame:
     """Every line ``events_from_lines`` leaves out, with the reason."""
-    judged = events.judge_lines(lines, fields)
-    no_time = F.col("collector_tstamp").try_cast("timestamp").isNull()
-    reason = F.coalesce(F.col("reason"), F.when(no_time, F.lit("bad_timestamp")))
-    return judged.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop(*fields)
+    return judge(lines, fields).filter(F.col("reason").isNotNull()).drop(*fields)
 
 
 def ingest_events(
@@ -35,20 +45,27 @@ def ingest_events(
     metrics: RunMetrics | None = None,
     gzip_without_suffix: bool = False,
 ) -> None:
-    """Load the named chunks of one site, replacing what the events table held for them."""
+    """Load the named chunks of one site, replacing what the events table held for them.
+
+    Unusable lines are counted on the way. Only if there are any, the raw files are read
+    once more to store those lines under ``rejected_path``.
+    """
     lines = chunks.read_event_chunks(spark, root, site.name, names, gzip_without_suffix)
-    if metrics is not None:
-        lines = metrics.counted(lines, "downloaded_rows")
-    rows = events_from_lines(lines, site.event_fields)
+    judged = judge(lines, site.event_fields).drop("value")
+    lost = Observation(f"lines of {site.name}")
+    unusable = F.count_if(F.col("reason").isNotNull())
+    judged = judged.observe(lost, F.count(F.lit(1)).alias("lines"), unusable.alias("rejected"))
+    rows = events_from_judged(judged)
     if metrics is not None:
         rows = metrics.counted(rows, "written_events")
     tables.replace_chunks(rows, events_path)
-    if rejected_path is not None:
-        lines = chunks.read_event_chunks(spark, root, site.name, names, gzip_without_suffix)
+    counts = lost.get
+    if metrics is not None:
+        metrics.add("downloaded_rows", counts["lines"])
+        metrics.add("rejected_rows", counts["rejected"])
+    if rejected_path is not None and counts["rejected"]:
         bad = rejected_lines(lines, site.event_fields)
-        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "site", "chunk_dir"
-        ).parquet(rejected_path)
+        tables.replace_partitions(bad, rejected_path, ["site", "chunk_dir"])
 
 
 def refresh_dwell(

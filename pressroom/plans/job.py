@@ -14,7 +14,7 @@ from pressroom.operators import articles as art
 from pressroom.operators import extraction, paths, registry
 from pressroom.operators.metrics import RunMetrics
 from pressroom.plans import ingest, metadata, recommend
-from pressroom.session import configure
+from pressroom.session import configure, temporary_tables
 from pressroom.sources import chunks, tables
 from pressroom.sources.responses import read_responses
 
@@ -98,19 +98,20 @@ def run(
     metrics = RunMetrics(as_of.strftime("%Y%m%dT%H%M%S"), site=site.name)
     started, status = time.monotonic(), "success"
     try:
-        names = chunks.chunk_names(as_of, site.hours_of_data)
-        dates = sorted({(as_of - timedelta(hours=i)).date() for i in range(site.hours_of_data)})
-        refresh(spark, store, site, names, dates, as_of, metrics)
-
-        dwell = tables.read_dwell(spark, store.table("dwelltimes"))
-        articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES)
-        top = recommend.default_recs(dwell, site, as_of.date())
-        publish(spark, store, top, "popularity", site.name, as_of, metrics)
-
-        training = time.monotonic()
-        recs = recommend.article_recs(dwell, articles, site, as_of.date(), days, max_recs)
-        metrics.add("model_training_time", time.monotonic() - training, "Seconds")
-        publish(spark, store, recs, "article", site.name, as_of, metrics)
+        with temporary_tables(spark):
+            names = chunks.chunk_names(as_of, site.hours_of_data)
+            dates = sorted({(as_of - timedelta(hours=i)).date() for i in range(site.hours_of_data)})
+            refresh(spark, store, site, names, dates, as_of, metrics)
+
+            dwell = tables.read_dwell(spark, store.table("dwelltimes"))
+            articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES)
+            top = recommend.default_recs(dwell, site, as_of.date())
+            publish(spark, store, top, "popularity", site.name, as_of, metrics)
+
+            training = time.monotonic()
+            recs = recommend.article_recs(dwell, articles, site, as_of.date(), days, max_recs)
+            metrics.add("model_training_time", time.monotonic() - training, "Seconds")
+            publish(spark, store, recs, "article", site.name, as_of, metrics)
     except Exception:
         status = "failure"
         raise
@@ -134,7 +135,8 @@ def backfill_events(
     names = chunks.chunk_names(start, 24 * days)
     dates = sorted({(start - timedelta(hours=i)).date() for i in range(24 * days)})
     metrics = RunMetrics(start.strftime("backfill-%Y%m%d"), site=site.name)
-    refresh(spark, store, site, names, dates, start, metrics)
+    with temporary_tables(spark):
+        refresh(spark, store, site, names, dates, start, metrics)
     metrics.frame(spark).write.mode("append").parquet(store.table("run_metrics"))
 
 
@@ -154,4 +156,5 @@ def backfill_articles(
     listed = bulk_articles(read_responses(spark, store.responses, site.name), site, start, days)
     good = listed.filter(F.col("error_type").isNull())
     articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES)
-    tables.write_snapshot(art.upsert_articles(articles, good, as_of), store.table("article"))
+    with temporary_tables(spark):
+        tables.write_snapshot(art.upsert_articles(articles, good, as_of), store.table("article"))

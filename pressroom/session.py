@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pressroom.sources import files
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -40,6 +43,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Remove the tables settled inside the block when it ends. What is computed from them
+    has to be written by then."""
+    written: list[str] = []
+    _open_scopes.append(written)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(written)
+        for path in written:
+            files.remove(spark, path)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -49,6 +69,8 @@ def settle(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/settled/{uuid.uuid4().hex}"
+    for scope in _open_scopes[-1:]:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom import schemas
@@ -59,20 +59,15 @@ def replace_chunks_view(stored: DataFrame, batch: DataFrame) -> DataFrame:
 
 def replace_dwell(dwell: DataFrame, path: str, site: str, dates: list) -> None:
     """Replace the dwell times of one site on ``dates``; a date left without any rows
-    loses the ones it had."""
+    loses the ones it had. The dates written are noted while the rows pass."""
     spark = dwell.sparkSession
+    seen = Observation(f"dates of {site}")
+    days = F.collect_set(F.when(F.col("site") == site, F.col("session_date").cast("string")))
+    replace_partitions(dwell.observe(seen, days.alias("days")), path, DWELL_KEYS)
     present = set(files.children(spark, f"{path}/site={site}"))
-    replace_partitions(dwell, path, DWELL_KEYS)
-    stale = [f"session_date={day}" for day in dates if f"session_date={day}" in present]
-    if not stale:
-        return
-    filled = {
-        str(row["session_date"])
-        for row in dwell.filter(F.col("site") == site).select("session_date").distinct().collect()
-    }
-    for name in stale:
-        if name.partition("=")[2] not in filled:
-            files.remove(spark, f"{path}/site={site}/{name}")
+    for day in map(str, dates):
+        if day not in seen.get["days"] and f"session_date={day}" in present:
+            files.remove(spark, f"{path}/site={site}/session_date={day}")
 
 
 def append_recs(recs: DataFrame, model_id: int, path: str) -> None:

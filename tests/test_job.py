@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pressroom import config, schemas
 from pressroom.plans import job
-from pressroom.sources import tables
+from pressroom.sources import files, tables
 
 SITE = replace(config.CITY_PAPER, training=config.TrainingParams(half_life=30.0, rank=4, iterations=2))
 NOW = datetime(2021, 5, 10, 23, 30)
@@ -62,6 +62,7 @@ def store(spark, tmp_path_factory):
 
 
 def test_run_twice(spark, store):
+    before = set(files.children(spark, f"{spark.conf.get('spark.checkpoint.dir')}/settled"))
     for n in (1, 2):
         job.run(spark, store, SITE, NOW + timedelta(minutes=n), max_recs=3)
 
@@ -90,6 +91,10 @@ def test_run_twice(spark, store):
         (str(a), 3) for a in ARTICLES
     ]
 
+    # nothing settled on the way is left behind
+    settled = f"{spark.conf.get('spark.checkpoint.dir')}/settled"
+    assert set(files.children(spark, settled)) == before
+
     metrics = spark.read.parquet(store.table("run_metrics"))
     first = {r["name"]: r["value"] for r in metrics.filter("run_id like '%T233100'").collect()}
     assert first["downloaded_rows"] == 2 * (12 * 4 * 6 + 2) and first["written_events"] == 98
