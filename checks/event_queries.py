@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 
 
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from checks.registry import query
 from pressroom.functions import clock
 from pressroom.operators import dwell, events, metrics, popularity
 from pressroom.plans import ingest
+from pressroom.session import checkpoint_dir
 from pressroom.sources import chunks, tables
 
 DAY = "DATE '2024-01-30'"
@@ -172,6 +175,35 @@ def hourly_pings(spark, sf):
     return events.hourly_pings(i.normalised(spark, sf, dense=True))
 
 
+@query(
+    """
+    SELECT site, strftime(time_bucket(INTERVAL '1 hour', activity_time), '%Y/%m/%d/%H') AS chunk_name,
+           count(*) AS pings
+    FROM events_norm_dense WHERE event_name = 'page_ping' GROUP BY ALL
+    """,
+    "events_norm_dense",
+)
+def hourly_pings_stream(spark, sf):
+    """The same from a stream over the events, run until all of them are in."""
+    static = spark.read.parquet(f"{sf}/events.parquet")
+    arriving = spark.readStream.schema(static.schema).parquet(f"{sf}/events.parque[t]")
+    counted = events.hourly_pings(events.normalise_events(i.dense_view(arriving)))
+    target = f"{checkpoint_dir(spark)}/settled/{uuid.uuid4().hex}"
+
+    def store(batch, _number):
+        batch.write.mode("overwrite").parquet(f"{target}/hours")
+
+    query = (
+        counted.writeStream.outputMode("complete")
+        .foreachBatch(store)
+        .option("checkpointLocation", f"{target}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{target}/hours")
+
+
 @query("SELECT DISTINCT site, landing_page_path FROM events_norm", "events_norm")
 def distinct_paths(spark, sf):
     return events.distinct_paths(i.normalised(spark, sf))

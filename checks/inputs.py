@@ -54,7 +54,10 @@ def raw_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_events_dense(spark: SparkSession, sf: str) -> DataFrame:
     """Three readers and ten articles, so that pings really group."""
-    rows = read(spark, sf, "events")
+    return dense_view(read(spark, sf, "events"))
+
+
+def dense_view(rows: DataFrame) -> DataFrame:
     n = F.get_json_object("props", "$.k").cast("bigint") % 10
     name = F.when(F.col("event_type") == "signup", "page_view").otherwise("page_ping")
     return rows.withColumn("n", n).select(

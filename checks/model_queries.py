@@ -208,38 +208,87 @@ def knn_recs_small_blocks(spark, sf):
 # ---------------------------------------------------------------- training, evaluation
 
 
-@query()
+_ITEMS = f"""
+    SELECT dense_rank() OVER (ORDER BY external_id) - 1 AS item_id, CAST(8 AS BIGINT) AS n_factors, {{0}}
+    FROM (SELECT DISTINCT external_id FROM ({_TRAINING}))
+"""
+
+
+def _shape(vectors_of, column):
+    """Which items have a vector, how long it is, and that all its numbers are usable."""
+    usable = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e6))
+    return vectors_of.select(
+        F.col(vectors_of.columns[0]).alias("item_id"),
+        F.size(column).alias("n_factors"),
+        usable.cast("bigint").alias("usable"),
+    )
+
+
+@query(_ITEMS.format("CAST(1 AS BIGINT) AS usable"), "order_dwell order_articles")
 def als_item_factors(spark, sf):
-    return factors.fit_implicit(_prepared(spark, sf), PARAMS).itemFactors
+    """The implicit fit gives every training item a full vector."""
+    return _shape(factors.fit_implicit(_prepared(spark, sf), PARAMS).itemFactors, "features")
 
 
-@query()
+@query(_ITEMS.format("CAST(1 AS BIGINT) AS usable"), "order_dwell order_articles")
 def als_explicit_factors(spark, sf):
-    return factors.fit_explicit(_prepared(spark, sf), PARAMS).itemFactors
+    return _shape(factors.fit_explicit(_prepared(spark, sf), PARAMS).itemFactors, "features")
 
 
-@query()
+@query(_ITEMS.format("CAST(1 AS DOUBLE) AS length"), "order_dwell order_articles")
 def item_embeddings(spark, sf):
-    return factors.item_embeddings(factors.fit_implicit(_prepared(spark, sf), PARAMS))
+    """Embeddings have length one."""
+    unit = factors.item_embeddings(factors.fit_implicit(_prepared(spark, sf), PARAMS))
+    length = F.round(vectors.norm(F.col("embedding")), 4)
+    return unit.select("item_id", F.size("embedding").alias("n_factors"), length.alias("length"))
 
 
-@query()
+@query(
+    f"""
+    SELECT external_id, item_id, min(article_id) AS article_id, CAST(max(published_at) AS VARCHAR) AS published_at,
+           round(pow(0.5, date_diff('day', max(published_at), DATE '2001-11-04') / 120.0), 6) AS decay, CAST(8 AS BIGINT) AS n_factors
+    FROM ({_PREPARED}) GROUP BY external_id, item_id
+    """,
+    "order_dwell order_articles",
+)
 def train_step(spark, sf):
+    """Every item of the dimension has its embedding next to it."""
     embeddings, dimension = recommend.train_step(_training(spark, sf), PARAMS, i.ORDER_DAY)
-    return embeddings.join(dimension, "item_id")
+    joined = embeddings.join(dimension, "item_id")
+    return joined.withColumn("n_factors", F.size("embedding")).drop("embedding")
 
 
-@query()
+@query(
+    """SELECT client_id, article_id, CAST(session_date AS VARCHAR) AS session_date, duration, CAST(1 AS BIGINT) AS n_sides
+       FROM order_dwell""",
+    "order_dwell",
+)
 def train_test_split(spark, sf):
+    """Every interaction is on exactly one side."""
     train, test = evaluation.split_interactions(i.order_dwell(spark, sf))
-    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    both = train.unionByName(test).groupBy("client_id", "article_id", "session_date", "duration")
+    return both.agg(F.count(F.lit(1)).alias("n_sides"))
+
+
+@query()
+def held_out_rows(spark, sf):
+    """The fifth of the interactions that is held out."""
+    return evaluation.split_interactions(i.order_dwell(spark, sf))[1]
+
+
+@query()
+def factor_ranks(spark, sf):
+    """Rank of each held-out interaction's article among all articles for its reader."""
+    train, test = evaluation.split_interactions(settle(_prepared(spark, sf)))
+    model = factors.fit_implicit(train, PARAMS)
+    return evaluation.factor_ranks(model.userFactors, model.itemFactors, test)
 
 
 @query()
 def grid_search(spark, sf):
     """Two by two parameter values, judged by MRR on held-out interactions."""
     tuned = PARAMS.with_values(tune_ranges={"iterations": (1, 3, 1), "rank": (4, 9, 4)})
-    return factors.grid_search(_prepared(spark, sf), tuned)[0]
+    return factors.grid_search(settle(_prepared(spark, sf)), tuned)[0]
 
 
 @query()
@@ -283,3 +332,19 @@ def mrr_ranks(spark, sf):
 )
 def mrr(spark, sf):
     return evaluation.mrr(_ranks(spark, sf))
+
+
+@query(
+    f"""
+    SELECT external_id AS source_entity_id, least(10, count(*) OVER () - 1) AS n_recs, CAST(0 AS BIGINT) AS n_self
+    FROM (SELECT DISTINCT external_id FROM ({_TRAINING}))
+    """,
+    "order_dwell order_articles",
+)
+def article_recs_coverage(spark, sf):
+    """Every trained article gets its recommendations and none is itself."""
+    recs = recommend.article_recs_from(_training(spark, sf), PARAMS, i.ORDER_DAY)
+    own = F.concat(F.lit("p"), F.col("recommended_article_id").cast("string")) == F.col("source_entity_id")
+    return recs.groupBy("source_entity_id").agg(
+        F.count(F.lit(1)).alias("n_recs"), F.count_if(own).alias("n_self")
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressroom import config
-from pressroom.operators.skew import lookup_join
+from pressroom.operators.skew import key_counts, lookup_join
 
 COLUMNS = ["duration", "client_id", "article_id", "external_id", "published_at", "site", "session_date"]
 
@@ -44,7 +44,9 @@ def dwell_times(
         alias_paths = aliases.select("site", F.col("path").alias("landing_page_path"), "external_id")
         alias_rows = alias_paths.join(by_path.drop("landing_page_path"), ["site", "external_id"])
         by_path = by_path.unionByName(alias_rows.select(*by_path.columns)).distinct()
-    joined = lookup_join(per_path, by_path, ["site", "landing_page_path"])
+    # the raw pings say which paths are hot without shuffling the sums a second time
+    key = ["site", "landing_page_path"]
+    joined = lookup_join(per_path, by_path, key, counts=key_counts(pings, key))
     if aliases is not None:
         joined = joined.groupBy(
             "session_date", "client_id", "article_id", "site", "external_id", "published_at"

@@ -35,7 +35,7 @@ def ranks(scores: DataFrame, held_out: DataFrame) -> DataFrame:
     wanted = held_out.select("user_id", "item_id").join(
         scores.select("user_id", "item_id", "score"), ["user_id", "item_id"]
     )
-    return wanted.join(placed, ["user_id", "score"]).select(
+    return lookup_join(wanted, placed, ["user_id", "score"]).select(
         "user_id", "item_id", "score", (F.col("_better") + (F.col("_tied") + 1) / 2).alias("rank")
     )
 

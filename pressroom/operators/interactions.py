@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pressroom import config
 from pressroom.functions import clock
 from pressroom.operators.ordering import dense_codes
-from pressroom.operators.skew import lookup_join
+from pressroom.operators.skew import key_counts, lookup_join
 
 
 def article_activity(dwell: DataFrame) -> DataFrame:
@@ -46,21 +46,23 @@ def training_interactions(
     """
     window = recent_dwell(dwell, as_of, days, site)
     oldest = F.date_sub(clock.as_date(as_of), max_article_age * 365)
-    busy_articles = article_activity(window).filter(F.col("rows_per_article") > min_article_rows)
+    per_article, per_user = article_activity(window), user_activity(window)
+    busy_articles = per_article.filter(F.col("rows_per_article") > min_article_rows)
     dated = articles.filter(F.col("published_at") > oldest).select(
         F.col("id").alias("article_id"), F.col("published_at").cast("date").alias("published_at")
     )
     wanted_articles = dated.join(busy_articles.select("article_id"), "article_id")
-    wanted_users = (
-        user_activity(window)
-        .filter((F.col("rows_per_user") > min_user_rows) & (F.col("seconds_per_user") > min_user_seconds))
-        .select("client_id")
-    )
+    wanted_users = per_user.filter(
+        (F.col("rows_per_user") > min_user_rows) & (F.col("seconds_per_user") > min_user_seconds)
+    ).select("client_id")
     rows = window.filter(F.col("duration").between(min_duration, max_duration)).select(
         "article_id", "external_id", "client_id", "session_date", "duration"
     )
-    kept = lookup_join(rows, wanted_articles, ["article_id"])
-    kept = lookup_join(kept, wanted_users, ["client_id"], "left_semi")
+    # the activity counts also say which keys are hot
+    article_rows = per_article.withColumnRenamed("rows_per_article", "_rows")
+    user_rows = per_user.withColumnRenamed("rows_per_user", "_rows")
+    kept = lookup_join(rows, wanted_articles, ["article_id"], counts=article_rows)
+    kept = lookup_join(kept, wanted_users, ["client_id"], "left_semi", counts=user_rows)
     return kept.select("article_id", "external_id", "client_id", "session_date", "duration", "published_at")
 
 
@@ -72,12 +74,10 @@ def prepare_interactions(interactions: DataFrame, parts: int | None = None) -> D
     read once for each code list.
     """
     complete = interactions.na.drop("any")
-    items = dense_codes(complete, "external_id", "item_id", parts)
-    users = dense_codes(complete, "client_id", "user_id", parts)
-    days = dense_codes(complete, "session_date", "_day", parts)
-    coded = lookup_join(complete, items, ["external_id"])
-    coded = lookup_join(coded, users, ["client_id"])
-    coded = lookup_join(coded, days, ["session_date"])
+    coded = complete
+    for column, code in (("external_id", "item_id"), ("client_id", "user_id"), ("session_date", "_day")):
+        codes = dense_codes(complete, column, code, parts)
+        coded = lookup_join(coded, codes, [column], counts=key_counts(complete, [column]))
     return (
         coded.withColumn("item_id", F.col("item_id").cast("int"))
         .withColumn("user_id", F.col("user_id").cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pressroom.functions import clock
 from pressroom.functions.text import starts_with_any
 from pressroom.operators.events import distinct_paths
-from pressroom.operators.skew import lookup_join
+from pressroom.operators.skew import key_counts, lookup_join
 
 
 def needs_scrape(as_of):
@@ -39,8 +39,11 @@ def paths_to_update(
         "site", F.col("path").alias("landing_page_path"), "external_id", "exclude_reason"
     )
     dates = articles.select("site", "external_id", "published_at")
-    known = lookup_join(visited, cache, ["site", "landing_page_path"], "left")
-    dated = lookup_join(known, dates, ["site", "external_id"], "left")
+    # every visited path is one row, so only the second join can meet a hot key: an article
+    # with many paths, or the paths nobody knows yet
+    known = visited.join(cache, ["site", "landing_page_path"], "left")
+    key = ["site", "external_id"]
+    dated = lookup_join(known, dates, key, "left", counts=key_counts(cache, key))
     return dated.filter(needs_scrape(as_of)).select("site", "landing_page_path", "external_id")
 
 

@@ -18,7 +18,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pressroom import config
+from pressroom.functions.vectors import score_decimal
 from pressroom.operators.ordering import numbered
+from pressroom.operators.skew import lookup_join
 from pressroom.operators.tiles import BLOCK_ROWS, blocks, tile_apply
 from pressroom.session import settle
 
@@ -113,8 +115,6 @@ def article_recs(neighbours: DataFrame, dimension: DataFrame) -> DataFrame:
     target = dimension.select(
         F.col("item_id").alias("neighbour_id"), F.col("article_id").alias("recommended_article_id")
     )
-    return (
-        neighbours.join(source, "item_id")
-        .join(target, "neighbour_id")
-        .select("source_entity_id", "recommended_article_id", F.col("score").cast("decimal(7,6)").alias("score"))
-    )
+    # a fresh article can be the neighbour of very many others, a source has at most k rows
+    named = lookup_join(neighbours.join(source, "item_id"), target, ["neighbour_id"])
+    return named.select("source_entity_id", "recommended_article_id", score_decimal(F.col("score")).alias("score"))

@@ -23,18 +23,25 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(digits) if digits.lstrip("-").isdigit() else 10 * 1024 * 1024
 
 
-def lookup_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def key_counts(df: DataFrame, on: list[str]) -> DataFrame:
+    """Rows per key, combined map-side."""
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def lookup_join(
+    big: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", counts: DataFrame | None = None
+) -> DataFrame:
     """Join a fact side to a lookup side on ``on``.
 
     A lookup whose planned size is under the broadcast threshold goes the way Catalyst
     picks (a broadcast, so no shuffle and no skew). Anything larger is joined with its
-    hot keys salted, whatever the threshold.
+    hot keys salted, whatever the threshold. See ``salted_join`` for ``counts``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind {how!r}")
     if planned_bytes(lookup) <= broadcast_limit(lookup):
         return big.join(lookup, on, how)
-    return salted_join(big, lookup, on, how)
+    return salted_join(big, lookup, on, how, counts)
 
 
 def salted_join(
@@ -42,24 +49,27 @@ def salted_join(
     lookup: DataFrame,
     on: list[str],
     how: str = "inner",
+    counts: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Spread the ``hot_keys`` most frequent keys of ``big`` over ``salts`` tasks each.
 
-    The key list is the top of a map-side-combined count, so it has at most ``hot_keys``
-    rows and is safe to broadcast; only lookup rows with those keys are copied. Rows of
-    ``big`` with a null key match nothing and are spread over all salts as well.
+    ``counts`` (the keys and ``_rows``) says how frequent keys are, where that is known
+    already or cheaper to learn from another table than from ``big``; it steers the spread
+    and cannot change the result. The key list is cut to ``hot_keys`` rows, so it is safe to
+    broadcast; only lookup rows with those keys are copied. Rows of ``big`` with a null key
+    match nothing and are spread over all salts as well.
     """
     columns = big.columns
     some_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     hot = F.broadcast(
-        big.filter(~some_null)
-        .groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        (key_counts(big, on) if counts is None else counts)
+        .filter(~some_null)
         .orderBy(F.col("_rows").desc(), *on)
         .limit(hot_keys)
         .select(*on, F.lit(True).alias("_hot"))
+        .distinct()
     )
     spread = F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
     left = big.join(hot, on, "left").withColumn(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom import schemas
+from pressroom.operators.skew import lookup_join
 from pressroom.sources import files
 
 EVENT_KEYS = ["site", "chunk_name"]
@@ -54,7 +55,7 @@ def replace_chunks(events: DataFrame, path: str) -> None:
 def replace_chunks_view(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """What the table holds after ``replace_chunks``, as a query."""
     touched = batch.select(*EVENT_KEYS).distinct()
-    return stored.join(touched, EVENT_KEYS, "left_anti").unionByName(batch)
+    return lookup_join(stored, touched, EVENT_KEYS, "left_anti").unionByName(batch)
 
 
 def replace_dwell(dwell: DataFrame, path: str, site: str, dates: list) -> None:
