@@ -252,15 +252,16 @@ def articles_by_path(spark, sf):
 
 @query(
     f"""
-    SELECT page_id, trim(replace(replace(replace(replace(replace(
+    SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(
              regexp_extract(html, '<h1>([^<]*)</h1>', 1),
-             '&quot;', '"'), '&#x27;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS title,
+             '&quot;', '"'), '&#x27;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g')) AS title,
            {_URL_PATH} AS new_path, CAST(NULL AS VARCHAR) AS error_type
     FROM pages
     """
 )
 def html_titles(spark, sf):
-    """Titles of whole pages, with the heading selector these pages use."""
+    """Titles of whole pages, with the heading selector these pages use. HTML also reads an
+    ``&amp`` that lost its semicolon."""
     responses = i.read(spark, sf, "pages").select(
         "page_id",
         "url",

@@ -316,6 +316,7 @@ def _ranks(spark, sf):
             F.bool_or(F.col("l_returnflag") == "R").alias("returned"),
         )
     )
+    lines = settle(lines)
     return evaluation.ranks(lines.drop("returned"), lines.filter("returned"))
 
 

@@ -7,9 +7,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressroom.operators.ordering import numbered, total_before
-from pressroom.operators.skew import lookup_join
-from pressroom.operators.tiles import BLOCK_ROWS, blocks, tile_apply
+from pressroom.operators.ordering import total_before
+from pressroom.operators.skew import key_counts, lookup_join
+from pressroom.operators.tiles import BLOCK_ROWS, hash_blocks, tile_apply
+from pressroom.session import settle
 
 SPLIT_KEY = ["client_id", "article_id", "session_date"]
 TRAIN_PERCENT = 80
@@ -35,7 +36,8 @@ def ranks(scores: DataFrame, held_out: DataFrame) -> DataFrame:
     wanted = held_out.select("user_id", "item_id").join(
         scores.select("user_id", "item_id", "score"), ["user_id", "item_id"]
     )
-    return lookup_join(wanted, placed, ["user_id", "score"]).select(
+    tied = distinct.withColumnRenamed("_tied", "_rows")
+    return lookup_join(wanted, placed, ["user_id", "score"], counts=tied).select(
         "user_id", "item_id", "score", (F.col("_better") + (F.col("_tied") + 1) / 2).alias("rank")
     )
 
@@ -75,19 +77,19 @@ def factor_ranks(
     held-out row, so user x item scores are never stored or shuffled.
     """
     vector = F.transform("features", lambda x: x.cast("double"))
-    users = user_factors.select(F.col("id").alias("user_id"), vector.alias("user_factors"))
-    items = item_factors.select(F.col("id").alias("item_id"), vector.alias("features"))
-    pairs = held_out.select("user_id", "item_id").distinct()
+    users = settle(user_factors.select(F.col("id").alias("user_id"), vector.alias("user_factors")))
+    items = settle(item_factors.select(F.col("id").alias("item_id"), vector.alias("features")))
+    pairs = settle(held_out.select("user_id", "item_id").distinct())
     known = lookup_join(pairs, users, ["user_id"])
-    known = lookup_join(known, items.withColumnRenamed("features", "item_factors"), ["item_id"])
-    known = blocks(
-        numbered(known, [F.col("user_id"), F.col("item_id")], "_position"), "_position", block_rows, "_lb"
-    )
-    right = blocks(numbered(items, [F.col("item_id")], "_position"), "_position", block_rows, "_rb")
-    last = right.agg(F.max("_rb").alias("last")).first()["last"]
-    tiles = known.drop("_position").withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(last or 0))))
+    own = items.withColumnRenamed("features", "item_factors")
+    known = lookup_join(known, own, ["item_id"], counts=key_counts(pairs, ["item_id"]))
+    known = hash_blocks(known, ["user_id", "item_id"], pairs.count(), block_rows, "_lb")
+    n_items = items.count()
+    right = hash_blocks(items, ["item_id"], n_items, block_rows, "_rb")
+    every_block = F.sequence(F.lit(0), F.lit(max(0, -(-n_items // block_rows) - 1)))
+    tiles = known.withColumn("_rb", F.explode(every_block))
     counted = tile_apply(
-        tiles, right.drop("_position"), count_better, "user_id int, item_id int, better long, equal long"
+        tiles, right, count_better, "user_id int, item_id int, better long, equal long"
     )
     return counted.groupBy("user_id", "item_id").agg(
         (F.sum("better") + (F.sum("equal") + 1) / 2).alias("rank")

@@ -16,10 +16,16 @@ BLOCK_ROWS = 2048
 
 
 def blocks(df: DataFrame, position: str, block_rows: int, name: str) -> DataFrame:
-    """Blocks of exactly ``block_rows`` rows (the last may be shorter)."""
+    """Blocks in the order of ``position``, of exactly ``block_rows`` rows (the last may be shorter)."""
     return df.withColumn(name, F.floor(F.col(position) / F.lit(block_rows)).cast("int"))
 
 
+def hash_blocks(df: DataFrame, keys: list[str], rows: int, block_rows: int, name: str) -> DataFrame:
+    """About ``block_rows`` of the ``rows`` rows in each block; ``keys`` tell rows apart."""
+    number = max(1, -(-rows // block_rows))
+    return df.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(number)).cast("int"))
+
+
 def tile_apply(
     left: DataFrame,
     right: DataFrame,
