@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 # --- fixed values -----------------------------------------------------------------
@@ -65,8 +66,14 @@ class TrainingParams:
 
 @dataclass(frozen=True)
 class SiteConfig:
-    """One newsroom. ``id_rule``, ``metadata_rule`` and ``bulk_rule`` name entries of
-    ``operators.extraction.ID_RULES`` / ``METADATA_RULES`` / ``BULK_RULES``."""
+    """One newsroom, and the place to plug in another.
+
+    ``id_rule``, ``metadata_rule`` and ``bulk_rule`` name entries of
+    ``operators.extraction.ID_RULES`` / ``METADATA_RULES`` / ``BULK_RULES`` or are such
+    entries themselves; ``event_rule`` turns parsed raw events into normalised ones, None
+    stands for ``operators.events.normalise_events``. ``validators`` are (SQL predicate over
+    ``url``, ``status``, ``body``, message) pairs: the first that holds rejects the article.
+    """
 
     name: str
     domain: str
@@ -74,9 +81,11 @@ class SiteConfig:
     popularity_window: int
     max_article_age: int
     training: TrainingParams
-    id_rule: str
-    metadata_rule: str
-    bulk_rule: str | None = None
+    id_rule: str | tuple
+    metadata_rule: str | tuple
+    bulk_rule: str | Callable | None = None
+    event_rule: Callable | None = None
+    validators: tuple[tuple[str, str], ...] = ()
     refresh_deletes_excluded: bool = False
     event_fields: tuple = REQUIRED_EVENT_FIELDS
 

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressroom.functions.vectors import dot
 from pressroom.operators.ordering import total_before
 from pressroom.operators.skew import key_counts, lookup_join
 from pressroom.operators.tiles import BLOCK_ROWS, hash_blocks, tile_apply
@@ -51,19 +52,21 @@ def mrr(ranked: DataFrame) -> DataFrame:
     return mrr_per_user(ranked).agg(F.avg("mrr").alias("mrr"), F.count(F.lit(1)).alias("users"))
 
 
+SCORE_DIGITS = 6  # the factors are single precision
+
+
 def count_better(held_out: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
     """How many items of one block beat or equal each held-out item for its user."""
-    users = np.vstack(held_out["user_factors"].to_numpy())
-    own = np.vstack(held_out["item_factors"].to_numpy())
-    block = np.vstack(items["features"].to_numpy())
-    mine = np.round((users * own).sum(axis=1), 6)[:, None]
-    all_scores = np.round(users @ block.T, 6)
+    scores = np.vstack(held_out["user_factors"].to_numpy()) @ np.vstack(items["features"].to_numpy()).T
+    mine = np.round(held_out["score"].to_numpy(), SCORE_DIGITS)[:, None]
+    own = held_out["item_id"].to_numpy()[:, None] == items["item_id"].to_numpy()[None, :]
+    scores = np.where(own, mine, np.round(scores, SCORE_DIGITS))
     return pd.DataFrame(
         {
             "user_id": held_out["user_id"].to_numpy(),
             "item_id": held_out["item_id"].to_numpy(),
-            "better": (all_scores > mine).sum(axis=1),
-            "equal": (all_scores == mine).sum(axis=1),
+            "better": (scores > mine).sum(axis=1),
+            "equal": (scores == mine).sum(axis=1),
         }
     )
 
@@ -83,6 +86,8 @@ def factor_ranks(
     known = lookup_join(pairs, users, ["user_id"])
     own = items.withColumnRenamed("features", "item_factors")
     known = lookup_join(known, own, ["item_id"], counts=key_counts(pairs, ["item_id"]))
+    # tiles get the score of the held-out item, not its vector
+    known = known.withColumn("score", dot(F.col("user_factors"), F.col("item_factors"))).drop("item_factors")
     known = hash_blocks(known, ["user_id", "item_id"], pairs.count(), block_rows, "_lb")
     n_items = items.count()
     right = hash_blocks(items, ["item_id"], n_items, block_rows, "_rb")

@@ -275,18 +275,33 @@ METADATA_RULES = {
 BULK_RULES = {"tribune_bulk": bulk_from_tribune, "arc_bulk": bulk_from_arc}
 
 
+def _chosen(rules: dict, rule):
+    return rules[rule] if isinstance(rule, str) else rule
+
+
 def extract_ids(site: config.SiteConfig, paths: DataFrame, responses: DataFrame) -> DataFrame:
     """``(site, path)`` -> ``(site, path, external_id, error_type, msg)``."""
-    attach, rule = ID_RULES[site.id_rule]
+    attach, rule = _chosen(ID_RULES, site.id_rule)
     return rule(attach(paths.select("site", "path"), responses)).select(
         "site", "path", "external_id", "error_type", "msg"
     )
 
 
+def _site_validation(df: DataFrame, validators) -> DataFrame:
+    """A response that was fetched but breaks a rule of its site is rejected, whatever else
+    is wrong with it."""
+    broken = first_error([(F.expr(predicate), message) for predicate, message in validators])
+    rejected = fetched() & broken.isNotNull()
+    return df.withColumn("msg", F.when(rejected, broken).otherwise(F.col("msg"))).withColumn(
+        "error_type", F.when(rejected, F.lit("failed_site_validation")).otherwise(F.col("error_type"))
+    )
+
+
 def extract_metadata(site: config.SiteConfig, articles: DataFrame, responses: DataFrame) -> DataFrame:
     """``(site, path, external_id)`` -> the same plus what the article's response says."""
-    attach, rule = METADATA_RULES[site.metadata_rule]
-    return rule(attach(articles.select("site", "path", "external_id"), responses)).select(
+    attach, rule = _chosen(METADATA_RULES, site.metadata_rule)
+    found = rule(attach(articles.select("site", "path", "external_id"), responses))
+    return _site_validation(found, site.validators).select(
         "site",
         "path",
         "external_id",
@@ -297,3 +312,11 @@ def extract_metadata(site: config.SiteConfig, articles: DataFrame, responses: Da
         "error_type",
         "msg",
     )
+
+
+def bulk_articles(site: config.SiteConfig, responses: DataFrame, start, end) -> DataFrame:
+    """Listed articles published in ``[start, end)``, and items with errors."""
+    if site.bulk_rule is None:
+        raise NotImplementedError(f"{site.name} has no bulk listing")
+    listed = responses.filter((F.col("site") == site.name) & (F.col("kind") == "bulk"))
+    return _chosen(BULK_RULES, site.bulk_rule)(listed, start, end)

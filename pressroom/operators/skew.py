@@ -18,9 +18,8 @@ def planned_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    digits = text.rstrip("bB")
-    return int(digits) if digits.lstrip("-").isdigit() else 10 * 1024 * 1024
+    """The session's broadcast threshold in bytes; -1 when broadcasts are switched off."""
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def key_counts(df: DataFrame, on: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pressroom import config
 from pressroom.operators import dwell, events
 from pressroom.operators.metrics import RunMetrics
+from pressroom.session import settle
 from pressroom.sources import chunks, tables
 
 
@@ -15,19 +16,21 @@ def judge(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS) -> DataFrame:
     """Parsed lines with the reason why a line cannot be used, as in ``events.judge_lines``;
     an unreadable time is one more."""
     judged = events.judge_lines(lines, fields)
+    if "collector_tstamp" not in fields:
+        return judged
     no_time = F.col("collector_tstamp").try_cast("timestamp").isNull()
     bad_time = F.when(no_time, F.lit("bad_timestamp"))
     return judged.withColumn("reason", F.coalesce(F.col("reason"), bad_time))
 
 
-def events_from_judged(judged: DataFrame) -> DataFrame:
+def events_from_judged(judged: DataFrame, normalise=None) -> DataFrame:
     usable = judged.filter(F.col("reason").isNull())
-    return events.aggregate_pings(events.normalise_events(usable))
+    return events.aggregate_pings((normalise or events.normalise_events)(usable))
 
 
-def events_from_lines(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS) -> DataFrame:
+def events_from_lines(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS, normalise=None) -> DataFrame:
     """``(value, site)`` lines -> pre-aggregated events; unusable lines are left out."""
-    return events_from_judged(judge(lines, fields))
+    return events_from_judged(judge(lines, fields), normalise)
 
 
 def rejected_lines(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS) -> DataFrame:
@@ -47,24 +50,26 @@ def ingest_events(
 ) -> None:
     """Load the named chunks of one site, replacing what the events table held for them.
 
-    Unusable lines are counted on the way. Only if there are any, the raw files are read
-    once more to store those lines under ``rejected_path``.
+    With ``rejected_path`` unusable lines are kept there. The raw files are read once in any
+    case: what two outputs need is settled, and of the raw text only the unusable lines.
     """
     lines = chunks.read_event_chunks(spark, root, site.name, names, gzip_without_suffix)
-    judged = judge(lines, site.event_fields).drop("value")
-    lost = Observation(f"lines of {site.name}")
-    unusable = F.count_if(F.col("reason").isNotNull())
-    judged = judged.observe(lost, F.count(F.lit(1)).alias("lines"), unusable.alias("rejected"))
-    rows = events_from_judged(judged)
+    unusable = F.col("reason").isNotNull()
+    judged = judge(lines, site.event_fields).withColumn("value", F.when(unusable, F.col("value")))
+    seen = Observation(f"lines of {site.name}")
+    judged = judged.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(unusable).alias("rejected"))
+    if rejected_path is not None:
+        judged = settle(judged)
+    rows = events_from_judged(judged, site.event_rule)
     if metrics is not None:
         rows = metrics.counted(rows, "written_events")
     tables.replace_chunks(rows, events_path)
-    counts = lost.get
+    counts = seen.get
     if metrics is not None:
         metrics.add("downloaded_rows", counts["lines"])
         metrics.add("rejected_rows", counts["rejected"])
     if rejected_path is not None and counts["rejected"]:
-        bad = rejected_lines(lines, site.event_fields)
+        bad = judged.filter(unusable).drop(*site.event_fields)
         tables.replace_partitions(bad, rejected_path, ["site", "chunk_dir"])
 
 

@@ -140,20 +140,13 @@ def backfill_events(
     metrics.frame(spark).write.mode("append").parquet(store.table("run_metrics"))
 
 
-def bulk_articles(responses: DataFrame, site: config.SiteConfig, start: date, days: int) -> DataFrame:
-    """Listed articles published in ``days`` days from ``start``, and items with errors."""
-    if site.bulk_rule is None:
-        raise NotImplementedError(f"{site.name} has no bulk listing")
-    listed = responses.filter((F.col("site") == site.name) & (F.col("kind") == "bulk"))
-    return extraction.BULK_RULES[site.bulk_rule](listed, start, start + timedelta(days=days))
-
-
 def backfill_articles(
     spark: SparkSession, store: Store, site: config.SiteConfig, start: date, days: int, as_of
 ) -> None:
     """Upsert the articles of a range of days from landed listings, as one set."""
     configure(spark)
-    listed = bulk_articles(read_responses(spark, store.responses, site.name), site, start, days)
+    responses = read_responses(spark, store.responses, site.name)
+    listed = extraction.bulk_articles(site, responses, start, start + timedelta(days=days))
     good = listed.filter(F.col("error_type").isNull())
     articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES)
     with temporary_tables(spark):

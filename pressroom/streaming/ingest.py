@@ -52,16 +52,16 @@ def stream_ingest(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
-        fresh = events.normalise_events(events.parse_events(batch, site.event_fields))
+        normalise = site.event_rule or events.normalise_events
+        fresh = normalise(events.parse_events(batch, site.event_fields))
         # one short name per hour
         names = [row["chunk_name"] for row in fresh.select("chunk_name").distinct().collect()]
         names = sorted(n for n in names if n and (oldest_chunk is None or n >= oldest_chunk))
         if not names:
             return
         folders = folders_around(names, site.hours_of_data)
-        rows = events_from_lines(
-            chunks.read_event_chunks(session, root, site.name, folders), site.event_fields
-        )
+        lines = chunks.read_event_chunks(session, root, site.name, folders)
+        rows = events_from_lines(lines, site.event_fields, site.event_rule)
         tables.replace_chunks(rows.filter(F.col("chunk_name").isin(names)), events_path)
 
     lines = landed_lines(spark, root, site.name, max_files)

@@ -203,3 +203,49 @@ def test_the_latest_response_counts(spark):
     found = extraction.latest_responses(landed, "page", "path")
     assert rows(found) == [("s", "/a", "u2", 500, "new")]
     assert [f.name for f in spark.createDataFrame([], schemas.RESPONSES).schema] == landed.columns
+
+
+def test_a_site_of_ones_own(spark):
+    """Rules given as functions, and validators as SQL."""
+
+    def title_is_body(rows):
+        return rows.select(
+            "*",
+            F.upper("body").alias("title"),
+            F.lit("2021-01-01").cast("timestamp").alias("published_at"),
+            F.col("path").alias("new_path"),
+            F.col("external_id").alias("new_external_id"),
+            F.when(F.col("body").isNull(), "fetch_error").alias("error_type"),
+            F.lit(None).cast("string").alias("msg"),
+        )
+
+    by_path = extraction.METADATA_RULES["article_html"][0]
+    site = config.SiteConfig(
+        name="s",
+        domain="d",
+        hours_of_data=1,
+        popularity_window=1,
+        max_article_age=1,
+        training=config.TrainingParams(),
+        id_rule=(lambda df, _: df, lambda df: extraction.id_from_path(df, "^/x/([0-9]+)", 1)),
+        metadata_rule=(by_path, title_is_body),
+        bulk_rule=lambda listed, start, end: listed.select("path"),
+        validators=(("body LIKE '%ad%'", "Advertisement"), ("length(body) > 3", "Too long")),
+    )
+    paths = spark.createDataFrame([("s", f"/x/{n}") for n in range(5)], "site string, path string")
+    ids = extraction.extract_ids(site, paths, paths)
+    assert rows(ids, "external_id") == [(str(n),) for n in range(5)]
+    landed = [
+        ("s", "page", f"/x/{n}", None, "u", status, body, None)
+        for n, (status, body) in enumerate([(200, "ok"), (200, "an ad"), (200, "long"), (404, "an ad")])
+    ] + [("s", "bulk", "/listed", None, "u", 200, "", None), ("t", "bulk", "/other", None, "u", 200, "", None)]
+    responses = spark.createDataFrame(landed, schemas.RESPONSES)
+    found = extraction.extract_metadata(site, ids, responses)
+    assert rows(found, "external_id", "title", "error_type", "msg") == [
+        ("0", "OK", None, None),
+        ("1", "AN AD", "failed_site_validation", "Advertisement"),
+        ("2", "LONG", "failed_site_validation", "Too long"),
+        ("3", "AN AD", None, None),
+        ("4", None, "fetch_error", None),
+    ]
+    assert rows(extraction.bulk_articles(site, responses, None, None)) == [("/listed",)]
