@@ -43,18 +43,22 @@ def best_in_tile(sources: pd.DataFrame, targets: pd.DataFrame, k: int) -> pd.Dat
     scores = np.nan_to_num(similarity, nan=0.0) * targets["decay"].to_numpy()
     scores = np.round(scores, SCORE_DIGITS)
     scores[source_ids[:, None] == target_ids[None, :]] = -np.inf
+    # everything at or above a source's k-th best score, ties included, then ordered and cut
     keep = min(k, scores.shape[1])
-    # a stable sort over ids in ascending order breaks ties by id
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :keep]
-    best = np.take_along_axis(scores, order, axis=1)
-    out = pd.DataFrame(
+    threshold = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1]
+    row, column = np.nonzero((scores >= threshold[:, None]) & np.isfinite(scores))
+    value = scores[row, column]
+    order = np.lexsort((column, -value, row))  # columns are in id order
+    row, column, value = row[order], column[order], value[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    best = place < keep
+    return pd.DataFrame(
         {
-            "item_id": np.repeat(source_ids, keep),
-            "neighbour_id": target_ids[order].ravel(),
-            "score": best.ravel(),
+            "item_id": source_ids[row[best]],
+            "neighbour_id": target_ids[column[best]],
+            "score": value[best],
         }
     )
-    return out[np.isfinite(out["score"])]
 
 
 def top_k_per_source(candidates: DataFrame, k: int) -> DataFrame:
