@@ -10,7 +10,8 @@ from checks.registry import query
 from pressroom import config
 from pressroom.functions import text
 from pressroom.operators import articles as art
-from pressroom.operators import extraction, path_cache, paths, registry
+from pressroom.operators import extraction, paths, registry
+from pressroom.operators import path_cache as cache
 
 AS_OF = "2024-01-30 00:00:00"
 AS_OF_SQL = "TIMESTAMP '2024-01-30 00:00:00'"
@@ -591,11 +592,11 @@ def scrape_errors(spark, sf):
     """,
     "paths articles labelled",
 )
-def path_cache_update(spark, sf):
+def path_cache(spark, sf):
     """Stored entries, exclusions, and both paths of everything created."""
     scraped = _scraped(spark, sf).filter(F.col("error_type").isNull() & F.col("published_at").isNotNull())
-    cache = path_cache.update_path_cache(i.paths(spark, sf), scraped, _label_errors(spark, sf), AS_OF)
-    return cache.drop("updated_at")
+    updated = cache.update_path_cache(i.paths(spark, sf), scraped, _label_errors(spark, sf), AS_OF)
+    return updated.drop("updated_at")
 
 
 @query(

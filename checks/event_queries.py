@@ -12,7 +12,8 @@ from checks import inputs as i
 from checks.duck import stamp
 from checks.registry import query
 from pressroom.functions import clock
-from pressroom.operators import dwell, events, metrics, popularity
+from pressroom.operators import dwell, events, metrics
+from pressroom.operators import popularity as popular
 from pressroom.plans import ingest
 from pressroom.session import checkpoint_dir
 from pressroom.sources import chunks, tables
@@ -290,7 +291,7 @@ def half_life_decay(spark, sf):
     "order_dwell",
 )
 def time_decay(spark, sf):
-    decayed = popularity.time_decay(i.order_dwell(spark, sf), i.ORDER_DAY, 120)
+    decayed = popular.time_decay(i.order_dwell(spark, sf), i.ORDER_DAY, 120)
     return decayed.select("client_id", "article_id", "session_date", "duration")
 
 
@@ -299,7 +300,7 @@ def time_decay(spark, sf):
 )
 def normalise_by_max(spark, sf):
     rows = i.read(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return popularity.normalise_by_max(rows, "o_totalprice")
+    return popular.normalise_by_max(rows, "o_totalprice")
 
 
 _TOP = """
@@ -319,8 +320,8 @@ _ORDER_TOP = _TOP.format(view="order_dwell", day="DATE '2001-11-04'", back=364,
     """,
     "event_dwell",
 )
-def popularity_week(spark, sf):
-    return popularity.popularity(i.event_dwell(spark, sf), i.EVENT_DAY, 7, "site-1")
+def popularity(spark, sf):
+    return popular.popularity(i.event_dwell(spark, sf), i.EVENT_DAY, 7, "site-1")
 
 
 @query(
@@ -331,7 +332,7 @@ def popularity_week(spark, sf):
     "order_dwell",
 )
 def popularity_year(spark, sf):
-    return popularity.popularity(i.order_dwell(spark, sf), i.ORDER_DAY, 365)
+    return popular.popularity(i.order_dwell(spark, sf), i.ORDER_DAY, 365)
 
 
 _RECS = """
@@ -345,7 +346,7 @@ _RECS = """
 @query(_RECS.format(day=DAY, half_life="10.0", top=_EVENT_TOP), "event_dwell")
 def popularity_recs(spark, sf):
     """Default recommendations of one site from its click-stream."""
-    return popularity.popularity_recs(i.event_dwell(spark, sf), i.EVENT_DAY, 7, "site-1")
+    return popular.popularity_recs(i.event_dwell(spark, sf), i.EVENT_DAY, 7, "site-1")
 
 
 @query(
@@ -355,6 +356,6 @@ def popularity_recs(spark, sf):
 )
 def popularity_recs_top(spark, sf):
     """The same with only the best ten kept after decay."""
-    return popularity.popularity_recs(
+    return popular.popularity_recs(
         i.order_dwell(spark, sf), i.ORDER_DAY, 365, half_life=365, max_recs=10
     )

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from pressroom.config import TrainingParams
 from pressroom.functions.vectors import l2_normalise
 from pressroom.operators.evaluation import factor_mrr, split_interactions
-from pressroom.session import settle, shuffle_parts, checkpoint_dir
+from pressroom.session import checkpoint_dir, settle
+
+
+# user and item vectors are exchanged between all pairs of blocks, so blocks are large
+RATINGS_PER_BLOCK = 1_000_000
+MIN_BLOCKS, MAX_BLOCKS = 4, 1000
 
 
 def rating_table(prepared: DataFrame, implicit: bool) -> DataFrame:
@@ -26,7 +31,8 @@ def rating_table(prepared: DataFrame, implicit: bool) -> DataFrame:
 
 def fit(prepared: DataFrame, params: TrainingParams) -> ALSModel:
     checkpoint_dir(prepared.sparkSession)
-    blocks = shuffle_parts(prepared)
+    ratings = settle(rating_table(prepared, params.implicit))
+    blocks = min(max(MIN_BLOCKS, ratings.count() // RATINGS_PER_BLOCK), MAX_BLOCKS)
     als = ALS(
         userCol="user_id",
         itemCol="item_id",
@@ -43,7 +49,7 @@ def fit(prepared: DataFrame, params: TrainingParams) -> ALSModel:
         intermediateStorageLevel="MEMORY_AND_DISK",
         finalStorageLevel="MEMORY_AND_DISK",
     )
-    return als.fit(rating_table(prepared, params.implicit))
+    return als.fit(ratings)
 
 
 def fit_implicit(prepared: DataFrame, params: TrainingParams) -> ALSModel:

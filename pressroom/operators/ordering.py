@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pressroom.operators.skew import lookup_join
-from pressroom.session import settle, shuffle_parts
+from pressroom.session import settle
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row count in its low 33 bits
 
@@ -15,12 +15,13 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row count in its low 33
 def _ranged(df: DataFrame, order: list, parts: int | None) -> DataFrame:
     """Sort into ranges and note (range, index in range) on every row.
 
-    Range bounds are sampled, so the outcome is settled before anything reads it twice.
+    Without ``parts`` AQE merges neighbouring ranges that turn out small. Range bounds are
+    sampled, so the outcome is settled before anything reads it twice.
     """
     part = F.spark_partition_id()
+    ranges = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
     return settle(
-        df.repartitionByRange(parts or shuffle_parts(df), *order)
-        .sortWithinPartitions(*order)
+        ranges.sortWithinPartitions(*order)
         .withColumn("_part", part)
         .withColumn("_index", F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), _ROW_BITS))
     )
@@ -31,7 +32,7 @@ def numbered(df: DataFrame, order: list, name: str, parts: int | None = None) ->
     tell any two rows apart)."""
     ranged = _ranged(df, order, parts)
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    # one row per range: as many rows as shuffle partitions
+    # one row per range, so at most as many rows as shuffle partitions
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     return (

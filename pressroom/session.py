@@ -73,7 +73,3 @@ def settle(df: DataFrame) -> DataFrame:
         scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def shuffle_parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
