@@ -88,13 +88,17 @@ def factor_ranks(
     known = lookup_join(known, own, ["item_id"], counts=key_counts(pairs, ["item_id"]))
     # tiles get the score of the held-out item, not its vector
     known = known.withColumn("score", dot(F.col("user_factors"), F.col("item_factors"))).drop("item_factors")
-    known = hash_blocks(known, ["user_id", "item_id"], pairs.count(), block_rows, "_lb")
-    n_items = items.count()
+    n_pairs, n_items = pairs.count(), items.count()
+    known = hash_blocks(known, ["user_id", "item_id"], n_pairs, block_rows, "_lb")
     right = hash_blocks(items, ["item_id"], n_items, block_rows, "_rb")
     every_block = F.sequence(F.lit(0), F.lit(max(0, -(-n_items // block_rows) - 1)))
     tiles = known.withColumn("_rb", F.explode(every_block))
     counted = tile_apply(
-        tiles, right, count_better, "user_id int, item_id int, better long, equal long"
+        tiles,
+        right,
+        count_better,
+        "user_id int, item_id int, better long, equal long",
+        -(-n_pairs // block_rows),
     )
     return counted.groupBy("user_id", "item_id").agg(
         (F.sum("better") + (F.sum("equal") + 1) / 2).alias("rank")

@@ -85,7 +85,7 @@ def nearest(items: DataFrame, k: int = config.MAX_RECS, block_rows: int = BLOCK_
         return best_in_tile(a, b, k)
 
     first = tile_apply(
-        sources.withColumn("_rb", F.lit(0)), targets.filter(F.col("_rb") == 0), work, schema
+        sources.withColumn("_rb", F.lit(0)), targets.filter(F.col("_rb") == 0), work, schema, len(ceilings)
     )
     if len(ceilings) <= 1:
         return top_k_per_source(first, k)
@@ -109,7 +109,7 @@ def nearest(items: DataFrame, k: int = config.MAX_RECS, block_rows: int = BLOCK_
         .withColumn("_rb", F.explode(F.sequence(F.lit(1), F.col("_reach") - 1)))
         .drop("_floor", "_reach")
     )
-    rest = tile_apply(further, targets.filter(F.col("_rb") > 0), work, schema)
+    rest = tile_apply(further, targets.filter(F.col("_rb") > 0), work, schema, len(ceilings))
     return top_k_per_source(first.unionByName(rest), k)
 
 

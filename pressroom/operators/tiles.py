@@ -12,7 +12,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressroom.session import settle
+
 BLOCK_ROWS = 2048
+COPIES_PER_TASK = 64
 
 
 def blocks(df: DataFrame, position: str, block_rows: int, name: str) -> DataFrame:
@@ -31,21 +34,35 @@ def tile_apply(
     right: DataFrame,
     work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
+    left_blocks: int,
 ) -> DataFrame:
-    """``left`` has ``_lb`` and the wanted ``_rb`` on each row, ``right`` has ``_rb``.
-
-    Right blocks are copied to just those tiles that ask for them.
-    """
-    wanted = left.select("_lb", "_rb").distinct()
-    copies = _own_columns(right.join(_own_columns(wanted), "_rb"))
+    """``left`` has ``_lb`` (below ``left_blocks``) and the wanted ``_rb`` on each row,
+    ``right`` has ``_rb``. Right blocks are copied to just those tiles that ask for them."""
+    wanted = _own_columns(left.select("_lb", "_rb").distinct())
+    if left_blocks <= COPIES_PER_TASK:
+        copies = right.join(wanted, "_rb")
+    else:
+        copies = _served(right, settle(wanted))
     return (
         _own_columns(left)
         .groupBy("_lb", "_rb")
-        .cogroup(copies.groupBy("_lb", "_rb"))
+        .cogroup(_own_columns(copies).groupBy("_lb", "_rb"))
         .applyInPandas(lambda a, b: work(a, b), schema)
     )
 
 
+def _served(right: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Copies of each right block for all that want it. A block wanted by very many, such as
+    the first one of a neighbour search, is handed out by several tasks, each of which
+    serves about ``COPIES_PER_TASK`` left blocks."""
+    tasks = wanted.groupBy("_rb").agg(F.ceil(F.count(F.lit(1)) / COPIES_PER_TASK).cast("int").alias("_tasks"))
+    served = _own_columns(right.join(tasks, "_rb"))
+    served = served.withColumn("_task", F.explode(F.sequence(F.lit(0), F.col("_tasks") - 1)))
+    served = served.drop("_tasks").repartition("_rb", "_task")
+    asking = wanted.join(tasks, "_rb").withColumn("_task", F.pmod(F.xxhash64("_lb"), F.col("_tasks")).cast("int"))
+    return served.join(_own_columns(asking.drop("_tasks")), ["_rb", "_task"]).drop("_task")
+
+
 def _own_columns(df: DataFrame) -> DataFrame:
     """New column identities, since both sides may stem from one table."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pressroom import config
 from pressroom.operators import factors, interactions, popularity, similarity

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from conftest import rows
 
-from pressroom.operators import similarity
+from pressroom.operators import similarity, tiles
 
 
 def items(spark, vectors, decays):
@@ -63,9 +63,9 @@ def test_old_blocks_are_left_out(spark):
     seen = []
     original = similarity.tile_apply
 
-    def counting(left, right, work, schema):
+    def counting(left, right, work, schema, left_blocks):
         seen.append(left.select("_lb", "_rb").distinct().count())
-        return original(left, right, work, schema)
+        return original(left, right, work, schema, left_blocks)
 
     similarity.tile_apply = counting
     try:
@@ -76,6 +76,12 @@ def test_old_blocks_are_left_out(spark):
     assert seen[0] == 10 and seen[1] < 20
 
 
+def test_a_wanted_block_is_handed_out_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(tiles, "COPIES_PER_TASK", 2)
+    draw = np.random.default_rng(9)
+    check(spark, draw.normal(size=(90, 3)), draw.random(90), 3, 6)
+
+
 def test_recs_are_keyed_by_article(spark):
     dimension = spark.createDataFrame(
         [(0, "x0", 10), (1, "x1", 11)], "item_id int, external_id string, article_id long"
