@@ -6,8 +6,8 @@
 3. The classes that are left order their shingles by an estimate of how common they are, rarest first. Two sets that
    link share at least ``m`` shingles of the first ``n - ceil(t * n) + m`` of each. Each set chooses its own ``m``: a longer prefix costs
    more list entries, but a candidate then needs ``m`` shared ones, which leaves at most (entries / m) candidates. A pair needs the smaller of its two ``m``.
-4. First each class is compared with one other, the class that leads most of its lists. Groups that this joins need no more comparisons within
-   them; all other pairs that share enough prefix shingles are verified on their whole sets.
+4. First each class is compared with one other, the class that leads most of its lists, a few times over. Groups that this joins need no more
+   comparisons within them; all other pairs that share enough prefix shingles are verified on their whole sets.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ GROUP = 1 << 19
 COUNTERS = 1 << 18
 #: The longest lengthening of a prefix that is considered, and what a comparison costs in list entries for each shingle.
 MOST_MATCHES, COMPARE_COST = 16, 0.05
+#: Times that each class is compared with one leader before all remaining pairs are.
+STARS = 3
 _KNOWN = 0xFFFF
 
 
@@ -42,6 +44,11 @@ def needed(n, percent: int = PERCENT):
     return (n * percent + 99) // 100
 
 
+def needed_of_both(n: int, k: int, percent: int = PERCENT) -> int:
+    """The fewest shared shingles with which sets of ``n`` and ``k`` link."""
+    return ((n + k) * percent + 99 + percent) // (100 + percent)
+
+
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of each text, ascending, and where each text's begin."""
     cut = words.words(column, words.SPACED, lower=True)
@@ -197,12 +204,29 @@ def _prefixes(common: np.ndarray, percent: int):
                 part, m = prefix(shingles, common[shingles % np.uint64(COUNTERS)], percent)
                 parts.append(part.view(np.int64))
                 matches.append(m)
-            sizes = [len(x) for x in parts]
-            if parts:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(parts)), *(pa.array(np.repeat(batch.column(c).to_numpy(), sizes)) for c in ("node", "n")), pa.array(np.repeat(matches, sizes), pa.int32())],
-                    ["shingle", "node", "n", "matches"],
-                )
+            first = np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)])
+            lists = words.list_array(np.concatenate([np.zeros(0, np.int64), *parts]), first, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("n"), pa.array(matches, pa.int32()), lists], ["node", "n", "matches", "prefix"]
+            )
+
+    return run
+
+
+def _enough(percent: int):
+    """Pairs whose prefixes share as many shingles as both ask for, and as many as their sizes ask for with all that is left of a set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            columns = [batch.column(c) for c in ("x_n", "y_n", "x_matches", "y_matches")]
+            for x, y, n, k, m, o in zip(batch.column("x"), batch.column("y"), *(c.to_pylist() for c in columns), strict=True):
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                x = x[: n - needed_of_both(n, n, percent) + m]  # the smaller set needs a shorter one
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                left = max(n - len(x), k - len(y))
+                ok.append(both >= min(m, o) and both + left >= needed_of_both(n, k, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
@@ -226,6 +250,41 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(_compare(percent), "a long, b long")
 
 
+def _mixed(entries: DataFrame, joined: DataFrame) -> DataFrame:
+    """The entries with their groups, of the lists that more than one group has entries in."""
+    placed = entries.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    return placed.join(mixed.select("shingle"), "shingle")
+
+
+def _led(entries: DataFrame) -> DataFrame:
+    """For each class, the class of another group that leads most of its lists. The class that meets most others leads a list: copies with changes have
+    rare shingles that the original hasn't. ``may_lead`` restricts who leads."""
+    leads = F.struct("met", "node", "root")
+    leads = F.when(F.col("may_lead"), leads) if "may_lead" in entries.columns else leads
+    lists = entries.groupBy("shingle").agg(F.max(leads).alias("leader")).filter("leader IS NOT NULL")
+    led = entries.join(lists, "shingle").filter("root <> leader.root")
+    led = led.groupBy(F.col("node").alias("a"), F.col("leader.node").alias("b")).agg(F.count("*").alias("lists"), F.max("leader.met").alias("met"))
+    return led.groupBy("a").agg(F.max(F.struct("lists", "met", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+
+
+def _candidates(entries: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The pairs of classes of different groups whose prefixes share enough.
+
+    Sets that link share at least ``asked`` = t / (1 + t) of the sum of their sizes, so at least one shingle of the prefix for a single match. The
+    set with no more shingles than its partner needs a shorter one. What two sets share is no more than what each shares with
+    anybody, and no more than what is left of either from their first shared shingle on. The pairs that this leaves compare their lengthened prefixes.
+    """
+    whole = 100 + percent
+    asked = f"floor(({percent} * (x.n + y.n) + {whole - 1}) / {whole})"
+    on = f"""x.shingle = y.shingle AND x.root <> y.root AND (x.n < y.n OR (x.n = y.n AND x.node < y.node)) AND 100 * x.n >= {percent} * y.n
+        AND x.place <= x.n - floor(({2 * percent} * x.n + {whole - 1}) / {whole}) AND least(x.shared, y.shared) >= {asked}
+        AND least(x.n - x.place, y.n - y.place) >= {asked}"""
+    pairs = entries.alias("x").join(entries.alias("y"), F.expr(on)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    side = lambda c, d: prefixes.select(*(F.col(k).alias(v) for k, v in {"node": c, "prefix": d, "n": f"{d}_n", "matches": f"{d}_matches"}.items()))
+    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(_enough(percent), "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``docs (doc_id, text)`` to ``(doc_id, n_shingles, component_id)``, one row for each row of ``docs``.
 
@@ -253,25 +312,22 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     for row in counted.toLocalIterator():  # at most COUNTERS rows
         common[row["at"]] = row["count"]
 
-    entries = whole.mapInArrow(_prefixes(common, percent), "shingle long, node long, n int, matches int")
-    lists = entries.groupBy("shingle").agg(F.count("*").alias("length"), F.min("node").alias("leader")).filter("length > 1")
+    prefixes = settle(whole.mapInArrow(_prefixes(common, percent), "node long, n int, matches int, prefix array<long>"))
+    single = F.slice("prefix", F.lit(1), F.expr(f"int(n - floor(({percent} * n + 99) / 100) + 1)"))
+    entries = prefixes.select("node", "n", F.posexplode(single).alias("place", "shingle"))
+    lists = entries.groupBy("shingle").agg(F.count("*").alias("length")).filter("length > 1")
     entries = settle(entries.join(lists, "shingle"))
-
-    led = entries.filter("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("lists"))
-    best = led.groupBy("node").agg(F.max_by("leader", F.struct("lists", -F.col("leader"))).alias("leader"))
-    links = settle(_verify(best.select(F.col("node").alias("a"), F.col("leader").alias("b")), whole, percent))
-    joined = components(links)
-    placed = entries.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    placed = placed.join(mixed.select("shingle"), "shingle").select("shingle", "node", "n", "matches", "root")
-    x, y = placed.alias("x"), placed.alias("y")
-    pairs = (
-        x.join(y, F.expr(f"x.shingle = y.shingle AND x.node < y.node AND x.root <> y.root AND 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"))
-        .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .agg(F.count("*").alias("both"), F.first(F.expr("least(x.matches, y.matches)")).alias("asked"))
-        .filter("both >= asked")
-        .select("a", "b")
-    )
+    met = entries.groupBy("node").agg(F.sum("length").alias("met")).join(classes.select("node", "shared"), "node")
+    entries = settle(entries.drop("length").join(met, "node"))
+
+    joined = components(settle(_verify(_led(entries.withColumn("root", F.col("node"))), whole, percent)))
+    for _ in range(STARS - 1):
+        mixed = _mixed(entries, joined)
+        top = mixed.groupBy("shingle").agg(F.max_by("root", F.struct("met", "node")).alias("top"))
+        others = mixed.join(top, "shingle").withColumn("may_lead", F.col("root") != F.col("top"))
+        more = _verify(_led(others), whole, percent)
+        joined = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(settle(more)))
+    pairs = _candidates(_mixed(entries, joined), prefixes, percent)
     more = settle(_verify(pairs, whole, percent))
     roots = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 

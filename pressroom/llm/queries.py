@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pressroom.llm import jaccard
+from pressroom.llm import decontaminate, jaccard, licenses, lm, mixing, quality, rules, secrets, toxicity, urls
 from pressroom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +38,111 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Documents linked by the similarity of their word shingles."""
     return jaccard.jaccard_components(table(spark, sf, "documents"))
+
+
+@query(
+    r"""
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    i AS (
+      SELECT item_id, w, least(len(w), 10) AS k FROM (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+    iw AS (
+      SELECT DISTINCT item_id, k, array_to_string(w[p : p + k - 1], ' ') AS g
+      FROM (SELECT item_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM i)),
+    dw AS (
+      SELECT doc_id, k, p, array_to_string(w[p : p + k - 1], ' ') AS g
+      FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM i) WHERE len(w) >= k)),
+    hit AS (SELECT dw.doc_id, dw.p, dw.k, iw.item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.g = iw.g),
+    at AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit) GROUP BY doc_id),
+    it AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
+           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN at USING (doc_id) LEFT JOIN it USING (doc_id)
+    """
+)
+def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of documents inside windows of benchmark items."""
+    found = decontaminate.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+@query()
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality scores of all documents."""
+    return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query()
+def op3_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets in all documents: pattern findings, their digest, and all spans."""
+    found = secrets.secret_spans(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda x: x.kind != "learned")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start, x.end)), ",")
+    counts = [F.size(F.filter("spans", lambda x, k=k: x.kind == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query(
+    """
+    WITH sizes AS (SELECT source, CAST(sum(coalesce(length(text), 0)) AS DOUBLE) AS size FROM documents GROUP BY source),
+    weighed AS (SELECT *, size ** 0.5 AS weight FROM sizes),
+    rated AS (
+      SELECT source, CASE WHEN size > 0 THEN weight * sum(size) OVER () / (sum(CASE WHEN size > 0 THEN weight END) OVER () * size)
+        ELSE 0 END AS rate FROM weighed),
+    parts AS (
+      SELECT doc_id, lang, d.source, n_chars, text, greatest(ceil(rate / 32.0), 1) AS parts, rate / greatest(ceil(rate / 32.0), 1) AS mean
+      FROM documents d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source),
+    draws AS (
+      SELECT *, CAST(('0x' || md5(concat_ws('|', '17', CAST(doc_id AS VARCHAR), CAST(i AS VARCHAR)))[1:13]) AS BIGINT) / 4503599627370496.0 AS u
+      FROM (SELECT *, unnest(range(1, CAST(parts AS BIGINT) + 1)) AS i FROM parts)),
+    steps AS (
+      SELECT source, k, sum(exp(k * ln(mean) - mean - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS reached
+      FROM (SELECT DISTINCT source, mean FROM parts WHERE mean > 0), range(0, 120) AS t(k)),
+    drawn AS (
+      SELECT doc_id, lang, source, n_chars, text, sum((SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM x.source AND s.reached <= u)) AS copies
+      FROM draws x GROUP BY ALL HAVING copies > 0),
+    taken AS (SELECT * EXCLUDE (copies), CAST(unnest(range(1, CAST(copies AS BIGINT) + 1)) AS INTEGER) AS copy FROM drawn)
+    SELECT *, CAST(('0x' || md5(concat_ws('|', '17|place', CAST(doc_id AS VARCHAR), CAST(copy AS VARCHAR)))[1:13]) AS BIGINT) AS place FROM taken
+    """
+)
+def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents repeated so that the sources meet their target weights."""
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+@query()
+def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents judged by rules with risk-controlled cutoffs."""
+    judged = rules.quality_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query()
+def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    """License notices in all documents."""
+    found = licenses.license_scan(table(spark, sf, "documents"))
+    spans = F.array_join(F.transform("licenses", lambda x: F.concat_ws(":", x.license, x.start, x.end, x.differences)), ",")
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), spans.alias("licenses"))
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query()
+def op8_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Language-model scores of all documents."""
+    return lm.lm_scores(table(spark, sf, "documents"))
+
+
+@query()
+def op1_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdicts on the urls of all pages."""
+    return urls.judge(table(spark, sf, "pages"), table(spark, sf, "labels"))
