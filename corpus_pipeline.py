@@ -3,27 +3,81 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pressroom.llm import jaccard
+from pressroom.llm import decontaminate, jaccard, mixing, quality, secrets
 from pressroom.session import configure, settle
 
 
+def _with_rows(docs: DataFrame) -> DataFrame:
+    """The documents with a number for each row, so that equal and null ids don't mix rows up.
+
+    ``docs`` is a written table, and the numbers are written here with it, so a lost executor can't change them.
+    """
+    return settle(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject. It learns from the labels of the documents that are here; without
+    labels of both kinds all stay."""
+    numbered = _with_rows(docs)
+    label_rows = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.train(docs, label_rows)
+    scored = quality.score_rows(numbered.select("_row", "text"), model)
+    rejected = scored.filter(F.col("score") < quality.CUT).select("_row")
+    return numbered.join(rejected, "_row", "left_anti").select(docs.columns)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that link, directly or over others, the one with the smallest id stays.
 
-    Rows with equal ids and equal texts count as copies of each other. A null id stays.
+    Documents without words link with nothing and stay. The groups are found over row numbers in the order of the ids (null last), so rows with equal
+    ids are told apart.
     """
-    groups = jaccard.jaccard_components(docs).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(groups, "doc_id", "left_anti")
+    numbered = _with_rows(docs)
+    groups = settle(jaccard.jaccard_components(numbered.select(F.col("_row").alias("doc_id"), "text")))
+    ids = numbered.select(F.col("_row").alias("row"), "doc_id")
+    members = groups.join(ids.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("row"))
+    kept = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first"))
+    return numbered.join(kept.select(F.col("first.row").alias("_row")), "_row", "left_semi").select(docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    numbered = _with_rows(docs)
+    found = decontaminate.decontaminate(numbered.select(F.col("_row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), reach=0)
+    hit = found.filter("contaminated").select(F.col("doc_id").alias("_row"))
+    return numbered.join(hit, "_row", "left_anti").select(docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts replaced; ``n_chars`` is counted again where a text changed."""
+    clean = secrets.redact(docs.withColumn("_text", F.xxhash64("text")))
+    if "n_chars" in docs.columns:
+        changed = F.col("_text") != F.xxhash64("text")
+        clean = clean.withColumn("n_chars", F.when(changed, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return clean.select(docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as their source's target weight asks for, shuffled; with ``copy`` and ``place``."""
+    return mixing.mix(docs)
 
 
-STAGES = [("n-gram Jaccard join", one_of_each_group)]
+STAGES = [
+    ("quality classifier", good_quality),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", without_benchmark),
+    ("secret scans", without_secrets),
+    ("mixing sources to target weights", mixed),
+]
+#: Trained models decide in two stages, which SQL can't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
     docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for _, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

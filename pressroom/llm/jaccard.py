@@ -6,7 +6,7 @@
 3. The classes that are left order their shingles by an estimate of how common they are, rarest first. Two sets that
    link share at least ``m`` shingles of the first ``n - ceil(t * n) + m`` of each. Each set chooses its own ``m``: a longer prefix costs
    more list entries, but a candidate then needs ``m`` shared ones, which leaves at most (entries / m) candidates. A pair needs the smaller of its two ``m``.
-4. First each class is compared with one other, the class that leads most of its lists, a few times over. Groups that this joins need no more
+4. First each class is compared with one other, the class that leads most of its lists. Groups that this joins need no more
    comparisons within them; all other pairs that share enough prefix shingles are verified on their whole sets.
 """
 
@@ -34,8 +34,6 @@ GROUP = 1 << 19
 COUNTERS = 1 << 18
 #: The longest lengthening of a prefix that is considered, and what a comparison costs in list entries for each shingle.
 MOST_MATCHES, COMPARE_COST = 16, 0.05
-#: Times that each class is compared with one leader before all remaining pairs are.
-STARS = 3
 _KNOWN = 0xFFFF
 
 
@@ -258,12 +256,10 @@ def _mixed(entries: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def _led(entries: DataFrame) -> DataFrame:
-    """For each class, the class of another group that leads most of its lists. The class that meets most others leads a list: copies with changes have
-    rare shingles that the original hasn't. ``may_lead`` restricts who leads."""
-    leads = F.struct("met", "node", "root")
-    leads = F.when(F.col("may_lead"), leads) if "may_lead" in entries.columns else leads
-    lists = entries.groupBy("shingle").agg(F.max(leads).alias("leader")).filter("leader IS NOT NULL")
-    led = entries.join(lists, "shingle").filter("root <> leader.root")
+    """For each class, the other class that leads most of its lists. The class that meets most others leads a list: copies with changes have
+    rare shingles that the original hasn't."""
+    lists = entries.groupBy("shingle").agg(F.max(F.struct("met", "node")).alias("leader"))
+    led = entries.join(lists, "shingle").filter("node <> leader.node")
     led = led.groupBy(F.col("node").alias("a"), F.col("leader.node").alias("b")).agg(F.count("*").alias("lists"), F.max("leader.met").alias("met"))
     return led.groupBy("a").agg(F.max(F.struct("lists", "met", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
 
@@ -320,13 +316,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     met = entries.groupBy("node").agg(F.sum("length").alias("met")).join(classes.select("node", "shared"), "node")
     entries = settle(entries.drop("length").join(met, "node"))
 
-    joined = components(settle(_verify(_led(entries.withColumn("root", F.col("node"))), whole, percent)))
-    for _ in range(STARS - 1):
-        mixed = _mixed(entries, joined)
-        top = mixed.groupBy("shingle").agg(F.max_by("root", F.struct("met", "node")).alias("top"))
-        others = mixed.join(top, "shingle").withColumn("may_lead", F.col("root") != F.col("top"))
-        more = _verify(_led(others), whole, percent)
-        joined = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(settle(more)))
+    joined = components(settle(_verify(_led(entries), whole, percent)))
     pairs = _candidates(_mixed(entries, joined), prefixes, percent)
     more = settle(_verify(pairs, whole, percent))
     roots = components(joined.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))

@@ -56,12 +56,12 @@ def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
       SELECT doc_id, k, p, array_to_string(w[p : p + k - 1], ' ') AS g
       FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM i) WHERE len(w) >= k)),
     hit AS (SELECT dw.doc_id, dw.p, dw.k, iw.item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.g = iw.g),
-    at AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit) GROUP BY doc_id),
+    hits AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit) GROUP BY doc_id),
     it AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-    FROM d LEFT JOIN at USING (doc_id) LEFT JOIN it USING (doc_id)
+    FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN it USING (doc_id)
     """
 )
 def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
