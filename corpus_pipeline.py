@@ -20,12 +20,7 @@ def _with_rows(docs: DataFrame) -> DataFrame:
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject. It learns from the labels of the documents that are here; without
     labels of both kinds all stay."""
-    numbered = _with_rows(docs)
-    label_rows = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality.train(docs, label_rows)
-    scored = quality.score_rows(numbered.select("_row", "text"), model)
-    rejected = scored.filter(F.col("score") < quality.CUT).select("_row")
-    return numbered.join(rejected, "_row", "left_anti").select(docs.columns)
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,15 +33,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     groups = settle(jaccard.jaccard_components(numbered.select(F.col("_row").alias("doc_id"), "text")))
     ids = numbered.select(F.col("_row").alias("row"), "doc_id")
     members = groups.join(ids.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("row"))
-    kept = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first"))
-    return numbered.join(kept.select(F.col("first.row").alias("_row")), "_row", "left_semi").select(docs.columns)
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first"))
+    gone = settle(members.join(first, "component_id").filter("row <> first.row").select(F.col("row").alias("_row")))
+    return numbered.join(gone, "_row", "left_anti").select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     numbered = _with_rows(docs)
     found = decontaminate.decontaminate(numbered.select(F.col("_row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), reach=0)
-    hit = found.filter("contaminated").select(F.col("doc_id").alias("_row"))
+    hit = settle(found.filter("contaminated").select(F.col("doc_id").alias("_row")))
     return numbered.join(hit, "_row", "left_anti").select(docs.columns)
 
 

@@ -20,9 +20,10 @@ from pressroom.session import settle
 
 FOLDS, HELD_OUT = 7, 2
 #: Words whose counts every task knows, words the network knows, and classes of these.
-FREQUENT, VOCABULARY, CLASSES = 100_000, 1200, 36
-#: One of so many training documents trains the network, in so many rounds of averaging; texts are gathered to so many bytes for it.
+FREQUENT, VOCABULARY, CLASSES = 100_000, 1000, 24
+#: In each round of averaging, another one of so many training documents trains the network.
 SHARE, ROUNDS = 16, 2
+#: Bytes of texts that are scored together.
 GATHERED = 12 << 20
 #: The hash that stands for the end of a document.
 END = np.uint64(0x1E5D0C0E)
@@ -134,12 +135,13 @@ def _train(counts: Counts, flat: np.ndarray | None, block: int):
     return run
 
 
-def train(texts: DataFrame, counts: Counts, rounds: int = ROUNDS, block: int = 4096) -> recurrent.Model:
-    """Rounds of training in every task, each begun with the average of the weights before."""
+def train(docs: DataFrame, counts: Counts, rounds: int = ROUNDS, block: int = 4096) -> recurrent.Model:
+    """Rounds of training in every task on its share of ``docs (doc_id, text)``, each begun with the average of the weights before."""
     model = recurrent.Model.fresh(counts.word_class, counts.class_counts)
     flat = None
-    for _ in range(rounds):
-        parts = texts.mapInArrow(_train(counts, flat, block), "block long, w array<double>, tokens long")
+    part = F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(SHARE))
+    for k in range(rounds):
+        parts = docs.filter(part == k % SHARE).select("text").mapInArrow(_train(counts, flat, block), "block long, w array<double>, tokens long")
         each = parts.select("block", "tokens", F.posexplode("w").alias("at", "w"))
         mean = each.groupBy("block", "at").agg((F.sum("w") / F.sum("tokens")).alias("w")).toArrow()  # as many rows as weights
         if not mean.num_rows:
@@ -188,8 +190,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     learned = docs.filter(~labels.held_out(FOLDS, HELD_OUT))
     counts = settle(word_counts(learned.select("text")))
     known = Counts.of(counts)
-    chosen = learned.filter(F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(SHARE)) == 0)
-    model = train(chosen.select("text"), known)
+    model = train(learned, known)
     schema = "doc_id long, n_tokens long, n_known long, base double, neural double, rare array<long>"
     scored = settle(docs.mapInArrow(_score(known, model), schema).withColumn("row", F.monotonically_increasing_id()))
     asked = scored.select("row", F.explode("rare").alias("word"))

@@ -11,11 +11,11 @@ from dataclasses import dataclass
 
 import numpy as np
 
-EMBEDDING, HIDDEN = 16, 24
+EMBEDDING, HIDDEN = 12, 16
 #: Slots and window for scoring and for training.
 SCORE_SLOTS, SCORE_WINDOW = 256, 32
-TRAIN_SLOTS, TRAIN_WINDOW = 64, 24
-RATE, CLIP = 0.01, 1.0
+TRAIN_SLOTS, TRAIN_WINDOW = 32, 16
+RATE, CLIP = 0.005, 1.0
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
