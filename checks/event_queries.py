@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import uuid
-
-
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -17,6 +16,7 @@ from pressroom.operators import popularity as popular
 from pressroom.plans import ingest
 from pressroom.session import checkpoint_dir
 from pressroom.sources import chunks, tables
+from pressroom.streaming import ingest as stream
 
 DAY = "DATE '2024-01-30'"
 
@@ -187,17 +187,19 @@ def hourly_pings(spark, sf):
 def hourly_pings_stream(spark, sf):
     """The same from a stream over the events, run until all of them are in."""
     static = spark.read.parquet(f"{sf}/events.parquet")
-    arriving = spark.readStream.schema(static.schema).parquet(f"{sf}/events.parque[t]")
-    counted = events.hourly_pings(events.normalise_events(i.dense_view(arriving)))
     target = f"{checkpoint_dir(spark)}/settled/{uuid.uuid4().hex}"
-
-    def store(batch, _number):
-        batch.write.mode("overwrite").parquet(f"{target}/hours")
-
+    # one more event, far ahead, closes the last hours; its own hour stays open and is not written
+    last = static.agg(F.max("ts")).first()[0]
+    ahead = static.limit(1).withColumn("ts", F.lit(last + timedelta(days=30)).cast(static.schema["ts"].dataType))
+    static.write.parquet(f"{target}/landed/part=0")
+    ahead.write.parquet(f"{target}/landed/part=1")
+    arriving = spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True)
+    normalised = events.normalise_events(i.dense_view(arriving.parquet(f"{target}/landed")))
     query = (
-        counted.writeStream.outputMode("complete")
-        .foreachBatch(store)
+        stream.hourly_pings_stream(normalised, 24)
+        .writeStream.format("parquet")
         .option("checkpointLocation", f"{target}/progress")
+        .option("path", f"{target}/hours")
         .trigger(availableNow=True)
         .start()
     )

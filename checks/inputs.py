@@ -70,9 +70,9 @@ def dense_view(rows: DataFrame) -> DataFrame:
     )
 
 
-def event_lines(spark: SparkSession, sf: str) -> DataFrame:
+def event_lines(spark: SparkSession, sf: str, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """JSON lines of the raw events. By article number: 0 lacks a key, 1 is cut off, 2 has a
-    null reader."""
+    null reader. ``keep`` names columns of the raw events that stay."""
     raw = raw_events(spark, sf)
     digit = F.col("n") % 10
     stamp = F.date_format("collector_tstamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("collector_tstamp")
@@ -82,7 +82,7 @@ def event_lines(spark: SparkSession, sf: str) -> DataFrame:
     short = F.to_json(F.struct(stamp, reader, "event_name"), keep_nulls)
     cut = F.left(whole, F.length(whole) - 5)
     value = F.when(digit == 0, short).when(digit == 1, cut).otherwise(whole)
-    return raw.select(value.alias("value"), "site")
+    return raw.select(value.alias("value"), "site", *keep)
 
 
 def normalised(spark: SparkSession, sf: str, dense: bool = False) -> DataFrame:

@@ -33,4 +33,7 @@ def cosine(left: Column, right: Column) -> Column:
 
 
 def score_decimal(score: Column) -> Column:
-    return score.cast("decimal(7,6)")
+    """The stored form of a score. A publish date in the future can lift a score above 1; it is clipped
+    to the largest number that can be stored."""
+    top = F.lit(9.999999)
+    return F.when(score > top, top).otherwise(score).cast("decimal(7,6)")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +32,9 @@ def dwell_times(
         pings = pings.filter(F.col("site") == site)
         articles = articles.filter(F.col("site") == site)
     if dates is not None:
-        pings = pings.filter(F.col("session_date").isin(list(dates)))
+        # dates and chunks come from the same moment; the chunk is what the table is partitioned by
+        days = [F.col("chunk_name").between(f"{day:%Y/%m/%d}/00", f"{day:%Y/%m/%d}/23") for day in dates]
+        pings = pings.filter(F.col("session_date").isin(list(dates)) & reduce(or_, days, F.lit(False)))
     per_path = pings.groupBy("site", "landing_page_path", "client_id", "session_date").agg(
         F.sum("ping_count").alias("_pings")
     )

@@ -17,17 +17,24 @@ SPLIT_KEY = ["client_id", "article_id", "session_date"]
 TRAIN_PERCENT = 80
 
 
+def held_out_draw(key, seed: int = 0):
+    """0 to 99 from the first eight hexadecimal digits of an md5 of seed and key."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 100
+
+
 def split_interactions(
     interactions: DataFrame, key=SPLIT_KEY, train_percent: int = TRAIN_PERCENT, seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """Random split by hash of the row's key: the same row always lands on the same side."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(100))
+    draw = held_out_draw(key, seed)
     return interactions.filter(draw < train_percent), interactions.filter(draw >= train_percent)
 
 
 def ranks(scores: DataFrame, held_out: DataFrame) -> DataFrame:
     """Rank of each held-out ``(user_id, item_id)`` among all scored items of its user,
-    best score first, tied scores sharing their average rank.
+    best score first, tied scores sharing their average rank. No pair is dropped: an item without a
+    score comes after all items of its user, and for a user without any score all items are tied.
 
     Works on the distinct scores of a user, counted map-side, in sorted ranges, so a user
     with a large share of all rows is ranked by many tasks.
@@ -35,12 +42,16 @@ def ranks(scores: DataFrame, held_out: DataFrame) -> DataFrame:
     distinct = scores.groupBy("user_id", "score").agg(F.count(F.lit(1)).alias("_tied"))
     placed = total_before(distinct, ["user_id"], [F.col("score").desc()], F.col("_tied"), "_better")
     wanted = held_out.select("user_id", "item_id").join(
-        scores.select("user_id", "item_id", "score"), ["user_id", "item_id"]
+        scores.select("user_id", "item_id", "score"), ["user_id", "item_id"], "left"
     )
     tied = distinct.withColumnRenamed("_tied", "_rows")
-    return lookup_join(wanted, placed, ["user_id", "score"], counts=tied).select(
+    known = lookup_join(wanted.filter("score IS NOT NULL"), placed, ["user_id", "score"], counts=tied).select(
         "user_id", "item_id", "score", (F.col("_better") + (F.col("_tied") + 1) / 2).alias("rank")
     )
+    own = distinct.groupBy("user_id").agg(F.sum("_tied").alias("_items"))
+    items = scores.agg((F.count_distinct("item_id") + 1) / 2).scalar()
+    cold = lookup_join(wanted.filter("score IS NULL"), own, ["user_id"], "left")
+    return known.unionByName(cold.select("user_id", "item_id", "score", F.coalesce(F.col("_items") + 1.0, items).alias("rank")))
 
 
 def mrr_per_user(ranked: DataFrame) -> DataFrame:
@@ -77,7 +88,8 @@ def factor_ranks(
     """Ranks of held-out items among *all* items, straight from the factors.
 
     Each block of held-out rows meets each block of items; a tile returns two counts per
-    held-out row, so user x item scores are never stored or shuffled.
+    held-out row, so user x item scores are never stored or shuffled. No pair is dropped: an item
+    without factors comes after all others, and for a user without factors all items are tied. Such pairs are ``cold``.
     """
     vector = F.transform("features", lambda x: x.cast("double"))
     users = settle(user_factors.select(F.col("id").alias("user_id"), vector.alias("user_factors")))
@@ -100,10 +112,19 @@ def factor_ranks(
         "user_id int, item_id int, better long, equal long",
         -(-n_pairs // block_rows),
     )
-    return counted.groupBy("user_id", "item_id").agg(
-        (F.sum("better") + (F.sum("equal") + 1) / 2).alias("rank")
+    warm = counted.groupBy("user_id", "item_id").agg(
+        (F.sum("better") + (F.sum("equal") + 1) / 2).alias("rank"), F.lit(False).alias("cold")
     )
-
-
-def factor_mrr(user_factors: DataFrame, item_factors: DataFrame, held_out: DataFrame) -> float | None:
-    return mrr(factor_ranks(user_factors, item_factors, held_out)).first()["mrr"]
+    no_user = lookup_join(pairs, users.select("user_id"), ["user_id"], "left_anti")
+    with_user = lookup_join(pairs, users.select("user_id"), ["user_id"], "left_semi")
+    no_item = lookup_join(with_user, items.select("item_id"), ["item_id"], "left_anti")
+    for rows, rank in ((no_user, (n_items + 1) / 2), (no_item, n_items + 1.0)):
+        warm = warm.unionByName(rows.select("user_id", "item_id", F.lit(rank).alias("rank"), F.lit(True).alias("cold")))
+    return warm
+
+
+def factor_mrr(user_factors: DataFrame, item_factors: DataFrame, held_out: DataFrame) -> tuple[float | None, int, int]:
+    """Mean reciprocal rank over all held-out pairs, their number, and how many of them were cold."""
+    ranked = settle(factor_ranks(user_factors, item_factors, held_out))
+    counts = ranked.agg(F.count(F.lit(1)), F.count_if("cold")).first()
+    return mrr(ranked).first()["mrr"], counts[0], counts[1]

@@ -79,20 +79,18 @@ COLUMNS = [
 def aggregate_pings(events: DataFrame) -> DataFrame:
     """One row per reader, path, date and chunk for pings; everything else unchanged.
 
-    The group stays inside its chunk, so a chunk can be recomputed on its own.
+    The group stays inside its chunk, so a chunk can be recomputed on its own. Only pings are
+    shuffled; the input is read for each kind, so what is dear to compute should be settled.
     """
     is_ping = F.coalesce(F.col("event_name") == config.PAGE_PING, F.lit(False))
     complete = _all_present(["client_id", "landing_page_path", "session_date"])
-    # one pass over the input: other events keep a key of their own through the grouping
-    own_key = F.when(~is_ping, F.monotonically_increasing_id())
-    return (
-        events.filter(~is_ping | complete)
-        .withColumn("_own", own_key)
-        .groupBy(*GROUP, "event_name", "_own")
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min("activity_time").alias("activity_time"))
-        .withColumn("ping_count", F.when(is_ping, F.col("_rows")))
-        .select(*COLUMNS)
+    pings = (
+        events.filter(is_ping & complete)
+        .groupBy(*GROUP, "event_name")
+        .agg(F.count(F.lit(1)).alias("ping_count"), F.min("activity_time").alias("activity_time"))
     )
+    others = events.filter(~is_ping).withColumn("ping_count", F.lit(None).cast("long"))
+    return pings.select(*COLUMNS).unionByName(others.select(*COLUMNS))
 
 
 def hourly_pings(events: DataFrame) -> DataFrame:

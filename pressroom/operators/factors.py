@@ -16,7 +16,7 @@ from pressroom.session import checkpoint_dir, settle
 
 # user and item vectors are exchanged between all pairs of blocks, so blocks are large
 RATINGS_PER_BLOCK = 1_000_000
-MIN_BLOCKS, MAX_BLOCKS = 4, 1000
+MIN_BLOCKS = 4
 
 
 def rating_table(prepared: DataFrame, implicit: bool) -> DataFrame:
@@ -32,7 +32,7 @@ def rating_table(prepared: DataFrame, implicit: bool) -> DataFrame:
 def fit(prepared: DataFrame, params: TrainingParams) -> ALSModel:
     checkpoint_dir(prepared.sparkSession)
     ratings = settle(rating_table(prepared, params.implicit))
-    blocks = min(max(MIN_BLOCKS, ratings.count() // RATINGS_PER_BLOCK), MAX_BLOCKS)
+    blocks = max(MIN_BLOCKS, ratings.count() // RATINGS_PER_BLOCK)
     als = ALS(
         userCol="user_id",
         itemCol="item_id",
@@ -94,11 +94,11 @@ def grid_search(prepared: DataFrame, params: TrainingParams) -> tuple[DataFrame,
     for number, values in enumerate(grid(params.tune_ranges)):
         candidate = params.with_values(**values)
         model = fit(train, candidate)
-        value = factor_mrr(model.userFactors, model.itemFactors, test)
-        rows.append((number, {name: float(v) for name, v in values.items()}, value))
+        value, pairs, cold = factor_mrr(model.userFactors, model.itemFactors, test)
+        rows.append((number, {name: float(v) for name, v in values.items()}, value, pairs, cold))
         if value is not None and value > best_mrr:
             best, best_mrr = candidate, value
-    schema = "combination int, params map<string,double>, mrr double"
+    schema = "combination int, params map<string,double>, mrr double, n_pairs long, n_cold long"
     results = prepared.sparkSession.createDataFrame(rows, schema)
     return results, best or params
 

@@ -74,15 +74,20 @@ class PageFacts(HTMLParser):
 
 def page_facts(body, *title_path: str):
     """Struct column ``(title, published, excluded)`` of an HTML column; ``title`` is NULL
-    when no element matches ``title_path`` (outer to inner, as in ``header h1``)."""
+    when no element matches ``title_path`` (outer to inner, as in ``header h1``). A page the
+    parser cannot read has no title, whatever stood before the damage."""
 
     @F.pandas_udf("title string, published string, excluded boolean")
     def facts(pages: pd.Series) -> pd.DataFrame:
         rows = []
         for page in pages:
             parser = PageFacts(title_path)
-            parser.feed(page or "")
-            parser.close()
+            try:
+                parser.feed(page or "")
+                parser.close()
+            except (AssertionError, ValueError):  # damaged declarations
+                rows.append((None, None, False))
+                continue
             title = None if parser.title is None else "".join(parser.title).strip()
             rows.append((title, parser.published, parser.excluded))
         return pd.DataFrame(rows, columns=["title", "published", "excluded"])

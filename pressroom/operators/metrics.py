@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom import schemas
 
 
+def observed(observation: Observation) -> dict:
+    """What was observed; nothing when the plan turned out to be empty and the observed part of it never ran."""
+    try:
+        return dict(observation.get)
+    except Py4JJavaError as error:
+        if "assertion failed" in str(error):
+            return {}
+        raise
+
+
 class RunMetrics:
     """Collects ``(name, value, unit, tags)`` rows; counting costs no extra pass."""
 
     def __init__(self, run_id: str, **tags: str):
         self.run_id = run_id
         self.tags = {k: str(v) for k, v in tags.items()}
-        self._observed: list[Observation] = []
+        self._observed: list[tuple[Observation, list[str]]] = []
         self._rows: list[tuple] = []
 
     def counted(self, df: DataFrame, name: str, **when) -> DataFrame:
@@ -23,7 +34,7 @@ class RunMetrics:
         observation = Observation(f"{self.run_id}:{name}:{len(self._observed)}")
         counts = [F.count(F.lit(1)).alias(name)]
         counts += [F.count_if(condition).alias(other) for other, condition in when.items()]
-        self._observed.append(observation)
+        self._observed.append((observation, [name, *when]))
         return df.observe(observation, *counts)
 
     def add(self, name: str, value: float, unit: str = "Count", **tags) -> None:
@@ -34,9 +45,10 @@ class RunMetrics:
         return list(self._rows)
 
     def rows(self) -> list[tuple]:
-        for observation in self._observed:
-            for name, value in observation.get.items():
-                self.add(name, value)
+        for observation, names in self._observed:
+            counts = observed(observation)
+            for name in names:
+                self.add(name, counts.get(name, 0))
         self._observed = []
         return list(self._rows)
 

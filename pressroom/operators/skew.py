@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 256
-SALTS = 32
+#: Rows of one key that one task takes, and tasks that rows with a null key are spread over.
+ROWS_PER_TASK = 1_000_000
+NULL_SALTS = 256
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -34,7 +35,8 @@ def lookup_join(
 
     A lookup whose planned size is under the broadcast threshold goes the way Catalyst
     picks (a broadcast, so no shuffle and no skew). Anything larger is joined with its
-    hot keys salted, whatever the threshold. See ``salted_join`` for ``counts``.
+    hot keys salted, whatever the threshold. Both ways give the same rows. Catalyst knows no size of a frame made
+    from local data, so such a lookup counts as large unless it is settled. See ``salted_join`` for ``counts``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind {how!r}")
@@ -49,37 +51,30 @@ def salted_join(
     on: list[str],
     how: str = "inner",
     counts: DataFrame | None = None,
-    hot_keys: int = HOT_KEYS,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Spread the ``hot_keys`` most frequent keys of ``big`` over ``salts`` tasks each.
+    """Spread every key of ``big`` that has more than ``rows_per_task`` rows over as many tasks as that asks for.
 
     ``counts`` (the keys and ``_rows``) says how frequent keys are, where that is known
     already or cheaper to learn from another table than from ``big``; it steers the spread
-    and cannot change the result. The key list is cut to ``hot_keys`` rows, so it is safe to
-    broadcast; only lookup rows with those keys are copied. Rows of ``big`` with a null key
-    match nothing and are spread over all salts as well.
+    and cannot change the result. There are at most (rows of ``big`` / ``rows_per_task``) such keys;
+    only lookup rows with those keys are copied. Rows of ``big`` with a null key match nothing and are spread like a
+    hot key.
     """
     columns = big.columns
     some_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     hot = F.broadcast(
         (key_counts(big, on) if counts is None else counts)
-        .filter(~some_null)
-        .orderBy(F.col("_rows").desc(), *on)
-        .limit(hot_keys)
-        .select(*on, F.lit(True).alias("_hot"))
-        .distinct()
+        .filter(~some_null & (F.col("_rows") > rows_per_task))
+        .groupBy(*on)
+        .agg(F.ceil(F.max("_rows") / rows_per_task).cast("int").alias("_salts"))
     )
-    spread = F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
-    left = big.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | some_null, spread).otherwise(F.lit(0))
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = (
-        lookup.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    joined = left.drop("_hot").join(right, [*on, "_salt"], how).drop("_salt")
+    # equal rows are spread by the partition they are in; both are the same when a lost task runs again
+    salts = F.when(some_null, F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    drawn = F.pmod(F.xxhash64(*columns, F.spark_partition_id()), salts).cast("int")
+    left = big.join(hot, on, "left").withColumn("_salt", F.when(salts > 1, drawn).otherwise(F.lit(0)))
+    every_salt = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    right = lookup.join(hot, on, "left").withColumn("_salt", F.explode(every_salt)).drop("_salts")
+    joined = left.drop("_salts").join(right, [*on, "_salt"], how).drop("_salt")
     rest = [c for c in joined.columns if c not in columns]
     return joined.select(*columns, *rest)

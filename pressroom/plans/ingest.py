@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom import config
+from pressroom.functions import clock
 from pressroom.operators import dwell, events
-from pressroom.operators.metrics import RunMetrics
+from pressroom.operators.metrics import RunMetrics, observed
 from pressroom.session import settle
 from pressroom.sources import chunks, tables
 
@@ -29,13 +30,70 @@ def events_from_judged(judged: DataFrame, normalise=None) -> DataFrame:
 
 
 def events_from_lines(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS, normalise=None) -> DataFrame:
-    """``(value, site)`` lines -> pre-aggregated events; unusable lines are left out."""
-    return events_from_judged(judge(lines, fields), normalise)
+    """``(value, site)`` lines -> pre-aggregated events; unusable lines are left out. The parsed
+    lines are settled, since pings and other events go separate ways."""
+    return events_from_judged(settle(judge(lines, fields).drop("value")), normalise)
 
 
-def rejected_lines(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS) -> DataFrame:
-    """Every line ``events_from_lines`` leaves out, with the reason."""
-    return judge(lines, fields).filter(F.col("reason").isNotNull()).drop(*fields)
+def judge_landed(lines: DataFrame, site: config.SiteConfig) -> DataFrame:
+    """``judge`` for lines of chunk folders: a line that landed more than ``hours_of_data``
+    after its hour, or before it, has a reason of its own. No load would find such a line again."""
+    judged = judge(lines, site.event_fields)
+    if "collector_tstamp" not in site.event_fields:
+        return judged
+    hour = F.date_trunc("hour", clock.round_second(F.col("collector_tstamp").try_cast("timestamp")))
+    landed = F.try_to_timestamp("chunk_dir", F.lit("yyyy/MM/dd/HH"))
+    hours = (F.unix_seconds(landed) - F.unix_seconds(hour)) / 3600
+    outside = F.when((hours < -1) | (hours > site.hours_of_data), F.lit("outside_horizon"))
+    return judged.withColumn("reason", F.coalesce(F.col("reason"), outside))
+
+
+def touched_hours(lines: DataFrame, site: config.SiteConfig) -> list[str]:
+    """The hours that usable lines belong to: one short name for each."""
+    usable = judge_landed(lines, site).filter(F.col("reason").isNull())
+    hours = (site.event_rule or events.normalise_events)(usable).select("chunk_name").distinct()
+    return sorted(row["chunk_name"] for row in hours.collect() if row["chunk_name"])
+
+
+def load_hours(
+    spark: SparkSession,
+    root: str,
+    events_path: str,
+    site: config.SiteConfig,
+    hours: list[str],
+    folders: list[str],
+    rejected_path: str | None = None,
+    metrics: RunMetrics | None = None,
+    gzip_without_suffix: bool = False,
+) -> None:
+    """Compute whole hours from all folders that can hold their lines, and replace them.
+
+    ``folders`` are read besides, counted, and their unusable lines replaced under
+    ``rejected_path``. The raw files are read once and the parsed lines settled, with the raw text
+    of the unusable ones only.
+    """
+    around = sorted({*chunks.folders_around(hours, site.hours_of_data), *folders})
+    counts = {}
+    if chunks.chunk_paths(spark, root, site.name, around):
+        lines = chunks.read_event_chunks(spark, root, site.name, around, gzip_without_suffix)
+        unusable = F.col("reason").isNotNull()
+        judged = judge_landed(lines, site).withColumn("value", F.when(unusable, F.col("value")))
+        mine = F.col("chunk_dir").isin(folders)
+        seen = Observation(f"lines of {site.name}")
+        judged = settle(judged.observe(seen, F.count_if(mine).alias("lines"), F.count_if(mine & unusable).alias("rejected")))
+        rows = events_from_judged(judged, site.event_rule).filter(F.col("chunk_name").isin(hours))
+        if metrics is not None:
+            rows = metrics.counted(rows, "written_events")
+        tables.replace_chunks(rows, events_path)
+        counts = observed(seen)
+        if rejected_path is not None:
+            bad = judged.filter(unusable & mine).drop(*site.event_fields)
+            tables.replace_rejected(bad, rejected_path, site.name, folders)
+    elif rejected_path is not None:
+        tables.replace_rejected(None, rejected_path, site.name, folders)
+    if metrics is not None:
+        metrics.add("downloaded_rows", counts.get("lines", 0))
+        metrics.add("rejected_rows", counts.get("rejected", 0))
 
 
 def ingest_events(
@@ -50,27 +108,12 @@ def ingest_events(
 ) -> None:
     """Load the named chunks of one site, replacing what the events table held for them.
 
-    With ``rejected_path`` unusable lines are kept there. The raw files are read once in any
-    case: what two outputs need is settled, and of the raw text only the unusable lines.
+    A line may land in a folder after its hour, or be rounded into the next one, so the hours
+    that the named folders have lines of are loaded too, each from all folders that can hold it.
     """
     lines = chunks.read_event_chunks(spark, root, site.name, names, gzip_without_suffix)
-    unusable = F.col("reason").isNotNull()
-    judged = judge(lines, site.event_fields).withColumn("value", F.when(unusable, F.col("value")))
-    seen = Observation(f"lines of {site.name}")
-    judged = judged.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(unusable).alias("rejected"))
-    if rejected_path is not None:
-        judged = settle(judged)
-    rows = events_from_judged(judged, site.event_rule)
-    if metrics is not None:
-        rows = metrics.counted(rows, "written_events")
-    tables.replace_chunks(rows, events_path)
-    counts = seen.get
-    if metrics is not None:
-        metrics.add("downloaded_rows", counts["lines"])
-        metrics.add("rejected_rows", counts["rejected"])
-    if rejected_path is not None and counts["rejected"]:
-        bad = judged.filter(unusable).drop(*site.event_fields)
-        tables.replace_partitions(bad, rejected_path, ["site", "chunk_dir"])
+    hours = sorted({*names, *touched_hours(lines, site)})
+    load_hours(spark, root, events_path, site, hours, names, rejected_path, metrics, gzip_without_suffix)
 
 
 def refresh_dwell(

@@ -29,10 +29,18 @@ def chunk_names(as_of: datetime, hours: int) -> list[str]:
     return [(as_of - timedelta(hours=i)).strftime("%Y/%m/%d/%H") for i in range(hours)]
 
 
+def folders_around(names: list[str], late_hours: int) -> list[str]:
+    """Folders that can hold lines of the named hours: rounding to the second moves a line
+    into the next hour, and a line may land up to ``late_hours`` after it happened."""
+    moments = [datetime.strptime(name, "%Y/%m/%d/%H") for name in names]
+    around = {m + timedelta(hours=h) for m in moments for h in range(-1, late_hours + 1)}
+    return sorted(m.strftime("%Y/%m/%d/%H") for m in around)
+
+
 def chunk_paths(spark: SparkSession, root: str, site: str, chunks: list[str]) -> list[str]:
-    """Folders of the named chunks that are there."""
-    found = [f"{root}/{site}/{chunk}" for chunk in chunks]
-    return [path for path in found if files.exists(spark, path)]
+    """Folders of the named chunks that are there; each day's folder is listed once."""
+    days = {day: set(files.children(spark, f"{root}/{site}/{day}")) for day in {chunk[:10] for chunk in chunks}}
+    return [f"{root}/{site}/{chunk}" for chunk in chunks if chunk[11:] in days[chunk[:10]]]
 
 
 def read_event_chunks(

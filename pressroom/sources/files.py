@@ -26,3 +26,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 def remove(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder, making the folders above the target."""
+    above = _path(spark, target).getParent()
+    _fs(spark, target).mkdirs(above)
+    if not _fs(spark, source).rename(_path(spark, source), _path(spark, target)):
+        raise OSError(f"cannot move {source} to {target}")

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom import schemas
+from pressroom.operators.metrics import observed
 from pressroom.operators.skew import lookup_join
 from pressroom.sources import files
 
 EVENT_KEYS = ["site", "chunk_name"]
 DWELL_KEYS = ["site", "session_date"]
+REJECTED_KEYS = ["site", "chunk_dir"]
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -66,11 +70,26 @@ def replace_dwell(dwell: DataFrame, path: str, site: str, dates: list) -> None:
     days = F.collect_set(F.when(F.col("site") == site, F.col("session_date").cast("string")))
     replace_partitions(dwell.observe(seen, days.alias("days")), path, DWELL_KEYS)
     present = set(files.children(spark, f"{path}/site={site}"))
+    written = observed(seen).get("days") or []
     for day in map(str, dates):
-        if day not in seen.get["days"] and f"session_date={day}" in present:
+        if day not in written and f"session_date={day}" in present:
             files.remove(spark, f"{path}/site={site}/session_date={day}")
 
 
+def replace_rejected(bad: DataFrame | None, path: str, site: str, folders: list[str]) -> None:
+    """Replace the rejected lines of the folders of a site; a folder without any loses the ones it had."""
+    spark = SparkSession.getActiveSession() if bad is None else bad.sparkSession
+    written = set()
+    if bad is not None:
+        written = {row["chunk_dir"] for row in bad.select("chunk_dir").distinct().collect()}  # folder names
+        if written:
+            replace_partitions(bad, path, REJECTED_KEYS)
+    for name in files.children(spark, f"{path}/site={site}"):
+        folder = unquote(name.removeprefix("chunk_dir="))
+        if folder in folders and folder not in written:
+            files.remove(spark, f"{path}/site={site}/{name}")
+
+
 def append_recs(recs: DataFrame, model_id: int, path: str) -> None:
     """Store recommendations under their model. The model's folder is replaced as a whole,
     so a repeated attempt leaves no duplicates."""

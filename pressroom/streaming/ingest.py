@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pressroom import config
 from pressroom.operators import events
-from pressroom.plans.ingest import events_from_lines
-from pressroom.sources import chunks, tables
+from pressroom.operators.metrics import RunMetrics
+from pressroom.plans.ingest import load_hours, touched_hours
+from pressroom.sources import chunks
 
 
 def landed_lines(spark: SparkSession, root: str, site: str, max_files: int | None = None) -> DataFrame:
@@ -26,12 +25,8 @@ def landed_lines(spark: SparkSession, root: str, site: str, max_files: int | Non
     )
 
 
-def folders_around(names: list[str], late_hours: int) -> list[str]:
-    """Folders that can hold lines of the named hours: rounding to the second moves a line
-    into the next hour, and a line may land up to ``late_hours`` after it happened."""
-    moments = [datetime.strptime(name, "%Y/%m/%d/%H") for name in names]
-    around = {m + timedelta(hours=h) for m in moments for h in range(-1, late_hours + 1)}
-    return sorted(m.strftime("%Y/%m/%d/%H") for m in around)
+#: Hours that are loaded in one go when a first start finds years of folders.
+HOURS_AT_ONCE = 240
 
 
 def stream_ingest(
@@ -42,27 +37,29 @@ def stream_ingest(
     site: config.SiteConfig,
     oldest_chunk: str | None = None,
     max_files: int | None = None,
+    rejected_path: str | None = None,
+    metrics: RunMetrics | None = None,
 ) -> StreamingQuery:
     """Process what has landed since the last call and stop.
 
-    A batch only tells which hours have news; those hours are computed again from all
+    A batch only tells which hours and folders have news; those hours are computed again from all
     folders that can hold them and replaced, so a late line re-opens its chunk and a
-    repeated batch changes nothing. Hours before ``oldest_chunk`` are ignored.
+    repeated batch changes nothing. Hours before ``oldest_chunk`` are ignored. Unusable lines of
+    the folders go to ``rejected_path``, as in the batch load.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
-        normalise = site.event_rule or events.normalise_events
-        fresh = normalise(events.parse_events(batch, site.event_fields))
-        # one short name per hour
-        names = [row["chunk_name"] for row in fresh.select("chunk_name").distinct().collect()]
-        names = sorted(n for n in names if n and (oldest_chunk is None or n >= oldest_chunk))
-        if not names:
-            return
-        folders = folders_around(names, site.hours_of_data)
-        lines = chunks.read_event_chunks(session, root, site.name, folders)
-        rows = events_from_lines(lines, site.event_fields, site.event_rule)
-        tables.replace_chunks(rows.filter(F.col("chunk_name").isin(names)), events_path)
+        recent = [] if oldest_chunk is None else [oldest_chunk]
+        hours = [n for n in touched_hours(batch, site) if n >= max(recent, default=n)]
+        folders = [row["chunk_dir"] for row in batch.select("chunk_dir").distinct().collect()]  # one name per hour
+        folders = sorted(n for n in folders if n >= max(recent, default=n))
+        every = sorted({*hours, *folders})
+        for first in range(0, len(every), HOURS_AT_ONCE):
+            some = set(every[first : first + HOURS_AT_ONCE])
+            load_hours(
+                session, root, events_path, site, [n for n in hours if n in some], [n for n in folders if n in some], rejected_path, metrics
+            )
 
     lines = landed_lines(spark, root, site.name, max_files)
     return (

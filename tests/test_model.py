@@ -128,8 +128,16 @@ def test_factor_ranks_equal_brute_force(spark, block_rows):
     held = spark.createDataFrame(pairs, "user_id int, item_id int")
     found = evaluation.factor_ranks(user_factors, item_factors, held, block_rows)
     scores = np.round(users.astype(np.float32).astype(float) @ items.astype(np.float32).astype(float).T, 6)
-    want = [(u, i, tied_rank(scores[u], scores[u, i])) for u, i in pairs if u < 9 and i < 90]
-    assert rows(found) == sorted(want, key=repr)
+    want = [(u, i, tied_rank(scores[u], scores[u, i]), False) for u, i in pairs if u < 9 and i < 90]
+    # a reader without factors sees all 23 items tied, an item without factors comes last
+    want += [(99, 1, 12.0, True), (1, 99, 24.0, True)]
+    assert rows(found, "user_id", "item_id", "rank", "cold") == sorted(want, key=repr)
+
+
+def test_unscored_pairs_keep_a_rank(spark):
+    scores = spark.createDataFrame([(1, 1, 3.0), (1, 2, 2.0), (2, 3, 1.0)], "user_id int, item_id int, score double")
+    held = spark.createDataFrame([(1, 2), (1, 9), (7, 1)], "user_id int, item_id int")
+    assert rows(evaluation.ranks(scores, held), "user_id", "item_id", "rank") == [(1, 2, 2.0), (1, 9, 3.0), (7, 1, 2.0)]
 
 
 def test_grid(prepared):

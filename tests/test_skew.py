@@ -21,7 +21,7 @@ def test_salting_changes_no_result(sides, how, keys):
     big, lookup = sides
     lookup = lookup.select("k", "v") if keys == ["k"] else lookup
     plain = big.join(lookup, keys, how)
-    salted = skew.salted_join(big, lookup, keys, how, hot_keys=3, salts=5)
+    salted = skew.salted_join(big, lookup, keys, how, rows_per_task=40)
     assert rows(salted, *sorted(plain.columns)) == rows(plain, *sorted(plain.columns))
 
 
@@ -30,7 +30,7 @@ def test_hot_key_is_spread(sides, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.salted_join(big.filter("k = 0"), lookup.select("k", "v").filter("v = 0"), ["k"], salts=16)
+        joined = skew.salted_join(big.filter("k = 0"), lookup.select("k", "v").filter("v = 0"), ["k"], rows_per_task=100)
         sizes = [n for n in joined.rdd.glom().map(len).collect() if n]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
@@ -51,3 +51,14 @@ def test_size_decides_on_salting(sides, spark):
     assert "_salt" in large._jdf.queryExecution().analyzed().toString()
     with pytest.raises(ValueError):
         skew.lookup_join(big, lookup, ["k"], "full")
+
+
+def test_every_hot_key_is_spread(spark):
+    big = spark.sql("select id % 1000 as k, 'same' as s from range(50000)")
+    lookup = spark.sql("select id as k, id * 2 as v from range(1000)")
+    joined = skew.salted_join(big, lookup, ["k"], rows_per_task=10)
+    assert joined.count() == 50000 and joined.filter("v <> k * 2").count() == 0
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "_salts" in plan
+    spread = skew.key_counts(big, ["k"]).filter("_rows > 10")
+    assert spread.count() == 1000
