@@ -83,7 +83,8 @@ def op3_secrets(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf, "documents"))
     base = F.filter("spans", lambda x: x.kind != "learned")
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start, x.end)), ",")
-    counts = [F.size(F.filter("spans", lambda x, k=k: x.kind == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    kinds = F.transform("spans", lambda x: x.kind)
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
