@@ -2,7 +2,7 @@
 
 A block of text that holds a license compresses better when the compressor already knows the license. Blocks around words that occur
 in license notices are compressed alone and with each template as a raw dictionary. Templates are ranked by the bytes saved, relative
-to the size of the compressed template, and a winner is confirmed by the differences between its words and the block's.
+to what it saves on itself, and a winner is confirmed by the differences between its words and the block's.
 """
 
 from __future__ import annotations
@@ -36,26 +36,26 @@ TEMPLATES = {
 }
 #: Words near which a notice may stand.
 CUE = re.compile(r"licen[cs]e|copyright|rights\W{1,8}reserved|spdx|permission|redistribut|general\W{1,8}public|creative\W{1,8}commons|free\W{1,8}software", re.IGNORECASE)
-#: A block reaches so many characters to both sides of a cue; longer blocks are cut, with the same overlap.
-AROUND, BLOCK = 320, 8000
-#: Least share of a template's compressed size that it saves, and most differing words for each hundred of its words.
-LEAST_SAVED, MOST_DIFFERENT = 0.4, 12
-LEVEL = 3
+#: A block reaches so many characters to both sides of a cue, for templates of up to so many characters: what a short notice
+#: saves would be lost in a long block. Blocks that grow together beyond BLOCK are cut, with the same overlap.
+REACH, BLOCK = {40: 40, 100: 100, 1000: 320}, 8000
+#: Least share that a template saves of what it saves on itself, and most differing words for each hundred of its words.
+LEAST_SAVED, MOST_DIFFERENT = 0.25, 12
 
 _FOUND = "array<struct<license:string,start:long,end:long,saved:double,differences:long>>"
 _WORD = re.compile(r"[^\W_]+")
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
+def blocks(text: str, reach: int, most: int = BLOCK) -> list[tuple[int, int]]:
     """The parts of a text around its cues."""
     out: list[list[int]] = []
     for m in CUE.finditer(text):
-        start, end = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
-        if out and start <= out[-1][1]:
+        start, end = max(0, m.start() - reach), min(len(text), m.end() + reach)
+        if out and start <= out[-1][1] and end - out[-1][0] <= 3 * reach:
             out[-1][1] = end
         else:
             out.append([start, end])
-    return [(a, min(a + BLOCK, end)) for start, end in out for a in range(start, max(start + 1, end - AROUND), BLOCK - AROUND)]
+    return [(a, min(a + most, end)) for start, end in out for a in range(start, max(start + 1, end - reach), most - reach)]
 
 
 def differences(template: list[str], block: list[str]) -> tuple[int, int, int]:
@@ -75,35 +75,44 @@ class Compressor:
     """Compressed sizes, alone and with each template known."""
 
     def __init__(self):
-        self.alone = zstandard.ZstdCompressor(level=LEVEL)
+        # the same search for all, whatever the sizes of block and template are, so that only the dictionary makes a difference
+        search = zstandard.ZstdCompressionParameters(
+            window_log=16, chain_log=16, hash_log=16, search_log=6, min_match=3, target_length=256, strategy=zstandard.STRATEGY_BTULTRA2,
+            write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
+        self.alone = zstandard.ZstdCompressor(compression_params=search)
         self.known, self.worth, self.wording = {}, {}, {}
         for name, template in TEMPLATES.items():
-            data = zstandard.ZstdCompressionDict(template.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            data.precompute_compress(level=LEVEL)
-            self.known[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=data)
             self.wording[name] = _WORD.findall(template.lower())
-            self.worth[name] = len(self.alone.compress(" ".join(self.wording[name]).encode()))
-
-    def ranked(self, block: bytes) -> list[tuple[float, str]]:
-        """The templates by what they save, the best first."""
+            plain = " ".join(self.wording[name]).encode()
+            data = zstandard.ZstdCompressionDict(plain, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            self.known[name] = zstandard.ZstdCompressor(compression_params=search, dict_data=data)
+            self.worth[name] = len(self.alone.compress(plain)) - len(self.known[name].compress(plain))
+        self.names, least = {}, 0
+        for most, reach in REACH.items():
+            self.names[reach] = [name for name, template in TEMPLATES.items() if least < len(template) <= most]
+            least = most
+
+    def ranked(self, block: bytes, reach: int) -> list[tuple[float, str]]:
+        """The templates that blocks of this reach are for, by what they save, the best first."""
         size = len(self.alone.compress(block))
-        saved = [((size - len(known.compress(block))) / self.worth[name], name) for name, known in self.known.items()]
+        saved = [((size - len(self.known[name].compress(block))) / self.worth[name], name) for name in self.names[reach]]
         return sorted((x for x in saved if x[0] >= LEAST_SAVED), key=lambda x: (-x[0], x[1]))
 
 
 def licenses_of(text: str, compressor: Compressor) -> list[dict]:
     """The confirmed licenses of a text with their places; of those that overlap, the one with the most agreeing words."""
     found = []
-    for start, end in blocks(text):
+    for reach, (start, end) in ((r, b) for r in REACH.values() for b in blocks(text, r)):
         places = [(m.group().lower(), start + m.start(), start + m.end()) for m in _WORD.finditer(text[start:end])]
         block = [word for word, _, _ in places]
-        for saved, name in compressor.ranked(" ".join(block).encode()):
+        for saved, name in compressor.ranked(" ".join(block).encode(), reach):
             wording = compressor.wording[name]
             different, first, last = differences(wording, block)
             if 100 * different <= MOST_DIFFERENT * len(wording) and last > first:
                 found.append((different - len(wording), places[first][1], places[last - 1][2], name, saved, different))
     out: list[dict] = []
-    for _, start, end, name, saved, different in sorted(found):
+    for _, start, end, name, saved, different in sorted(set(found)):
         if not any(x["start"] < end and start < x["end"] for x in out):
             out.append({"license": name, "start": start, "end": end, "saved": round(saved, 6), "differences": different})
     return sorted(out, key=lambda x: x["start"])

@@ -78,9 +78,9 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, key: str = "doc_id",
     ``copy`` or ``place`` are replaced. An empty table gives no rows.
     """
     docs = docs.drop("copy", "place")
-    by_source = settle(rates(docs, targets, temper=temper)).select(F.col("source").alias("_source"), "rate")
+    by_source = settle(rates(docs, targets, temper=temper)).select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
     keyed = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    drawn = docs.join(by_source, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_copies", copies(F.col("rate"), keyed, seed))
+    drawn = docs.join(by_source, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_copies", copies(F.col("_rate"), keyed, seed))
     taken = drawn.filter("_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     placed = taken.withColumn("place", hashed(F.lit(f"{seed}|place"), keyed, F.col("copy").cast("string")))
-    return placed.drop("_source", "rate", "_copies").repartition("place").sortWithinPartitions("place", key, "copy")
+    return placed.drop("_source", "_rate", "_copies").repartition("place").sortWithinPartitions("place", key, "copy")

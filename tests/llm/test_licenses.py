@@ -29,9 +29,11 @@ def test_differences_equal_brute_force():
 
 def test_long_texts_are_cut_with_overlap():
     text = ("license " + "word " * 30) * 400
-    parts = licenses.blocks(text)
-    assert parts[0][0] == 0 and parts[-1][1] == len(text)
-    assert all(b[0] <= a[1] - licenses.AROUND and b[1] - b[0] <= licenses.BLOCK for a, b in zip(parts, parts[1:], strict=False))
+    parts = licenses.blocks(text, 100)
+    cues = [m.span() for m in licenses.CUE.finditer(text)]
+    assert len(cues) == 400 and all(any(a <= i and j <= b for a, b in parts) for i, j in cues)
+    parts = licenses.blocks("license " * 3000, 320, 900)
+    assert parts[0][0] == 0 and parts[-1][1] == 24_000 and max(b - a for a, b in parts) <= 960
 
 
 def test_odd_rows(session, odd, nothing):
