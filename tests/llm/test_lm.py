@@ -59,7 +59,7 @@ def test_base_scores_equal_brute_force(scored):
 def test_network_beats_single_words_on_held_out_texts(scored):
     _, got = scored
     held = [r for r in got.values() if r.held_out]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held) * 0.9
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
 def test_probabilities_of_all_words_add_up_to_one():
