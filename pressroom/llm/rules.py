@@ -1,9 +1,9 @@
 """Quality rules whose thresholds are set by risk control.
 
-A rule rejects texts beyond a cutoff. For each stratum (texts of similar length) and each cutoff of a fixed grid, labelled texts show how many
-good ones it would reject. A cutoff may be used if an exact binomial test shows, at a level corrected for all tests, that its share of
-falsely rejected good texts is below the rule's part of the allowed risk. Of these the tightest is taken. So with probability
-1 - DELTA all rules together reject at most RISK of the good texts of every stratum.
+A rule rejects texts beyond a cutoff. Rules are added one after the other. For each stratum (texts of similar length) and each cutoff of a
+fixed grid, labelled texts show how many good ones the rules so far and this one would reject together. A cutoff may be used if an exact
+binomial test shows, at a level corrected for all tests, that this share is below the allowed risk. Of these the tightest is taken. So with
+probability 1 - DELTA all rules together reject at most RISK of the good texts of every stratum.
 """
 
 from __future__ import annotations
@@ -103,17 +103,21 @@ def thresholds(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta:
     """
     known = labels.filter("quality IS NOT NULL").groupBy(F.col("doc_id").alias("labelled")).agg((F.avg("quality") >= 0.5).alias("good"))
     held = counts.filter(~base_failed()).join(known, F.col("doc_id") == F.col("labelled"))
-    sums = [F.count(F.when(F.col("good"), 1)).alias("good")]
-    for rule, value in measures().items():
-        for k, cutoff in enumerate(GRID[rule]):
-            sums += [F.count(F.when((value > cutoff) & (F.col("good") == side), 1)).alias(f"{rule}_{k}_{name}") for side, name in ((True, "good"), (False, "bad"))]
-    rows = held.groupBy(stratum().alias("stratum")).agg(*sums).collect()  # a row for each stratum
+    value = measures()
+    held = settle(held.select("good", stratum().alias("stratum"), *(value[rule].alias(rule) for rule in GRID)))
     tests = (len(STRATA) + 1) * sum(len(g) for g in GRID.values())
-    out = {}
-    for row in rows:
-        for rule, cutoffs in GRID.items():
+    out: dict[tuple[int, str], float] = {}
+    for rule, cutoffs in GRID.items():
+        before = F.lit(False)
+        for (s, other), cutoff in out.items():
+            before = before | ((F.col("stratum") == s) & (F.col(other) > cutoff))
+        sums = [F.count_if("good").alias("good")]
+        for k, cutoff in enumerate(cutoffs):
+            rejected = before | (F.col(rule) > cutoff)
+            sums += [F.count_if(F.col("good") & rejected).alias(f"good_{k}"), F.count_if(~F.col("good") & rejected & ~before).alias(f"bad_{k}")]
+        for row in held.groupBy("stratum").agg(*sums).collect():  # a row for each stratum
             for k, cutoff in enumerate(cutoffs):
-                if row[f"{rule}_{k}_bad"] and below(row[f"{rule}_{k}_good"], row["good"], risk / len(GRID), delta / tests):
+                if row[f"bad_{k}"] and below(row[f"good_{k}"], row["good"], risk, delta / tests):
                     out[row["stratum"], rule] = cutoff
     return out
 

@@ -30,8 +30,8 @@ TOKEN = np.zeros(256, bool)
 TOKEN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"]] = True
 LEAST_TOKEN = 16
 #: Documents the network learns from at most; the share of known secrets that its threshold has to find; the fewest examples of each kind
-#: without which there is no network.
-SAMPLE_DOCUMENTS, RECALL, LEAST_EXAMPLES = 20_000, 0.95, 8
+#: without which there is no network, and the most of each kind that it is fitted on.
+SAMPLE_DOCUMENTS, RECALL, LEAST_EXAMPLES, MOST_EXAMPLES = 20_000, 0.95, 8, 4000
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 
@@ -99,10 +99,11 @@ def train(docs: DataFrame, rows: int = SAMPLE_DOCUMENTS) -> CharNet:
     if min(np.sum(y == 1), np.sum(y == 0)) < LEAST_EXAMPLES:
         return net
     random = np.random.default_rng(5)
+    each = [random.permutation(np.flatnonzero(y == label))[:MOST_EXAMPLES] for label in (0, 1)]
     kept = np.zeros(len(y), bool)
-    for label in (0, 1):
-        of = np.flatnonzero(y == label)
-        kept[random.choice(of, max(1, len(of) // 3), replace=False)] = True
+    kept[np.concatenate([of[: max(1, len(of) // 3)] for of in each])] = True
+    of = np.sort(np.concatenate(each))
+    x, y, kept = x[of], y[of], kept[of]
     fit, labels = x[~kept], y[~kept]
     bare = fit[labels == 1].copy()
     bare[:, :BEFORE] = NOTHING

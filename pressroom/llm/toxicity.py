@@ -24,7 +24,7 @@ FOLDS, HELD_OUT = 3, 1
 CUT = 0.7
 #: Lengths of word beginnings in bytes; 0 is the whole word. A term needs so many toxic texts, and this lower bound of their share.
 BEGINNINGS = (0, 4, 5, 6, 7)
-LEAST_TEXTS, LEAST_SHARE = 8, 0.6
+LEAST_TEXTS, LEAST_SHARE = 6, 0.6
 #: Words between a term and a second person that still count as near.
 NEAR = 5
 TREES, DEPTH = 20, 3
