@@ -63,17 +63,21 @@ def scrape_errors(*errors: DataFrame) -> DataFrame:
     return whole
 
 
-def _with_new_ids(rows: DataFrame, articles: DataFrame) -> DataFrame:
-    """Continue the id sequence after the largest stored id, in key order."""
+def _with_new_ids(rows: DataFrame, articles: DataFrame, first_id: int | None = None) -> DataFrame:
+    """Ids from ``first_id`` on, or after the largest stored id, in key order."""
+    if first_id is not None:
+        return numbered(rows, [F.col(c) for c in KEY], "_n").withColumn("id", F.col("_n") + F.lit(first_id).cast("long")).drop("_n")
     last = articles.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).scalar()
     return numbered(rows, [F.col(c) for c in KEY], "_n").withColumn("id", last + F.col("_n") + 1).drop("_n")
 
 
-def create_articles(articles: DataFrame, scraped: DataFrame, as_of) -> tuple[DataFrame, DataFrame, DataFrame]:
+def create_articles(
+    articles: DataFrame, scraped: DataFrame, as_of, first_id: int | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(new snapshot, created rows, errors of undated articles).
 
     ``scraped`` comes from ``extract_metadata`` on new articles; ids already stored are
-    left alone.
+    left alone. ``first_id`` begins a range reserved for the new ones.
     """
     dated = scraped.filter(F.col("error_type").isNull() & F.col("published_at").isNotNull())
     fresh = unknown_ids(dated, articles).select(
@@ -81,7 +85,7 @@ def create_articles(articles: DataFrame, scraped: DataFrame, as_of) -> tuple[Dat
     )
     stamp = as_timestamp(as_of)
     created = (
-        _with_new_ids(fresh, articles).withColumn("created_at", stamp).withColumn("updated_at", stamp)
+        _with_new_ids(fresh, articles, first_id).withColumn("created_at", stamp).withColumn("updated_at", stamp)
     ).select(*COLUMNS)
     return articles.select(*COLUMNS).unionByName(created), created, _undated(scraped)
 
@@ -115,7 +119,7 @@ def delete_excluded_articles(articles: DataFrame, errors: DataFrame, message: st
     return articles.join(gone, KEY, "left_anti").select(*COLUMNS)
 
 
-def upsert_articles(articles: DataFrame, bulk: DataFrame, as_of) -> DataFrame:
+def upsert_articles(articles: DataFrame, bulk: DataFrame, as_of, first_id: int | None = None) -> DataFrame:
     """Update by (site, external_id) or insert; of several rows for one key the one with
     the latest publish date counts."""
     incoming = (
@@ -134,5 +138,5 @@ def upsert_articles(articles: DataFrame, bulk: DataFrame, as_of) -> DataFrame:
         F.coalesce("created_at", stamp).alias("created_at"),
         F.when(F.col("_new").isNotNull(), stamp).otherwise(F.col("updated_at")).alias("updated_at"),
     )
-    inserted = _with_new_ids(whole.filter(F.col("id").isNull()).drop("id"), articles)
+    inserted = _with_new_ids(whole.filter(F.col("id").isNull()).drop("id"), articles, first_id)
     return whole.filter(F.col("id").isNotNull()).unionByName(inserted.select(*COLUMNS)).select(*COLUMNS)

@@ -14,7 +14,7 @@ from pressroom.operators import articles as art
 from pressroom.operators import extraction, paths, registry
 from pressroom.operators.metrics import RunMetrics
 from pressroom.plans import ingest, metadata, recommend
-from pressroom.session import configure, temporary_tables
+from pressroom.session import configure, settle, temporary_tables
 from pressroom.sources import chunks, tables
 from pressroom.sources.responses import read_responses
 
@@ -38,22 +38,32 @@ def _update_events(spark, store: Store, site: config.SiteConfig, names: list[str
 
 
 def _update_metadata(spark, store: Store, site, names: list[str], as_of: datetime, metrics: RunMetrics) -> None:
-    events = tables.read_events(spark, store.table("events"))
-    articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES)
-    cache = tables.read_snapshot(spark, store.table("path"), schemas.PATHS)
-    responses = read_responses(spark, store.responses, site.name)
-    wanted = paths.paths_to_update(events, cache, articles, as_of, names, site.name)
-    update = metadata.update_metadata(site, wanted, articles, cache, responses, as_of)
-    # both outputs are planned from the current snapshots, so they are written before either is pruned
-    tables.write_snapshot(update.articles, store.table("article"))
-    tables.write_snapshot(update.paths, store.table("path"))
+    """Articles and path cache of one site, each as its next version. When another writer of the
+    site was faster, everything is computed again from what it has written."""
+    article, path = (tables.of_site(store.table(t), site.name) for t in ("article", "path"))
+    reserve = lambda count: tables.reserve_ids(spark, store.table("article"), count)
+
+    def attempt() -> metadata.MetadataUpdate:
+        versions = [tables.latest_version(spark, p) for p in (article, path)]
+        articles = tables.read_version(spark, article, schemas.ARTICLES, versions[0])
+        cache = tables.read_version(spark, path, schemas.PATHS, versions[1])
+        events = tables.read_events(spark, store.table("events"))
+        responses = read_responses(spark, store.responses, site.name)
+        wanted = paths.paths_to_update(events, cache, articles, as_of, names, site.name)
+        update = metadata.update_metadata(site, wanted, articles, cache, responses, as_of, reserve)
+        # both outputs are planned from the current versions, so they are written before either is pruned
+        tables.write_snapshot(update.articles, article, after=versions[0])
+        tables.write_snapshot(update.paths, path, after=versions[1])
+        return update
+
+    update = tables.retried(attempt)
     metrics.add("article_scraping_creates", update.created.count())
     metrics.add("article_scraping_updates", update.refreshed.count())
     metrics.add("article_scraping_errors", update.errors.count())
 
 
 def _update_dwell(spark, store: Store, site, dates: list[date]) -> None:
-    articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES)
+    articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES, site.name)
     ingest.refresh_dwell(
         spark, store.table("events"), store.table("dwelltimes"), articles, site.name, dates
     )
@@ -63,16 +73,15 @@ def publish(
     spark: SparkSession, store: Store, recs: DataFrame, model_type: str, site: str, as_of, metrics: RunMetrics
 ) -> int:
     """Write recommendations under a new model, make it current, drop models that went."""
-    models = tables.read_snapshot(spark, store.table("model"), schemas.MODELS)
-    model_id = registry.next_model_id(models)
-    pending = registry.register_model(models, model_id, model_type, site, as_of)
-    tables.write_snapshot(pending, store.table("model"))
+    path = tables.of_site(store.table("model"), site)
+    model_id = tables.reserve_ids(spark, store.table("model"), 1, block=1)
+    tables.update_snapshot(spark, path, schemas.MODELS, lambda now: registry.register_model(now, model_id, model_type, site, as_of))
     tables.append_recs(metrics.counted(recs, f"rec_creation_total_{model_type}"), model_id, store.table("recommendation"))
-    pending = tables.read_snapshot(spark, store.table("model"), schemas.MODELS)
-    promoted = registry.promote_model(pending, model_id, model_type, site, as_of)
-    tables.write_snapshot(promoted, store.table("model"))
-    promoted = tables.read_snapshot(spark, store.table("model"), schemas.MODELS)
-    tables.drop_dead_recs(spark, store.table("recommendation"), promoted)
+    tables.update_snapshot(spark, path, schemas.MODELS, lambda now: registry.promote_model(now, model_id, model_type, site, as_of))
+    # folders are listed before the registry is read: a model that another site registers meanwhile keeps its rows
+    stored = tables.stored_models(spark, store.table("recommendation"))
+    registered = tables.read_snapshot(spark, store.table("model"), schemas.MODELS)
+    tables.drop_dead_recs(spark, store.table("recommendation"), registered, stored)
     return model_id
 
 
@@ -104,7 +113,7 @@ def run(
             refresh(spark, store, site, names, dates, as_of, metrics)
 
             dwell = tables.read_dwell(spark, store.table("dwelltimes"))
-            articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES)
+            articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES, site.name)
             top = recommend.default_recs(dwell, site, as_of.date())
             publish(spark, store, top, "popularity", site.name, as_of, metrics)
 
@@ -148,6 +157,8 @@ def backfill_articles(
     responses = read_responses(spark, store.responses, site.name)
     listed = extraction.bulk_articles(site, responses, start, start + timedelta(days=days))
     good = listed.filter(F.col("error_type").isNull())
-    articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES)
     with temporary_tables(spark):
-        tables.write_snapshot(art.upsert_articles(articles, good, as_of), store.table("article"))
+        good = settle(good)
+        first_id = tables.reserve_ids(spark, store.table("article"), good.count())
+        path = tables.of_site(store.table("article"), site.name)
+        tables.update_snapshot(spark, path, schemas.ARTICLES, lambda now: art.upsert_articles(now, good, as_of, first_id))

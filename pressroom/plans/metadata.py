@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -29,11 +30,13 @@ def update_metadata(
     path_table: DataFrame,
     responses: DataFrame,
     as_of,
+    reserve: Callable[[int], int] | None = None,
 ) -> MetadataUpdate:
     """Create articles for new paths, refresh the known ones, and remember each path.
 
     ``to_update`` is the result of ``paths_to_update`` for this site. Results that feed
-    several outputs are settled once.
+    several outputs are settled once. ``reserve`` hands out the first of so many article ids; without
+    it ids continue after the largest one in ``articles``.
     """
     mine = responses.filter(F.col("site") == site.name)
     to_update = settle(to_update)
@@ -43,7 +46,8 @@ def update_metadata(
     no_id = art.failed_scrapes(extracted)
     duplicates = art.duplicate_paths(extracted, articles)
     scraped = settle(extraction.extract_metadata(site, art.new_articles(extracted, articles), mine))
-    snapshot, created, undated = art.create_articles(articles, scraped, as_of)
+    first_id = reserve(scraped.count()) if reserve else None
+    snapshot, created, undated = art.create_articles(articles, scraped, as_of, first_id)
     created = settle(created)
     snapshot = articles.select(*art.COLUMNS).unionByName(created)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -28,6 +29,17 @@ def remove(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False when somebody else has."""
+    try:
+        _fs(spark, path).create(_path(spark, path), False).close()
+        return True
+    except Py4JJavaError as error:
+        if "AlreadyExists" in str(error.java_exception):
+            return False
+        raise
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder, making the folders above the target."""
     above = _path(spark, target).getParent()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -97,12 +99,16 @@ def append_recs(recs: DataFrame, model_id: int, path: str) -> None:
     replace_partitions(stamped, path, ["model_id"])
 
 
-def drop_dead_recs(spark: SparkSession, path: str, models: DataFrame) -> list[str]:
+def stored_models(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the models that recommendations are stored under."""
+    return [int(name.partition("=")[2]) for name in files.children(spark, path) if name.startswith("model_id=")]
+
+
+def drop_dead_recs(spark: SparkSession, path: str, models: DataFrame, stored: list[int] | None = None) -> list[str]:
     """Delete the partitions of models that are no longer registered."""
-    stored = [name for name in files.children(spark, path) if name.startswith("model_id=")]
-    if not stored:
+    ids = stored_models(spark, path) if stored is None else stored
+    if not ids:
         return []
-    ids = [int(name.partition("=")[2]) for name in stored]
     alive = {row["id"] for row in models.filter(F.col("id").isin(ids)).select("id").collect()}
     dead = [f"model_id={i}" for i in ids if i not in alive]
     for name in dead:
@@ -117,6 +123,15 @@ def export_artifact(df: DataFrame, root: str, name: str) -> str:
     return target
 
 
+class Conflict(Exception):
+    """Somebody else has written the next version."""
+
+
+def of_site(path: str, site: str) -> str:
+    """Where the rows of one site are: each site has versions of its own, so sites don't wait for each other."""
+    return f"{path}/site={site}"
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Committed snapshot versions, oldest first; a version without its success marker
     was never finished and does not exist for readers."""
@@ -124,20 +139,76 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(n for n in numbers if files.exists(spark, f"{path}/v={n}/_SUCCESS"))
 
 
-def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    versions = _versions(spark, path)
-    if not versions:
+def latest_version(spark: SparkSession, path: str) -> int:
+    """The newest version, 0 before the first."""
+    return max(_versions(spark, path), default=0)
+
+
+def read_version(spark: SparkSession, path: str, schema: str, number: int) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{path}/v={number}") if number else spark.createDataFrame([], schema)
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: str, site: str | None = None) -> DataFrame:
+    """The newest version of one site's rows, or of all sites' (a table without sites has one)."""
+    if site is not None:
+        path = of_site(path, site)
+    sites = [n for n in files.children(spark, path) if n.startswith("site=")]
+    newest = [(p, latest_version(spark, p)) for p in ([f"{path}/{n}" for n in sites] or [path])]
+    found = [f"{p}/v={n}" for p, n in newest if n]
+    if not found:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v={versions[-1]}")
+    # each folder by itself: the site is a column of the files
+    return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(p) for p in found])
 
 
-def write_snapshot(df: DataFrame, path: str, keep: int = 3) -> int:
-    """Write ``df`` as the next version. It may be computed from the current one, which
-    stays untouched; readers switch when the success marker appears."""
+def write_snapshot(df: DataFrame, path: str, keep: int = 3, after: int | None = None) -> int:
+    """Write ``df`` as the version after ``after`` (the newest unless given). It may be computed from
+    that one, which stays untouched; readers switch when the finished folder gets its name. Of two
+    writers of the same version one gets a ``Conflict`` and leaves nothing behind."""
     spark = df.sparkSession
-    versions = _versions(spark, path)
-    number = (versions[-1] if versions else 0) + 1
-    df.write.mode("overwrite").parquet(f"{path}/v={number}")
-    for old in [*versions, number][:-keep]:
+    number = (latest_version(spark, path) if after is None else after) + 1
+    pending = f"_pending-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{pending}")
+    # a folder that is moved to an existing one ends up inside it, where no reader looks
+    if not files.exists(spark, f"{path}/v={number}"):
+        files.move(spark, f"{path}/{pending}", f"{path}/v={number}")
+    for lost in (f"{path}/{pending}", f"{path}/v={number}/{pending}"):
+        if files.exists(spark, lost):
+            files.remove(spark, lost)
+            raise Conflict(f"{path}/v={number}")
+    for old in _versions(spark, path)[:-keep]:
         files.remove(spark, f"{path}/v={old}")
     return number
+
+
+def retried(change, attempts: int = 5):
+    """The result of ``change``, which reads the newest versions and writes the next ones, tried again after a conflict."""
+    for left in reversed(range(attempts)):
+        try:
+            return change()
+        except Conflict:
+            if not left:
+                raise
+
+
+def update_snapshot(spark: SparkSession, path: str, schema: str, change, attempts: int = 5) -> int:
+    """Write ``change(newest version)`` as the next version; after a conflict the change is made to the newer one."""
+
+    def attempt() -> int:
+        number = latest_version(spark, path)
+        return write_snapshot(change(read_version(spark, path, schema, number)), path, after=number)
+
+    return retried(attempt, attempts)
+
+
+def reserve_ids(spark: SparkSession, path: str, count: int, block: int = 1000) -> int:
+    """The first of ``count`` consecutive ids that nobody else gets. Ids are handed out in blocks, each
+    taken by creating a file that must not be there yet; gaps stay."""
+    wanted = max(1, -(-count // block))
+    taken = [int(n[6:]) for n in files.children(spark, f"{path}/_ids") if n.startswith("block=")]
+    at, run = max(taken, default=-1) + 1, 0
+    while run < wanted:
+        run = run + 1 if files.create_new(spark, f"{path}/_ids/block={at + run:012d}") else 0
+        if not run:
+            at = 1 + max(int(n[6:]) for n in files.children(spark, f"{path}/_ids") if n.startswith("block="))
+    return at * block + 1

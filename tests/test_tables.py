@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -86,3 +87,42 @@ def test_counts_are_taken_while_rows_are_written(spark, tmp_path):
     assert found["rows"]["value"] == 10 and found["rows"]["tags"] == {"site": "s"}
     assert found["even"]["value"] == 5
     assert found["time"]["unit"] == "Seconds" and found["time"]["tags"]["status"] == "success"
+
+
+def test_two_writers_of_one_version_lose_nothing(spark, tmp_path):
+    path, schema = tables.of_site(str(tmp_path / "t"), "a"), "n bigint"
+    tables.write_snapshot(spark.range(1).selectExpr("id as n"), path)
+    seen = tables.latest_version(spark, path)
+    slow = tables.read_version(spark, path, schema, seen).union(spark.sql("select 10L"))
+    fast = tables.read_version(spark, path, schema, seen).union(spark.sql("select 20L"))
+    tables.write_snapshot(fast, path, after=seen)
+    with pytest.raises(tables.Conflict):
+        tables.write_snapshot(slow, path, after=seen)
+    assert rows(tables.read_snapshot(spark, str(tmp_path / "t"), schema, "a")) == [(0,), (20,)]
+    assert not [n for n in files.children(spark, path) if n.startswith("_pending")]
+
+    calls = []
+
+    def change(now):
+        if not calls:  # somebody else commits between reading and writing
+            tables.write_snapshot(now.union(spark.sql("select 30L")), path)
+        calls.append(1)
+        return now.union(spark.sql("select 40L"))
+
+    tables.update_snapshot(spark, path, schema, change)
+    assert rows(tables.read_snapshot(spark, str(tmp_path / "t"), schema)) == [(0,), (20,), (30,), (40,)]
+    assert len(calls) == 2
+
+
+def test_sites_have_versions_of_their_own(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for site, n in (("a", 1), ("b", 2), ("a", 3)):
+        tables.write_snapshot(spark.sql(f"select '{site}' as site, {n}L as n"), tables.of_site(path, site))
+    assert rows(tables.read_snapshot(spark, path, "site string, n bigint")) == [("a", 3), ("b", 2)]
+    assert rows(tables.read_snapshot(spark, path, "site string, n bigint", "b")) == [("b", 2)]
+
+
+def test_reserved_ids_never_meet(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert [tables.reserve_ids(spark, path, n, block=10) for n in (3, 25, 1, 10)] == [1, 11, 41, 51]
+    assert [tables.reserve_ids(spark, path + "2", 1, block=1) for _ in range(3)] == [1, 2, 3]
