@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom.llm import decontaminate, jaccard, licenses, lm, mixing, quality, rules, secrets, toxicity, urls
-from pressroom.session import configure
+from pressroom.llm.session import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +19,7 @@ def query(sql: str | None = None):
 
     def register(function):
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            return function(configure(spark), sf)
+            return function(ready(spark), sf)
 
         run.__name__, run.__doc__ = function.__name__, function.__doc__
         QUERIES[function.__name__] = run
