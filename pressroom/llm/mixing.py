@@ -55,10 +55,12 @@ def rates(docs: DataFrame, targets: DataFrame | None = None, size: Column | None
         named = targets.groupBy(F.col("source").alias("named")).agg(F.sum("weight").cast("double").alias("weight"))
         weighed = sizes.join(named, F.col("source").eqNullSafe(F.col("named")), "left")
         weighed = weighed.withColumn("weight", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)))
-    total = weighed.agg(F.sum("size").alias("all_size"), F.sum(F.when(F.col("size") > 0, F.col("weight"))).alias("all_weight"))
-    rate = F.col("weight") * F.col("all_size") / (F.col("all_weight") * F.col("size"))
-    usable = (F.col("size") > 0) & (F.col("all_weight") > 0)
-    return weighed.crossJoin(F.broadcast(total)).select("source", F.when(usable, rate).otherwise(0.0).alias("rate"))  # total is one row
+    weighed = settle(weighed)
+    total = weighed.agg(F.sum("size").alias("size"), F.sum(F.when(F.col("size") > 0, F.col("weight"))).alias("weight")).first()
+    if not total["size"] or not total["weight"]:
+        return weighed.select("source", F.lit(0.0).alias("rate"))
+    rate = F.col("weight") * F.lit(total["size"]) / (F.lit(total["weight"]) * F.col("size"))
+    return weighed.select("source", F.when(F.col("size") > 0, rate).otherwise(0.0).alias("rate"))
 
 
 def copies(rate: Column, key: Column, seed: int) -> Column:
