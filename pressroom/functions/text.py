@@ -23,7 +23,7 @@ def strip_leading_zeros(text: Column) -> Column:
 
 
 def parse_publish_date(text: Column, fraction_required: bool = False) -> Column:
-    """``2021-12-01T15:53:20Z`` or ``2021-11-17T00:44:12.319Z`` as a UTC instant."""
+    """``2022-03-04T05:06:07Z`` or ``2022-03-04T05:06:07.891Z`` as a UTC instant."""
     with_fraction = F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"))
     shaped = F.when(text.rlike(r"^[0-9-]+T[0-9:]+\.[0-9]{1,6}Z$"), with_fraction)
     if fraction_required:

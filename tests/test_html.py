@@ -1,4 +1,4 @@
-from pressroom.operators.html import PageFacts
+from pressroom.operators.html import PageFacts, page_facts
 
 
 def facts(page, *title_path):
@@ -9,12 +9,12 @@ def facts(page, *title_path):
     return title, parser.published, parser.excluded
 
 
-META = '<meta property="article:published_time" content="2021-04-13T19:00:45+00:00">'
+META = '<meta property="article:published_time" content="2022-03-04T05:06:07+00:00">'
 
 
 def test_title_and_date():
     page = f"<html><head>{META}</head><body><header><h1> A &amp; <b>B</b><br> </h1></header><h1>no</h1></body>"
-    assert facts(page) == ("A & B", "2021-04-13T19:00:45+00:00", False)
+    assert facts(page) == ("A & B", "2022-03-04T05:06:07+00:00", False)
 
 
 def test_heading_outside_a_header_is_no_title():
@@ -44,3 +44,9 @@ def test_exclude_tag_only_counts_inside_primary():
     assert not facts('<div id="primary" class="tag-exclude"></div>')[2]
     assert not facts('<div id="primary"></div><p class="tag-exclude">')[2]
     assert not facts('<div id="primary"><p class="tag-excluded"></p></div>')[2]
+
+
+def test_a_damaged_page_is_one_error_and_not_the_end(spark):
+    pages = [("<header><h1>Good</h1></header>",), ("<header><h1>Bad</h1></header><![foo[bar]]>",), (None,)]
+    found = spark.createDataFrame(pages, "body string").select(page_facts("body", "header", "h1").alias("f")).select("f.*").collect()
+    assert [(r.title, r.excluded) for r in found] == [("Good", False), (None, False), (None, False)]

@@ -9,11 +9,11 @@ from pressroom import config, schemas
 from pressroom.plans.metadata import update_metadata
 
 SITE = config.CITY_PAPER
-IDS = ["521676", "530313", "530410"]
-PATHS = ["/article/521676/a", "/article/530313/b", "/article/530410/c"]
+IDS = ["700101", "700205", "700333"]
+PATHS = ["/article/700101/a", "/article/700205/b", "/article/700333/c"]
 NOW = datetime(2021, 5, 1)
 
-META = '<meta property="article:published_time" content="2021-04-13T19:00:45+00:00">'
+META = '<meta property="article:published_time" content="2022-03-04T05:06:07+00:00">'
 GOOD = META + "<header><h1>Title</h1></header>"
 EXCLUDED = GOOD + '<div id="primary"><p class="tag-exclude"></p></div>'
 UNDATED = "<header><h1>Title</h1></header>"
@@ -94,15 +94,15 @@ def test_undated_are_tried_again(spark):
 
 
 def test_alias_of_a_known_article_and_canonical_path(spark):
-    one = to_update(spark).filter("landing_page_path = '/article/521676/a'")
-    alias = one.selectExpr("site", "'/v/s/washingtoncitypaper.com/article/521676/z' landing_page_path", "external_id")
+    one = to_update(spark).filter("landing_page_path = '/article/700101/a'")
+    alias = one.selectExpr("site", "'/v/s/washingtoncitypaper.com/article/700101/z' landing_page_path", "external_id")
     landed = responses(spark, GOOD, path_of=lambda p: "/food" + p)
     update = run(spark, one.unionByName(alias), stored(spark, False), landed)
-    assert rows(mine(update.articles), "external_id", "path") == [("521676", "/food/article/521676/a")]
+    assert rows(mine(update.articles), "external_id", "path") == [("700101", "/food/article/700101/a")]
     assert rows(update.paths, "path", "external_id") == [
-        ("/article/521676/a", "521676"),
-        ("/food/article/521676/a", "521676"),
-        ("/v/s/washingtoncitypaper.com/article/521676/z", "521676"),
+        ("/article/700101/a", "700101"),
+        ("/food/article/700101/a", "700101"),
+        ("/v/s/washingtoncitypaper.com/article/700101/z", "700101"),
     ]
     assert rows(update.errors, "error_type") == [("duplicate_path",)]
 

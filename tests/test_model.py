@@ -9,24 +9,27 @@ from pressroom.config import TrainingParams
 from pressroom.operators import evaluation, factors, interactions
 from pressroom.plans import recommend
 
+# two groups of readers, who keep to two articles each; article 21 is read by both groups
 TOY = [
     # client, external id, article, seconds, session, published
-    (3, "3", 14, 2, 13, 14),
-    (3, "2", 13, 3, 13, 13),
-    (2, "2", 13, 0, 14, 13),
-    (1, "2", 13, 4, 13, 13),
-    (3, "0", 11, 3, 14, 11),
-    (3, "1", 12, 0, 15, 12),
-    (1, "0", 11, 3, 14, 11),
-    (2, "1", 12, 0, 15, 12),
+    (1, "20", 31, 40, 4, 1),
+    (1, "21", 32, 35, 4, 2),
+    (2, "20", 31, 50, 5, 1),
+    (2, "21", 32, 20, 5, 2),
+    (3, "21", 32, 10, 5, 2),
+    (4, "22", 33, 45, 4, 3),
+    (4, "23", 34, 30, 6, 4),
+    (5, "21", 32, 5, 6, 2),
+    (5, "22", 33, 25, 6, 3),
+    (5, "23", 34, 15, 6, 4),
 ]
-DAY = date(2020, 12, 16)
+DAY = date(2022, 1, 6)
 
 
 @pytest.fixture(scope="module")
 def toy(spark):
     data = [
-        (a, e, str(c), date(2020, 12, s), d, date(2020, 12, p)) for c, e, a, d, s, p in TOY
+        (a, e, str(c), date(2022, 1, s), d, date(2022, 1, p)) for c, e, a, d, s, p in TOY
     ]
     schema = "article_id long, external_id string, client_id string, session_date date, duration long, published_at date"
     return spark.createDataFrame(data, schema)
@@ -38,18 +41,18 @@ def prepared(toy):
 
 
 def test_codes(prepared):
-    assert rows(prepared.select("external_id", "item_id").distinct()) == [("0", 0), ("1", 1), ("2", 2), ("3", 3)]
-    assert rows(prepared.select("client_id", "user_id").distinct()) == [("1", 0), ("2", 1), ("3", 2)]
-    assert rows(prepared.select("session_date", "timestamp").distinct())[0] == (date(2020, 12, 13), 1)
+    assert rows(prepared.select("external_id", "item_id").distinct()) == [("20", 0), ("21", 1), ("22", 2), ("23", 3)]
+    assert rows(prepared.select("client_id", "user_id").distinct()) == [(str(n), n - 1) for n in range(1, 6)]
+    assert rows(prepared.select("session_date", "timestamp").distinct())[0] == (date(2022, 1, 4), 1)
 
 
 def test_incomplete_rows_go(toy):
     holed = toy.withColumn("published_at", F.when(F.col("client_id") != "2", F.col("published_at")))
-    assert interactions.prepare_interactions(holed).count() == 6
+    assert interactions.prepare_interactions(holed).count() == 8
 
 
 def test_one_dimension_row_per_external_id(toy):
-    again = toy.filter("external_id = '2'").limit(1).selectExpr(
+    again = toy.filter("external_id = '21'").limit(1).selectExpr(
         "article_id - 5 as article_id", "external_id", "client_id", "session_date", "duration", "published_at"
     )
     later = again.selectExpr(
@@ -58,14 +61,14 @@ def test_one_dimension_row_per_external_id(toy):
     )
     prepared = interactions.prepare_interactions(toy.unionByName(again))
     assert rows(interactions.item_dimension(prepared, DAY, 1.0), "external_id", "article_id", "decay") == [
-        ("0", 11, 0.5**5), ("1", 12, 0.5**4), ("2", 8, 0.5**3), ("3", 14, 0.5**2),
+        ("20", 31, 0.5**5), ("21", 27, 0.5**4), ("22", 33, 0.5**3), ("23", 34, 0.5**2),
     ]
     prepared = interactions.prepare_interactions(toy.unionByName(later))
-    assert interactions.item_dimension(prepared, DAY, 1.0).filter("external_id = '2'").first()["article_id"] == 98
+    assert interactions.item_dimension(prepared, DAY, 1.0).filter("external_id = '21'").first()["article_id"] == 117
 
 
 def test_most_read(toy):
-    assert rows(interactions.most_read_article(toy)) == [("2", 3)]
+    assert rows(interactions.most_read_article(toy)) == [("21", 4)]
 
 
 @pytest.mark.parametrize("implicit", [True, False])
@@ -80,16 +83,16 @@ def test_fit_gives_a_unit_vector_per_item(prepared, implicit):
 def test_recs_of_the_toy_set(toy):
     params = TrainingParams(rank=16, iterations=15, half_life=1e9, alpha=10.0)
     recs = recommend.article_recs_from(toy, params, DAY, max_recs=2)
-    found = rows(recs.filter("source_entity_id = '0'").orderBy(F.desc("score")), "recommended_article_id")
-    # article 11 shares two readers with 13 and none of its own with 12's second reader
-    assert (13,) in found and len(found) == 2
+    found = rows(recs.filter("source_entity_id = '20'").orderBy(F.desc("score")), "recommended_article_id")
+    # all readers of article 31 read 32 too
+    assert (32,) in found and len(found) == 2
     assert recs.count() == 8
     assert recs.filter("recommended_article_id = cast(source_entity_id as long) + 11").count() == 0
 
 
 def test_split_is_stable_and_complete(toy):
     train, test = evaluation.split_interactions(toy)
-    assert train.count() + test.count() == 8
+    assert train.count() + test.count() == 10
     assert rows(train) == rows(evaluation.split_interactions(toy.repartition(3))[0])
 
 
