@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -13,10 +13,11 @@ from checks import inputs as i
 from checks.duck import stamp
 from checks.registry import query
 from pressroom import config, schemas
+from pressroom.operators import extraction
 from pressroom.operators.metrics import RunMetrics
 from pressroom.plans import ingest, job
 from pressroom.session import checkpoint_dir, settle
-from pressroom.sources import files, tables
+from pressroom.sources import files, responses, tables
 from pressroom.streaming.ingest import stream_ingest
 
 #: Lines land in the folder that ends their six hours, so up to six hours late.
@@ -170,3 +171,69 @@ def export_artifact(spark, sf):
     """A result as CSV, read back with its header."""
     target = tables.export_artifact(i.read(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey"), _place(spark), "suppliers")
     return spark.read.option("header", True).csv(target)
+
+
+def _landed_responses(spark, sf):
+    """Every page as a response for a path; of each third page an older copy with another body landed too."""
+    pages = i.read(spark, sf, "pages")
+    body = F.when(F.col("page_id") % 13 == 5, F.concat("html", F.lit("<![foo[bar]]>"))).otherwise(F.col("html"))
+    fetched = F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") % 5 * 86400)
+    rows = pages.select(
+        i.site_of(F.col("page_id")).alias("site"),
+        F.lit("page").alias("kind"),
+        i.article_path(F.col("page_id")).alias("path"),
+        F.lit(None).cast("string").alias("external_id"),
+        "url",
+        F.lit(200).alias("status"),
+        body.alias("body"),
+        fetched.alias("fetched_at"),
+    )
+    older = rows.filter(F.length("path") % 3 == 0).withColumn("body", F.lit("old")).withColumn("fetched_at", F.expr("fetched_at - INTERVAL 2 DAYS"))
+    return rows.unionByName(older)
+
+
+@query(
+    """
+    SELECT '/article/' || CAST(page_id + 100 AS VARCHAR) || '/slug-' || CAST(page_id AS VARCHAR) AS path, url,
+           CASE WHEN page_id % 13 = 5 THEN length(html) + 13 ELSE length(html) END AS n_chars
+    FROM pages WHERE page_id % 3 = 1 AND page_id % 5 >= 2
+    """
+)
+def read_responses(spark, sf):
+    """The newest responses of one site, fetched since a day, out of folders by site, kind and day."""
+    path = f"{_place(spark)}/responses"
+    responses.write_responses(_landed_responses(spark, sf), path)
+    found = responses.read_responses(spark, path, "site-1", kinds=["page"], since=date(2024, 1, 3))
+    newest = extraction.latest_responses(found, "page", "path")
+    return newest.select("path", "url", F.length("body").cast("long").alias("n_chars"))
+
+
+@query(
+    """
+    SELECT '/article/' || CAST(page_id + 100 AS VARCHAR) || '/slug-' || CAST(page_id AS VARCHAR) AS path,
+           CASE WHEN page_id % 13 = 5 THEN 'malformed_api_response'
+                WHEN page_id % 7 = 2 THEN 'failed_site_validation' END AS error_type,
+           CASE WHEN page_id % 13 <> 5 AND page_id % 7 <> 2 AND page_id % 4 <> 0 THEN '2024-02-' || lpad(CAST(1 + page_id % 28 AS VARCHAR), 2, '0') || ' 06:30:00' END AS published_at
+    FROM pages
+    """
+)
+def html_metadata(spark, sf):
+    """Whole pages with a title, most with a publish time, some with the exclude tag, some damaged."""
+    n = F.col("page_id")
+    time = F.concat(F.lit('<meta property="article:published_time" content="2024-02-'), F.lpad((1 + n % 28).cast("string"), 2, "0"), F.lit('T08:30:00+02:00">'))
+    tag = F.lit('<div id="primary"><p class="tag-exclude">x</p></div>')
+    empty = F.lit("")
+    body = F.concat(
+        F.when(n % 4 != 0, time).otherwise(empty),
+        F.lit("<header><h1>Title</h1></header>"),
+        F.when(n % 7 == 2, tag).otherwise(empty),
+        "html",
+        F.when(n % 13 == 5, F.lit("<![foo[bar]]>")).otherwise(empty),
+    )
+    pages = i.read(spark, sf, "pages").select(
+        i.site_of(n).alias("site"), i.article_path(n).alias("path"), F.lit(None).cast("string").alias("external_id"),
+        F.concat(F.lit("https://example.org"), i.article_path(n)).alias("url"), F.lit(200).alias("status"), body.alias("body"),
+    )
+    found = extraction.metadata_from_html(pages)
+    shown = F.when(F.col("error_type").isNull(), F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
+    return found.select("path", "error_type", shown.alias("published_at"))

@@ -37,11 +37,17 @@ def _with_errors(df: DataFrame, chain: list[tuple[Column, str, str]]) -> DataFra
 
 
 def latest_responses(responses: DataFrame, kind: str, key: str) -> DataFrame:
-    """The most recent response per site and ``key`` column (a partial maximum, so
-    repeated fetches of one page are reduced before the shuffle)."""
-    newest = F.max_by(F.struct("url", "status", "body"), F.struct("fetched_at", "url", "body"))
-    rows = responses.filter((F.col("kind") == kind) & F.col(key).isNotNull())
-    return rows.groupBy("site", key).agg(newest.alias("_r")).select("site", key, "_r.*")
+    """The most recent response per site and ``key`` column; of several from the same moment the one with the
+    largest url and body hash. Bodies are neither compared nor kept while the newest is looked for: that is a partial
+    maximum over narrow columns, and the one body is fetched afterwards."""
+    rows = responses.filter((F.col("kind") == kind) & F.col(key).isNotNull()).withColumn("_h", F.xxhash64("body"))
+    newest = rows.groupBy("site", key).agg(F.max(F.struct("fetched_at", "url", "_h", "status")).alias("_r"))
+    newest = newest.select(F.col("site").alias("_site"), F.col(key).alias("_key"), "_r")
+    same = (F.col("site") == F.col("_site")) & (F.col(key) == F.col("_key"))
+    for column in ("fetched_at", "url", "_h", "status"):
+        same = same & F.col(column).eqNullSafe(F.col(f"_r.{column}"))
+    found = rows.join(newest, same).select("site", key, "url", "status", "body")
+    return found.dropDuplicates(["site", key])
 
 
 # ------------------------------------------------------------------ external ids

@@ -57,9 +57,15 @@ def _update_metadata(spark, store: Store, site, names: list[str], as_of: datetim
         return update
 
     update = tables.retried(attempt)
-    metrics.add("article_scraping_creates", update.created.count())
-    metrics.add("article_scraping_updates", update.refreshed.count())
-    metrics.add("article_scraping_errors", update.errors.count())
+    created, refreshed, errors = update.created.count(), update.refreshed.count(), settle(update.errors)
+    known = tables.read_snapshot(spark, store.table("path"), schemas.PATHS, site.name)
+    # an error that left a row in the path cache is settled; the others will be tried again
+    open_errors = errors.join(known.select("site", "path"), ["site", "path"], "left_anti").count()
+    metrics.add("article_scraping_total", created + refreshed + errors.count())
+    metrics.add("article_scraping_creates", created)
+    metrics.add("article_scraping_updates", refreshed)
+    metrics.add("article_scraping_errors", open_errors)
+    metrics.add("article_scraping_paths_written", known.filter(F.col("updated_at") == F.lit(as_of).cast("timestamp")).count())
 
 
 def _update_dwell(spark, store: Store, site, dates: list[date]) -> None:
@@ -76,7 +82,9 @@ def publish(
     path = tables.of_site(store.table("model"), site)
     model_id = tables.reserve_ids(spark, store.table("model"), 1, block=1)
     tables.update_snapshot(spark, path, schemas.MODELS, lambda now: registry.register_model(now, model_id, model_type, site, as_of))
+    started = time.monotonic()
     tables.append_recs(metrics.counted(recs, f"rec_creation_total_{model_type}"), model_id, store.table("recommendation"))
+    metrics.add(f"rec_creation_time_{model_type}", time.monotonic() - started, "Seconds")
     tables.update_snapshot(spark, path, schemas.MODELS, lambda now: registry.promote_model(now, model_id, model_type, site, as_of))
     # folders are listed before the registry is read: a model that another site registers meanwhile keeps its rows
     stored = tables.stored_models(spark, store.table("recommendation"))
@@ -87,7 +95,9 @@ def publish(
 
 def refresh(spark, store: Store, site: config.SiteConfig, names: list[str], dates: list[date], as_of, metrics) -> None:
     """Events, then article metadata, then dwell times."""
+    started = time.monotonic()
     _update_events(spark, store, site, names, metrics)
+    metrics.add("download_time", time.monotonic() - started, "Seconds")
     started = time.monotonic()
     _update_metadata(spark, store, site, names, as_of, metrics)
     metrics.add("article_scraping_time", time.monotonic() - started, "Seconds")
