@@ -246,7 +246,7 @@ def toxicity_scores(docs: DataFrame, label_rows: DataFrame) -> DataFrame:
     fitted = vectors(rows.filter("part > 0")).select("features", F.col("label").cast("double").alias("label"))
     if fitted.select("label").distinct().count() < 2:  # all of one kind in this part: use the whole sample
         fitted = vectors(rows).select("features", F.col("label").cast("double").alias("label"))
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1, cacheNodeIds=False).fit(fitted.repartition(2, "features").sortWithinPartitions("label"))
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1, cacheNodeIds=False).fit(fitted.coalesce(4))
     probability = lambda df: trees.transform(vectors(df)).withColumn("p", vector_to_array("probability")[1])
     kept = probability(rows.filter("part = 0")).select(F.col("p"), F.col("label").cast("double").alias("label"))
     calibration = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="score").fit(
