@@ -34,7 +34,25 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-@query()
+@query(
+    r"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, array_to_string(w[p : p + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    linked AS (
+      SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+      JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 75 * (nx.n + ny.n - k)),
+    reached AS (
+      SELECT doc_id, doc_id AS other FROM d
+      UNION SELECT r.doc_id, l.y FROM reached r JOIN linked l ON l.x = r.other)
+    SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.other) AS component_id
+    FROM reached r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+    """
+)
 def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Documents linked by the similarity of their word shingles."""
     return jaccard.jaccard_components(table(spark, sf, "documents"))

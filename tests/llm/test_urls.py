@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from pressroom.llm import queries, urls
 
 
@@ -43,6 +45,7 @@ def test_mined_rules_match_all_their_tokens(session, tmp_path):
     got = {r.page_id: r for r in queries.QUERIES["op1_url_filter"](session, str(tmp_path)).collect()}
     assert all((got[i].verdict == "block") == (i % 4 == 0) for i in range(600))
     assert got[600].verdict == "block" and "path:track" in got[600].mined and got[601].verdict == "allow"
-    rules = urls.mine(urls.tokens and session.createDataFrame(pages, "page_id long, url string, html string").selectExpr("page_id", "url").withColumn(
-        "tokens", urls.tokens(urls.F.col("url"), urls.host(urls.F.col("url")), urls.path(urls.F.col("url")))), session.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    url = F.col("url")
+    parts = session.createDataFrame(pages, "page_id long, url string, html string").withColumn("tokens", urls.tokens(url, urls.host(url), urls.path(url)))
+    rules = urls.mine(parts, session.createDataFrame(marks, "doc_id long, quality int, toxic int"))
     assert rules and all(c >= urls.LEAST_CONFIDENCE and len(t) <= urls.MOST_TOKENS for c, t in rules)
