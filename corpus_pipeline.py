@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom.llm import decontaminate, jaccard, mixing, quality, secrets
-from pressroom.llm.session import ready
+from pressroom.llm.session import SMALL_BATCH_ROWS, ready
 from pressroom.session import settle
 
 
@@ -21,7 +21,7 @@ def _with_rows(docs: DataFrame) -> DataFrame:
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject. It learns from the labels of the documents that are here; without
     labels of both kinds all stay."""
-    ready(spark)
+    ready(spark, SMALL_BATCH_ROWS)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -31,7 +31,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Documents without words link with nothing and stay. The groups are found over row numbers in the order of the ids (null last), so rows with equal
     ids are told apart.
     """
-    ready(spark)
+    ready(spark, SMALL_BATCH_ROWS)
     numbered = _with_rows(docs)
     groups = settle(jaccard.jaccard_components(numbered.select(F.col("_row").alias("doc_id"), "text")))
     ids = numbered.select(F.col("_row").alias("row"), "doc_id")
@@ -43,7 +43,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    ready(spark)
+    ready(spark, SMALL_BATCH_ROWS)
     numbered = _with_rows(docs)
     found = decontaminate.decontaminate(numbered.select(F.col("_row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), reach=0)
     hit = settle(found.filter("contaminated").select(F.col("doc_id").alias("_row")))
@@ -52,7 +52,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts replaced; ``n_chars`` is counted again where a text changed."""
-    ready(spark)
+    ready(spark, SMALL_BATCH_ROWS)
     clean = secrets.redact(docs.withColumn("_text", F.xxhash64("text")))
     if "n_chars" in docs.columns:
         changed = F.col("_text") != F.xxhash64("text")
@@ -62,7 +62,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as their source's target weight asks for, shuffled; with ``copy`` and ``place``."""
-    ready(spark)
+    ready(spark, SMALL_BATCH_ROWS)
     return mixing.mix(docs)
 
 
@@ -79,7 +79,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
-    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ready(spark, SMALL_BATCH_ROWS).read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 #: Texts are worked on in pieces of about so many bytes, which bounds a task's memory. One longer text is a
 #: piece of its own.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 #: Word hashes are computed over so many bytes at a time, so that the arrays stay in the processor's cache.
 _SPAN = 1 << 17
 
