@@ -2,7 +2,7 @@
 
 All words of the training documents are counted. Frequent words, a fixed number, are known to every task; the others meet their counts in a join.
 The network knows the most frequent words; any other word is one symbol to it, times its share among those words. It is trained where the data is: every
-task trains on a fixed share of its documents, so that what is learned from grows with the corpus, and the weights are averaged by tokens.
+task trains on its documents, a share of them in each round until all were read, and the weights are averaged by tokens after each round.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pressroom.session import settle
 FOLDS, HELD_OUT = 7, 2
 #: Words whose counts every task knows, words the network knows, and classes of these.
 FREQUENT, VOCABULARY, CLASSES = 100_000, 1000, 24
-#: In each round of averaging, another one of so many training documents trains the network.
-SHARE, ROUNDS = 16, 2
+#: Rounds of averaging. Each trains the network on another share of the training documents, and together they read every one once.
+SHARE = 4
 #: Bytes of texts that are scored together.
 GATHERED = 12 << 20
 #: The hash that stands for the end of a document.
@@ -135,17 +135,17 @@ def _train(counts: Counts, flat: np.ndarray | None, block: int):
     return run
 
 
-def train(docs: DataFrame, counts: Counts, rounds: int = ROUNDS, block: int = 4096) -> recurrent.Model:
-    """Rounds of training in every task on its share of ``docs (doc_id, text)``, each begun with the average of the weights before."""
+def train(docs: DataFrame, counts: Counts, block: int = 4096) -> recurrent.Model:
+    """Training in every task on ``docs (doc_id, text)``, a share in each round, begun with the average of the weights before."""
     model = recurrent.Model.fresh(counts.word_class, counts.class_counts)
     flat = None
     part = F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(SHARE))
-    for k in range(rounds):
-        parts = docs.filter(part == k % SHARE).select("text").mapInArrow(_train(counts, flat, block), "block long, w array<double>, tokens long")
+    for k in range(SHARE):
+        parts = docs.filter(part == k).select("text").mapInArrow(_train(counts, flat, block), "block long, w array<double>, tokens long")
         each = parts.select("block", "tokens", F.posexplode("w").alias("at", "w"))
         mean = each.groupBy("block", "at").agg((F.sum("w") / F.sum("tokens")).alias("w")).toArrow()  # as many rows as weights
         if not mean.num_rows:
-            break
+            continue
         flat = np.zeros(len(model.flat()))
         flat[mean.column("block").to_numpy() * block + mean.column("at").to_numpy()] = mean.column("w").to_numpy()
     return model if flat is None else model.with_flat(flat)

@@ -167,13 +167,13 @@ class Trainer:
         before, token, _, filled = grid(ids, first, slots, begin)
         state = np.zeros((before.shape[1], HIDDEN), np.float32)
         for at in range(0, len(before), window):
-            n = int(filled[min(at + window, len(before)) - 1])
+            n = int(filled[at])
             part = slice(at, min(at + window, len(before)))
-            # slots that end within the window are left out of its step
-            state = self._step(before[part, :n], token[part, :n], state[:n])
+            # slots that end within the window count up to their end
+            state = self._step(before[part, :n], token[part, :n], state[:n], np.arange(n) < filled[part, None])
         self.tokens += len(ids)
 
-    def _step(self, before: np.ndarray, token: np.ndarray, state: np.ndarray) -> np.ndarray:
+    def _step(self, before: np.ndarray, token: np.ndarray, state: np.ndarray, live: np.ndarray | None = None) -> np.ndarray:
         w, begin = self.model.weights, len(self.model.weights["word"])
         steps, n = before.shape
         table_in = w["embedding"][before]
@@ -189,7 +189,9 @@ class Trainer:
             kept.append((keep, h, u[:, 2 * HIDDEN :], r, z, new))
             h = new + z * (h - new)
         states = np.stack([k[5] + k[4] * (k[1] - k[5]) for k in kept])
-        gradient, back = self._output(states.reshape(-1, HIDDEN), token.reshape(-1))
+        rows = np.arange(steps * n) if live is None else np.flatnonzero(live)
+        back = np.zeros((steps * n, HIDDEN), states.dtype)
+        gradient, back[rows] = self._output(states.reshape(-1, HIDDEN)[rows], token.reshape(-1)[rows])
         back = back.reshape(steps, n, HIDDEN)
         d_x = np.empty_like(x)
         d_u = np.zeros_like(w["recurrent"])
@@ -209,7 +211,9 @@ class Trainer:
         gradient["bias"] = flat.sum(axis=0)
         gradient["input"] = table_in.reshape(-1, EMBEDDING).T @ flat
         gradient["embedding"] = np.zeros_like(w["embedding"])
-        np.add.at(gradient["embedding"], before.reshape(-1), flat @ w["input"].T)
+        order = np.argsort(before.reshape(-1), kind="stable")
+        seen, starts = np.unique(before.reshape(-1)[order], return_index=True)
+        gradient["embedding"][seen] = np.add.reduceat((flat @ w["input"].T)[order], starts)
         self._update(gradient)
         return h
 

@@ -62,6 +62,14 @@ def test_network_beats_single_words_on_held_out_texts(scored):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_every_training_document_trains_the_network(session):
+    docs = session.createDataFrame(list(enumerate(chained(40))), "doc_id long, text string").coalesce(1)
+    counts = lm.Counts.of(lm.word_counts(docs.select("text")))
+    whole = lm.train(docs, counts).flat()
+    for left_out in (0, 7, 13, 22, 31, 39):
+        assert not np.array_equal(whole, lm.train(docs.filter(f"doc_id <> {left_out}"), counts).flat())
+
+
 def test_probabilities_of_all_words_add_up_to_one():
     counts = np.array([500, 300, 200, 90, 50, 20, 10, 5, 2, 1])
     word_class = np.unique(recurrent.classes(counts, 4), return_inverse=True)[1]
