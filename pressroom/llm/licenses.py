@@ -71,6 +71,15 @@ def differences(template: list[str], block: list[str]) -> tuple[int, int, int]:
     return row[best][0], row[best][1], best
 
 
+def runs(template: list[str], block: list[str], start: int = 0) -> Iterator[tuple[int, int, int]]:
+    """All runs of the block that come near enough to the template, none of which overlap: the best, then those before and after it."""
+    different, first, last = differences(template, block)
+    if 100 * different <= MOST_DIFFERENT * len(template) and last > first:
+        yield different, start + first, start + last
+        yield from runs(template, block[:first], start)
+        yield from runs(template, block[last:], start + last)
+
+
 class Compressor:
     """Compressed sizes, alone and with each template known."""
 
@@ -108,8 +117,7 @@ def licenses_of(text: str, compressor: Compressor) -> list[dict]:
         block = [word for word, _, _ in places]
         for saved, name in compressor.ranked(" ".join(block).encode(), reach):
             wording = compressor.wording[name]
-            different, first, last = differences(wording, block)
-            if 100 * different <= MOST_DIFFERENT * len(wording) and last > first:
+            for different, first, last in runs(wording, block):
                 found.append((different - len(wording), places[first][1], places[last - 1][2], name, saved, different))
     out: list[dict] = []
     for _, start, end, name, saved, different in sorted(set(found)):

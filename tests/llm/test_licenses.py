@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 from pressroom.llm import licenses
 
 
@@ -21,6 +23,18 @@ def test_changed_wording_is_counted_and_other_wording_is_not_found():
         assert licenses.licenses_of(clean, compressor) == []
 
 
+def test_repeated_notices_equal_brute_force():
+    compressor = licenses.Compressor()
+    for name in ("MIT", "GPL-3.0", "reserved", "CC-BY-4.0", "GPL-header"):
+        notice = licenses.TEMPLATES[name]
+        for between in ("\n", " And some other words. "):
+            for n in (2, 4, 6, 9):
+                text = "Words before. " + between.join([notice] * n) + " Words after."
+                wanted = [m.span() for m in re.finditer(re.escape(notice.rstrip(".")), text)]
+                found = licenses.licenses_of(text, compressor)
+                assert [(x["start"], x["end"]) for x in found] == wanted and {x["license"] for x in found} == {name}, (name, n)
+
+
 def test_differences_equal_brute_force():
     assert licenses.differences(["a", "b", "c"], ["x", "a", "b", "c", "y"]) == (0, 1, 4)
     assert licenses.differences(["a", "b", "c"], ["x", "a", "q", "c", "y"])[0] == 1
