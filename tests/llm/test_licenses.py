@@ -35,6 +35,29 @@ def test_repeated_notices_equal_brute_force():
                 assert [(x["start"], x["end"]) for x in found] == wanted and {x["license"] for x in found} == {name}, (name, n)
 
 
+def test_another_version_or_name_is_another_license():
+    compressor = licenses.Compressor()
+    for notice, name in {
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "This program is licensed under the GNU General Public License, version 3.0.": "GPL-3.0",
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "This work is licensed under the GNU General Public License, version 7.": None,
+        "This work is licensed under the GNU General Public License, version 3.1.": None,
+        "Licensed under the Apache License, Version 1.1.": "Apache-1.1",
+        "Licensed under the Apache License, Version 9.0.": None,
+        "Distributed under the MIT License.": "MIT",
+        "Released under the BSD License.": "BSD-notice",
+        "Released under the Foo License.": None,
+        "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0-notice",
+        "Licensed under CC BY-NC 3.0.": "CC-BY-NC-3.0-notice",
+        "This work is licensed under a Creative Commons Attribution 3.0 Unported License.": "CC-BY-3.0",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+    }.items():
+        found = licenses.licenses_of(f"Words before. {notice} Words after.", compressor)
+        assert [x["license"] for x in found] == ([name] if name else []), (notice, found)
+
+
 def test_differences_equal_brute_force():
     assert licenses.differences(["a", "b", "c"], ["x", "a", "b", "c", "y"]) == (0, 1, 4)
     assert licenses.differences(["a", "b", "c"], ["x", "a", "q", "c", "y"])[0] == 1
