@@ -1,12 +1,13 @@
 """Language-model scores of whole documents: counts of single words, and a gated recurrent network.
 
 All words of the training documents are counted. Frequent words, a fixed number, are known to every task; the others meet their counts in a join.
-The network knows the most frequent words; any other word is one symbol to it, times its share among those words. It is trained where the data is: every
+The network knows the most frequent words, as many as make up three quarters of the corpus; any other word is one symbol to it, times its share among those words. It is trained where the data is: every
 task trains on its documents, a share of them in each round until all were read, and the weights are averaged by tokens after each round.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,8 +20,8 @@ from pressroom.llm import labels, recurrent, words
 from pressroom.session import settle
 
 FOLDS, HELD_OUT = 7, 2
-#: Words whose counts every task knows, words the network knows, and classes of these.
-FREQUENT, VOCABULARY, CLASSES = 100_000, 1000, 24
+#: Words whose counts every task knows, and most words the network knows: of these, the most frequent that make up such a share of all tokens.
+FREQUENT, VOCABULARY, COVERED = 100_000, 100_000, 0.75
 #: Rounds of averaging. Each trains the network on another share of the training documents, and together they read every one once.
 SHARE = 4
 #: Bytes of texts that are scored together.
@@ -90,7 +91,7 @@ class Counts:
         top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()  # a fixed number of rows
         word, n = top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy()
         total, distinct = int(total or 0), int(distinct or 0)
-        known = min(VOCABULARY, len(word))
+        known = min(VOCABULARY, len(word), int(np.searchsorted(np.cumsum(n), COVERED * total)) + 1)
         # words of the network in falling order of counts, with one symbol for all others
         sizes = np.append(n[:known], max(1, total - int(n[:known].sum())))
         order = np.argsort(-sizes, kind="stable")
@@ -99,7 +100,7 @@ class Counts:
         number = np.full(len(word), numbers[known])
         number[:known] = numbers[:known]
         by_hash = np.argsort(word)
-        word_class = recurrent.classes(sizes[order], min(CLASSES, known + 1))
+        word_class = recurrent.classes(sizes[order], math.isqrt(known) + 1)
         word_class = np.unique(word_class, return_inverse=True)[1]
         return cls(word[by_hash], n[by_hash], total, distinct, number[by_hash], int(numbers[known]), word_class, sizes[order])
 
@@ -135,6 +136,13 @@ def _train(counts: Counts, flat: np.ndarray | None, block: int):
     return run
 
 
+def _mean(parts: pa.Table) -> pa.Table:
+    """The weights of one block, averaged by tokens."""
+    tokens = parts.column("tokens").to_numpy()
+    total = sum(np.asarray(w.values) for w in parts.column("w"))
+    return pa.table({"block": parts.column("block")[:1], "w": pa.array([total / tokens.sum()], pa.list_(pa.float64()))})
+
+
 def train(docs: DataFrame, counts: Counts, block: int = 4096) -> recurrent.Model:
     """Training in every task on ``docs (doc_id, text)``, a share in each round, begun with the average of the weights before."""
     model = recurrent.Model.fresh(counts.word_class, counts.class_counts)
@@ -142,12 +150,11 @@ def train(docs: DataFrame, counts: Counts, block: int = 4096) -> recurrent.Model
     part = F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(SHARE))
     for k in range(SHARE):
         parts = docs.filter(part == k).select("text").mapInArrow(_train(counts, flat, block), "block long, w array<double>, tokens long")
-        each = parts.select("block", "tokens", F.posexplode("w").alias("at", "w"))
-        mean = each.groupBy("block", "at").agg((F.sum("w") / F.sum("tokens")).alias("w")).toArrow()  # as many rows as weights
+        mean = parts.groupBy("block").applyInArrow(_mean, "block long, w array<double>").toArrow()  # as many numbers as weights
         if not mean.num_rows:
             continue
-        flat = np.zeros(len(model.flat()))
-        flat[mean.column("block").to_numpy() * block + mean.column("at").to_numpy()] = mean.column("w").to_numpy()
+        order = np.argsort(mean.column("block").to_numpy())
+        flat = mean.column("w").combine_chunks().take(pa.array(order)).flatten().to_numpy()
     return model if flat is None else model.with_flat(flat)
 
 

@@ -11,10 +11,10 @@ from dataclasses import dataclass
 
 import numpy as np
 
-EMBEDDING, HIDDEN = 12, 16
+EMBEDDING, HIDDEN = 16, 24
 #: Slots and window for scoring and for training.
 SCORE_SLOTS, SCORE_WINDOW = 256, 32
-TRAIN_SLOTS, TRAIN_WINDOW = 32, 16
+TRAIN_SLOTS, TRAIN_WINDOW = 64, 24
 RATE, CLIP = 0.005, 1.0
 
 
@@ -153,7 +153,7 @@ def score(model: Model, ids: np.ndarray, first: np.ndarray, slots: int = SCORE_S
 
 
 class Trainer:
-    """Truncated backpropagation with Adam."""
+    """Truncated backpropagation with Adam. Embeddings and words of the output that a step doesn't touch stay as they are in it."""
 
     def __init__(self, model: Model):
         self.model = Model(model.edges, {k: v.copy() for k, v in model.weights.items()})
@@ -161,6 +161,7 @@ class Trainer:
         self.v = {k: np.zeros_like(v) for k, v in model.weights.items()}
         self.t = 0
         self.tokens = 0
+        self.touched: dict[str, np.ndarray] = {}
 
     def train(self, ids: np.ndarray, first: np.ndarray, slots: int = TRAIN_SLOTS, window: int = TRAIN_WINDOW) -> None:
         begin = len(self.model.weights["word"])
@@ -213,6 +214,7 @@ class Trainer:
         gradient["embedding"] = np.zeros_like(w["embedding"])
         order = np.argsort(before.reshape(-1), kind="stable")
         seen, starts = np.unique(before.reshape(-1)[order], return_index=True)
+        self.touched["embedding"] = seen
         gradient["embedding"][seen] = np.add.reduceat((flat @ w["input"].T)[order], starts)
         self._update(gradient)
         return h
@@ -241,15 +243,19 @@ class Trainer:
                 gradient["word"][mine] = q.T @ states[rows]
                 gradient["word_bias"][mine] = q.sum(axis=0)
                 back[rows] += q @ w["word"][mine]
+        classes_seen = cuts[1:] > cuts[:-1]
+        self.touched["word"] = self.touched["word_bias"] = np.flatnonzero(np.repeat(classes_seen, np.diff(edges)))
         return gradient, back
 
     def _update(self, gradient: dict[str, np.ndarray]) -> None:
         self.t += 1
+        rows = {name: self.touched.get(name, slice(None)) for name in gradient}
+        gradient = {name: g[rows[name]] for name, g in gradient.items()}
         norm = np.sqrt(sum(float((g * g).sum()) for g in gradient.values()))
         factor = np.float32(min(1.0, CLIP / max(norm, 1e-9)))
+        rate = np.float32(RATE * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t))
         for name, g in gradient.items():
-            g = g * factor
-            self.m[name] = 0.9 * self.m[name] + 0.1 * g
-            self.v[name] = 0.999 * self.v[name] + 0.001 * g * g
-            rate = RATE * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t)
-            self.model.weights[name] = (self.model.weights[name] - rate * self.m[name] / (np.sqrt(self.v[name]) + 1e-8)).astype(np.float32)
+            at, g = rows[name], g * factor
+            m = self.m[name][at] = 0.9 * self.m[name][at] + 0.1 * g
+            v = self.v[name][at] = 0.999 * self.v[name][at] + 0.001 * g * g
+            self.model.weights[name][at] -= rate * m / (np.sqrt(v) + 1e-8)

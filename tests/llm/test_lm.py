@@ -70,6 +70,13 @@ def test_every_training_document_trains_the_network(session):
         assert not np.array_equal(whole, lm.train(docs.filter(f"doc_id <> {left_out}"), counts).flat())
 
 
+def test_the_network_knows_the_words_that_make_up_most_of_the_corpus(session):
+    rows = [(w, n) for w, n in enumerate([40] * 3000 + [1] * 20_000)]
+    counts = lm.Counts.of(session.createDataFrame(rows, "word long, n long"))
+    assert int((counts.number != counts.other).sum()) == 0.75 * (120_000 + 20_000) // 40 + (0.75 * 140_000 % 40 > 0)
+    assert len(set(counts.word_class)) > 24
+
+
 def test_probabilities_of_all_words_add_up_to_one():
     counts = np.array([500, 300, 200, 90, 50, 20, 10, 5, 2, 1])
     word_class = np.unique(recurrent.classes(counts, 4), return_inverse=True)[1]
