@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressroom.llm import decontaminate, jaccard, licenses, lm, mixing, quality, rules, secrets, toxicity, urls
+from pressroom.llm import decontaminate, jaccard, licenses, lm, mixing, periods, quality, rules, secrets, toxicity, urls
 from pressroom.llm.session import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,22 @@ def op8_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
 def op1_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Verdicts on the urls of all pages."""
     return urls.judge(table(spark, sf, "pages"), table(spark, sf, "labels"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of repeated words in all documents, with the digests of all runs and of the collapsed texts."""
+    found = periods.periodic_runs(periods.repeated_tail(table(spark, sf, "documents")))
+    best = periods.longest_repeat(F.col("runs"))
+    line = lambda r: F.concat_ws(",", r.start, r.length, r.period)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
