@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressroom.llm import decontaminate, jaccard, licenses, lm, mixing, periods, quality, rules, secrets, toxicity, urls
+from pressroom.llm import decontaminate, jaccard, licenses, lm, merkle, mixing, periods, quality, rules, secrets, toxicity, urls
 from pressroom.llm.session import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,62 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    r"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, lang, coalesce(CAST(octet_length(encode(CAST(doc_id AS VARCHAR))) AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR), '-')
+          || coalesce(CAST(octet_length(encode(source)) AS VARCHAR) || ':' || source, '-') || coalesce(CAST(octet_length(encode(lang)) AS VARCHAR) || ':' || lang, '-') AS head,
+        coalesce(CAST(octet_length(encode(text)) AS VARCHAR) || ':' || text, '-') AS tail, n_chars,
+        list_reduce([4294967295::UBIGINT] || list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS UBIGINT)),
+          lambda c, b: list_reduce([xor(c, b)] || list_transform(range(8), lambda j: 0::UBIGINT), lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))) AS crc
+      FROM documents),
+    hashed AS (
+      SELECT doc_id, lang, sha256(head || coalesce(CAST(length(CAST(n_chars AS VARCHAR)) AS VARCHAR) || ':' || CAST(n_chars AS VARCHAR), '-') || tail) AS leaf,
+        sha256(head || coalesce(CAST(length(CAST(n AS VARCHAR)) AS VARCHAR) || ':' || CAST(n AS VARCHAR), '-') || tail) AS given
+      FROM (SELECT *, CASE WHEN xor(crc, 4294967295::UBIGINT) % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS n FROM d)),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM hashed),
+    nodes AS (
+      SELECT lang, 0 AS lvl, rank AS i, leaf AS h, count(*) OVER (PARTITION BY lang) AS m FROM leaves
+      UNION ALL
+      SELECT lang, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (m + 1) // 2 FROM nodes WHERE m > 1 GROUP BY lang, lvl, i // 2, m),
+    tops AS (SELECT lang, lvl, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM nodes WHERE m = 1),
+    upper AS (
+      SELECT 0 AS lvl, place AS i, subroot AS h, count(*) OVER () AS m FROM tops
+      UNION ALL
+      SELECT lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (m + 1) // 2 FROM upper WHERE m > 1 GROUP BY lvl, i // 2, m),
+    steps AS (
+      SELECT l.doc_id, l.lang, l.rank, t.subroot, l.leaf, l.given, n.lvl, n.m > 1 AS used, s.h AS sibling, (l.rank >> n.lvl) % 2 AS odd
+      FROM leaves l JOIN tops t ON l.lang IS NOT DISTINCT FROM t.lang
+      JOIN (SELECT DISTINCT lang, lvl, m FROM nodes) n ON n.lang IS NOT DISTINCT FROM l.lang AND n.m > 1
+      LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM l.lang AND s.lvl = n.lvl AND s.i = xor(l.rank >> n.lvl, 1)
+      UNION ALL
+      SELECT l.doc_id, l.lang, l.rank, t.subroot, l.leaf, l.given, 100 + u.lvl, true, s.h, (t.place >> u.lvl) % 2
+      FROM leaves l JOIN tops t ON l.lang IS NOT DISTINCT FROM t.lang JOIN (SELECT DISTINCT lvl, m FROM upper WHERE m > 1) u ON true
+      LEFT JOIN upper s ON s.lvl = u.lvl AND s.i = xor(t.place >> u.lvl, 1)),
+    paths AS (
+      SELECT lang, rank, list(CASE WHEN sibling IS NULL THEN ['', ''] WHEN odd = 1 THEN [sibling, ''] ELSE ['', sibling] END ORDER BY lvl) AS path,
+        string_agg(coalesce(sibling, ''), '' ORDER BY lvl) AS siblings
+      FROM steps GROUP BY lang, rank)
+    SELECT l.doc_id, l.leaf, t.subroot, r.h AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+      list_reduce([['', l.given]] || coalesce(path, []), lambda a, s: ['', sha256(s[1] || a[2] || s[2])])[2] AS folded_root,
+      list_reduce([['', l.given]] || coalesce(path, []), lambda a, s: ['', sha256(s[1] || a[2] || s[2])])[2] = r.h AS verified
+    FROM leaves l JOIN tops t ON l.lang IS NOT DISTINCT FROM t.lang LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM l.lang AND p.rank = l.rank
+    CROSS JOIN (SELECT h FROM upper WHERE m = 1) r
+    """
+)
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents, and the roots that partly tampered leaves give."""
+    docs = table(spark, sf, "documents")
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    plain = {f: F.col(f) for f in fields}
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = plain | {"n_chars": F.when(chosen, F.col("n_chars").cast("decimal(20)") + 1).otherwise(F.col("n_chars").cast("decimal(20)"))}
+    given = merkle.digest(*changed.values()).alias("given")
+    found = merkle.merkle_manifest(docs, F.col("lang"), [F.col("doc_id")], merkle.digest(*plain.values()), F.col("doc_id"), given)
+    root = merkle.folded(F.col("given"), F.col("path"))
+    found = found.withColumn("folded_root", root)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
