@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressroom.llm import decontaminate, jaccard, licenses, lm, merkle, mixing, periods, quality, rules, secrets, toxicity, urls
+from pressroom.llm import decontaminate, jaccard, licenses, lm, maintext, merkle, mixing, periods, quality, rules, secrets, toxicity, urls
 from pressroom.llm.session import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -243,3 +243,9 @@ def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
     )
+
+
+@query()
+def op13_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of all pages."""
+    return maintext.extract_main_text(table(spark, sf, "pages"))
