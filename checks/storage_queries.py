@@ -68,7 +68,8 @@ def _load(spark, sf: str, metrics: RunMetrics | None = None) -> str:
     third = len(hours) // 3
     windows = [hours[: third + 30], hours[third : 2 * third + 30], hours[2 * third :], ["1999/01/01/00"]]
     for number, names in enumerate(windows):
-        ingest.ingest_events(spark, f"{base}/raw", f"{base}/events", SITE, names, f"{base}/rejected", metrics if number == len(windows) - 1 else None)
+        seen = metrics if number == len(windows) - 1 else None
+        ingest.ingest_events(spark, f"{base}/raw", f"{base}/events", SITE, names, f"{base}/rejected", seen, manifest_path=f"{base}/hours")
     return base
 
 
@@ -100,6 +101,41 @@ def stream_ingested(spark, sf):
     return tables.read_events(spark, f"{base}/events").select(*_COLUMNS)
 
 
+_DAY = [f"2024/01/15/{h:02d}" for h in range(24)]
+
+
+@query(
+    f"""
+    SELECT * FROM (WITH f AS (
+        SELECT CAST(floor(epoch(collector_tstamp) / 21600) * 21600 AS BIGINT) + 18000 + CASE WHEN n % 10 = 7 THEN 172800 ELSE 0 END AS folder,
+            CAST(round_even(CAST(epoch_us(collector_tstamp) AS DECIMAL(20,0)) / 1000000, 0) AS BIGINT) // 3600 * 3600 AS hour, n % 10 NOT IN (0, 1, 7) AS usable
+        FROM raw_events),
+    named AS (SELECT DISTINCT folder FROM f WHERE make_timestamp(folder * 1000000)::DATE = DATE '2024-01-15'),
+    touched AS (
+        SELECT 1705276800 + 3600 * unnest(range(24)) AS hour UNION SELECT hour FROM f WHERE usable AND folder IN (FROM named)),
+    holding AS (SELECT folder FROM named UNION SELECT folder FROM f WHERE usable AND hour IN (FROM touched)),
+    reachable AS (SELECT folder FROM named UNION SELECT f.folder FROM f JOIN touched t ON f.folder BETWEEN t.hour - 3600 AND t.hour + 21600),
+    written AS (SELECT count(*) AS n FROM ({_LOADED}) WHERE epoch(strptime(chunk_name, '%Y/%m/%d/%H')) IN (FROM touched))
+    SELECT 'with manifest' AS load, (SELECT count(*) FROM holding) AS read_folders, (SELECT n FROM written) AS written_events
+    UNION ALL SELECT 'without manifest', (SELECT count(*) FROM reachable), (SELECT n FROM written))
+    """,
+    "raw_events",
+)
+def late_hours(spark, sf):
+    """One day loaded again after the days around it: with the hour manifest only folders with lines of its hours are read, without it all that could have
+    some. What is written is the same."""
+    base = _place(spark)
+    around = [h for h in _land(spark, sf, f"{base}/raw") if "2024/01/13" <= h[:10] <= "2024/01/17"]
+    ingest.ingest_events(spark, f"{base}/raw", f"{base}/events", SITE, around, manifest_path=f"{base}/hours")
+    rows = []
+    for name, place in (("with manifest", f"{base}/hours"), ("without manifest", None)):
+        metrics = RunMetrics(name)
+        ingest.ingest_events(spark, f"{base}/raw", f"{base}/events", SITE, _DAY, metrics=metrics, manifest_path=place)
+        counts = {r[1]: int(r[2]) for r in metrics.rows()}
+        rows.append((name, counts["read_folders"], counts["written_events"]))
+    return spark.createDataFrame(rows, "load string, read_folders long, written_events long")
+
+
 @query(
     f"""
     SELECT 'downloaded_rows' AS name, CAST(count(*) AS DOUBLE) AS value FROM raw_events
@@ -116,7 +152,7 @@ def run_metrics(spark, sf):
     full, empty = RunMetrics("full"), RunMetrics("empty")
     ingest.ingest_events(spark, f"{base}/raw", f"{base}/events", SITE, hours, f"{base}/rejected", full)
     ingest.ingest_events(spark, f"{base}/raw", f"{base}/events", SITE, ["1999/01/01/00"], f"{base}/rejected", empty)
-    full.frame(spark).write.parquet(f"{base}/metrics")
+    full.frame(spark).filter("name <> 'read_folders'").write.parquet(f"{base}/metrics")
     empty.frame(spark).filter("name = 'downloaded_rows'").withColumn("name", F.concat(F.lit("empty_"), "name")).write.mode("append").parquet(f"{base}/metrics")
     return spark.read.schema(schemas.RUN_METRICS).parquet(f"{base}/metrics").select("name", "value")
 

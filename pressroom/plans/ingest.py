@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +15,10 @@ from pressroom.operators import dwell, events
 from pressroom.operators.metrics import RunMetrics, observed
 from pressroom.session import settle
 from pressroom.sources import chunks, tables
+from pressroom.sources import hours as manifest
+
+#: Hours that are loaded in one go, when years of folders are.
+HOURS_AT_ONCE = 240
 
 
 def judge(lines: DataFrame, fields=config.REQUIRED_EVENT_FIELDS) -> DataFrame:
@@ -48,52 +56,101 @@ def judge_landed(lines: DataFrame, site: config.SiteConfig) -> DataFrame:
     return judged.withColumn("reason", F.coalesce(F.col("reason"), outside))
 
 
-def touched_hours(lines: DataFrame, site: config.SiteConfig) -> list[str]:
-    """The hours that usable lines belong to: one short name for each."""
-    usable = judge_landed(lines, site).filter(F.col("reason").isNull())
-    hours = (site.event_rule or events.normalise_events)(usable).select("chunk_name").distinct()
-    return sorted(row["chunk_name"] for row in hours.collect() if row["chunk_name"])
+def hours_of_folders(judged: DataFrame, site: config.SiteConfig) -> dict[str, dict[str, int]]:
+    """Usable lines of each folder by the hour they belong to: one short row for each pair, as many for a folder as its lines may be
+    hours late. The folder travels as the site, which every event rule keeps."""
+    usable = judged.filter(F.col("reason").isNull()).withColumn("site", F.col("chunk_dir"))
+    pairs = (site.event_rule or events.normalise_events)(usable).groupBy("site", "chunk_name").count()
+    found: dict[str, dict[str, int]] = {}
+    for row in pairs.filter("chunk_name IS NOT NULL").collect():
+        found.setdefault(row["site"], {})[row["chunk_name"]] = row["count"]
+    return found
+
+
+@dataclass(frozen=True)
+class Source:
+    """Where the raw lines of a site are, where what is made of them goes, and how they are packed. ``manifest`` is the place of
+    the hour manifest; without it every folder that could hold lines of an hour is read for it."""
 
+    root: str
+    events: str
+    rejected: str | None = None
+    manifest: str | None = None
+    gzip_without_suffix: bool = False
 
-def load_hours(
+
+def _judged(spark: SparkSession, source: Source, site: config.SiteConfig, folders: list[str], seen: Observation | None = None) -> DataFrame | None:
+    """The lines of folders, parsed once and settled, with the raw text of the unusable ones only."""
+    if not folders:
+        return None
+    unusable = F.col("reason").isNotNull()
+    lines = chunks.read_event_chunks(spark, source.root, site.name, folders, source.gzip_without_suffix)
+    judged = judge_landed(lines, site).withColumn("value", F.when(unusable, F.col("value")))
+    if seen is not None:
+        judged = judged.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(unusable).alias("rejected"))
+    return settle(judged)
+
+
+def load_folders(
     spark: SparkSession,
-    root: str,
-    events_path: str,
+    source: Source,
     site: config.SiteConfig,
-    hours: list[str],
-    folders: list[str],
-    rejected_path: str | None = None,
-    metrics: RunMetrics | None = None,
-    gzip_without_suffix: bool = False,
-) -> None:
-    """Compute whole hours from all folders that can hold their lines, and replace them.
-
-    ``folders`` are read besides, counted, and their unusable lines replaced under
-    ``rejected_path``. The raw files are read once and the parsed lines settled, with the raw text
-    of the unusable ones only.
+    names: list[str],
+    hours: list[str] | None = None,
+    oldest_chunk: str | None = None,
+    done: frozenset[str] = frozenset(),
+) -> tuple[set[str], dict[str, int]]:
+    """Load the lines of the named folders: every hour they belong to is computed again as a whole and replaced, but those in ``done``.
+
+    ``hours`` are replaced besides. Without ``hours`` only those are loaded of which a folder has more lines than the manifest notes, and none
+    before ``oldest_chunk``. Each folder is parsed once: the named ones first, which tells the hours; then other folders, as far as
+    they have lines of these hours. The manifest is written last, so a load that was broken off is made again.
+    Returns the hours that were loaded, and counts.
     """
-    around = sorted({*chunks.folders_around(hours, site.hours_of_data), *folders})
-    counts = {}
-    if chunks.chunk_paths(spark, root, site.name, around):
-        lines = chunks.read_event_chunks(spark, root, site.name, around, gzip_without_suffix)
-        unusable = F.col("reason").isNotNull()
-        judged = judge_landed(lines, site).withColumn("value", F.when(unusable, F.col("value")))
-        mine = F.col("chunk_dir").isin(folders)
-        seen = Observation(f"lines of {site.name}")
-        judged = settle(judged.observe(seen, F.count_if(mine).alias("lines"), F.count_if(mine & unusable).alias("rejected")))
-        rows = events_from_judged(judged, site.event_rule).filter(F.col("chunk_name").isin(hours))
-        if metrics is not None:
-            rows = metrics.counted(rows, "written_events")
-        tables.replace_chunks(rows, events_path)
-        counts = observed(seen)
-        if rejected_path is not None:
-            bad = judged.filter(unusable & mine).drop(*site.event_fields)
-            tables.replace_rejected(bad, rejected_path, site.name, folders)
-    elif rejected_path is not None:
-        tables.replace_rejected(None, rejected_path, site.name, folders)
+    there = chunks.landed(spark, source.root, site.name, names)
+    present = manifest.sizes(spark, source.root, site.name, there) if source.manifest else {}
+    seen = Observation(f"lines of {site.name}")
+    named = _judged(spark, source, site, there, seen)
+    by_folder = {f: {} for f in there} | (hours_of_folders(named, site) if there else {})
+    if hours is None:
+        wanted = manifest.changed_hours(manifest.known(spark, source.manifest, site.name, there), by_folder)
+        wanted = {h for h in wanted if oldest_chunk is None or h >= oldest_chunk} - done
+    else:
+        wanted = {*hours, *(h for lines in by_folder.values() for h in lines)} - done
+
+    around = sorted({*chunks.folders_around(sorted(wanted), site.hours_of_data)} - {*there}) if wanted else []
+    around = chunks.landed(spark, source.root, site.name, around)
+    if source.manifest:
+        noted = manifest.known(spark, source.manifest, site.name, around)
+        around = manifest.needed(noted, manifest.sizes(spark, source.root, site.name, around), wanted)
+    parts = [p for p in (named, _judged(spark, source, site, around)) if p is not None]
+    written = Observation(f"events of {site.name}")
+    if parts and wanted:
+        rows = events_from_judged(reduce(DataFrame.unionByName, parts), site.event_rule).filter(F.col("chunk_name").isin(sorted(wanted)))
+        tables.replace_chunks(rows.observe(written, F.count(F.lit(1)).alias("events")), source.events)
+    if source.rejected is not None:
+        bad = None if named is None else named.filter(F.col("reason").isNotNull()).drop(*site.event_fields)
+        tables.replace_rejected(bad, source.rejected, site.name, names)
+    if source.manifest:
+        manifest.note(spark, source.manifest, site.name, {f: manifest.Folder(present[f], by_folder[f]) for f in there})
+    counts = {"downloaded_rows": 0, "rejected_rows": 0, "written_events": 0, "read_folders": len(there) + len(around)}
+    if there:
+        counts |= {"downloaded_rows": observed(seen).get("lines", 0), "rejected_rows": observed(seen).get("rejected", 0)}
+    if parts and wanted:
+        counts["written_events"] = observed(written).get("events", 0)
+    return wanted, counts
+
+
+def in_steps(load: Callable[[list[str], frozenset[str]], tuple[set[str], dict[str, int]]], names: list[str], metrics: RunMetrics | None) -> None:
+    """Load many folders ``HOURS_AT_ONCE`` at a time, the newest first. An hour that an earlier step has loaded is whole already."""
+    ordered, done, total = sorted({*names}, reverse=True), frozenset(), {}
+    for first in range(0, len(ordered), HOURS_AT_ONCE):
+        hours, counts = load(ordered[first : first + HOURS_AT_ONCE], done)
+        done |= hours
+        total = {k: total.get(k, 0) + v for k, v in counts.items()}
     if metrics is not None:
-        metrics.add("downloaded_rows", counts.get("lines", 0))
-        metrics.add("rejected_rows", counts.get("rejected", 0))
+        for name, value in total.items():
+            metrics.add(name, value)
 
 
 def ingest_events(
@@ -105,15 +162,15 @@ def ingest_events(
     rejected_path: str | None = None,
     metrics: RunMetrics | None = None,
     gzip_without_suffix: bool = False,
+    manifest_path: str | None = None,
 ) -> None:
     """Load the named chunks of one site, replacing what the events table held for them.
 
     A line may land in a folder after its hour, or be rounded into the next one, so the hours
-    that the named folders have lines of are loaded too, each from all folders that can hold it.
+    that the named folders have lines of are loaded too, each from all folders that can hold it; with a manifest, that do hold it.
     """
-    lines = chunks.read_event_chunks(spark, root, site.name, names, gzip_without_suffix)
-    hours = sorted({*names, *touched_hours(lines, site)})
-    load_hours(spark, root, events_path, site, hours, names, rejected_path, metrics, gzip_without_suffix)
+    source = Source(root, events_path, rejected_path, manifest_path, gzip_without_suffix)
+    in_steps(lambda some, done: load_folders(spark, source, site, some, some, done=done), names, metrics)
 
 
 def refresh_dwell(

@@ -33,7 +33,7 @@ class Store:
 
 def _update_events(spark, store: Store, site: config.SiteConfig, names: list[str], metrics: RunMetrics) -> None:
     ingest.ingest_events(
-        spark, store.raw, store.table("events"), site, names, store.table("rejected"), metrics
+        spark, store.raw, store.table("events"), site, names, store.table("rejected"), metrics, manifest_path=store.table("event_hours")
     )
 
 

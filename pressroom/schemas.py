@@ -1,5 +1,7 @@
 """Column layouts of the stored tables."""
 
+EVENT_HOURS = "site string, chunk_dir string, chunk_name string, lines bigint, bytes bigint, files bigint"
+
 RAW_EVENTS = "collector_tstamp string, domain_userid string, event_name string, page_urlpath string"
 
 EVENTS = (

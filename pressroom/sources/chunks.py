@@ -37,10 +37,15 @@ def folders_around(names: list[str], late_hours: int) -> list[str]:
     return sorted(m.strftime("%Y/%m/%d/%H") for m in around)
 
 
-def chunk_paths(spark: SparkSession, root: str, site: str, chunks: list[str]) -> list[str]:
-    """Folders of the named chunks that are there; each day's folder is listed once."""
+def landed(spark: SparkSession, root: str, site: str, chunks: list[str]) -> list[str]:
+    """The named chunks that have a folder; each day's folder is listed once."""
     days = {day: set(files.children(spark, f"{root}/{site}/{day}")) for day in {chunk[:10] for chunk in chunks}}
-    return [f"{root}/{site}/{chunk}" for chunk in chunks if chunk[11:] in days[chunk[:10]]]
+    return [chunk for chunk in chunks if chunk[11:] in days[chunk[:10]]]
+
+
+def chunk_paths(spark: SparkSession, root: str, site: str, chunks: list[str]) -> list[str]:
+    """Folders of the named chunks that are there."""
+    return [f"{root}/{site}/{chunk}" for chunk in landed(spark, root, site, chunks)]
 
 
 def read_event_chunks(

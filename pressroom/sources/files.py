@@ -25,6 +25,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in _fs(spark, path).listStatus(_path(spark, path))]
 
 
+def size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and number of files under a folder."""
+    summary = _fs(spark, path).getContentSummary(_path(spark, path))
+    return summary.getLength(), summary.getFileCount()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pressroom import config
 from pressroom.operators import events
 from pressroom.operators.metrics import RunMetrics
-from pressroom.plans.ingest import load_hours, touched_hours
+from pressroom.plans.ingest import Source, in_steps, load_folders
 from pressroom.sources import chunks
 
 
@@ -25,10 +25,6 @@ def landed_lines(spark: SparkSession, root: str, site: str, max_files: int | Non
     )
 
 
-#: Hours that are loaded in one go when a first start finds years of folders.
-HOURS_AT_ONCE = 240
-
-
 def stream_ingest(
     spark: SparkSession,
     root: str,
@@ -39,27 +35,24 @@ def stream_ingest(
     max_files: int | None = None,
     rejected_path: str | None = None,
     metrics: RunMetrics | None = None,
+    manifest_path: str | None = None,
 ) -> StreamingQuery:
     """Process what has landed since the last call and stop.
 
-    A batch only tells which hours and folders have news; those hours are computed again from all
-    folders that can hold them and replaced, so a late line re-opens its chunk and a
-    repeated batch changes nothing. Hours before ``oldest_chunk`` are ignored. Unusable lines of
-    the folders go to ``rejected_path``, as in the batch load.
+    A batch only tells which folders have news. Those are parsed once; hours of which they have more lines than
+    the hour manifest notes are computed again from all folders that have lines of them and replaced, so a late line re-opens its chunk and a
+    repeated batch changes nothing. The manifest is kept beside the stream's own progress unless it has another place. Hours before ``oldest_chunk`` are ignored. Unusable
+    lines of the folders go to ``rejected_path``, as in the batch load.
     """
+    source = Source(root, events_path, rejected_path, manifest_path or f"{checkpoint}/event_hours")
+    # the end of the folder before may be rounded into the oldest chunk
+    first = min(chunks.folders_around([oldest_chunk], 0)) if oldest_chunk else None
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        session = batch.sparkSession
-        recent = [] if oldest_chunk is None else [oldest_chunk]
-        hours = [n for n in touched_hours(batch, site) if n >= max(recent, default=n)]
-        folders = [row["chunk_dir"] for row in batch.select("chunk_dir").distinct().collect()]  # one name per hour
-        folders = sorted(n for n in folders if n >= max(recent, default=n))
-        every = sorted({*hours, *folders})
-        for first in range(0, len(every), HOURS_AT_ONCE):
-            some = set(every[first : first + HOURS_AT_ONCE])
-            load_hours(
-                session, root, events_path, site, [n for n in hours if n in some], [n for n in folders if n in some], rejected_path, metrics
-            )
+        folders = sorted(row["chunk_dir"] for row in batch.select("chunk_dir").distinct().collect())  # one name per hour
+        folders = [n for n in folders if n and (first is None or n >= first)]
+        step = lambda some, done: load_folders(batch.sparkSession, source, site, some, oldest_chunk=oldest_chunk, done=done)
+        in_steps(step, folders, metrics)
 
     lines = landed_lines(spark, root, site.name, max_files)
     return (
