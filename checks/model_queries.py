@@ -205,6 +205,12 @@ def knn_recs_small_blocks(spark, sf):
     return similarity.nearest(_decayed(spark, sf), 10, block_rows=128)
 
 
+@query(_KNN.replace("* pow(0.5, date_diff('day', b.published_at, DATE '2024-01-30') / 30.0)", ""), "item_vectors")
+def knn_recs_equal_decays(spark, sf):
+    """Neighbours by direction alone, through small blocks around eight pivots: blocks are left out by their angle."""
+    return similarity.nearest(_decayed(spark, sf).withColumn("decay", F.lit(1.0)), 10, block_rows=64, cells=8)
+
+
 # ---------------------------------------------------------------- training, evaluation
 
 
@@ -293,8 +299,13 @@ _FIXED = """
 """
 
 
-@query(
-    f"""
+def _fixed_factors(spark, sf):
+    vectors_of = i.read(spark, sf, "embeddings").select(F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features"))
+    pairs = i.read(spark, sf, "lineitem").select(F.col("l_suppkey").cast("int").alias("user_id"), F.col("l_partkey").cast("int").alias("item_id"))
+    return vectors_of.filter("id % 2 = 0"), vectors_of.filter("id % 2 = 1"), pairs
+
+
+_RANKS = f"""
     WITH {_FIXED},
     known AS (SELECT p.user_id, p.item_id, u.v, round(list_dot_product(u.v, i.v), 6) AS mine
               FROM pairs p JOIN users u USING (user_id) JOIN items i USING (item_id)),
@@ -308,12 +319,18 @@ _FIXED = """
     SELECT user_id, item_id, n + 1.0, TRUE FROM pairs, n
     WHERE user_id IN (SELECT user_id FROM users) AND item_id NOT IN (SELECT item_id FROM items)
     """
-)
+
+
+@query(_RANKS)
 def factor_ranks(spark, sf):
     """Ranks from fixed factors: even embeddings are readers, odd ones articles, line items the held-out pairs, many of them cold."""
-    vectors_of = i.read(spark, sf, "embeddings").select(F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features"))
-    pairs = i.read(spark, sf, "lineitem").select(F.col("l_suppkey").cast("int").alias("user_id"), F.col("l_partkey").cast("int").alias("item_id"))
-    return evaluation.factor_ranks(vectors_of.filter("id % 2 = 0"), vectors_of.filter("id % 2 = 1"), pairs)
+    return evaluation.factor_ranks(*_fixed_factors(spark, sf))
+
+
+@query(_RANKS)
+def factor_ranks_small_blocks(spark, sf):
+    """The same through blocks of 32 articles around four pivots."""
+    return evaluation.factor_ranks(*_fixed_factors(spark, sf), block_rows=32, cells=4)
 
 
 @query(

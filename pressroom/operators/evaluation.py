@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressroom.functions.vectors import dot
+from pressroom.functions.vectors import dot, norm
+from pressroom.operators.index import block_index, dot_bounds, matrix, with_bounds
 from pressroom.operators.ordering import total_before
 from pressroom.operators.skew import key_counts, lookup_join
 from pressroom.operators.tiles import BLOCK_ROWS, hash_blocks, tile_apply
@@ -82,13 +83,27 @@ def count_better(held_out: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def open_blocks(held_out: pd.DataFrame, summaries: pd.DataFrame) -> pd.DataFrame:
+    """Held-out rows once for each block that their own score doesn't settle, and one row each with the number of items in
+    blocks that are better as a whole. Scores that round alike may be equal, so a little more than the rounding is left open."""
+    low, high = dot_bounds(matrix(held_out["user_factors"]), summaries)
+    mine, slack = held_out["score"].to_numpy()[:, None], 2 * 10.0**-SCORE_DIGITS
+    better = low > mine + slack
+    row, column = np.nonzero((high >= mine - slack) & ~better)
+    rows = held_out[["user_id", "item_id", "user_factors", "score", "_lb"]]
+    tiles = rows.iloc[row].assign(_rb=summaries["_block"].to_numpy()[column], better=None)
+    whole = rows.assign(user_factors=None, _rb=None, better=better @ summaries["n_rows"].to_numpy())
+    return pd.concat([tiles, whole.astype({"_rb": object})]).astype({"_rb": "Int32", "better": "Int64"})
+
+
 def factor_ranks(
-    user_factors: DataFrame, item_factors: DataFrame, held_out: DataFrame, block_rows: int = BLOCK_ROWS
+    user_factors: DataFrame, item_factors: DataFrame, held_out: DataFrame, block_rows: int = BLOCK_ROWS, cells: int | None = None
 ) -> DataFrame:
     """Ranks of held-out items among *all* items, straight from the factors.
 
-    Each block of held-out rows meets each block of items; a tile returns two counts per
-    held-out row, so user x item scores are never stored or shuffled. No pair is dropped: an item
+    Items are cut into blocks by direction and length. For each held-out row a block whose every item must score less counts nothing, one whose every
+    item must score more counts as a whole, and only for blocks in between a tile is computed, which returns two counts for each
+    held-out row; user x item scores are never stored or shuffled. No pair is dropped: an item
     without factors comes after all others, and for a user without factors all items are tied. Such pairs are ``cold``.
     """
     vector = F.transform("features", lambda x: x.cast("double"))
@@ -102,16 +117,15 @@ def factor_ranks(
     known = known.withColumn("score", dot(F.col("user_factors"), F.col("item_factors"))).drop("item_factors")
     n_pairs, n_items = pairs.count(), items.count()
     known = hash_blocks(known, ["user_id", "item_id"], n_pairs, block_rows, "_lb")
-    right = hash_blocks(items, ["item_id"], n_items, block_rows, "_rb")
-    every_block = F.sequence(F.lit(0), F.lit(max(0, -(-n_items // block_rows) - 1)))
-    tiles = known.withColumn("_rb", F.explode(every_block))
-    counted = tile_apply(
-        tiles,
-        right,
-        count_better,
-        "user_id int, item_id int, better long, equal long",
-        -(-n_pairs // block_rows),
-    )
+    n_left = -(-n_pairs // block_rows)
+    index = block_index(items.withColumn("length", norm(F.col("features"))), "item_id", "features", "length", n_items, block_rows, cells)
+    schema = "user_id int, item_id int, user_factors array<double>, score double, _lb int, _rb int, better long"
+    bounded = settle(with_bounds(known, index, open_blocks, schema, n_left))
+    tiles = bounded.filter("_rb IS NOT NULL").drop("better")
+    right = index.rows.select("item_id", "features", F.col("_block").alias("_rb"))
+    counted = tile_apply(tiles, right, count_better, "user_id int, item_id int, better long, equal long", n_left)
+    sure = bounded.filter("_rb IS NULL").select("user_id", "item_id", "better", F.lit(0).cast("long").alias("equal"))
+    counted = counted.unionByName(sure)
     warm = counted.groupBy("user_id", "item_id").agg(
         (F.sum("better") + (F.sum("equal") + 1) / 2).alias("rank"), F.lit(False).alias("cold")
     )

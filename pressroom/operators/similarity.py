@@ -2,11 +2,10 @@
 
 score(i, j) = decay(j) * (1 + cos(i, j)) / 2, for j != i.
 
-A score never exceeds the decay of its target. Targets are therefore numbered by falling
-decay and cut into blocks; each source first meets the top block, and its k-th best score
-there says which later blocks can still matter: those whose largest decay reaches it. On
-news data the decay falls to nothing within a few half-lives, so most blocks are skipped,
-and the result is still the exact top k.
+A score never exceeds the decay of its target, and hardly any target is as close as the closest. Targets are therefore cut into
+blocks of similar direction and decay (``operators/index.py``); each source first meets the most recent block of its own
+neighbourhood, and its k-th best score there says which other blocks can still matter: those in which a target could
+reach it, by the block's largest decay and the angle between the source and the block. The result is still the exact top k.
 """
 
 from __future__ import annotations
@@ -19,9 +18,9 @@ from pyspark.sql import functions as F
 
 from pressroom import config
 from pressroom.functions.vectors import score_decimal
-from pressroom.operators.ordering import numbered
+from pressroom.operators.index import block_index, dot_bounds, matrix, with_bounds
 from pressroom.operators.skew import lookup_join
-from pressroom.operators.tiles import BLOCK_ROWS, blocks, tile_apply
+from pressroom.operators.tiles import BLOCK_ROWS, tile_apply
 from pressroom.session import settle
 
 SCORE_DIGITS = 9  # scores are compared after rounding, so that ties do not hang on the last bits
@@ -68,48 +67,54 @@ def top_k_per_source(candidates: DataFrame, k: int) -> DataFrame:
     )
 
 
-def nearest(items: DataFrame, k: int = config.MAX_RECS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def blocks_in_reach(sources: pd.DataFrame, summaries: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The sources, once for each further block in which some target could reach their k-th best score. That is at least the one of their
+    first block, and at least what every target scores in the best blocks that together have more than k rows."""
+    units = matrix(sources["embedding"], unit=True)
+    low, high = dot_bounds(units, summaries)
+    most = summaries["top"].to_numpy() * (1.0 + np.clip(high, -1.0, 1.0)) / 2.0
+    least = summaries["bottom"].to_numpy() * (1.0 + np.clip(low, -1.0, 1.0)) / 2.0
+    # without a direction there is no cosine, and the score is 0
+    least[np.linalg.norm(units, axis=1) == 0] = 0.0
+    least[:, summaries["shortest"].to_numpy() == 0] = 0.0
+    order = np.argsort(-least, axis=1)
+    enough = np.cumsum(summaries["n_rows"].to_numpy()[order], axis=1) > k
+    sure = np.take_along_axis(np.take_along_axis(least, order, axis=1), enough.argmax(axis=1)[:, None], axis=1)[:, 0]
+    floor = np.maximum(sources["_floor"].to_numpy(), np.where(enough[:, -1], sure - 2 * 10.0**-SCORE_DIGITS, 0.0))
+    wanted = np.round(most + 10.0**-SCORE_DIGITS, SCORE_DIGITS) >= floor[:, None]
+    wanted &= sources["_home"].to_numpy()[:, None] != summaries["_block"].to_numpy()[None, :]
+    row, column = np.nonzero(wanted)
+    further = sources[["item_id", "embedding", "decay", "_lb"]].iloc[row]
+    return further.assign(_rb=summaries["_block"].to_numpy()[column])
+
+
+def nearest(items: DataFrame, k: int = config.MAX_RECS, block_rows: int = BLOCK_ROWS, cells: int | None = None) -> DataFrame:
     """``items(item_id, embedding, decay)`` -> ``(item_id, neighbour_id, score, position)``."""
-    vectors = items.select("item_id", "embedding", "decay")
-    ordered = numbered(vectors, [F.col("decay").desc(), F.col("item_id")], "_position")
-    ordered = blocks(ordered, "_position", block_rows, "_block").drop("_position")
-    # one number per block of rows: the most any score against that block can reach
-    tops = ordered.groupBy("_block").agg(F.max("decay").alias("top")).orderBy("_block").collect()
-    ceilings = np.array([row["top"] for row in tops])
-
-    sources = ordered.withColumnRenamed("_block", "_lb")
-    targets = ordered.withColumnRenamed("_block", "_rb")
+    vectors = items.select(F.col("item_id").cast("long").alias("item_id"), "embedding", "decay")
+    index = block_index(vectors, "item_id", "embedding", "decay", vectors.count(), block_rows, cells, unit=True)
+    sources = index.rows.withColumnRenamed("_block", "_lb")
+    targets = index.rows.withColumnRenamed("_block", "_rb")
     schema = "item_id long, neighbour_id long, score double"
 
     def work(a, b):
         return best_in_tile(a, b, k)
 
     first = tile_apply(
-        sources.withColumn("_rb", F.lit(0)), targets.filter(F.col("_rb") == 0), work, schema, len(ceilings)
+        sources.withColumn("_rb", F.col("_home")), targets.filter(F.col("_rb") == F.col("_home")).drop("_home"), work, schema, index.n_blocks
     )
-    if len(ceilings) <= 1:
+    if index.n_blocks <= 1:
         return top_k_per_source(first, k)
 
     first = settle(first)
     floors = first.groupBy("item_id").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(0.0)).alias("_floor")
     )
-    falling = -np.round(ceilings, SCORE_DIGITS)
-
-    @F.pandas_udf("int")
-    def blocks_in_reach(floor: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(falling, -floor.to_numpy(), side="right"))
-
-    # a lone row in the top block has no neighbour there and so no floor yet
-    reach = F.coalesce(blocks_in_reach("_floor"), F.lit(len(ceilings)))
-    further = (
-        sources.join(floors, "item_id", "left")
-        .withColumn("_reach", reach)
-        .filter(F.col("_reach") > 1)
-        .withColumn("_rb", F.explode(F.sequence(F.lit(1), F.col("_reach") - 1)))
-        .drop("_floor", "_reach")
+    # a source that is alone in its first block has no neighbour there and so no floor yet
+    asking = sources.join(floors, "item_id", "left").withColumn("_floor", F.coalesce("_floor", F.lit(0.0)))
+    further = with_bounds(
+        asking, index, lambda a, b: blocks_in_reach(a, b, k), "item_id long, embedding array<double>, decay double, _lb int, _rb int", index.n_blocks
     )
-    rest = tile_apply(further, targets.filter(F.col("_rb") > 0), work, schema, len(ceilings))
+    rest = tile_apply(settle(further), targets.drop("_home"), work, schema, index.n_blocks)
     return top_k_per_source(first.unionByName(rest), k)
 
 
