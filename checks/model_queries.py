@@ -8,7 +8,7 @@ from checks import inputs as i
 from checks.registry import query
 from pressroom.config import TrainingParams
 from pressroom.functions import clock, vectors
-from pressroom.operators import evaluation, factors, interactions, similarity
+from pressroom.operators import evaluation, factors, interactions, residuals, similarity
 from pressroom.plans import recommend
 from pressroom.session import settle
 
@@ -333,6 +333,114 @@ def factor_ranks_small_blocks(spark, sf):
     return evaluation.factor_ranks(*_fixed_factors(spark, sf), block_rows=32, cells=4)
 
 
+@query(
+    f"""
+    SELECT user_id, count(*) AS n_ratings, model, TRUE AS solved
+    FROM (SELECT DISTINCT user_id, item_id FROM ({_PREPARED})), (SELECT unnest(['implicit', 'explicit']) AS model) GROUP BY user_id, model
+    """,
+    "order_dwell order_articles",
+)
+def als_residuals(spark, sf):
+    """Every reader's factors solve its normal equations, in both models, up to the single precision they are stored in."""
+    prepared = settle(_prepared(spark, sf))
+    found = []
+    for params in (PARAMS.with_values(alpha=2.0), PARAMS.with_values(implicit=False)):
+        model, ratings = factors.fit(prepared, params), factors.rating_table(prepared, params.implicit)
+        left = residuals.reader_residuals(model.userFactors, model.itemFactors, ratings, params)
+        name = F.lit("implicit" if params.implicit else "explicit").alias("model")
+        found.append(left.select("user_id", "n_ratings", name, (F.col("residual") < 1e-4).alias("solved")))
+    return found[0].unionByName(found[1])
+
+
+@query(
+    """
+    WITH sums AS (SELECT unnest(range(8)) AS i, NULL),
+    v AS (SELECT CAST(embedding AS DOUBLE[])[1:8] AS e FROM embeddings)
+    SELECT CAST(a.i AS INT) AS i, CAST(b.i AS INT) AS j, round(sum(e[a.i + 1] * e[b.i + 1]), 6) AS x FROM sums a, sums b, v GROUP BY a.i, b.i
+    """
+)
+def gramian(spark, sf):
+    """The sum of the outer products of all vectors, first eight numbers each."""
+    first = i.read(spark, sf, "embeddings").select(F.slice("embedding", 1, 8).alias("features"))
+    found = residuals.gramian(first)
+    rows = [(a, b, float(x)) for a, line in enumerate(found.tolist()) for b, x in enumerate(line)]
+    return spark.createDataFrame(rows, "i int, j int, x double").withColumn("x", F.round("x", 6))
+
+
+class _FixedModel:
+    """Factors that are no fit but given: even embeddings are readers, odd ones items, cut to the rank."""
+
+    def __init__(self, spark, sf, rank: int):
+        found = i.read(spark, sf, "embeddings").select("vec_id", F.slice("embedding", 1, rank).alias("features"))
+        self.userFactors = found.filter("vec_id % 2 = 0").select((F.col("vec_id") / 2).cast("int").alias("id"), "features")
+        self.itemFactors = found.filter("vec_id % 2 = 1").select(((F.col("vec_id") - 1) / 2).cast("int").alias("id"), "features")
+
+
+@query(
+    """
+    SELECT CAST((vec_id - 1) // 2 AS BIGINT) AS item_id, round(e[1] / sqrt(list_dot_product(e, e)), 6) AS first, round(list_sum(e) / sqrt(list_dot_product(e, e)), 6) AS total
+    FROM (SELECT vec_id, CAST(embedding AS DOUBLE[])[1:8] AS e FROM embeddings WHERE vec_id % 2 = 1)
+    """
+)
+def fixed_embeddings(spark, sf):
+    """Embeddings of given factors, number by number."""
+    unit = factors.item_embeddings(_FixedModel(spark, sf, 8))
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return unit.select("item_id", F.round(F.get("embedding", 0), 6).alias("first"), F.round(total, 6).alias("total"))
+
+
+@query(
+    f"""
+    SELECT * FROM (WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    pairs AS (SELECT DISTINCT user_id, item_id FROM (SELECT *, {_DRAW} AS draw FROM ({_PREPARED})) WHERE draw >= 80),
+    ranks AS (SELECT combination, 4 * (combination + 1) AS r FROM (SELECT unnest([0, 1, 2]) AS combination)),
+    u AS (SELECT combination, vec_id // 2 AS user_id, v[1:r] AS v FROM e, ranks WHERE vec_id % 2 = 0),
+    t AS (SELECT combination, (vec_id - 1) // 2 AS item_id, v[1:r] AS v FROM e, ranks WHERE vec_id % 2 = 1),
+    n AS (SELECT count(*) AS n FROM e WHERE vec_id % 2 = 1),
+    known AS (SELECT u.combination, p.user_id, p.item_id, u.v, round(list_dot_product(u.v, t.v), 6) AS mine
+              FROM pairs p JOIN u USING (user_id) JOIN t ON t.item_id = p.item_id AND t.combination = u.combination),
+    warm AS (SELECT k.combination, k.user_id, k.item_id, 1 / (count(*) FILTER (WHERE t.item_id <> k.item_id AND round(list_dot_product(k.v, t.v), 6) > mine)
+                + (count(*) FILTER (WHERE t.item_id = k.item_id OR round(list_dot_product(k.v, t.v), 6) = mine) + 1) / 2.0) AS gain
+             FROM known k JOIN t ON t.combination = k.combination GROUP BY k.combination, k.user_id, k.item_id),
+    every AS (
+        SELECT c.combination, p.user_id, coalesce(w.gain, CASE WHEN u.user_id IS NULL THEN 2.0 / (n + 1) ELSE 1.0 / (n + 1) END) AS gain, w.gain IS NULL AS cold
+        FROM pairs p CROSS JOIN (SELECT combination FROM ranks) c CROSS JOIN n LEFT JOIN warm w ON w.combination = c.combination AND w.user_id = p.user_id AND w.item_id = p.item_id
+        LEFT JOIN (SELECT DISTINCT user_id FROM u) u ON u.user_id = p.user_id),
+    own AS (SELECT combination, user_id, avg(gain) AS gain, count(*) AS n_pairs, count(*) FILTER (WHERE cold) AS n_cold FROM every GROUP BY ALL)
+    SELECT CAST(combination AS INT) AS combination, round(avg(gain), 6) AS mrr, CAST(sum(n_pairs) AS BIGINT) AS n_pairs, CAST(sum(n_cold) AS BIGINT) AS n_cold FROM own GROUP BY combination)
+    """,
+    "order_dwell order_articles",
+)
+def grid_search_fixed(spark, sf):
+    """Three ranks of given factors: the mean reciprocal rank of each combination, exactly."""
+    tuned = PARAMS.with_values(tune_ranges={"rank": (4, 13, 4)})
+    results = factors.grid_search(settle(_prepared(spark, sf)), tuned, lambda _, params: _FixedModel(spark, sf, params.rank))[0]
+    return results.select("combination", F.round("mrr", 6).alias("mrr"), "n_pairs", "n_cold")
+
+
+_DIMENSION = f"""(SELECT external_id, item_id, min(article_id) AS article_id, pow(0.5, date_diff('day', max(published_at), DATE '2001-11-04') / 120.0) AS decay
+    FROM ({_PREPARED}) GROUP BY external_id, item_id)"""
+
+
+@query(
+    f"""
+    SELECT source_entity_id, recommended_article_id, CAST(CAST(round(score, 6) AS DECIMAL(7,6)) AS DOUBLE) AS score FROM (
+        SELECT *, row_number() OVER (PARTITION BY source_entity_id ORDER BY score DESC, neighbour) AS position FROM (
+            SELECT a.external_id AS source_entity_id, b.article_id AS recommended_article_id, b.item_id AS neighbour,
+                   round((1 + list_cosine_similarity(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[]))) / 2 * b.decay, 9) AS score
+            FROM {_DIMENSION} a JOIN embeddings x ON x.vec_id = a.item_id, {_DIMENSION} b JOIN embeddings y ON y.vec_id = b.item_id
+            WHERE a.item_id <> b.item_id))
+    WHERE position <= 10
+    """,
+    "order_dwell order_articles",
+)
+def article_recs_fixed(spark, sf):
+    """Recommendations of given embeddings, row by row."""
+    embeddings = i.read(spark, sf, "embeddings").select(F.col("vec_id").cast("long").alias("item_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    dimension = interactions.item_dimension(settle(_prepared(spark, sf)), i.ORDER_DAY, 120)
+    return recommend.recs_from_embeddings(embeddings, dimension, 10)
+
+
 @query(
     f"""
     SELECT unnest([0, 1, 2, 3]) AS combination, n_pairs, TRUE AS judged

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
@@ -82,8 +83,11 @@ def grid(tune_ranges: dict) -> list[dict]:
     return [dict(combination) for combination in itertools.product(*axes)]
 
 
-def grid_search(prepared: DataFrame, params: TrainingParams) -> tuple[DataFrame, TrainingParams]:
-    """Fit every combination on 80 % of the interactions, score it by MRR on the rest.
+def grid_search(
+    prepared: DataFrame, params: TrainingParams, fitter: Callable[[DataFrame, TrainingParams], ALSModel] | None = None
+) -> tuple[DataFrame, TrainingParams]:
+    """Fit every combination on 80 % of the interactions, score it by MRR on the rest. ``fitter`` may be another
+    model than ``fit``; what it returns has ``userFactors`` and ``itemFactors``.
 
     Returns one row per combination and the best parameters (ties: the earlier one). The
     driver keeps one number per combination.
@@ -93,7 +97,7 @@ def grid_search(prepared: DataFrame, params: TrainingParams) -> tuple[DataFrame,
     rows, best, best_mrr = [], None, float("-inf")
     for number, values in enumerate(grid(params.tune_ranges)):
         candidate = params.with_values(**values)
-        model = fit(train, candidate)
+        model = (fitter or fit)(train, candidate)
         value, pairs, cold = factor_mrr(model.userFactors, model.itemFactors, test)
         rows.append((number, {name: float(v) for name, v in values.items()}, value, pairs, cold))
         if value is not None and value > best_mrr:

@@ -26,7 +26,11 @@ def article_recs_from(
     rows: DataFrame, params: config.TrainingParams, as_of, max_recs: int = config.MAX_RECS
 ) -> DataFrame:
     """Top similar recent articles for every article with enough readers."""
-    embeddings, dimension = train_step(rows, params, as_of)
+    return recs_from_embeddings(*train_step(rows, params, as_of), max_recs)
+
+
+def recs_from_embeddings(embeddings: DataFrame, dimension: DataFrame, max_recs: int = config.MAX_RECS) -> DataFrame:
+    """The same from the vectors of any model: ``embeddings(item_id, embedding)`` and the item dimension with its decay."""
     dimension = settle(dimension)
     items = embeddings.join(dimension.select("item_id", "decay"), "item_id")
     neighbours = similarity.nearest(items, max_recs)

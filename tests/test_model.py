@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from pressroom.config import TrainingParams
-from pressroom.operators import evaluation, factors, interactions
+from pressroom.operators import evaluation, factors, interactions, residuals
 from pressroom.plans import recommend
 
 # two groups of readers, who keep to two articles each; article 21 is read by both groups
@@ -155,3 +155,48 @@ def test_grid(prepared):
     assert results.count() == 2 and best.rank in (2, 4)
     top = results.orderBy(F.desc_nulls_last("mrr"), "combination").first()
     assert top["params"]["rank"] == best.rank
+
+
+def residual_by_hand(user, items, ratings, params):
+    rank = len(next(iter(items.values())))
+    left, right = np.zeros((rank, rank)), np.zeros(rank)
+    for i, r in ratings:
+        weight = params.alpha * r if params.implicit else 1.0
+        left += weight * np.outer(items[i], items[i])
+        right += (1 + weight if params.implicit else r) * items[i]
+    if params.implicit:
+        left += sum(np.outer(v, v) for v in items.values())
+    left += params.regularisation * len(ratings) * np.eye(rank)
+    return np.linalg.norm(left @ user - right) / np.linalg.norm(right)
+
+
+@pytest.mark.parametrize("implicit", [True, False])
+def test_residuals_equal_brute_force_and_tell_a_wrong_fit(prepared, implicit):
+    params = TrainingParams(rank=3, iterations=2, implicit=implicit, alpha=3.0)
+    watched = prepared.withColumn("duration", F.col("duration") + 5)
+    model, ratings = factors.fit(watched, params), factors.rating_table(watched, implicit)
+    vectors = [{r["id"]: np.array(r["features"], float) for r in f.collect()} for f in (model.userFactors, model.itemFactors)]
+    mine = {}
+    for r in ratings.collect():
+        mine.setdefault(r["user_id"], []).append((r["item_id"], r["rating"]))
+    for given, solved in ((params, True), (params.with_values(regularisation=0.3), False), (params.with_values(alpha=1.0), not implicit)):
+        found = {r["user_id"]: (r["n_ratings"], r["residual"]) for r in residuals.reader_residuals(model.userFactors, model.itemFactors, ratings, given).collect()}
+        assert found.keys() == vectors[0].keys()
+        for u, (n, residual) in found.items():
+            assert n == len(mine[u]) and residual == pytest.approx(residual_by_hand(vectors[0][u], vectors[1], mine[u], given), abs=1e-6)
+        assert (max(r for _, r in found.values()) < 1e-4) == solved
+
+
+def test_gramian_of_nothing(spark):
+    assert residuals.gramian(spark.createDataFrame([], "features array<float>")).shape == (0, 0)
+
+
+def test_another_model_in_the_grid(prepared):
+    tried = []
+
+    def fitter(train, params):
+        tried.append(params.rank)
+        return factors.fit(train, params.with_values(iterations=1))
+
+    results, best = factors.grid_search(prepared, TrainingParams(rank=2, tune_ranges={"rank": (2, 4, 1)}), fitter)
+    assert tried == [2, 3] and results.count() == 2 and best.rank in tried
