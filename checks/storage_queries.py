@@ -13,11 +13,12 @@ from checks import inputs as i
 from checks.duck import stamp
 from checks.registry import query
 from pressroom import config, schemas
+from pressroom.operators import articles as art
 from pressroom.operators import extraction
 from pressroom.operators.metrics import RunMetrics
 from pressroom.plans import ingest, job
 from pressroom.session import checkpoint_dir, settle
-from pressroom.sources import files, responses, tables
+from pressroom.sources import commits, files, responses, tables
 from pressroom.streaming.ingest import stream_ingest
 
 #: Lines land in the folder that ends their six hours, so up to six hours late.
@@ -273,3 +274,95 @@ def html_metadata(spark, sf):
     found = extraction.metadata_from_html(pages)
     shown = F.when(F.col("error_type").isNull(), F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
     return found.select("path", "error_type", shown.alias("published_at"))
+
+
+@query(
+    """
+    SELECT * FROM (WITH now AS (SELECT * FROM articles WHERE site = 'site-1'),
+    new AS (SELECT external_id, 'changed ' || external_id AS title FROM now WHERE (id - 1) % 60 = 1 UNION ALL SELECT 'n' || CAST(unnest([1, 2]) AS VARCHAR), 'new')
+    SELECT coalesce(n.external_id, a.external_id) AS external_id, coalesce(n.title, a.title) AS title, TRUE AS few_rewritten, TRUE AS rest_untouched
+    FROM now a FULL JOIN new n ON n.external_id = a.external_id)
+    """,
+    "articles",
+)
+def bucket_upsert(spark, sf):
+    """Changes to a few stored articles: only the buckets they fall in are written again, the other files stay the same ones."""
+    base = _place(spark)
+    group = commits.metadata_group(base)
+    now = i.articles(spark, sf).filter("site = 'site-1'")
+    start = commits.newest(spark, group, "site-1", buckets=64)
+    first = commits.write(spark, group, "site-1", start, {"article": (commits.touched(group, "article", start, now), now)})
+    wanted = now.filter("(id - 1) % 60 = 1").select("site", "external_id", F.concat(F.lit("changed "), "external_id").alias("title"), "path", "published_at")
+    added = spark.sql("SELECT 'site-1' AS site, concat('n', n) AS external_id, 'new' AS title, '/n' AS path, TIMESTAMP '2024-01-01' AS published_at FROM VALUES (1), (2) AS t(n)")
+    changes = settle(wanted.unionByName(added))
+    buckets = commits.touched(group, "article", first, changes)
+    part = commits.read(spark, group, "site-1", "article", first, buckets)
+    upserted = art.upsert_articles(part, changes, i.EVENT_DAY, 1_000_000)
+    second = commits.write(spark, group, "site-1", first, {"article": (buckets, upserted)})
+    kept = all(second.files["article"][b] == f for b, f in first.files["article"].items() if b not in buckets)
+    few = len(buckets) <= changes.count()
+    rows = commits.read(spark, group, "site-1", "article", second)
+    return rows.select("external_id", "title", F.lit(few).alias("few_rewritten"), F.lit(kept).alias("rest_untouched"))
+
+
+_METADATA_SITE = replace(config.CITY_PAPER, name="site-1")
+
+
+@query(
+    """
+    SELECT * FROM (WITH art AS (SELECT * FROM articles WHERE site = 'site-1' AND (id - 1) % 10 <> 4),
+    cache AS (SELECT * FROM paths WHERE site = 'site-1'),
+    seen AS (SELECT DISTINCT landing_page_path AS path, CAST(regexp_extract(landing_page_path, '/article/([0-9]+)/', 1) AS BIGINT) - 100 AS n FROM events_agg WHERE site = 'site-1'),
+    wanted AS (
+        SELECT s.path, s.n, c.external_id FROM seen s LEFT JOIN cache c USING (path) LEFT JOIN art a ON a.external_id = c.external_id
+        WHERE c.exclude_reason IS NULL AND (c.external_id IS NULL OR a.published_at IS NULL OR a.published_at > TIMESTAMP '2024-01-14')),
+    fresh AS (SELECT path, n, CAST(100 + n AS VARCHAR) AS external_id FROM wanted WHERE external_id IS NULL),
+    again AS (SELECT DISTINCT a.path, CAST(a.external_id AS BIGINT) - 100 AS n, a.external_id FROM wanted w JOIN art a ON a.external_id = w.external_id),
+    judged AS (
+        SELECT *, CASE WHEN n % 7 = 2 THEN 'failed_site_validation' WHEN n % 4 = 0 THEN 'no_publish_date' END AS error
+        FROM (SELECT path, n, external_id, TRUE AS is_new FROM fresh WHERE external_id NOT IN (SELECT external_id FROM art)
+              UNION ALL SELECT path, n, external_id, FALSE FROM again)),
+    duplicates AS (SELECT * FROM fresh WHERE external_id IN (SELECT external_id FROM art)),
+    added AS (
+        SELECT path, external_id, CAST(NULL AS VARCHAR) AS reason FROM judged WHERE error IS NULL AND is_new
+        UNION ALL SELECT path, external_id, NULL FROM duplicates
+        UNION ALL SELECT path, NULL, error FROM judged WHERE error = 'failed_site_validation'),
+    gone AS (SELECT external_id FROM judged WHERE NOT is_new AND (error IS NULL OR error = 'failed_site_validation'))
+    SELECT 'article' AS kind, external_id AS key, 'Title ' || CAST(n AS VARCHAR) AS value, '2024-02-01 06:30:00' AS more FROM judged WHERE error IS NULL
+    UNION ALL SELECT 'article', external_id, title, strftime(published_at, '%Y-%m-%d %H:%M:%S') FROM art WHERE external_id NOT IN (SELECT external_id FROM gone)
+    UNION ALL SELECT 'path', path, external_id, reason FROM added
+    UNION ALL SELECT 'path', path, external_id, exclude_reason FROM cache WHERE path NOT IN (SELECT path FROM added)
+    UNION ALL SELECT 'error', path, error, NULL FROM judged WHERE error IS NOT NULL
+    UNION ALL SELECT 'error', path, 'duplicate_path', NULL FROM duplicates)
+    """,
+    "events_agg articles paths",
+)
+def update_metadata(spark, sf):
+    """One run's metadata update on stored tables: articles, path cache and errors afterwards."""
+    base = _place(spark)
+    store = job.Store("", base, f"{base}/responses")
+    tables.replace_chunks(i.stored_events(spark, sf).filter("site = 'site-1'"), store.table("events"))
+    group = commits.metadata_group(base)
+    start = commits.newest(spark, group, "site-1", buckets=16)
+    known = i.articles(spark, sf).filter("site = 'site-1' AND (id - 1) % 10 <> 4")
+    stored = {"article": known, "path": i.paths(spark, sf).filter("site = 'site-1'")}
+    commits.write(spark, group, "site-1", start, {name: (list(range(16)), rows) for name, rows in stored.items()})
+    n = F.col("id")
+    time = F.lit('<meta property="article:published_time" content="2024-02-01T08:30:00+02:00">')
+    tag = F.lit('<div id="primary"><p class="tag-exclude">x</p></div>')
+    body = F.concat(
+        F.when(n % 4 != 0, time).otherwise(F.lit("")), F.lit("<header><h1>Title "), n.cast("string"), F.lit("</h1></header>"), F.when(n % 7 == 2, tag).otherwise(F.lit(""))
+    )
+    pages = spark.range(1, 1000, 3).select(
+        F.lit("site-1").alias("site"), F.lit("page").alias("kind"), i.article_path(n).alias("path"), F.lit(None).cast("string").alias("external_id"),
+        F.concat(F.lit("https://example.org"), i.article_path(n)).alias("url"), F.lit(200).alias("status"), body.alias("body"), F.lit(datetime(2024, 1, 15)).alias("fetched_at"),
+    )
+    responses.write_responses(pages, store.responses)
+    hours = [(datetime(2024, 1, 31) - timedelta(hours=h)).strftime("%Y/%m/%d/%H") for h in range(24 * 31 + 1)]
+    errors = job._update_metadata(spark, store, _METADATA_SITE, hours, datetime(2024, 1, 15, 12), RunMetrics("x")).errors
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES, "site-1")
+    cache = tables.read_snapshot(spark, store.table("path"), schemas.PATHS, "site-1")
+    found = articles.select(F.lit("article").alias("kind"), F.col("external_id").alias("key"), F.col("title").alias("value"), text("published_at").alias("more"))
+    found = found.unionByName(cache.select(F.lit("path").alias("kind"), F.col("path").alias("key"), F.col("external_id").alias("value"), F.col("exclude_reason").alias("more")))
+    return found.unionByName(errors.select(F.lit("error").alias("kind"), F.col("path").alias("key"), F.col("error_type").alias("value"), F.lit(None).cast("string").alias("more")))

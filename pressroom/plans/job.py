@@ -15,7 +15,7 @@ from pressroom.operators import extraction, paths, registry
 from pressroom.operators.metrics import RunMetrics
 from pressroom.plans import ingest, metadata, recommend
 from pressroom.session import configure, settle, temporary_tables
-from pressroom.sources import chunks, tables
+from pressroom.sources import chunks, commits, tables
 from pressroom.sources.responses import read_responses
 
 
@@ -37,27 +37,32 @@ def _update_events(spark, store: Store, site: config.SiteConfig, names: list[str
     )
 
 
-def _update_metadata(spark, store: Store, site, names: list[str], as_of: datetime, metrics: RunMetrics) -> None:
-    """Articles and path cache of one site, each as its next version. When another writer of the
+def _update_metadata(spark, store: Store, site, names: list[str], as_of: datetime, metrics: RunMetrics) -> metadata.MetadataUpdate:
+    """Articles and path cache of one site in one commit. When another writer of the
     site was faster, everything is computed again from what it has written."""
-    article, path = (tables.of_site(store.table(t), site.name) for t in ("article", "path"))
+    group = commits.metadata_group(store.base)
     reserve = lambda count: tables.reserve_ids(spark, store.table("article"), count)
 
     def attempt() -> metadata.MetadataUpdate:
-        versions = [tables.latest_version(spark, p) for p in (article, path)]
-        articles = tables.read_version(spark, article, schemas.ARTICLES, versions[0])
-        cache = tables.read_version(spark, path, schemas.PATHS, versions[1])
+        seen = commits.newest(spark, group, site.name)
+        articles, cache = (commits.read(spark, group, site.name, t, seen) for t in ("article", "path"))
+        replaced: dict[str, list[int]] = {}
+
+        def part(name: str, keys: DataFrame) -> DataFrame:
+            replaced[name] = commits.touched(group, name, seen, keys)
+            return commits.read(spark, group, site.name, name, seen, replaced[name])
+
         events = tables.read_events(spark, store.table("events"))
         responses = read_responses(spark, store.responses, site.name)
         wanted = paths.paths_to_update(events, cache, articles, as_of, names, site.name)
-        update = metadata.update_metadata(site, wanted, articles, cache, responses, as_of, reserve)
-        # both outputs are planned from the current versions, so they are written before either is pruned
-        tables.write_snapshot(update.articles, article, after=versions[0])
-        tables.write_snapshot(update.paths, path, after=versions[1])
+        update = metadata.update_metadata(site, wanted, articles, cache, responses, as_of, reserve, part)
+        changes = {"article": (replaced["article"], update.articles), "path": (replaced["path"], update.paths)}
+        if any(buckets for buckets, _ in changes.values()):
+            commits.write(spark, group, site.name, seen, changes)
         return update
 
     update = tables.retried(attempt)
-    created, refreshed, errors = update.created.count(), update.refreshed.count(), settle(update.errors)
+    created, refreshed, errors = update.created.count(), update.refreshed.count(), update.errors
     known = tables.read_snapshot(spark, store.table("path"), schemas.PATHS, site.name)
     # an error that left a row in the path cache is settled; the others will be tried again
     open_errors = errors.join(known.select("site", "path"), ["site", "path"], "left_anti").count()
@@ -66,6 +71,7 @@ def _update_metadata(spark, store: Store, site, names: list[str], as_of: datetim
     metrics.add("article_scraping_updates", refreshed)
     metrics.add("article_scraping_errors", open_errors)
     metrics.add("article_scraping_paths_written", known.filter(F.col("updated_at") == F.lit(as_of).cast("timestamp")).count())
+    return update
 
 
 def _update_dwell(spark, store: Store, site, dates: list[date]) -> None:
@@ -170,5 +176,16 @@ def backfill_articles(
     with temporary_tables(spark):
         good = settle(good)
         first_id = tables.reserve_ids(spark, store.table("article"), good.count())
-        path = tables.of_site(store.table("article"), site.name)
-        tables.update_snapshot(spark, path, schemas.ARTICLES, lambda now: art.upsert_articles(now, good, as_of, first_id))
+        group = commits.metadata_group(store.base)
+
+        def attempt() -> None:
+            seen = commits.newest(spark, group, site.name)
+            buckets = commits.touched(group, "article", seen, good)
+            now = commits.read(spark, group, site.name, "article", seen, buckets)
+            changes = {"article": (buckets, art.upsert_articles(now, good, as_of, first_id))}
+            if not seen.number:  # the first commit takes over the paths that were there before
+                changes["path"] = (buckets, commits.read(spark, group, site.name, "path", seen))
+            if buckets:
+                commits.write(spark, group, site.name, seen, changes)
+
+        tables.retried(attempt)

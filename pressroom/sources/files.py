@@ -46,6 +46,23 @@ def create_new(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not be there yet."""
+    out = _fs(spark, path).create(_path(spark, path), False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    source = _fs(spark, path).open(_path(spark, path))
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder, making the folders above the target."""
     above = _path(spark, target).getParent()

@@ -149,7 +149,13 @@ def read_version(spark: SparkSession, path: str, schema: str, number: int) -> Da
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: str, site: str | None = None) -> DataFrame:
-    """The newest version of one site's rows, or of all sites' (a table without sites has one)."""
+    """The newest version of one site's rows, or of all sites' (a table without sites has one). A table that changes
+    together with others has its versions in their common commits."""
+    from pressroom.sources import commits
+
+    if group := commits.group_of(spark, path):
+        found = commits.read_newest(spark, path, schema, group, site)
+        return reduce(DataFrame.unionByName, found, spark.createDataFrame([], schema))
     if site is not None:
         path = of_site(path, site)
     sites = [n for n in files.children(spark, path) if n.startswith("site=")]
