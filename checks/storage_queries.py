@@ -305,6 +305,20 @@ def bucket_upsert(spark, sf):
     return rows.select("external_id", "title", F.lit(few).alias("few_rewritten"), F.lit(kept).alias("rest_untouched"))
 
 
+def _pages(numbers, site: str):
+    """A page for each article number: every fourth without a publish time, every seventh with the exclude tag."""
+    n = F.col("id")
+    time = F.lit('<meta property="article:published_time" content="2024-02-01T08:30:00+02:00">')
+    tag = F.lit('<div id="primary"><p class="tag-exclude">x</p></div>')
+    body = F.concat(
+        F.when(n % 4 != 0, time).otherwise(F.lit("")), F.lit("<header><h1>Title "), n.cast("string"), F.lit("</h1></header>"), F.when(n % 7 == 2, tag).otherwise(F.lit(""))
+    )
+    return numbers.select(
+        F.lit(site).alias("site"), F.lit("page").alias("kind"), i.article_path(n).alias("path"), F.lit(None).cast("string").alias("external_id"),
+        F.concat(F.lit("https://example.org"), i.article_path(n)).alias("url"), F.lit(200).alias("status"), body.alias("body"), F.lit(datetime(2024, 1, 15)).alias("fetched_at"),
+    )
+
+
 _METADATA_SITE = replace(config.CITY_PAPER, name="site-1")
 
 
@@ -347,17 +361,7 @@ def update_metadata(spark, sf):
     known = i.articles(spark, sf).filter("site = 'site-1' AND (id - 1) % 10 <> 4")
     stored = {"article": known, "path": i.paths(spark, sf).filter("site = 'site-1'")}
     commits.write(spark, group, "site-1", start, {name: (list(range(16)), rows) for name, rows in stored.items()})
-    n = F.col("id")
-    time = F.lit('<meta property="article:published_time" content="2024-02-01T08:30:00+02:00">')
-    tag = F.lit('<div id="primary"><p class="tag-exclude">x</p></div>')
-    body = F.concat(
-        F.when(n % 4 != 0, time).otherwise(F.lit("")), F.lit("<header><h1>Title "), n.cast("string"), F.lit("</h1></header>"), F.when(n % 7 == 2, tag).otherwise(F.lit(""))
-    )
-    pages = spark.range(1, 1000, 3).select(
-        F.lit("site-1").alias("site"), F.lit("page").alias("kind"), i.article_path(n).alias("path"), F.lit(None).cast("string").alias("external_id"),
-        F.concat(F.lit("https://example.org"), i.article_path(n)).alias("url"), F.lit(200).alias("status"), body.alias("body"), F.lit(datetime(2024, 1, 15)).alias("fetched_at"),
-    )
-    responses.write_responses(pages, store.responses)
+    responses.write_responses(_pages(spark.range(1, 1000, 3), "site-1"), store.responses)
     hours = [(datetime(2024, 1, 31) - timedelta(hours=h)).strftime("%Y/%m/%d/%H") for h in range(24 * 31 + 1)]
     errors = job._update_metadata(spark, store, _METADATA_SITE, hours, datetime(2024, 1, 15, 12), RunMetrics("x")).errors
     text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
@@ -366,3 +370,44 @@ def update_metadata(spark, sf):
     found = articles.select(F.lit("article").alias("kind"), F.col("external_id").alias("key"), F.col("title").alias("value"), text("published_at").alias("more"))
     found = found.unionByName(cache.select(F.lit("path").alias("kind"), F.col("path").alias("key"), F.col("external_id").alias("value"), F.col("exclude_reason").alias("more")))
     return found.unionByName(errors.select(F.lit("error").alias("kind"), F.col("path").alias("key"), F.col("error_type").alias("value"), F.lit(None).cast("string").alias("more")))
+
+
+_DAY_SITE = replace(config.CITY_PAPER, name=SITE.name)
+
+
+@query(
+    f"""
+    SELECT * FROM (WITH f AS (
+        SELECT n, page_urlpath, event_name, CAST(floor(epoch(collector_tstamp) / 21600) * 21600 AS BIGINT) + 18000 + CASE WHEN n % 10 = 7 THEN 172800 ELSE 0 END AS folder,
+            CAST(round_even(CAST(epoch_us(collector_tstamp) AS DECIMAL(20,0)) / 1000000, 0) AS BIGINT) // 3600 * 3600 AS hour, n % 10 NOT IN (0, 1, 7) AS usable
+        FROM raw_events),
+    named AS (SELECT * FROM f WHERE folder // 86400 = 1705276800 // 86400),
+    touched AS (SELECT 1705276800 + 3600 * unnest(range(24)) AS hour UNION SELECT hour FROM named WHERE usable),
+    day AS (SELECT * FROM f WHERE usable AND hour // 86400 = 1705276800 // 86400),
+    good AS (SELECT DISTINCT n, page_urlpath FROM day WHERE n % 7 <> 2 AND n % 4 <> 0 AND (n % 10 <> 2 OR event_name <> 'page_ping'))
+    SELECT 'downloaded_rows' AS name, CAST(count(*) AS DOUBLE) AS value FROM named
+    UNION ALL SELECT 'rejected_rows', count(*) FILTER (WHERE NOT usable) FROM named
+    UNION ALL SELECT 'written_events', count(*) FROM ({_LOADED}) WHERE epoch(strptime(chunk_name, '%Y/%m/%d/%H')) IN (FROM touched)
+    UNION ALL SELECT 'article_scraping_creates', count(*) FROM good
+    UNION ALL SELECT 'rec_creation_total_popularity', least(50, count(DISTINCT n)) FROM day JOIN good USING (n) WHERE event_name = 'page_ping' AND n % 10 <> 2)
+    """,
+    "raw_events",
+)
+def run_counts_of_job(spark, sf):
+    """The counts of a scheduled run over landed files and responses that broke off before its last stage and was called again: no stage is counted twice."""
+    base = _place(spark)
+    _land(spark, sf, f"{base}/raw")
+    responses.write_responses(_pages(spark.range(1000), SITE.name), f"{base}/responses")
+    store, now = job.Store(f"{base}/raw", base, f"{base}/responses"), datetime(2024, 1, 15, 23, 30)
+    publish = job.publish
+    job.publish = lambda *_: 1 / 0
+    try:
+        job.run(spark, store, _DAY_SITE, now, stages=job.STAGES[:-1])
+    except ZeroDivisionError:
+        pass
+    finally:
+        job.publish = publish
+    job.run(spark, store, _DAY_SITE, now, stages=job.STAGES[:-1])
+    names = ["downloaded_rows", "rejected_rows", "written_events", "article_scraping_creates", "rec_creation_total_popularity"]
+    found = spark.read.schema(schemas.RUN_METRICS).parquet(store.table("run_metrics"))
+    return found.filter(F.col("name").isin(names)).select("name", "value")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -14,11 +15,16 @@ from pressroom.operators import articles as art
 from pressroom.operators import extraction, paths, registry
 from pressroom.operators.metrics import RunMetrics
 from pressroom.plans import ingest, metadata, recommend
+from pressroom.plans.ledger import Ledger
 from pressroom.session import configure, settle, temporary_tables
 from pressroom.sources import chunks, commits, tables
 from pressroom.sources.responses import read_responses
 
 
+#: What a run does, in this order.
+STAGES = ("events", "metadata", "dwell", "popularity", "article")
+
+
 @dataclass(frozen=True)
 class Store:
     """Where the tables of one deployment live."""
@@ -81,13 +87,21 @@ def _update_dwell(spark, store: Store, site, dates: list[date]) -> None:
     )
 
 
-def publish(
-    spark: SparkSession, store: Store, recs: DataFrame, model_type: str, site: str, as_of, metrics: RunMetrics
-) -> int:
-    """Write recommendations under a new model, make it current, drop models that went."""
+def new_model(spark: SparkSession, store: Store, model_type: str, site: str, as_of) -> int:
+    """Register a pending model."""
     path = tables.of_site(store.table("model"), site)
     model_id = tables.reserve_ids(spark, store.table("model"), 1, block=1)
     tables.update_snapshot(spark, path, schemas.MODELS, lambda now: registry.register_model(now, model_id, model_type, site, as_of))
+    return model_id
+
+
+def publish(
+    spark: SparkSession, store: Store, recs: DataFrame, model_type: str, site: str, as_of, metrics: RunMetrics, model_id: int | None = None
+) -> int:
+    """Write recommendations under a new model, or one that is registered already, make it current, drop models that went."""
+    path = tables.of_site(store.table("model"), site)
+    if model_id is None:
+        model_id = new_model(spark, store, model_type, site, as_of)
     started = time.monotonic()
     tables.append_recs(metrics.counted(recs, f"rec_creation_total_{model_type}"), model_id, store.table("recommendation"))
     metrics.add(f"rec_creation_time_{model_type}", time.monotonic() - started, "Seconds")
@@ -99,15 +113,29 @@ def publish(
     return model_id
 
 
-def refresh(spark, store: Store, site: config.SiteConfig, names: list[str], dates: list[date], as_of, metrics) -> None:
-    """Events, then article metadata, then dwell times."""
-    started = time.monotonic()
-    _update_events(spark, store, site, names, metrics)
-    metrics.add("download_time", time.monotonic() - started, "Seconds")
-    started = time.monotonic()
-    _update_metadata(spark, store, site, names, as_of, metrics)
-    metrics.add("article_scraping_time", time.monotonic() - started, "Seconds")
-    _update_dwell(spark, store, site, dates)
+def refresh(spark, store: Store, site: config.SiteConfig, names: list[str], dates: list[date], as_of, metrics, ledger: Ledger, stages=STAGES) -> None:
+    """Events, then article metadata, then dwell times, as far as they aren't done."""
+
+    def timed(name: str, work: Callable[[], dict | None]) -> Callable[[], dict | None]:
+        def measured() -> dict | None:
+            started = time.monotonic()
+            facts = work()
+            metrics.add(name, time.monotonic() - started, "Seconds")
+            return facts
+
+        return measured
+
+    if "events" in stages:
+        ledger.once("events", timed("download_time", lambda: _update_events(spark, store, site, names, metrics)))
+    if "metadata" in stages:
+
+        def update() -> dict:
+            _update_metadata(spark, store, site, names, as_of, metrics)
+            return {"commit": commits.newest(spark, commits.metadata_group(store.base), site.name).number}
+
+        ledger.once("metadata", timed("article_scraping_time", update))
+    if "dwell" in stages:
+        ledger.once("dwell", lambda: _update_dwell(spark, store, site, dates))
 
 
 def run(
@@ -117,8 +145,11 @@ def run(
     as_of: datetime,
     days: int = config.TRAINING_DAYS,
     max_recs: int = config.MAX_RECS,
+    stages: tuple[str, ...] = STAGES,
 ) -> None:
-    """One scheduled run. A failure is recorded as a metric and raised again."""
+    """One scheduled run, of all stages or those named. A failure is recorded as a metric and raised again; called again for the
+    same time, the run goes on with the stages that hadn't finished.
+    """
     configure(spark)
     metrics = RunMetrics(as_of.strftime("%Y%m%dT%H%M%S"), site=site.name)
     started, status = time.monotonic(), "success"
@@ -126,17 +157,30 @@ def run(
         with temporary_tables(spark):
             names = chunks.chunk_names(as_of, site.hours_of_data)
             dates = sorted({(as_of - timedelta(hours=i)).date() for i in range(site.hours_of_data)})
-            refresh(spark, store, site, names, dates, as_of, metrics)
+            ledger = Ledger(spark, store.base, site.name, as_of.strftime("%Y%m%dT%H%M%S"))
+            refresh(spark, store, site, names, dates, as_of, metrics, ledger, stages)
 
             dwell = tables.read_dwell(spark, store.table("dwelltimes"))
             articles = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES, site.name)
-            top = recommend.default_recs(dwell, site, as_of.date())
-            publish(spark, store, top, "popularity", site.name, as_of, metrics)
 
-            training = time.monotonic()
-            recs = recommend.article_recs(dwell, articles, site, as_of.date(), days, max_recs)
-            metrics.add("model_training_time", time.monotonic() - training, "Seconds")
-            publish(spark, store, recs, "article", site.name, as_of, metrics)
+            def published(model_type: str, recs: Callable[[], DataFrame]) -> dict:
+                # the id is noted before anything is written under it, so another attempt leaves no second pending model
+                model = ledger.once(f"{model_type}-model", lambda: {"model": new_model(spark, store, model_type, site.name, as_of)})["model"]
+                publish(spark, store, recs(), model_type, site.name, as_of, metrics, model)
+                return {"model": model}
+
+            if "popularity" in stages:
+                ledger.once("popularity", lambda: published("popularity", lambda: recommend.default_recs(dwell, site, as_of.date())))
+
+            def trained() -> DataFrame:
+                training = time.monotonic()
+                recs = recommend.article_recs(dwell, articles, site, as_of.date(), days, max_recs)
+                metrics.add("model_training_time", time.monotonic() - training, "Seconds")
+                return recs
+
+            if "article" in stages:
+                ledger.once("article", lambda: published("article", trained))
+            ledger.close()
     except Exception:
         status = "failure"
         raise
@@ -153,15 +197,17 @@ def backfill_events(
 ) -> None:
     """Rebuild events, metadata and dwell times for ``days`` days back from ``start``.
 
-    Each day covers the 24 hour chunks that end at its midnight hour; the whole range is
-    one job.
+    Each day covers the 24 hour chunks that end at its midnight hour. Events are loaded some days at a time, the rest of
+    the range is one job; a backfill that was broken off goes on with the stages that hadn't finished.
     """
     configure(spark)
     names = chunks.chunk_names(start, 24 * days)
     dates = sorted({(start - timedelta(hours=i)).date() for i in range(24 * days)})
     metrics = RunMetrics(start.strftime("backfill-%Y%m%d"), site=site.name)
     with temporary_tables(spark):
-        refresh(spark, store, site, names, dates, start, metrics)
+        ledger = Ledger(spark, store.base, site.name, start.strftime(f"backfill-%Y%m%dT%H%M%S-{days}"))
+        refresh(spark, store, site, names, dates, start, metrics, ledger)
+        ledger.close()
     metrics.frame(spark).write.mode("append").parquet(store.table("run_metrics"))
 
 
