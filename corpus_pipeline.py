@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom.llm import decontaminate, jaccard, mixing, quality, secrets
-from pressroom.llm.session import SMALL_BATCH_ROWS, ready
+from pressroom.llm.session import SMALL_BATCH_ROWS, free_name, ready
 from pressroom.session import settle
 
 
-def _with_rows(docs: DataFrame) -> DataFrame:
-    """The documents with a number for each row, so that equal and null ids don't mix rows up.
+def _with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a number for each row, so that equal and null ids don't mix rows up, and the name of that column, which no other has.
 
     ``docs`` is a written table, and the numbers are written here with it, so a lost executor can't change them.
     """
-    return settle(docs.withColumn("_row", F.monotonically_increasing_id()))
+    name = free_name(docs, "_row")
+    return settle(docs.withColumn(name, F.monotonically_increasing_id())), name
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,30 +33,31 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ids are told apart.
     """
     ready(spark, SMALL_BATCH_ROWS)
-    numbered = _with_rows(docs)
-    groups = settle(jaccard.jaccard_components(numbered.select(F.col("_row").alias("doc_id"), "text")))
-    ids = numbered.select(F.col("_row").alias("row"), "doc_id")
+    numbered, number = _with_rows(docs)
+    groups = settle(jaccard.jaccard_components(numbered.select(F.col(number).alias("doc_id"), "text")))
+    ids = numbered.select(F.col(number).alias("row"), "doc_id")
     members = groups.join(ids.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("row"))
     first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first"))
-    gone = settle(members.join(first, "component_id").filter("row <> first.row").select(F.col("row").alias("_row")))
-    return numbered.join(gone, "_row", "left_anti").select(docs.columns)
+    gone = settle(members.join(first, "component_id").filter("row <> first.row").select(F.col("row").alias(number)))
+    return numbered.join(gone, number, "left_anti").select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     ready(spark, SMALL_BATCH_ROWS)
-    numbered = _with_rows(docs)
-    found = decontaminate.decontaminate(numbered.select(F.col("_row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), reach=0)
-    hit = settle(found.filter("contaminated").select(F.col("doc_id").alias("_row")))
-    return numbered.join(hit, "_row", "left_anti").select(docs.columns)
+    numbered, number = _with_rows(docs)
+    found = decontaminate.decontaminate(numbered.select(F.col(number).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), reach=0)
+    hit = settle(found.filter("contaminated").select(F.col("doc_id").alias(number)))
+    return numbered.join(hit, number, "left_anti").select(docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts replaced; ``n_chars`` is counted again where a text changed."""
     ready(spark, SMALL_BATCH_ROWS)
-    clean = secrets.redact(docs.withColumn("_text", F.xxhash64("text")))
+    before = free_name(docs, "_text")
+    clean = secrets.redact(docs.withColumn(before, F.xxhash64("text")))
     if "n_chars" in docs.columns:
-        changed = F.col("_text") != F.xxhash64("text")
+        changed = F.col(before) != F.xxhash64("text")
         clean = clean.withColumn("n_chars", F.when(changed, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return clean.select(docs.columns)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressroom.llm.session import free_name
 from pressroom.session import settle
 
 #: Each source gets a share of the mix in proportion to its size to this power: 1 keeps the mix, 0 makes all sources equal.
@@ -80,9 +81,10 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, key: str = "doc_id",
     ``copy`` or ``place`` are replaced. An empty table gives no rows.
     """
     docs = docs.drop("copy", "place")
-    by_source = settle(rates(docs, targets, temper=temper)).select(F.col("source").alias("_source"), F.col("rate").alias("_rate"))
+    source, rate, number = (free_name(docs, n) for n in ("_source", "_rate", "_copies"))
+    by_source = settle(rates(docs, targets, temper=temper)).select(F.col("source").alias(source), F.col("rate").alias(rate))
     keyed = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    drawn = docs.join(by_source, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_copies", copies(F.col("_rate"), keyed, seed))
-    taken = drawn.filter("_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    drawn = docs.join(by_source, F.col("source").eqNullSafe(F.col(source))).withColumn(number, copies(F.col(rate), keyed, seed))
+    taken = drawn.filter(F.col(number) > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(number))))
     placed = taken.withColumn("place", hashed(F.lit(f"{seed}|place"), keyed, F.col("copy").cast("string")))
-    return placed.drop("_source", "_rate", "_copies").repartition("place").sortWithinPartitions("place", key, "copy")
+    return placed.drop(source, rate, number).repartition("place").sortWithinPartitions("place", key, "copy")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from pressroom.session import configure
 
@@ -18,3 +18,11 @@ def ready(spark: SparkSession, rows: int = BATCH_ROWS) -> SparkSession:
     if rows < BATCH_ROWS:
         spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", rows)
     return spark
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

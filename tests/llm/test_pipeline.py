@@ -77,6 +77,23 @@ def test_odd_rows_through_all_stages(session, odd, tmp_path):
         empty = empty.select("doc_id", "text", "lang", "source", "n_chars")
 
 
+def test_columns_with_the_names_of_helpers_come_back_as_they_were(session, tmp_path):
+    names = ["_row", "_text", "_rate", "_Source", "_copies", "row", "host", "rule"]
+    docs = [(i, f"some words of text {i} that no other row has {i * 7} at all", "en", f"s{i % 2}", 9, *[f"{n}{i}" for n in names]) for i in range(30)]
+    docs = session.createDataFrame(docs, SCHEMA + ", " + ", ".join(f"`{n}` string" for n in names))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    session.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    session.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = stage(session, docs, str(tmp_path))
+        docs.write.parquet(f"{tmp_path}/out{number}")
+        docs = session.read.parquet(f"{tmp_path}/out{number}")
+        assert docs.columns[:13] == ["doc_id", "text", "lang", "source", "n_chars", *names]
+        for r in docs.collect():
+            assert [r[n] for n in names] == [f"{n}{r.doc_id}" for n in names]
+    assert docs.count() > 10
+
+
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
