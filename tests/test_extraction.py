@@ -131,7 +131,7 @@ def test_page_metadata(spark):
 
 ARC = {
     "headlines": {"meta_title": "Meta", "basic": "Basic"},
-    "publish_date": "2022-03-01T18:37:44.908Z",
+    "publish_date": "2022-03-01T06:12:31.457Z",
     "_id": "TCK",
     "canonical_url": "/news/x.html",
 }
