@@ -28,6 +28,8 @@ LEAST_WORDS = 6
 LEAST_REPEATS = 4
 #: Boundaries of small octaves share a tile of about so many words.
 TILE_WORDS = 512
+#: Tiles of so many bytes are worked on by a task.
+TASK_BYTES = 1 << 20
 _FAR = np.iinfo(np.int64).max
 
 _FOUND = pa.schema(
@@ -270,7 +272,9 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
     found = settle(rows.mapInArrow(_explode, _sql(_FOUND)))
     texts_open = found.filter("span IS NULL").select("row", "doc_id", "text")
     tiles = found.filter("span IS NOT NULL").select("row", "span", "first", "last", "low", "wide", "codes")
-    solved = tiles.repartition("row", "span", "first").mapInArrow(_solve, _sql(_PIECES))
+    # a tile's work is far larger than its bytes, so tasks get few of them
+    size = tiles.agg(F.sum(F.octet_length("codes"))).first()[0] or 0
+    solved = tiles.repartition(max(1, -(-size // TASK_BYTES)), "row", "span", "first").mapInArrow(_solve, _sql(_PIECES))
     run = F.struct("start", "length", "period")
     by_row = stitched(solved).groupBy("row").agg(F.sort_array(F.collect_list(run)).alias("runs"))
     repeating = texts_open.join(by_row, "row", "left").select("doc_id", "text", "runs").mapInArrow(_with_runs, _sql(_RESULT))
