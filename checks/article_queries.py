@@ -291,7 +291,7 @@ def headline(spark, sf):
 _DAY_SQL = "DATE '2024-01-01' + CAST(doc_id % 90 AS INT)"
 
 
-def _tribune_bodies(spark, sf):
+def tribune_bodies(spark, sf):
     """Article answers with the whole text as headline; every 17th lacks its date key,
     every 13th has a null date."""
     n = F.col("doc_id")
@@ -324,7 +324,7 @@ def _tribune_bodies(spark, sf):
     """
 )
 def tribune_json(spark, sf):
-    found = extraction.metadata_from_tribune_json(_tribune_bodies(spark, sf))
+    found = extraction.metadata_from_tribune_json(tribune_bodies(spark, sf))
     return found.select(
         "doc_id", F.md5("title").alias("title"), "published_at", "new_path", "new_external_id", "error_type"
     )
@@ -430,7 +430,7 @@ def bulk_articles(spark, sf):
 )
 def bulk_articles_tribune(spark, sf):
     n = F.col("doc_id")
-    bodies = _tribune_bodies(spark, sf)
+    bodies = tribune_bodies(spark, sf)
     pages = bodies.groupBy("site", F.floor(n / PAGE_SIZE).alias("page")).agg(F.collect_list("body").alias("items"))
     body = F.concat(F.lit('{"results":['), F.array_join("items", ","), F.lit("]}"))
     responses = pages.select("site", F.lit(200).alias("status"), body.alias("body"))

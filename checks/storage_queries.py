@@ -10,6 +10,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import functions as F
 
 from checks import inputs as i
+from checks.article_queries import PAGE_SIZE, tribune_bodies
 from checks.duck import stamp
 from checks.registry import query
 from pressroom import config, schemas
@@ -102,6 +103,17 @@ def stream_ingested(spark, sf):
     return tables.read_events(spark, f"{base}/events").select(*_COLUMNS)
 
 
+@query(_LOADED, "raw_events")
+def suffixless_hours(spark, sf):
+    """Landed gzip files that lost their suffix give the same events."""
+    base = _place(spark)
+    hours = _land(spark, sf, f"{base}/raw")
+    for name, _ in files.all_files(spark, f"{base}/raw"):
+        files.move(spark, name, name.removesuffix(".txt.gz"))
+    ingest.ingest_events(spark, f"{base}/raw", f"{base}/events", SITE, hours, f"{base}/rejected", gzip_without_suffix=True)
+    return tables.read_events(spark, f"{base}/events").select(*_COLUMNS)
+
+
 _DAY = [f"2024/01/15/{h:02d}" for h in range(24)]
 
 
@@ -411,3 +423,133 @@ def run_counts_of_job(spark, sf):
     names = ["downloaded_rows", "rejected_rows", "written_events", "article_scraping_creates", "rec_creation_total_popularity"]
     found = spark.read.schema(schemas.RUN_METRICS).parquet(store.table("run_metrics"))
     return found.filter(F.col("name").isin(names)).select("name", "value")
+
+
+@query(
+    f"""
+    SELECT * FROM (WITH good AS (SELECT DISTINCT landing_page_path AS path, n FROM (
+            SELECT landing_page_path, CAST(regexp_extract(landing_page_path, '/article/([0-9]+)/', 1) AS BIGINT) - 100 AS n
+            FROM {_USABLE} WHERE event_name <> 'page_ping' OR client_id IS NOT NULL)
+        WHERE n % 7 <> 2 AND n % 4 <> 0)
+    SELECT client_id, CAST(100 + n AS VARCHAR) AS external_id, CAST(session_date AS VARCHAR) AS session_date, 10 * count(*) AS duration
+    FROM {_USABLE} u JOIN good ON path = landing_page_path WHERE event_name = 'page_ping' AND client_id IS NOT NULL
+    GROUP BY client_id, n, session_date)
+    """,
+    "raw_events",
+)
+def backfill_events(spark, sf):
+    """Dwell times after a backfill over all landed days that broke off before its dwell times and was called again."""
+    base = _place(spark)
+    last = datetime.strptime(max(_land(spark, sf, f"{base}/raw")), "%Y/%m/%d/%H")
+    responses.write_responses(_pages(spark.range(1000), SITE.name), f"{base}/responses")
+    store = job.Store(f"{base}/raw", base, f"{base}/responses")
+    refresh = ingest.refresh_dwell
+    ingest.refresh_dwell = lambda *_: 1 / 0
+    try:
+        job.backfill_events(spark, store, _DAY_SITE, last, 40)
+    except ZeroDivisionError:
+        pass
+    finally:
+        ingest.refresh_dwell = refresh
+    job.backfill_events(spark, store, _DAY_SITE, last, 40)
+    return tables.read_dwell(spark, store.table("dwelltimes")).select("client_id", "external_id", "session_date", "duration")
+
+
+@query(
+    """
+    SELECT * FROM (WITH listed AS (
+        SELECT CAST(doc_id AS VARCHAR) AS external_id, md5(text) AS title, DATE '2024-01-01' + CAST(doc_id % 90 AS INT) + INTERVAL '18 hours 45 minutes 35 seconds' AS published,
+            '/article/' || CAST(100 + doc_id AS VARCHAR) || '/slug-' || CAST(doc_id AS VARCHAR) AS path
+        FROM documents WHERE doc_id % 3 = 1 AND doc_id % 17 <> 0 AND doc_id % 13 <> 0),
+    loaded AS (SELECT * FROM listed WHERE published >= TIMESTAMP '2024-01-10' AND published < TIMESTAMP '2024-02-20'),
+    before AS (SELECT CAST(doc_id AS VARCHAR) AS external_id, md5('before') AS title, TIMESTAMP '2023-12-01 00:00:00' AS published, '/before' AS path FROM documents WHERE doc_id % 6 = 1)
+    SELECT external_id, title, strftime(published, '%Y-%m-%d %H:%M:%S') AS published_at, path, external_id IN (SELECT external_id FROM before) AS was_there
+    FROM (FROM loaded UNION ALL FROM before WHERE external_id NOT IN (SELECT external_id FROM loaded)))
+    """
+)
+def backfill_articles(spark, sf):
+    """Articles of a site after a backfill from listings over some weeks: half of the site's articles were there before with another title, and keep their ids."""
+    base = _place(spark)
+    store = job.Store("", base, f"{base}/responses")
+    site = replace(config.TRIBUNE, name="site-1")
+    n, landed = F.col("doc_id"), F.lit(datetime(2024, 3, 1))
+    bodies = tribune_bodies(spark, sf).filter("site = 'site-1'")
+    pages = bodies.groupBy(F.floor(n / PAGE_SIZE).alias("page")).agg(F.array_join(F.collect_list("body"), ",").alias("items"))
+    text = F.lit(None).cast("string")
+    listings = pages.select(
+        F.lit("site-1").alias("site"), F.lit("bulk").alias("kind"), text.alias("path"), text.alias("external_id"), F.lit("u").alias("url"),
+        F.lit(200).alias("status"), F.concat(F.lit('{"results":['), "items", F.lit("]}")).alias("body"), landed.alias("fetched_at"),
+    )
+    responses.write_responses(listings, store.responses)
+    old = datetime(2023, 12, 1)
+    before = i.read(spark, sf, "documents").filter(n % 6 == 1).select(
+        (n + 1).alias("id"), F.lit("site-1").alias("site"), n.cast("string").alias("external_id"), F.lit("before").alias("title"), F.lit("/before").alias("path"),
+        F.lit(old).alias("published_at"), F.lit(old).alias("created_at"), F.lit(old).alias("updated_at"),
+    )
+    group = commits.metadata_group(base)
+    commits.write(spark, group, "site-1", commits.newest(spark, group, "site-1", buckets=16), {"article": (list(range(16)), before)})
+    tables.reserve_ids(spark, store.table("article"), before.agg(F.max("id")).first()[0])
+    job.backfill_articles(spark, store, site, date(2024, 1, 10), 41, datetime(2024, 3, 1))
+    found = tables.read_snapshot(spark, store.table("article"), schemas.ARTICLES, "site-1")
+    was_there = F.col("id") == F.col("external_id").cast("long") + 1
+    return found.select("external_id", F.md5("title").alias("title"), "published_at", "path", was_there.alias("was_there"))
+
+
+def _shouted(rows):
+    """A metadata rule of one's own: the length of the page's body as title, and a date by number."""
+    number = F.col("external_id").cast("long")
+    return rows.select(
+        "*",
+        F.length("body").cast("string").alias("title"),
+        F.timestamp_seconds(F.lit(1704067200) + number * 60).alias("published_at"),
+        F.col("path").alias("new_path"),
+        F.col("external_id").alias("new_external_id"),
+        F.when(F.col("body").isNull(), "fetch_error").alias("error_type"),
+        F.lit(None).cast("string").alias("msg"),
+    )
+
+
+_OWN_SITE = config.SiteConfig(
+    name="own",
+    domain="example.org",
+    hours_of_data=1,
+    popularity_window=1,
+    max_article_age=1,
+    training=config.TrainingParams(),
+    id_rule=(lambda paths, _: paths, lambda paths: extraction.id_from_path(paths, "^/own/([0-9]+)", 1)),
+    metadata_rule=(extraction.METADATA_RULES["article_html"][0], _shouted),
+    bulk_rule=lambda listed, start, end: listed.select("path", F.length("body").alias("n_chars")).filter(F.col("n_chars").between(start, end)),
+    validators=(("url LIKE '%/fr/%'", "French"), ("length(body) % 5 = 0", "Divisible")),
+)
+
+
+@query(
+    """
+    SELECT * FROM (WITH own AS (
+        SELECT page_id, '/own/' || CAST(page_id AS VARCHAR) AS path, CAST(page_id AS VARCHAR) AS external_id,
+            CASE WHEN page_id % 11 <> 3 THEN html END AS body, page_id % 7 <> 5 AS landed,
+            page_id % 7 <> 5 AND page_id % 11 <> 3 AND page_id % 6 <> 0 AS fetched, url LIKE '%/fr/%' AS french
+        FROM pages)
+    SELECT 'article' AS kind, path, CASE WHEN landed THEN CAST(length(body) AS VARCHAR) END AS title,
+        strftime(make_timestamp((1704067200 + page_id * 60) * 1000000), '%Y-%m-%d %H:%M:%S') AS published_at,
+        CASE WHEN fetched AND (french OR length(body) % 5 = 0) THEN 'failed_site_validation' WHEN NOT landed OR body IS NULL THEN 'fetch_error' END AS error_type,
+        CASE WHEN fetched AND french THEN 'French' WHEN fetched AND length(body) % 5 = 0 THEN 'Divisible' END AS msg
+    FROM own
+    UNION ALL SELECT 'listed', path, CAST(length(html) AS VARCHAR), NULL, NULL, NULL FROM own JOIN pages USING (page_id) WHERE length(html) BETWEEN 500 AND 1500)
+    """
+)
+def site_rules(spark, sf):
+    """A newsroom of one's own: rules for ids, metadata and listings as functions, and validators in SQL, the first of which that holds counts."""
+    n = F.col("page_id")
+    pages = i.read(spark, sf, "pages").select(n, F.concat(F.lit("/own/"), n.cast("string")).alias("path"), "url", "html")
+    no_id = F.lit(None).cast("string").alias("external_id")
+    responses_of = lambda rows, kind, status, body: rows.select(
+        F.lit("own").alias("site"), F.lit(kind).alias("kind"), "path", no_id, "url", status.alias("status"), body.alias("body"), F.lit(datetime(2024, 1, 15)).alias("fetched_at")
+    )
+    landed = responses_of(pages.filter(n % 7 != 5), "page", F.when(n % 6 == 0, 404).otherwise(200), F.when(n % 11 != 3, F.col("html")))
+    landed = settle(landed.unionByName(responses_of(pages, "bulk", F.lit(200), F.col("html"))))
+    ids = extraction.extract_ids(_OWN_SITE, pages.select(F.lit("own").alias("site"), "path"), landed)
+    found = extraction.extract_metadata(_OWN_SITE, ids, landed)
+    shown = found.select(F.lit("article").alias("kind"), "path", "title", "published_at", "error_type", "msg")
+    listed = extraction.bulk_articles(_OWN_SITE, landed, 500, 1500).select(F.lit("listed").alias("kind"), "path", F.col("n_chars").cast("string").alias("title"))
+    return shown.unionByName(listed, allowMissingColumns=True)

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import gzip
-import io
-import itertools
 from datetime import datetime, timedelta
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressroom.functions import clock
-from pressroom.sources import files
+from pressroom.sources import files, gzip_lines
 
 CHUNK_IN_PATH = r"/([0-9]{4}/[0-9]{2}/[0-9]{2}/[0-9]{2})/"
 
@@ -60,8 +56,7 @@ def read_event_chunks(
     if not paths:
         return spark.createDataFrame([], "value string, site string, chunk_dir string")
     if gzip_without_suffix:
-        packed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-        lines = packed.select("path", "content").mapInPandas(_gunzip_lines, "path string, value string")
+        lines = gzip_lines.read(spark, paths)
     else:
         lines = (
             spark.read.option("recursiveFileLookup", True)
@@ -71,12 +66,3 @@ def read_event_chunks(
     return lines.select(
         "value", F.lit(site).alias("site"), F.regexp_extract("path", CHUNK_IN_PATH, 1).alias("chunk_dir")
     )
-
-
-def _gunzip_lines(batches, lines_per_frame: int = 10_000):
-    """Decode as a stream and hand lines on in frames, so a file is never held unpacked."""
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with gzip.open(io.BytesIO(content), "rt", encoding="utf-8", errors="replace") as lines:
-                while some := [line.rstrip("\r\n") for line in itertools.islice(lines, lines_per_frame)]:
-                    yield pd.DataFrame({"path": path, "value": some})

@@ -25,6 +25,19 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in _fs(spark, path).listStatus(_path(spark, path))]
 
 
+def all_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names and bytes of the files under a folder at any depth; as for Spark's own sources, names that begin with ``_`` or ``.`` don't count."""
+    found, under = _fs(spark, path).listFiles(_path(spark, path), True), _path(spark, path).depth()
+    out = []
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().toUri().toString()
+        below = name.split("/")[under - status.getPath().depth() :]
+        if not any(part.startswith(("_", ".")) for part in below):
+            out.append((name, status.getLen()))
+    return out
+
+
 def size(spark: SparkSession, path: str) -> tuple[int, int]:
     """Bytes and number of files under a folder."""
     summary = _fs(spark, path).getContentSummary(_path(spark, path))
