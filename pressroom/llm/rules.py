@@ -1,15 +1,17 @@
 """Quality rules whose thresholds are set by risk control.
 
-A rule rejects texts beyond a cutoff. Rules are added one after the other. For each stratum (texts of similar length) and each cutoff of a
-fixed grid, labelled texts show how many good ones the rules so far and this one would reject together. A cutoff may be used if an exact
-binomial test shows, at a level corrected for all tests, that this share is below the allowed risk. Of these the tightest is taken. So with
-probability 1 - DELTA all rules together reject at most RISK of the good texts of every stratum.
+A rule rejects texts beyond a cutoff; the rules of a stratum (texts of similar length) reject together. The labelled texts are split in two by a hash of
+their ids. The first half chooses a path: unions of rules that grow step by step, each step the cutoff that adds most bad texts for the good ones it costs. The other half is
+the holdout: along the path it tests one union after the other, by an exact binomial test, whether fewer than RISK of the good texts are
+rejected, and the last union before the first failure is used. The order was fixed without the holdout, so each test may use the whole level of its stratum, and the levels of the strata
+add up to DELTA: with probability 1 - DELTA the rules reject at most RISK of the good texts of every stratum.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -96,30 +98,82 @@ def below(rejected: int, good: int, risk: float, level: float) -> bool:
     return True
 
 
+@dataclass
+class Marked:
+    """Labelled texts of one stratum and half, grouped by how many cutoffs of each rule they exceed: good and bad ones of each group."""
+
+    levels: np.ndarray
+    good: np.ndarray
+    bad: np.ndarray
+
+    @classmethod
+    def of(cls, levels: list[tuple[int, ...]], good: list[int], bad: list[int]) -> Marked:
+        return cls(np.array(levels, np.int64).reshape(-1, len(GRID)), np.array(good, np.int64), np.array(bad, np.int64))
+
+    def rejected(self, union: tuple[int, ...]) -> np.ndarray:
+        """Groups that a union rejects: for each rule it says how many cutoffs, from the tightest on, a text may exceed at most."""
+        return (self.levels > np.array(union)).any(axis=1)
+
+
+NONE = tuple(len(grid) for grid in GRID.values())
+
+
+def growing_unions(half: Marked, risk: float) -> list[tuple[int, ...]]:
+    """The path through the unions. It ends where no cutoff adds a bad text, or well beyond the risk. Of equal steps the one with the first rule and the loosest cutoff is taken."""
+    union, out = NONE, []
+    while True:
+        gone, best = half.rejected(union), None
+        if half.good[gone].sum() > 2 * risk * half.good.sum():
+            return out
+        for rule in range(len(NONE)):
+            for most in range(union[rule] - 1, -1, -1):
+                new = (half.levels[:, rule] > most) & ~gone
+                gain, cost = int(half.bad[new].sum()), int(half.good[new].sum())
+                if gain and (best is None or gain / (cost + 1) > best[0]):
+                    best = gain / (cost + 1), (*union[:rule], most, *union[rule + 1 :])
+        if best is None:
+            return out
+        union = best[1]
+        out.append(union)
+
+
+def tested(path: list[tuple[int, ...]], half: Marked, risk: float, level: float) -> tuple[int, ...]:
+    """The last union of the path before the first that fails its test on the holdout."""
+    passed, good = NONE, int(half.good.sum())
+    for union in path:
+        if not below(int(half.good[half.rejected(union)].sum()), good, risk, level):
+            break
+        passed = union
+    return passed
+
+
+def chosen(halves: dict[tuple[int, int], Marked], risk: float = RISK, delta: float = DELTA) -> dict[tuple[int, str], float]:
+    """From (stratum, half) to the cutoff of each (stratum, rule) that is used; half 1 is the holdout."""
+    out: dict[tuple[int, str], float] = {}
+    for s in range(len(STRATA) + 1):
+        if (s, 0) in halves and (s, 1) in halves:
+            union = tested(growing_unions(halves[s, 0], risk), halves[s, 1], risk, delta / (len(STRATA) + 1))
+            out |= {(s, rule): grid[len(grid) - 1 - most] for (rule, grid), most in zip(GRID.items(), union) if most < len(grid)}
+    return out
+
+
 def thresholds(counts: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> dict[tuple[int, str], float]:
-    """The cutoff of each (stratum, rule) that may be used and rejects some text labelled bad. All labelled rows count.
+    """The cutoff of each (stratum, rule) that may be used. All labelled rows count.
 
-    An id with several labels has their mean, rounded up; null labels don't count; an id that several rows have counts as often.
+    An id with several labels has their mean, rounded up; null labels don't count; an id that several rows have counts as often, always in the same half. The driver
+    receives a row for each stratum, half, label and way to exceed cutoffs: a number that doesn't grow with the rows.
     """
     known = labels.filter("quality IS NOT NULL").groupBy(F.col("doc_id").alias("labelled")).agg((F.avg("quality") >= 0.5).alias("good"))
     held = counts.filter(~base_failed()).join(known, F.col("doc_id") == F.col("labelled"))
     value = measures()
-    held = settle(held.select("good", stratum().alias("stratum"), *(value[rule].alias(rule) for rule in GRID)))
-    tests = (len(STRATA) + 1) * sum(len(g) for g in GRID.values())
-    out: dict[tuple[int, str], float] = {}
-    for rule, cutoffs in GRID.items():
-        before = F.lit(False)
-        for (s, other), cutoff in out.items():
-            before = before | ((F.col("stratum") == s) & (F.col(other) > cutoff))
-        sums = [F.count_if("good").alias("good")]
-        for k, cutoff in enumerate(cutoffs):
-            rejected = before | (F.col(rule) > cutoff)
-            sums += [F.count_if(F.col("good") & rejected).alias(f"good_{k}"), F.count_if(~F.col("good") & rejected & ~before).alias(f"bad_{k}")]
-        for row in held.groupBy("stratum").agg(*sums).collect():  # a row for each stratum
-            for k, cutoff in enumerate(cutoffs):
-                if row[f"bad_{k}"] and below(row[f"good_{k}"], row["good"], risk, delta / tests):
-                    out[row["stratum"], rule] = cutoff
-    return out
+    exceeded = [sum((value[rule] > c).cast("int") for c in grid).alias(rule) for rule, grid in GRID.items()]
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("half")
+    groups = held.select(stratum().alias("stratum"), half, *exceeded, "good").groupBy("stratum", "half", *GRID)
+    rows = groups.agg(F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_bad")).collect()
+    halves: dict[tuple[int, int], list] = {}
+    for row in rows:
+        halves.setdefault((row["stratum"], row["half"]), []).append((tuple(row[rule] for rule in GRID), row["n_good"], row["n_bad"]))
+    return chosen({key: Marked.of(*map(list, zip(*groups))) for key, groups in halves.items()}, risk, delta)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:

@@ -114,6 +114,8 @@ def test_rules_against_brute_force(session, tables):
         windows = [tuple(words[j : j + 5]) for j in range(len(words) - 4)]
         covered = {j + k for j, w in enumerate(windows) if windows.count(w) > 1 for k in range(5)}
         assert r.n_repeat_words == len(covered)
+        worded = [line for line in text.split("\n") if line.split()]
+        assert r.n_dup_lines == sum(line in worded[:k] for k, line in enumerate(worded))
         assert r.base_failed == (len(words) < 10 or 100 * len(covered) > 20 * len(words))
         assert not (r.base_failed and r.kept)
 
@@ -129,6 +131,71 @@ def test_risk_is_kept(session, tables):
     assert none.count() == 0
 
 
+def test_kept_against_brute_force(session, tables):
+    """The path and the tests along it, text by text, in plain loops."""
+    root, docs, marks = tables
+    frames = session.read.parquet(f"{root}/documents.parquet"), session.read.parquet(f"{root}/labels.parquet")
+    got = {r.doc_id: r for r in rules.quality_rules(*frames, risk=0.2).collect()}
+    half = {r[0]: r[1] for r in session.range(max(got) + 1).selectExpr("id", "pmod(xxhash64(id, 'half'), 2)").collect()}
+    label = {r.doc_id: r.quality for r in frames[1].collect()}
+    values = {}
+    for i, text, *_ in docs:
+        r, n = got[i], max(1, len(text.split()))
+        chars = len("".join(text.split()))
+        values[i] = [r.n_symbols / max(chars, 1), r.n_dup_lines / max(1, sum(bool(x.split()) for x in text.split("\n"))), r.n_repeat_words / n, chars / n, -chars / n]
+    names, used = list(rules.GRID), {}
+    for s in range(3):
+        mine = [i for i in values if not got[i].base_failed and label.get(i) is not None and sum(got[i].n_words >= b for b in rules.STRATA) == s]
+        sides = [[i for i in mine if half[i] == h] for h in (0, 1)]
+        if not all(sides):
+            continue
+        hit = lambda i, cuts: any(v > c for v, c in zip(values[i], cuts, strict=True))
+        union, path = [math.inf] * 5, []
+        while sum(hit(i, union) for i in sides[0] if label[i]) <= 0.4 * sum(label[i] for i in sides[0]):
+            steps = []
+            for k, name in enumerate(names):
+                for c in (c for c in rules.GRID[name] if c < union[k]):
+                    new = [i for i in sides[0] if values[i][k] > c and not hit(i, union)]
+                    steps.append((sum(not label[i] for i in new) / (1 + sum(label[i] for i in new)), k, c))
+            best = max((g for g, *_ in steps), default=0)
+            if not best:
+                break
+            _, k, c = next(x for x in steps if x[0] == best)
+            union = [*union[:k], c, *union[k + 1 :]]
+            path.append(union)
+        used[s] = [math.inf] * 5
+        for union in path:
+            n, k = sum(label[i] for i in sides[1]), sum(hit(i, union) for i in sides[1] if label[i])
+            if sum(math.comb(n, j) * 0.2**j * 0.8 ** (n - j) for j in range(k + 1)) > rules.DELTA / 3:
+                break
+            used[s] = union
+    assert any(c < math.inf for cuts in used.values() for c in cuts)
+    for i, r in got.items():
+        cuts = used.get(sum(r.n_words >= b for b in rules.STRATA), [math.inf] * 5)
+        assert r.kept == (not r.base_failed and not any(v > c for v, c in zip(values[i], cuts, strict=True)))
+
+
+def test_risk_is_exceeded_in_few_draws_of_labels():
+    """Texts whose good and bad ones differ little, so that many unions lie near the risk: of 600 draws of labels, no more than DELTA say lead to rules that reject
+    more than the risk of the good texts of a stratum."""
+    random = np.random.default_rng(8)
+    ways = random.integers(0, 4, (30, 5)) * (random.random((30, 5)) < 0.15)
+    shares = [(random.dirichlet(np.full(30, 0.5)), random.dirichlet(np.full(30, 0.5))) for _ in range(3)]
+    risk, exceeded, used = 0.15, 0, 0
+    for _ in range(600):
+        halves = {
+            (s, h): rules.Marked(ways, random.multinomial(150, good), random.multinomial(150, bad)) for s, (good, bad) in enumerate(shares) for h in (0, 1)
+        }
+        cutoffs = rules.chosen(halves, risk)
+        over = False
+        for s, (good, _) in enumerate(shares):
+            union = tuple(len(g) - 1 - g.index(cutoffs[s, rule]) if (s, rule) in cutoffs else len(g) for rule, g in rules.GRID.items())
+            over = over or good[halves[s, 0].rejected(union)].sum() > risk
+        exceeded, used = exceeded + over, used + bool(cutoffs)
+    assert used > 300
+    assert exceeded <= 600 * rules.DELTA + 2 * math.sqrt(600 * rules.DELTA)
+
+
 @pytest.mark.parametrize("which", [quality.quality_scores, toxicity.toxicity_scores, rules.quality_rules])
 def test_odd_rows(odd, nothing, odd_labels, no_labels, which):
     for label_rows in (odd_labels, no_labels):
