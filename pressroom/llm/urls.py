@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from pressroom.session import settle
+
 #: Rules as host and path, and their verdicts.
 LISTED = [
     ("org", "/", "allow"),
@@ -23,9 +25,9 @@ LISTED = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-#: Least share of labelled pages with the tokens and the label, least lower bound of the rule's confidence, most tokens of a rule. At most
-#: (token sets of that size in a URL) / LEAST_SUPPORT sets can be frequent, however many pages there are.
-LEAST_SUPPORT, LEAST_CONFIDENCE, MOST_TOKENS = 0.004, 0.6, 3
+#: Least share of labelled pages with the tokens and the label, least lower bound of the rule's confidence. At most
+#: (tokens of a URL) / LEAST_SUPPORT tokens can be frequent, however many pages there are.
+LEAST_SUPPORT, LEAST_CONFIDENCE = 0.004, 0.6
 UNWANTED = "label:unwanted"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -57,31 +59,54 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(named("host", F.split(host, r"\.")), named("path", F.split(path, "/")), named("query", keys)))
 
 
+def companions(known: DataFrame, least: float) -> list[tuple[str, ...]]:
+    """Groups of tokens that stand on exactly the same rows of ``known (row, tokens)``, of those that at least ``least`` rows have. Rows are compared by their number and
+    two hashes over all of them. Only frequent tokens reach the driver, so their number is bounded."""
+    each = known.select("row", F.explode("tokens").alias("token"))
+    over = lambda seed: F.bit_xor(F.xxhash64("row", F.lit(seed)))
+    signed = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), over(1).alias("first"), over(2).alias("second")).filter(F.col("n") >= least)
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for r in signed.collect():
+        groups[r["n"], r["first"], r["second"]].append(r["token"])
+    return sorted(tuple(sorted(group)) for group in groups.values())
+
+
 def mine(pages: DataFrame, labels: DataFrame, support: float = LEAST_SUPPORT, confidence: float = LEAST_CONFIDENCE) -> list[tuple[float, tuple[str, ...]]]:
     """Rules as (confidence, tokens), the surest first. A page is labelled by the row of its id: unwanted means toxic or of low quality.
 
-    A rule that holds a shorter one at least as sure is left out. Every labelled page counts.
+    Tokens that always come together on labelled pages are one item to FP-growth, so a long path that many pages share is a single item and not every set of its segments;
+    a rule has all tokens of its items. A rule that holds a shorter one at least as sure is left out. Every labelled page counts.
     """
     unwanted = labels.groupBy(F.col("doc_id").alias("labelled")).agg(
         F.max(F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False))).alias("unwanted")
     )
-    known = pages.join(unwanted, F.col("page_id") == F.col("labelled"))
-    sets = known.select(F.array_distinct(F.concat("tokens", F.when(F.col("unwanted"), F.array(F.lit(UNWANTED))).otherwise(F.array().cast("array<string>")))).alias("items"))
-    if not sets.head(1):
+    known = pages.join(unwanted, F.col("page_id") == F.col("labelled")).select("tokens", "unwanted")
+    known = settle(known.withColumn("row", F.monotonically_increasing_id()))
+    rows = known.count()
+    if not rows:
         return []
+    groups = companions(known, support * rows)
+    item_of = {token: str(k) for k, group in enumerate(groups) for token in group}
+
+    @F.pandas_udf("array<string>")
+    def items(found: pd.Series) -> pd.Series:
+        return found.map(lambda x: sorted({item_of[t] for t in x if t in item_of}))
+
+    marked = F.when(F.col("unwanted"), F.array(F.lit(UNWANTED))).otherwise(F.array().cast("array<string>"))
+    sets = known.select(F.concat(items("tokens"), marked).alias("items"))
     frequent = FPGrowth(itemsCol="items", minSupport=support).fit(sets).freqItemsets
     sized = frequent.withColumn("key", F.concat_ws("\n", F.sort_array(F.array_remove("items", UNWANTED))))
     marked = F.array_contains("items", UNWANTED)
-    both = sized.filter(marked & F.size("items").between(2, MOST_TOKENS + 1)).select("key", F.col("freq").alias("both"))
+    both = sized.filter(marked & (F.size("items") > 1)).select("key", F.col("freq").alias("both"))
     rules = both.join(sized.filter(~marked).select("key", "freq"), "key")
     share, z = F.col("both") / F.col("freq"), 1.96
     lower = (share + z * z / (2 * F.col("freq")) - z * F.sqrt(share * (1 - share) / F.col("freq") + z * z / (4 * F.col("freq") ** 2))) / (1 + z * z / F.col("freq"))
     found = rules.withColumn("lower", lower).filter(F.col("lower") >= confidence).collect()  # bounded by the support
-    sure = sorted(((-r["lower"], len(r["key"].split("\n")), tuple(r["key"].split("\n"))) for r in found))
+    whole = [(r["lower"], tuple(sorted(t for k in r["key"].split("\n") for t in groups[int(k)]))) for r in found]
     kept: list[tuple[float, tuple[str, ...]]] = []
-    for low, _, rule in sure:
+    for low, rule in sorted(whole, key=lambda x: (-x[0], len(x[1]), x[1])):
         if not any(set(other) <= set(rule) for _, other in kept):
-            kept.append((-low, rule))
+            kept.append((low, rule))
     return kept
 
 

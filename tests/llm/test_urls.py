@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import re
 
 from pyspark.sql import functions as F
@@ -48,4 +49,56 @@ def test_mined_rules_match_all_their_tokens(session, tmp_path):
     url = F.col("url")
     parts = session.createDataFrame(pages, "page_id long, url string, html string").withColumn("tokens", urls.tokens(url, urls.host(url), urls.path(url)))
     rules = urls.mine(parts, session.createDataFrame(marks, "doc_id long, quality int, toxic int"))
-    assert rules and all(c >= urls.LEAST_CONFIDENCE and len(t) <= urls.MOST_TOKENS for c, t in rules)
+    assert rules and all(c >= urls.LEAST_CONFIDENCE for c, t in rules)
+
+
+def marked_pages(session, urls_and_marks):
+    url = F.col("url")
+    pages = session.createDataFrame([(i, u) for i, (u, _) in enumerate(urls_and_marks)], "page_id long, url string")
+    labels = session.createDataFrame([(i, 1, m) for i, (_, m) in enumerate(urls_and_marks)], "doc_id long, quality int, toxic int")
+    return pages.withColumn("tokens", urls.tokens(url, urls.host(url), urls.path(url))), labels
+
+
+def test_a_long_shared_path_is_one_rule_of_all_its_tokens(session):
+    shared = "/".join(f"part{k}" for k in range(40))
+    pages, labels = marked_pages(session, [(f"http://a{i}.b{i}/{shared if i % 50 == 0 else f'own{i}/x{i}'}/{i}", int(i % 50 == 0)) for i in range(600)])
+    rules = urls.mine(pages, labels)
+    assert [t for _, t in rules] == [tuple(sorted(f"path:part{k}" for k in range(40)))]
+
+
+def test_mined_rules_equal_brute_force(session):
+    """Every set of tokens, of any size, on its closure: the tokens that all labelled pages with the set have in the same rows as one of its own."""
+    rows = []
+    for i in range(400):
+        parts = [name for name, n in (("a", 2), ("b", 3), ("c", 5), ("d", 7)) if i % n == 0]
+        rows.append((f"http://h/{'/'.join(parts)}{'/e/f' if i % 5 == 0 else ''}", int(i % 210 % 30 == 0 or i % 11 == 0)))
+    pages, labels = marked_pages(session, rows)
+    sets = [(set(r.tokens), rows[r.page_id][1]) for r in pages.collect()]
+    where = {t: frozenset(k for k, (s, _) in enumerate(sets) if t in s) for t in set().union(*(s for s, _ in sets))}
+    wanted = {}
+    for n in range(1, len(where) + 1):
+        for some in itertools.combinations(sorted(where), n):
+            rule = tuple(sorted(t for t in where if where[t] in {where[x] for x in some}))
+            there = frozenset.intersection(*(where[t] for t in rule))
+            both = sum(sets[k][1] for k in there)
+            if both >= urls.LEAST_SUPPORT * len(sets):
+                share, z, m = both / len(there), 1.96, len(there)
+                low = (share + z * z / (2 * m) - z * (share * (1 - share) / m + z * z / (4 * m * m)) ** 0.5) / (1 + z * z / m)
+                if low >= 0.3:
+                    wanted[rule] = low
+    kept = []
+    for low, _, rule in sorted((-low, len(rule), rule) for rule, low in wanted.items()):
+        if not any(set(other) <= set(rule) for other in kept):
+            kept.append(rule)
+    assert kept and max(map(len, kept)) > 3
+    assert [t for _, t in urls.mine(pages, labels, confidence=0.3)] == kept
+
+
+def test_odd_pages(session, odd_labels):
+    """Names that the operator uses itself, very long urls, urls of very many tokens, equal and null ids."""
+    rows = [(i, u, "mine", "r", 1, "t") for i, u in enumerate(["http://h/" + "x" * 200_000, "http://h/" + "/".join(map(str, range(20_000))), None, "http://h/a?" + "&".join(f"k{i}=1" for i in range(5000))])]
+    rows += [rows[0], (None, "http://h/de", None, None, None, None)]
+    pages = session.createDataFrame(rows, "page_id long, url string, host string, rule string, row long, tokens string")
+    got = urls.judge(pages, odd_labels)
+    assert got.count() == len(rows) and got.columns == ["page_id", "host", "path", "rule", "verdict", "mined"]
+    assert urls.judge(pages.limit(0), odd_labels).count() == 0
