@@ -20,9 +20,9 @@ def held_out(folds: int, out: int) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, out: int, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(doc_id, text, label)`` of at most ``rows`` labelled ids outside the held-out fold, chosen by a hash of the id.
+    """``(doc_id, text, label)``: at most ``rows`` rows, one for each labelled id outside the held-out fold, the ids chosen by a hash.
 
-    An id with several labels has their mean, rounded up; null labels don't count.
+    An id with several labels has their mean, rounded up; null labels don't count. Of several rows with one id the text with the smallest hash counts, however many they are.
     """
     chosen = (
         labels.filter(F.col(label).isNotNull() & (fold("doc_id", folds) != out))
@@ -31,4 +31,5 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # rows are bounded
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("hash", F.xxhash64("text"))  # rows are bounded
+    return found.groupBy("doc_id").agg(F.min_by("text", F.struct("hash", "text")).alias("text"), F.any_value("label").alias("label"))

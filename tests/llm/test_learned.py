@@ -196,6 +196,18 @@ def test_risk_is_exceeded_in_few_draws_of_labels():
     assert exceeded <= 600 * rules.DELTA + 2 * math.sqrt(600 * rules.DELTA)
 
 
+def test_a_training_sample_has_one_row_for_each_id(session):
+    docs = session.createDataFrame([(1, f"copy {k}") for k in range(500)] + [(2, None), (2, None), (3, "three"), (None, "x")], "doc_id long, text string")
+    marks = session.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (4, 1), (None, 1)], "doc_id long, quality int")
+    sample = labels.training_sample(docs, marks, "quality", 1, 1)
+    got = {r.doc_id: (r.text, r.label) for r in sample.collect()}
+    assert sample.count() == 3 and got[2] == (None, 0) and got[3] == ("three", 1)
+    text, label = got[1]
+    assert label == 1 and text.startswith("copy ")
+    assert {r.doc_id: (r.text, r.label) for r in labels.training_sample(docs.repartition(7), marks, "quality", 1, 1).collect()} == got
+    assert labels.training_sample(docs, marks, "quality", 1, 1, rows=2).count() == 2
+
+
 @pytest.mark.parametrize("which", [quality.quality_scores, toxicity.toxicity_scores, rules.quality_rules])
 def test_odd_rows(odd, nothing, odd_labels, no_labels, which):
     for label_rows in (odd_labels, no_labels):
