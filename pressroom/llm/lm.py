@@ -2,17 +2,17 @@
 
 All words of the training documents are counted. Frequent words, a fixed number, are known to every task; the others meet their counts in a join.
 The network knows the most frequent words, as many as make up three quarters of the corpus; any other word is one symbol to it, times its share among those words. It is trained where the data is: every
-task trains on its documents, a share of them in each round until all were read, and the weights are averaged by tokens after each round.
+task trains on its documents, a share of them in each round until all were read, and the weights are averaged by tokens after each round, in two steps.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +26,10 @@ FREQUENT, VOCABULARY, COVERED = 100_000, 100_000, 0.75
 SHARE = 4
 #: Bytes of texts that are scored together.
 GATHERED = 12 << 20
+#: Sums of weights that are built for each block of weights before they meet in one.
+PARTIAL = 64
+#: Bytes of texts that are trained on together.
+TRAIN_BYTES = 8 << 20
 #: The hash that stands for the end of a document.
 END = np.uint64(0x1E5D0C0E)
 #: Words a task counts before it passes its counts on.
@@ -100,7 +104,7 @@ class Counts:
         number = np.full(len(word), numbers[known])
         number[:known] = numbers[:known]
         by_hash = np.argsort(word)
-        word_class = recurrent.classes(sizes[order], math.isqrt(known) + 1)
+        word_class = recurrent.classes(sizes[order], round(known ** (2 / 3)) + 1)
         word_class = np.unique(word_class, return_inverse=True)[1]
         return cls(word[by_hash], n[by_hash], total, distinct, number[by_hash], int(numbers[known]), word_class, sizes[order])
 
@@ -124,37 +128,46 @@ def _train(counts: Counts, flat: np.ndarray | None, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = recurrent.Model.fresh(counts.word_class, counts.class_counts)
         trainer = recurrent.Trainer(model if flat is None else model.with_flat(flat))
-        for piece in words.pieces(batches, "text"):
+        for piece in words.pieces(batches, "text", TRAIN_BYTES):
             hashes, first = _tokens(piece.column(0))
             trainer.train(counts.look_up(hashes)[1].astype(np.int32), first)
         if trainer.tokens:
-            new = trainer.model.flat().astype(np.float64) * trainer.tokens
+            new = trainer.model.flat() * np.float32(trainer.tokens)
             cuts = np.append(np.arange(0, len(new), block), len(new))
-            lists = words.list_array(new, cuts, pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(lists))), lists, pa.array(np.full(len(lists), trainer.tokens))], ["block", "w", "tokens"])
+            lists = words.list_array(new, cuts, pa.float32())
+            n = len(lists)
+            part = np.full(n, TaskContext.get().partitionId() % PARTIAL)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(part), lists, pa.array(np.full(n, trainer.tokens))], ["block", "part", "w", "tokens"])
 
     return run
 
 
-def _mean(parts: pa.Table) -> pa.Table:
-    """The weights of one block, averaged by tokens."""
-    tokens = parts.column("tokens").to_numpy()
-    total = sum(np.asarray(w.values) for w in parts.column("w"))
-    return pa.table({"block": parts.column("block")[:1], "w": pa.array([total / tokens.sum()], pa.list_(pa.float64()))})
+_WEIGHTS = "block long, part long, w array<float>, tokens long"
+
+
+def _sum(parts: pa.Table) -> pa.Table:
+    """The sum of the weights of one block, and of their tokens."""
+    total = np.zeros(len(parts.column("w")[0]), np.float64)
+    for w in parts.column("w"):
+        total += w.values.to_numpy()
+    tokens = int(parts.column("tokens").to_numpy().sum())
+    lists = pa.array([total.astype(np.float32)], pa.list_(pa.float32()))
+    return pa.table({"block": parts.column("block")[:1], "part": parts.column("part")[:1], "w": lists, "tokens": pa.array([tokens])})
 
 
 def train(docs: DataFrame, counts: Counts, block: int = 4096) -> recurrent.Model:
     """Training in every task on ``docs (doc_id, text)``, a share in each round, begun with the average of the weights before."""
     model = recurrent.Model.fresh(counts.word_class, counts.class_counts)
     flat = None
-    part = F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(SHARE))
+    share = F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(SHARE))
     for k in range(SHARE):
-        parts = docs.filter(part == k).select("text").mapInArrow(_train(counts, flat, block), "block long, w array<double>, tokens long")
-        mean = parts.groupBy("block").applyInArrow(_mean, "block long, w array<double>").toArrow()  # as many numbers as weights
-        if not mean.num_rows:
+        parts = docs.filter(share == k).select("text").mapInArrow(_train(counts, flat, block), _WEIGHTS)
+        sums = parts.groupBy("block", "part").applyInArrow(_sum, _WEIGHTS).groupBy("block").applyInArrow(_sum, _WEIGHTS)
+        found = sums.toArrow()  # as many numbers as weights
+        if not found.num_rows:
             continue
-        order = np.argsort(mean.column("block").to_numpy())
-        flat = mean.column("w").combine_chunks().take(pa.array(order)).flatten().to_numpy()
+        found = found.take(pa.array(np.argsort(found.column("block").to_numpy())))
+        flat = found.column("w").combine_chunks().flatten().to_numpy() / np.float32(found.column("tokens")[0].as_py())
     return model if flat is None else model.with_flat(flat)
 
 

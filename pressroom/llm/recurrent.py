@@ -1,12 +1,15 @@
-"""A gated recurrent language model in numpy, with a softmax over classes of words and one within the class.
+"""A gated recurrent language model in numpy, with a softmax over groups of classes, one over the classes of a group and one over the words of a class.
 
-Documents are laid end to end into slots, and all slots advance together. The state is carried from window to window, and starts anew at
-each document. Gradients go back to the beginning of the window.
+Documents are laid into slots, and all slots advance together. The state is carried from window to window, and starts anew at
+each document. Gradients go back to the beginning of the window. For scoring a document stays in one slot. For training the documents are one
+stream that is cut into slots of equal length, so a slot may begin within a document, with an empty state there.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,29 +17,95 @@ import numpy as np
 EMBEDDING, HIDDEN = 16, 24
 #: Slots and window for scoring and for training.
 SCORE_SLOTS, SCORE_WINDOW = 256, 32
-TRAIN_SLOTS, TRAIN_WINDOW = 64, 24
-RATE, CLIP = 0.005, 1.0
+TRAIN_SLOTS, TRAIN_WINDOW = 1024, 24
+RATE, CLIP = 0.02, 1.0
+#: Rows of one node of the output that are a block.
+BLOCK_ROWS = 16
+#: Nodes with more blocks are summed one by one.
+FEW_BLOCKS = 8
+#: Tokens whose outputs are worked out together in scoring.
+GATHERED_TOKENS = 1 << 15
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
+    out = np.negative(x)
     with np.errstate(over="ignore"):
-        return 1 / (1 + np.exp(-x))
+        np.exp(out, out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
 def classes(counts: np.ndarray, number: int) -> np.ndarray:
-    """The class of each word, words being in falling order of counts: classes of like shares of the square root of the counts, so
-    that common words are in small classes."""
-    weight = np.sqrt(np.maximum(counts, 1))
-    return np.minimum((np.cumsum(weight) - weight / 2) / weight.sum() * number, number - 1).astype(np.int64)
+    """The class of each word, words being in falling order of counts: classes of equally many words, so that all are worked on together without gaps."""
+    return np.arange(len(counts)) * number // len(counts)
+
+
+class Choices:
+    """Rows that choose among the children ``edges[k]:edges[k + 1]`` of their node k, the rows sorted by node.
+
+    The rows of a node are dealt to blocks of ``BLOCK_ROWS``, so that all nodes take part in the same few products of arrays (block, row, child).
+    """
+
+    def __init__(self, edges: np.ndarray, node: np.ndarray, child: np.ndarray):
+        nodes, first, n = np.unique(node, return_index=True, return_counts=True)
+        number = -(-n // BLOCK_ROWS)
+        self.first_block = np.cumsum(number) - number
+        self.blocks = int(number.sum())
+        #: The place of each row in the blocks.
+        self.at = np.arange(len(node)) + np.repeat(self.first_block * BLOCK_ROWS - first, n)
+        size = np.diff(edges)[nodes]
+        among = np.arange(int(size.max()))
+        children = np.minimum(edges[nodes][:, None] + among, edges[-1] - 1)
+        self.missing = among >= size[:, None]
+        self.nodes = children
+        self.children = np.repeat(children, number, axis=0)
+        self.number = number
+        self.chosen = child - edges[node]
+
+    def spread(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.blocks * BLOCK_ROWS, rows.shape[1]), rows.dtype)
+        out[self.at] = rows
+        return out.reshape(self.blocks, BLOCK_ROWS, -1)
+
+    def rows(self, blocks: np.ndarray) -> np.ndarray:
+        return blocks.reshape(-1, blocks.shape[2])[self.at]
+
+    def logits(self, states: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """Logits of all children, of a child that a smaller node hasn't so low that its probability is 0."""
+        out = states @ weights.transpose(0, 2, 1)
+        bias = bias[self.nodes]
+        bias[self.missing] = -1e4
+        out += np.repeat(bias, self.number, axis=0)[:, None, :]
+        if out.max() > 80:  # else the exponential can't overflow
+            out -= out.max(axis=2, keepdims=True)
+        return out
+
+    def sums(self, blocks: np.ndarray) -> np.ndarray:
+        """The sum over the blocks of each node."""
+        out = blocks[self.first_block]
+        for k in range(1, FEW_BLOCKS):
+            more = np.flatnonzero((self.number > k) & (self.number <= FEW_BLOCKS))
+            out[more] += blocks[self.first_block[more] + k]
+        for k in np.flatnonzero(self.number > FEW_BLOCKS):
+            out[k] = blocks[self.first_block[k] : self.first_block[k] + self.number[k]].sum(axis=0)
+        return out
 
 
 @dataclass
 class Model:
-    """The weights. Words are numbered by class: class k has the words ``edges[k]:edges[k + 1]``."""
+    """The weights. Words are numbered by class: class k has the words ``edges[k]:edges[k + 1]``. Consecutive classes are a group, about as many
+    groups as each has classes."""
 
     edges: np.ndarray
     weights: dict[str, np.ndarray]
 
+    def __post_init__(self):
+        number = len(self.edges) - 1
+        groups = max(1, math.isqrt(number))
+        self.group_edges = np.arange(groups + 1) * number // groups
+        self.word_class = np.repeat(np.arange(number), np.diff(self.edges))
+        self.class_group = np.repeat(np.arange(groups), np.diff(self.group_edges))
+
     @classmethod
     def fresh(cls, word_class: np.ndarray, counts: np.ndarray, seed: int = 1) -> Model:
         """Small random weights; the biases of the outputs are the frequencies, so that the model begins as one of single words."""
@@ -44,21 +113,30 @@ class Model:
         random = np.random.default_rng(seed)
         small = lambda *shape: (random.standard_normal(shape) * 0.1).astype(np.float32)
         counts = np.maximum(counts, 0.5)
-        edges = np.searchsorted(word_class, np.arange(number + 1))
-        mass = np.add.reduceat(counts, edges[:-1])
-        return cls(
-            edges,
-            {
-                "embedding": small(words + 1, EMBEDDING),  # the last is the beginning of a document
-                "input": small(EMBEDDING, 3 * HIDDEN),
-                "bias": np.zeros(3 * HIDDEN, np.float32),
-                "recurrent": small(HIDDEN, 3 * HIDDEN),
-                "class": small(HIDDEN, number) * 0.1,
-                "class_bias": np.log(mass / mass.sum()).astype(np.float32),
-                "word": small(words, HIDDEN) * 0.1,
-                "word_bias": np.log(counts / mass[word_class]).astype(np.float32),
-            },
-        )
+        out = cls(np.searchsorted(word_class, np.arange(number + 1)), {})
+        mass = np.add.reduceat(counts, out.edges[:-1])
+        group_mass = np.add.reduceat(mass, out.group_edges[:-1])
+        out.weights = {
+            "embedding": small(words + 1, EMBEDDING),  # the last is the beginning of a document
+            "input": small(EMBEDDING, 3 * HIDDEN),
+            "bias": np.zeros(3 * HIDDEN, np.float32),
+            "recurrent": small(HIDDEN, 3 * HIDDEN),
+            "group": small(len(group_mass), HIDDEN) * 0.1,
+            "group_bias": np.log(group_mass / group_mass.sum()).astype(np.float32),
+            "class": small(number, HIDDEN) * 0.1,
+            "class_bias": np.log(mass / group_mass[out.class_group]).astype(np.float32),
+            "word": small(words, HIDDEN) * 0.1,
+            "word_bias": np.log(counts / mass[word_class]).astype(np.float32),
+        }
+        return out
+
+    def layers(self, targets: np.ndarray) -> Iterator[tuple[str, Choices]]:
+        """The choices that lead to targets sorted by class: of a group, of a class in it, of a word in that."""
+        kind = self.word_class[targets]
+        group = self.class_group[kind]
+        yield "group", Choices(np.array([0, len(self.group_edges) - 1]), np.zeros(len(targets), np.int64), group)
+        yield "class", Choices(self.group_edges, group, kind)
+        yield "word", Choices(self.edges, kind, targets)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([w.ravel() for w in self.weights.values()])
@@ -105,20 +183,20 @@ def grid(ids: np.ndarray, first: np.ndarray, slots: int, begin: int) -> tuple[np
 
 
 def log_probabilities(model: Model, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """Natural logarithm of the probability of each target after a state: that of its class, and that of the word in its class."""
-    w, edges = model.weights, model.edges
-    kind = np.searchsorted(edges, targets, side="right") - 1
-    logits = states @ w["class"] + w["class_bias"]
-    logits -= logits.max(axis=1, keepdims=True)
-    out = logits[np.arange(len(targets)), kind] - np.log(np.exp(logits).sum(axis=1))
-    order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(len(edges)))
-    for k in range(len(edges) - 1):
-        if edges[k + 1] - edges[k] > 1 and cuts[k + 1] > cuts[k]:
-            rows = order[cuts[k] : cuts[k + 1]]
-            inner = states[rows] @ w["word"][edges[k] : edges[k + 1]].T + w["word_bias"][edges[k] : edges[k + 1]]
-            inner -= inner.max(axis=1, keepdims=True)
-            out[rows] += inner[np.arange(len(rows)), targets[rows] - edges[k]] - np.log(np.exp(inner).sum(axis=1))
+    """Natural logarithm of the probability of each target after a state: that of its group, that of its class in the group, and that of the word in its class."""
+    w = model.weights
+    out = np.zeros(len(targets))
+    if not len(targets):
+        return out
+    order = np.argsort(model.word_class[targets], kind="stable")
+    states, logs = states[order], np.zeros(len(targets))
+    for name, choices in model.layers(targets[order]):
+        logits = choices.logits(choices.spread(states), w[name].take(choices.children, axis=0), w[f"{name}_bias"])
+        flat = logits.reshape(-1, logits.shape[2])
+        logs += flat[choices.at, choices.chosen]
+        np.exp(flat, out=flat)
+        logs -= np.log((flat @ np.ones(flat.shape[1], flat.dtype))[choices.at])
+    out[order] = logs
     return out
 
 
@@ -130,8 +208,8 @@ def score(model: Model, ids: np.ndarray, first: np.ndarray, slots: int = SCORE_S
     table = w["embedding"] @ w["input"] + w["bias"]
     out = np.zeros(len(first) - 1)
     state = np.zeros((before.shape[1], HIDDEN), np.float32)
+    states, targets, owners, waiting = [], [], [], 0
     for at in range(0, len(before), window):
-        states, targets, owners = [], [], []
         for t in range(at, min(at + window, len(before))):
             n = filled[t]
             ids_now = before[t, :n]
@@ -147,11 +225,32 @@ def score(model: Model, ids: np.ndarray, first: np.ndarray, slots: int = SCORE_S
             states.append(h)
             targets.append(token[t, :n])
             owners.append(owner[t, :n])
+            waiting += n
+        if waiting < GATHERED_TOKENS and at + window < len(before):
+            continue
         logs = log_probabilities(model, np.concatenate(states), np.concatenate(targets))
         out += np.bincount(np.concatenate(owners), logs, minlength=len(out))
+        states, targets, owners, waiting = [], [], [], 0
     return out
 
 
+def stream(ids: np.ndarray, first: np.ndarray, slots: int, begin: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens as one stream, cut into slots of equal length, in (step, slot) order: the token before, the token, and how many slots are
+    filled at each step (the first ones; only the last step can have fewer)."""
+    n = len(ids)
+    slots = max(1, min(slots, n))
+    previous = np.empty(n, np.int32)
+    previous[1:] = ids[:-1]
+    previous[first[:-1][np.diff(first) > 0]] = begin
+    steps = -(-n // slots)
+    short = steps * slots - n  # the last slots have one token fewer
+    begins = np.arange(slots) * steps - np.maximum(np.arange(slots) - (slots - short), 0)
+    at = np.minimum(begins[None, :] + np.arange(steps)[:, None], max(n - 1, 0))
+    filled = np.full(steps, slots)
+    filled[-1:] -= short
+    return previous[at], ids[at], filled
+
+
 class Trainer:
     """Truncated backpropagation with Adam. Embeddings and words of the output that a step doesn't touch stay as they are in it."""
 
@@ -164,14 +263,15 @@ class Trainer:
         self.touched: dict[str, np.ndarray] = {}
 
     def train(self, ids: np.ndarray, first: np.ndarray, slots: int = TRAIN_SLOTS, window: int = TRAIN_WINDOW) -> None:
-        begin = len(self.model.weights["word"])
-        before, token, _, filled = grid(ids, first, slots, begin)
+        if not len(ids):
+            return
+        # few tokens make few slots, so that there are some windows to learn from
+        slots = max(1, min(slots, len(ids) // window))
+        before, token, filled = stream(ids, first, slots, len(self.model.weights["word"]))
         state = np.zeros((before.shape[1], HIDDEN), np.float32)
         for at in range(0, len(before), window):
-            n = int(filled[at])
             part = slice(at, min(at + window, len(before)))
-            # slots that end within the window count up to their end
-            state = self._step(before[part, :n], token[part, :n], state[:n], np.arange(n) < filled[part, None])
+            state = self._step(before[part], token[part], state, np.arange(slots) < filled[part, None])
         self.tokens += len(ids)
 
     def _step(self, before: np.ndarray, token: np.ndarray, state: np.ndarray, live: np.ndarray | None = None) -> np.ndarray:
@@ -179,23 +279,22 @@ class Trainer:
         steps, n = before.shape
         table_in = w["embedding"][before]
         x = table_in @ w["input"] + w["bias"]
-        kept, h = [], state
+        kept, h, states = [], state, np.empty((steps, n, HIDDEN), x.dtype)
         for t in range(steps):
             keep = (before[t] != begin).astype(np.float32)[:, None]
             h = h * keep
             u = h @ w["recurrent"]
             gates = sigmoid(x[t, :, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
             r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            new = np.tanh(x[t, :, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])
+            new = 2 * sigmoid(2 * (x[t, :, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])) - 1
             kept.append((keep, h, u[:, 2 * HIDDEN :], r, z, new))
-            h = new + z * (h - new)
-        states = np.stack([k[5] + k[4] * (k[1] - k[5]) for k in kept])
+            h = states[t] = new + z * (h - new)
         rows = np.arange(steps * n) if live is None else np.flatnonzero(live)
         back = np.zeros((steps * n, HIDDEN), states.dtype)
         gradient, back[rows] = self._output(states.reshape(-1, HIDDEN)[rows], token.reshape(-1)[rows])
         back = back.reshape(steps, n, HIDDEN)
         d_x = np.empty_like(x)
-        d_u = np.zeros_like(w["recurrent"])
+        d_u, h_before = np.empty_like(x), np.empty_like(states)
         d_h = np.zeros((n, HIDDEN), np.float32)
         for t in reversed(range(steps)):
             keep, h_in, u_new, r, z, new = kept[t]
@@ -203,12 +302,12 @@ class Trainer:
             d_new = d_h * (1 - z) * (1 - new * new)
             d_z = d_h * (h_in - new) * z * (1 - z)
             d_r = d_new * u_new * r * (1 - r)
-            d_x[t] = np.concatenate([d_r, d_z, d_new], axis=1)
-            d_hu = np.concatenate([d_r, d_z, d_new * r], axis=1)
-            d_u += h_in.T @ d_hu
-            d_h = (d_h * z + d_hu @ w["recurrent"].T) * keep
+            d_x[t, :, :HIDDEN], d_x[t, :, HIDDEN : 2 * HIDDEN], d_x[t, :, 2 * HIDDEN :] = d_r, d_z, d_new
+            d_u[t], h_before[t] = d_x[t], h_in
+            d_u[t, :, 2 * HIDDEN :] *= r
+            d_h = (d_h * z + d_u[t] @ w["recurrent"].T) * keep
         flat = d_x.reshape(-1, 3 * HIDDEN)
-        gradient["recurrent"] = d_u
+        gradient["recurrent"] = h_before.reshape(-1, HIDDEN).T @ d_u.reshape(-1, 3 * HIDDEN)
         gradient["bias"] = flat.sum(axis=0)
         gradient["input"] = table_in.reshape(-1, EMBEDDING).T @ flat
         gradient["embedding"] = np.zeros_like(w["embedding"])
@@ -220,32 +319,29 @@ class Trainer:
         return h
 
     def _output(self, states: np.ndarray, targets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        """Gradients of the mean loss of both softmax layers, and what goes back to the states."""
-        w, edges, n = self.model.weights, self.model.edges, len(targets)
-        kind = np.searchsorted(edges, targets, side="right") - 1
-        logits = states @ w["class"] + w["class_bias"]
-        p = np.exp(logits - logits.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(n), kind] -= 1
-        p /= n
-        gradient = {"class": states.T @ p, "class_bias": p.sum(axis=0), "word": np.zeros_like(w["word"]), "word_bias": np.zeros_like(w["word_bias"])}
-        back = p @ w["class"].T
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(len(edges)))
-        for k in range(len(edges) - 1):
-            if edges[k + 1] - edges[k] > 1 and cuts[k + 1] > cuts[k]:
-                rows, mine = order[cuts[k] : cuts[k + 1]], slice(edges[k], edges[k + 1])
-                inner = states[rows] @ w["word"][mine].T + w["word_bias"][mine]
-                q = np.exp(inner - inner.max(axis=1, keepdims=True))
-                q /= q.sum(axis=1, keepdims=True)
-                q[np.arange(len(rows)), targets[rows] - edges[k]] -= 1
-                q /= n
-                gradient["word"][mine] = q.T @ states[rows]
-                gradient["word_bias"][mine] = q.sum(axis=0)
-                back[rows] += q @ w["word"][mine]
-        classes_seen = cuts[1:] > cuts[:-1]
-        self.touched["word"] = self.touched["word_bias"] = np.flatnonzero(np.repeat(classes_seen, np.diff(edges)))
-        return gradient, back
+        """Gradients of the mean loss of all softmax layers, and what goes back to the states."""
+        model, w, n = self.model, self.model.weights, len(targets)
+        order = np.argsort(model.word_class[targets], kind="stable")
+        states, back, gradient = states[order], np.zeros_like(states), {}
+        for name, choices in model.layers(targets[order]):
+            some, weights = choices.spread(states), w[name].take(choices.children, axis=0)
+            q = choices.logits(some, weights, w[f"{name}_bias"])
+            flat = q.reshape(-1, q.shape[2])
+            np.exp(flat, out=flat)
+            each = np.zeros(len(flat), flat.dtype)  # rows that only fill a block count nothing
+            each[choices.at] = 1 / n
+            flat *= (each / (flat @ np.ones(flat.shape[1], flat.dtype)))[:, None]
+            flat[choices.at, choices.chosen] -= 1 / n
+            back += choices.rows(q @ weights)
+            at = choices.nodes[~choices.missing]
+            for key, sums in ((name, q.transpose(0, 2, 1) @ some), (f"{name}_bias", (np.ones((1, BLOCK_ROWS), q.dtype) @ q)[:, 0])):
+                gradient[key] = np.zeros_like(w[key])
+                gradient[key][at] = choices.sums(sums)[~choices.missing]
+            if name == "word":
+                self.touched["word"] = self.touched["word_bias"] = at
+        out = np.empty_like(back)
+        out[order] = back
+        return gradient, out
 
     def _update(self, gradient: dict[str, np.ndarray]) -> None:
         self.t += 1
@@ -256,6 +352,11 @@ class Trainer:
         rate = np.float32(RATE * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t))
         for name, g in gradient.items():
             at, g = rows[name], g * factor
-            m = self.m[name][at] = 0.9 * self.m[name][at] + 0.1 * g
-            v = self.v[name][at] = 0.999 * self.v[name][at] + 0.001 * g * g
+            m, v = self.m[name][at], self.v[name][at]
+            m *= 0.9
+            m += 0.1 * g
+            v *= 0.999
+            v += 0.001 * (g * g)
+            if name in self.touched:  # copies of the rows
+                self.m[name][at], self.v[name][at] = m, v
             self.model.weights[name][at] -= rate * m / (np.sqrt(v) + 1e-8)
