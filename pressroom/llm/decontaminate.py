@@ -4,7 +4,8 @@ The index is a table with one row for each segment, a few megabytes of whole doc
 positions of each term. It holds the terms that a test asks for; they are recognised by a bit table of fixed size, whose false hits only
 make the index larger. Test items come in blocks of bounded size. For a window of test words, the positions of its rarest term, less
 the term's place in the item, are the diagonals on which the window can lie; the offset-adjusted lists of the next
-rarest terms are intersected with them, and what is left is followed over the whole item.
+rarest terms are intersected with them, and what is left is followed over the whole item. An inverted list from each window's rarest term
+to its items names the few items that a segment has to be searched for.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ WINDOW = 10
 BLOCK_WORDS = 1 << 22
 #: Bits of the table of terms that are indexed.
 TERM_BITS = 1 << 22
-#: A near match has the rarest terms of a window within so many words.
-REACH, NEAR_TERMS = 20, 3
+#: A near match has the rarest terms of a window within so many words, and such a share (in tenths) of all its distinct terms.
+REACH, NEAR_TERMS, NEAR_TENTHS = 20, 3, 7
 #: Free positions between two documents of a segment, so that nothing is found across them.
 _GAP = 2 * REACH + WINDOW
 
@@ -95,7 +96,7 @@ def positional_index(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 @dataclass
 class Block:
-    """Some items: their distinct terms, and each item's words as numbers of terms."""
+    """Some items: their distinct terms, each item's words as numbers of terms, and how often each term occurs in the index."""
 
     ids: list[str]
     terms: np.ndarray
@@ -103,6 +104,47 @@ class Block:
     first: np.ndarray
     frequency: np.ndarray
 
+    def item(self, i: int) -> np.ndarray:
+        return self.numbers[self.first[i] : self.first[i + 1]]
+
+
+@dataclass
+class Leads:
+    """The rarest occurring terms of the windows of a block: ``terms[k]`` are those of some windows of item ``owner[k]``, rarest first (the number of
+    terms where a window has fewer); ``starts[first[k]:first[k + 1]]`` are these windows. ``first_of[i]:first_of[i + 1]`` are item i's."""
+
+    owner: np.ndarray
+    terms: np.ndarray
+    first: np.ndarray
+    starts: np.ndarray
+    first_of: np.ndarray
+
+    @classmethod
+    def of(cls, block: Block, size: int) -> Leads:
+        none = len(block.terms)
+        owner, terms, starts, number, first_of = [], [], [], [], [0]
+        for i in range(len(block.ids)):
+            item = block.item(i)
+            windows = np.lib.stride_tricks.sliding_window_view(item, min(size, len(item)))
+            by_term = np.argsort(windows, axis=1, kind="stable")
+            sorted_terms = np.take_along_axis(windows, by_term, 1)
+            again = np.zeros(windows.shape, bool)
+            np.put_along_axis(again, by_term[:, 1:], sorted_terms[:, 1:] == sorted_terms[:, :-1], 1)
+            often = block.frequency[windows]
+            rank = np.where(again | (often == 0), np.iinfo(np.int64).max, often * size + np.arange(windows.shape[1]))
+            rarest = np.argsort(rank, axis=1, kind="stable")[:, :NEAR_TERMS]
+            lead = np.full((len(windows), NEAR_TERMS), none)
+            there = np.take_along_axis(rank, rarest, 1) < np.iinfo(np.int64).max
+            lead[:, : rarest.shape[1]] = np.where(there, np.take_along_axis(windows, rarest, 1), none)
+            distinct, which, n = np.unique(lead, axis=0, return_inverse=True, return_counts=True)
+            owner.append(np.full(len(distinct), i))
+            terms.append(distinct)
+            starts.append(np.argsort(which.reshape(-1), kind="stable"))
+            number.append(n)
+            first_of.append(first_of[-1] + len(distinct))
+        first = np.concatenate([[0], np.cumsum(np.concatenate(number))])
+        return cls(np.concatenate(owner), np.concatenate(terms), first, np.concatenate(starts), np.array(first_of))
+
 
 def _block(rows) -> Block:
     rows = [(row["item_id"], np.frombuffer(row["terms"], np.uint64)) for row in rows]
@@ -168,37 +210,49 @@ def phrases(segment: Segment, item: np.ndarray, frequency: np.ndarray, size: int
     return list(zip((starts[d] + w)[fresh].tolist(), (starts[d[last]] + w[last] + size - 1).tolist(), strict=True))
 
 
-def near(segment: Segment, item: np.ndarray, frequency: np.ndarray, size: int, reach: int) -> np.ndarray:
-    """Positions of the rarest term of a window, around which its next rarest terms stand in any order."""
+def near(segment: Segment, item: np.ndarray, groups: list[tuple[np.ndarray, np.ndarray]], size: int, reach: int) -> np.ndarray:
+    """Positions of the rarest term of a window, around which its next rarest terms and enough of all its terms stand in any order.
+
+    ``groups`` are the rarest terms of windows, and where these windows begin in the item."""
     size = min(size, len(item))
     found = []
-    for w in sorted({*range(0, len(item) - size + 1, max(1, size // 2)), len(item) - size}):
-        terms = np.unique(item[w : w + size])
-        terms = terms[np.argsort(frequency[terms], kind="stable")][:NEAR_TERMS]
-        if len(terms) == NEAR_TERMS and segment.present[terms].all():
-            places = segment.of(terms[0])
-            for term in terms[1:]:
-                places = places[segment.within(term, places, reach)]
-            found.append(places)
+    for leads, starts in groups:
+        places = segment.of(leads[0])
+        for term in leads[1:]:
+            places = places[segment.within(term, places, reach)]
+        if not len(places):
+            continue
+        for w in starts:
+            terms = np.unique(item[w : w + size])
+            there = sum(segment.within(term, places, reach).astype(int) for term in terms)
+            found.append(places[10 * there >= NEAR_TENTHS * len(terms)])
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int32)
 
 
-def _search(block: Block, size: int, reach: int):
+def _search(block: Block, leads: Leads, size: int, reach: int):
+    by_term = np.argsort(leads.terms[:, 0], kind="stable")
+    lists = np.searchsorted(leads.terms[by_term, 0], np.arange(len(block.terms) + 1))
+    complete = leads.terms[:, -1] < len(block.terms)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 segment = Segment(row, block)
                 bases = _bases(np.array(row["n_words"], np.int64))
                 out = []
-                for i, name in enumerate(block.ids):
-                    item = block.numbers[block.first[i] : block.first[i + 1]]
-                    if not segment.present[item].any():
-                        continue
+                # the items of which a window's rarest term is here
+                here = np.flatnonzero(segment.present & (lists[1:] > lists[:-1]))
+                asked = by_term[np.concatenate([np.arange(0), *(np.arange(lists[t], lists[t + 1]) for t in here)])]
+                every = np.append(segment.present, False)[leads.terms].all(axis=1) & complete
+                for i in np.unique(leads.owner[asked]).tolist():
+                    item, name = block.item(i), block.ids[i]
                     runs = phrases(segment, item, block.frequency, size)
                     out += [(name, a, b, "phrase") for a, b in runs]
                     if reach:
                         covered = np.sort(np.array(runs, np.int64).reshape(-1, 2), axis=0)
-                        places = near(segment, item, block.frequency, size, reach)
+                        mine = np.arange(leads.first_of[i], leads.first_of[i + 1])
+                        groups = [(leads.terms[k], leads.starts[leads.first[k] : leads.first[k + 1]]) for k in mine[every[mine]]]
+                        places = near(segment, item, groups, size, reach)
                         k = np.searchsorted(covered[:, 0], places, side="right") - 1
                         inside = (k >= 0) & (places <= covered[:, 1][k]) if len(covered) else np.zeros(len(places), bool)
                         out += [(name, p, p, "near") for p in places[~inside].tolist()]
@@ -239,8 +293,9 @@ def _frequencies(terms: np.ndarray):
 def matches(index: DataFrame, items: DataFrame, size: int = WINDOW, reach: int = REACH) -> DataFrame:
     """Exact and near matches of the items in the indexed documents, with the first and last word of each.
 
-    ``kind`` is ``phrase`` for a run that windows of the item cover word by word, and ``near`` where the rarest
-    terms of a window stand together outside of such a run.
+    ``kind`` is ``phrase`` for a run that windows of the item cover word by word. ``near`` is a place of a window's rarest term outside of such a run
+    with the next two rarest within ``reach`` words, and seven tenths of all the window's distinct terms. Rarest are terms with the fewest occurrences
+    in the index, but some, and of equally many the first in the window; a window with fewer than three such terms has no near matches.
     """
     total = items.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_WORDS))
@@ -252,7 +307,7 @@ def matches(index: DataFrame, items: DataFrame, size: int = WINDOW, reach: int =
             counts = index.select("terms", "ends").mapInArrow(_frequencies(block.terms), "at long, n long")
             for row in counts.groupBy("at").agg(F.sum("n").alias("n")).toLocalIterator():  # the block's terms at most
                 block.frequency[row["at"]] = row["n"]
-            out = out.union(index.mapInArrow(_search(block, size, reach), _MATCH))
+            out = out.union(index.mapInArrow(_search(block, Leads.of(block, size), size, reach), _MATCH))
     return out
 
 
@@ -260,7 +315,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, rea
     """``docs (doc_id, text)`` against ``benchmark (item_id, text)``: one row for each row of ``docs``.
 
     ``n_words``, ``n_hit`` (words inside any occurrence of a window), ``n_items`` and ``item_ids`` (items with occurring windows),
-    ``n_near`` (near matches) and ``contaminated``. Null or empty texts have no words; such items match nothing. Items with
+    ``n_near`` (places of near matches, for each item) and ``contaminated``. Null or empty texts have no words; such items match nothing. Items with
     equal ids count once, a null item_id is the id ``null``. Rows with equal doc_id are documents of their own. Other columns are ignored.
     """
     items = settle(benchmark.select(F.col("item_id"), "text").mapInArrow(_terms, "item_id string, n long, terms binary"))

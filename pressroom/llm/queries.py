@@ -76,17 +76,34 @@ def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     hit AS (SELECT dw.doc_id, dw.p, dw.k, iw.item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.g = iw.g),
     hits AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit) GROUP BY doc_id),
     it AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
-           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id),
+    posted AS (SELECT doc_id, w[p] AS term, p FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+    often AS (SELECT term, count(*) AS often FROM posted GROUP BY term),
+    wt AS (SELECT item_id, p, w[p : p + k - 1] AS terms, unnest(w[p : p + k - 1]) AS term, unnest(range(1, k + 1)) AS place
+           FROM (SELECT item_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM i)),
+    leads AS (
+      SELECT item_id, list_distinct(any_value(terms)) AS terms, list(term ORDER BY often, place)[1:3] AS lead
+      FROM (SELECT item_id, p, term, any_value(terms) AS terms, min(place) AS place FROM wt GROUP BY item_id, p, term) JOIN often USING (term)
+      GROUP BY item_id, p HAVING count(*) >= 3),
+    around AS (
+      SELECT l.item_id, l.terms, l.lead, o.doc_id, o.p, d.w[greatest(o.p - 20, 1) : o.p + 20] AS near
+      FROM leads l JOIN posted o ON o.term = l.lead[1] JOIN d ON d.doc_id = o.doc_id),
+    inside AS (SELECT DISTINCT doc_id, item_id, unnest(range(p, p + k)) AS p FROM hit),
+    close AS (
+      SELECT doc_id, count(*) AS n_near FROM (
+        SELECT DISTINCT doc_id, item_id, p FROM around
+        WHERE list_has_all(near, lead) AND 10 * len(list_filter(terms, lambda x: list_contains(near, x))) >= 7 * len(terms)) c
+      WHERE NOT EXISTS (SELECT 1 FROM inside s WHERE s.doc_id = c.doc_id AND s.item_id = c.item_id AND s.p = c.p) GROUP BY doc_id)
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-      sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-    FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN it USING (doc_id)
+      sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+    FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN it USING (doc_id) LEFT JOIN close USING (doc_id)
     """
 )
 def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
-    """Words of documents inside windows of benchmark items."""
+    """Words of documents inside windows of benchmark items, and places of near matches."""
     found = decontaminate.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
-    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "n_near")
 
 
 @query()
