@@ -65,10 +65,10 @@ def signatures(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
 
 _DEALT = (
     "bucket long, chunk long, low binary, local binary, doc_id array<long>, n array<int>, s1 array<long>, s2 array<long>, "
-    "known array<int>"
+    "text_hash array<long>, known array<int>"
 )
-_FOUND = "chunk long, found binary, doc_id array<long>, n array<int>, s1 array<long>, s2 array<long>, known array<int>"
-_LISTS = {"doc_id": pa.int64(), "n": pa.int32(), "s1": pa.int64(), "s2": pa.int64(), "known": pa.int32()}
+_FOUND = "chunk long, found binary, doc_id array<long>, n array<int>, s1 array<long>, s2 array<long>, text_hash array<long>, known array<int>"
+_LISTS = {"doc_id": pa.int64(), "n": pa.int32(), "s1": pa.int64(), "s2": pa.int64(), "text_hash": pa.int64(), "known": pa.int32()}
 
 
 def _deal(bits: int, size: int):
@@ -94,7 +94,7 @@ def _deal(bits: int, size: int):
                 cuts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])) if len(values) else begins
                 ends = np.append(cuts, len(values))
                 low = ((values >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                lists = [part.column(0).cast(pa.int64()), n, s1, s2, known]
+                lists = [part.column(0).cast(pa.int64()), n, s1, s2, part.column(2), known]
                 yield _batch(
                     [buckets[cuts].astype(np.int64), np.full(len(cuts), chunk), words.blobs(low, ends), words.blobs(local, ends)],
                     [pa.nulls(len(cuts), pa.list_(kind)) for kind in _LISTS.values()],
@@ -144,20 +144,20 @@ def _sum_up(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     lists = {c: table.column(c)[row].values for c in _LISTS}
     found, _ = _blob(table.column("found"), np.uint16)
     shared = lists.pop("known").to_numpy(zero_copy_only=False) + np.bincount(found, minlength=len(lists["n"]))
-    return pa.table([*lists.values(), pa.array(shared, pa.int32())], ["doc_id", "n", "s1", "s2", "shared"])
+    return pa.table([*lists.values(), pa.array(shared, pa.int32())], ["doc_id", "n", "s1", "s2", "text_hash", "shared"])
 
 
 def shared_shingles(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``docs (doc_id, text)`` to one row each: ``n`` shingles, signatures, and how many shingles other documents have too.
+    """``docs (doc_id, text)`` to one row each: ``n`` shingles, signatures, a hash of the text, and how many shingles other documents have too.
 
     Shingles travel as 4 bytes within a bucket, and once for each chunk of documents, so a shingle
     that every document has adds an entry for each chunk and not for each document. Hash collisions can only make a shingle look shared.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(31, max(0, math.ceil(math.log2(max(1, total / 6 / GROUP)))))
-    dealt = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_deal(bits, size), _DEALT)
+    dealt = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_deal(bits, size), _DEALT)
     met = dealt.groupBy("bucket").applyInArrow(_meet, _FOUND)
-    return met.groupBy("chunk").applyInArrow(_sum_up, "doc_id long, n int, s1 long, s2 long, shared int")
+    return met.groupBy("chunk").applyInArrow(_sum_up, "doc_id long, n int, s1 long, s2 long, text_hash long, shared int")
 
 
 def _whole_sets(size: int):
@@ -293,12 +293,15 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     classes = settle(
         sets.filter("n > 0")
         .groupBy("s1", "s2", "n")
-        .agg(F.min("doc_id").alias("smallest"), F.max("shared").alias("shared"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("first"), F.max("shared").alias("shared"))
+        .select("s1", "s2", "n", F.col("first.doc_id").alias("smallest"), F.col("first.text_hash").alias("text_hash"), "shared")
         .withColumn("node", F.monotonically_increasing_id())
     )
     alive = classes.filter(f"shared * 100 >= n * {percent}")
+    # rows with one id may be in many classes, but those with the same text are all in one
+    first = alive.select(F.col("smallest").alias("first"), "text_hash", "node", "s1", "s2")
     whole = settle(
-        docs.join(alive.select(F.col("smallest").alias("first"), "node", "s1", "s2"), F.col("doc_id").eqNullSafe(F.col("first")))
+        docs.join(first, F.col("doc_id").eqNullSafe(F.col("first")) & (F.xxhash64("text") == F.col("text_hash")))
         .select("node", "s1", "s2", "text")
         .mapInArrow(_whole_sets(size), "node long, n int, shingles binary")
         .dropDuplicates(["node"])

@@ -68,6 +68,36 @@ def test_odd_rows(session, odd, nothing):
     assert result(jaccard.jaccard_components(nothing)) == []
 
 
+def test_many_rows_of_one_id_and_without_id(session, monkeypatch):
+    draw = random.Random(8)
+    rows = []
+    for k in range(40):
+        base = [f"t{k}w{i}" for i in range(60)]
+        for doc in (5, None, 100 + k):
+            rows.append((doc, " ".join([*base, *(f"c{draw.random()}" for _ in range(draw.randrange(4)))])))
+    rows += rows[:6]
+    verify = jaccard._whole_sets
+    texts = session.sparkContext.accumulator(0)
+
+    def counted(size):
+        inner = verify(size)
+
+        def run(batches):
+            def each():
+                for batch in batches:
+                    texts.add(batch.num_rows)
+                    yield batch
+
+            return inner(each())
+
+        return run
+
+    monkeypatch.setattr(jaccard, "_whole_sets", counted)
+    got = result(jaccard.jaccard_components(session.createDataFrame(rows, "doc_id long, text string")))
+    assert got == sorted(brute_force(rows), key=repr)
+    assert 0 < texts.value <= len(rows)  # no text is read once for each class of its id
+
+
 def test_prefix_lengthens_with_cost():
     shingles = np.arange(1, 201, dtype=np.uint64)
     cheap, one = jaccard.prefix(shingles, np.ones(200, np.int64), 75)
