@@ -21,7 +21,7 @@ from pressroom.session import settle
 LISTED = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
-    ("example.org", "/en/1", "allow"),
+    ("example.org", "/en/1", "block"),
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
