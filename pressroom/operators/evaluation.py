@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressroom.functions.vectors import dot, norm
-from pressroom.operators.index import block_index, dot_bounds, matrix, with_bounds
+from pressroom.operators.index import block_index, dot_bounds, every_block, matrix, summarised
 from pressroom.operators.ordering import total_before
 from pressroom.operators.skew import key_counts, lookup_join
-from pressroom.operators.tiles import BLOCK_ROWS, hash_blocks, tile_apply
+from pressroom.operators.tiles import BLOCK_ROWS, sweeps, tile_apply, vector_rows
 from pressroom.session import settle
 
 SPLIT_KEY = ["client_id", "article_id", "session_date"]
@@ -67,65 +70,167 @@ def mrr(ranked: DataFrame) -> DataFrame:
 SCORE_DIGITS = 6  # the factors are single precision
 
 
-def count_better(held_out: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-    """How many items of one block beat or equal each held-out item for its user."""
-    scores = np.vstack(held_out["user_factors"].to_numpy()) @ np.vstack(items["features"].to_numpy()).T
-    mine = np.round(held_out["score"].to_numpy(), SCORE_DIGITS)[:, None]
-    own = held_out["item_id"].to_numpy()[:, None] == items["item_id"].to_numpy()[None, :]
-    scores = np.where(own, mine, np.round(scores, SCORE_DIGITS))
-    return pd.DataFrame(
-        {
-            "user_id": held_out["user_id"].to_numpy(),
-            "item_id": held_out["item_id"].to_numpy(),
-            "better": (scores > mine).sum(axis=1),
-            "equal": (scores == mine).sum(axis=1),
-        }
-    )
+def thresholds(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For scores and others times 10 to ``SCORE_DIGITS``: what beats a score after rounding is above the first number, what beats or equals it
+    is above the second. A half is rounded to the even neighbour."""
+    mine = np.rint(scores * 10.0**SCORE_DIGITS)
+    odd, above, below = mine % 2 == 1, mine + 0.5, mine - 0.5
+    return np.where(odd, np.nextafter(above, -np.inf), above), np.where(odd, below, np.nextafter(below, -np.inf))
+
+
+def above(scores: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """How many scores of each row are above the row's number. Numbers are counted by bits."""
+    bits = np.packbits(scores > least[:, None], axis=1)
+    return np.bitwise_count(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.uint64)).sum(axis=1, dtype=np.int64)
+
+
+def settled(users: np.ndarray, lowest: np.ndarray, highest: np.ndarray, summaries: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Which blocks (columns) may have a score near those of each user, which lie between ``lowest`` and ``highest``, and which are better as a whole. Scores that round
+    alike may be equal, so a little more than the rounding is left open."""
+    low, high = dot_bounds(users, summaries)
+    slack = 2 * 10.0**-SCORE_DIGITS
+    better = low > highest[:, None] + slack
+    return (high >= lowest[:, None] - slack) & ~better, better
 
 
 def open_blocks(held_out: pd.DataFrame, summaries: pd.DataFrame) -> pd.DataFrame:
     """Held-out rows once for each block that their own score doesn't settle, and one row each with the number of items in
-    blocks that are better as a whole. Scores that round alike may be equal, so a little more than the rounding is left open."""
-    low, high = dot_bounds(matrix(held_out["user_factors"]), summaries)
-    mine, slack = held_out["score"].to_numpy()[:, None], 2 * 10.0**-SCORE_DIGITS
-    better = low > mine + slack
-    row, column = np.nonzero((high >= mine - slack) & ~better)
+    blocks that are better as a whole."""
+    mine = held_out["score"].to_numpy()
+    left, better = settled(matrix(held_out["user_factors"]), mine, mine, summaries)
+    row, column = np.nonzero(left)
     rows = held_out[["user_id", "item_id", "user_factors", "score", "_lb"]]
     tiles = rows.iloc[row].assign(_rb=summaries["_block"].to_numpy()[column], better=None)
     whole = rows.assign(user_factors=None, _rb=None, better=better @ summaries["n_rows"].to_numpy())
     return pd.concat([tiles, whole.astype({"_rb": object})]).astype({"_rb": "Int32", "better": "Int64"})
 
 
+#: Rows and items that are multiplied at once, and held-out items of a row from which on its scores are sorted instead of compared with each.
+TILE_USERS, TILE_ITEMS, SORTED_FROM = 256, 2048, 12
+
+
+class Counting:
+    """Counts, for the held-out items of some users, the items that beat them and those that beat or equal them, tile by tile.
+
+    Row k of ``users`` has the held-out items ``first[k]:first[k + 1]``. ``multiplied`` is the number of scores computed so far."""
+
+    def __init__(self, users: np.ndarray, first: np.ndarray, items: np.ndarray, scores: np.ndarray):
+        self.users, self.first, self.items = users, first, items
+        self.row = np.repeat(np.arange(len(users)), np.diff(first))
+        self.above, self.from_ = thresholds(scores)
+        self.lowest, self.highest = np.minimum.reduceat(scores, first[:-1]), np.maximum.reduceat(scores, first[:-1])
+        self.better, self.reached, self.whole = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64), np.zeros(len(users), np.int64)
+        self.by_item = np.argsort(items, kind="stable")
+        self.multiplied = 0
+
+    def meet(self, block: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Items with their block; the rows of a block stand together."""
+        summaries = summarised(block, vectors)
+        sizes, scaled = summaries["n_rows"].to_numpy(), vectors * 10.0**SCORE_DIGITS
+        which = np.repeat(np.arange(len(sizes)), sizes)
+        owned = self._owned(ids)
+        for at in range(0, len(self.users), TILE_USERS):
+            some = slice(at, at + TILE_USERS)
+            left, better = settled(self.users[some], self.lowest[some], self.highest[some], summaries)
+            rows, columns = np.flatnonzero(left.any(axis=1)), left.any(axis=0)
+            better[np.ix_(rows, columns)] = False
+            self.whole[some] += better @ sizes
+            if len(rows):
+                self._tile(at + rows, scaled, np.flatnonzero(columns[which]), owned)
+
+    def _owned(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Held-out items that are among these, by row, and where they stand."""
+        mine = self.items[self.by_item]
+        begin, end = np.searchsorted(mine, ids, "left"), np.searchsorted(mine, ids, "right")
+        n = end - begin
+        place = self.by_item[np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        column = np.repeat(np.arange(len(ids)), n)
+        order = np.argsort(place, kind="stable")
+        return place[order], column[order]
+
+    def _tile(self, rows: np.ndarray, scaled: np.ndarray, columns: np.ndarray, owned: tuple[np.ndarray, np.ndarray]) -> None:
+        scores = self.users[rows] @ (scaled if len(columns) == len(scaled) else scaled[columns]).T
+        self.multiplied += scores.size
+        first, n = self.first[rows], self.first[rows + 1] - self.first[rows]
+        # an item ties with itself
+        place, column = (x[slice(*np.searchsorted(owned[0], [self.first[rows[0]], self.first[rows[-1] + 1]]))] for x in owned)
+        there, at = self._index(rows, self.row[place]), self._index(columns, column)
+        place, there, at = (x[(there >= 0) & (at >= 0)] for x in (place, there, at))
+        own = scores[there, at]
+        np.subtract.at(self.better, place, own > self.above[place])
+        np.add.at(self.reached, place, own <= self.from_[place])
+        few = np.flatnonzero(n < SORTED_FROM)
+        for k in range(int(n[few].max(initial=0))):
+            few = few[n[few] > k]
+            held = first[few] + k
+            tile = scores if len(few) == len(scores) else scores[few]
+            self.better[held] += above(tile, self.above[held])
+            self.reached[held] += above(tile, self.from_[held])
+        for k in np.flatnonzero(n >= SORTED_FROM):
+            held = slice(first[k], first[k] + n[k])
+            line = np.sort(scores[k])
+            self.better[held] += len(line) - np.searchsorted(line, self.above[held], "right")
+            self.reached[held] += len(line) - np.searchsorted(line, self.from_[held], "right")
+
+    @staticmethod
+    def _index(among: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Where each value stands in a rising array, -1 if nowhere."""
+        at = np.minimum(np.searchsorted(among, values), len(among) - 1)
+        return np.where(among[at] == values, at, -1)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """How many items are better than each held-out one, and how many equal it."""
+        return self.better + self.whole[self.row], self.reached - self.better
+
+
+def count_better(users: pa.Table, blocks: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+    """How many items beat or equal each held-out item for its user."""
+    held, lists = users.column("item_ids").combine_chunks(), users.column("scores").combine_chunks()
+    first = np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy())])
+    items = held.flatten().to_numpy()
+    counting = Counting(vector_rows(users.column("user_factors").combine_chunks()), first, items, lists.flatten().to_numpy())
+    for piece in blocks:
+        block, ids, vectors = piece.column("_rb").to_numpy(), piece.column("item_id").to_numpy(), vector_rows(piece.column("features").combine_chunks())
+        for at in range(0, len(ids), TILE_ITEMS):
+            some = slice(at, at + TILE_ITEMS)
+            counting.meet(block[some], ids[some], vectors[some])
+    better, equal = counting.counts()
+    of_user = users.column("user_id").to_numpy()[counting.row]
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (of_user, items, better, equal)], ["user_id", "item_id", "better", "equal"])
+
+
+#: Held-out items of one user that are one row, about.
+HELD_ROWS = 8192
+
+
 def factor_ranks(
     user_factors: DataFrame, item_factors: DataFrame, held_out: DataFrame, block_rows: int = BLOCK_ROWS, cells: int | None = None
 ) -> DataFrame:
     """Ranks of held-out items among *all* items, straight from the factors.
 
-    Items are cut into blocks by direction and length. For each held-out row a block whose every item must score less counts nothing, one whose every
-    item must score more counts as a whole, and only for blocks in between a tile is computed, which returns two counts for each
-    held-out row; user x item scores are never stored or shuffled. No pair is dropped: an item
+    Items are cut into blocks by direction and length, and all blocks pass every group of users, with the scores of their held-out items. A block whose every item must score less than
+    these counts nothing for a user, one whose every item must score more counts as a whole, and only for blocks in between scores are
+    computed, which are counted and forgotten. What is shuffled grows with the users and the items, not with their product. No pair is dropped: an item
     without factors comes after all others, and for a user without factors all items are tied. Such pairs are ``cold``.
     """
     vector = F.transform("features", lambda x: x.cast("double"))
-    users = settle(user_factors.select(F.col("id").alias("user_id"), vector.alias("user_factors")))
+    users = settle(user_factors.select(F.col("id").alias("user_id"), vector.alias("user_factors"), F.monotonically_increasing_id().alias("_user")))
     items = settle(item_factors.select(F.col("id").alias("item_id"), vector.alias("features")))
     pairs = settle(held_out.select("user_id", "item_id").distinct())
     known = lookup_join(pairs, users, ["user_id"])
     own = items.withColumnRenamed("features", "item_factors")
     known = lookup_join(known, own, ["item_id"], counts=key_counts(pairs, ["item_id"]))
-    # tiles get the score of the held-out item, not its vector
-    known = known.withColumn("score", dot(F.col("user_factors"), F.col("item_factors"))).drop("item_factors")
-    n_pairs, n_items = pairs.count(), items.count()
-    known = hash_blocks(known, ["user_id", "item_id"], n_pairs, block_rows, "_lb")
-    n_left = -(-n_pairs // block_rows)
+    known = settle(known.select("_user", "item_id", dot(F.col("user_factors"), F.col("item_factors")).alias("score")))
+    n_items, most = items.count(), known.groupBy("_user").count().agg(F.max("count")).scalar()
+    part = F.pmod(F.xxhash64("item_id"), F.ceil(most / F.lit(HELD_ROWS)))
+    held = known.groupBy("_user", part.alias("_part")).agg(F.collect_list(F.struct("item_id", "score")).alias("_held"))
+    # a user may have several rows of factors
+    asking = settle(held.join(users, "_user").select("_user", "_part", "user_id", "user_factors", F.col("_held.item_id").alias("item_ids"), F.col("_held.score").alias("scores")))
+    n_left = sweeps(asking.count())
+    left = asking.select(F.pmod(F.xxhash64("_user", "_part"), F.lit(n_left)).cast("int").alias("_lb"), "user_id", "user_factors", "item_ids", "scores")
     index = block_index(items.withColumn("length", norm(F.col("features"))), "item_id", "features", "length", n_items, block_rows, cells)
-    schema = "user_id int, item_id int, user_factors array<double>, score double, _lb int, _rb int, better long"
-    bounded = settle(with_bounds(known, index, open_blocks, schema, n_left))
-    tiles = bounded.filter("_rb IS NOT NULL").drop("better")
     right = index.rows.select("item_id", "features", F.col("_block").alias("_rb"))
-    counted = tile_apply(tiles, right, count_better, "user_id int, item_id int, better long, equal long", n_left)
-    sure = bounded.filter("_rb IS NULL").select("user_id", "item_id", "better", F.lit(0).cast("long").alias("equal"))
-    counted = counted.unionByName(sure)
+    counted = tile_apply(every_block(index, n_left), left, right, count_better, "user_id int, item_id int, better long, equal long")
     warm = counted.groupBy("user_id", "item_id").agg(
         (F.sum("better") + (F.sum("equal") + 1) / 2).alias("rank"), F.lit(False).alias("cold")
     )

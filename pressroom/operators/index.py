@@ -2,17 +2,18 @@
 
 Vectors are dealt to the nearest of some pivots; within a pivot's cell they are sorted by falling weight and cut into blocks. A block is summed up by its centre c, its
 radius r, the lengths of its shortest and longest vector and its least and largest weight. For a query x every vector y of the block then has
-x.y between x.c - |x| r and x.c + |x| r (triangle inequality), and between -|x||y| and |x||y| (Cauchy-Schwarz). Queries meet the
-summaries in tiles of the same kind as they meet the blocks: nothing is broadcast, and the driver learns only how many rows a cell has.
+x.y between x.c - |x| r and x.c + |x| r (triangle inequality), and between -|x||y| and |x||y| (Cauchy-Schwarz). Queries work
+the bounds out where they meet the rows: nothing is broadcast, and the driver learns only how many rows a cell has.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,12 +99,26 @@ def block_index(df: DataFrame, key: str, vector: str, weight: str, n_rows: int,
     return BlockIndex(rows, summary, summary.count())
 
 
-def with_bounds(queries: DataFrame, index: BlockIndex, work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, query_blocks: int) -> DataFrame:
-    """``work(queries, summaries)`` for every block of queries, which ``_lb`` numbers, and every tile of summaries."""
-    tiles = max(1, -(-index.n_blocks // BLOCK_ROWS))
-    chunk = F.floor(F.col("_block") / F.lit(BLOCK_ROWS)).cast("int")
-    asking = queries.withColumn("_rb", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
-    return tile_apply(asking, index.summary.withColumn("_rb", chunk), work, schema, query_blocks)
+def every_block(index: BlockIndex, groups: int) -> DataFrame:
+    """Each of ``groups`` groups of queries with each block, for ``tile_apply``."""
+    return index.summary.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_lb"), F.col("_block").alias("_rb"))
+
+
+def blocks_of_groups(groups: DataFrame, index: BlockIndex, n_groups: int, work: Callable[[pa.Table, Iterator[pa.Table]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``(_lb, _rb)``: the blocks that each group of ``groups`` wants, as ``work(queries, summaries)`` tells."""
+    piece = F.floor(F.col("_block") / F.lit(BLOCK_ROWS)).cast("int")
+    pieces = range(-(-index.n_blocks // BLOCK_ROWS))
+    each = index.rows.sparkSession.range(n_groups).select(F.col("id").cast("int").alias("_lb"), F.explode(F.array(*[F.lit(p) for p in pieces])).alias("_rb"))
+    return tile_apply(each, groups, index.summary.withColumn("_rb", piece), work, "_lb int, _rb int")
+
+
+def summarised(block: np.ndarray, rows: np.ndarray) -> pd.DataFrame:
+    """Centre, radius, greatest length and number of the rows of each stretch of rows that have one ``block``: a piece of a block has bounds of its own."""
+    first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+    n = np.diff(np.append(first, len(block)))
+    centre = np.add.reduceat(rows, first, axis=0) / n[:, None]
+    far = np.linalg.norm(rows - np.repeat(centre, n, axis=0), axis=1)
+    return pd.DataFrame({"_block": block[first], "centre": list(centre), "radius": np.maximum.reduceat(far, first), "longest": np.maximum.reduceat(np.linalg.norm(rows, axis=1), first), "n_rows": n})
 
 
 def dot_bounds(queries: np.ndarray, summaries: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:

@@ -1,14 +1,16 @@
-"""Pair up blocks of rows so that each task multiplies two bounded matrices.
+"""Lead blocks of rows past groups of other rows, so that each task multiplies bounded matrices.
 
-Every left block meets only the right blocks it is told to, through an equi-join on
-(left block, right block); what leaves a task is a reduced result, never the pairs.
+A group of left rows is held by one task; the right blocks that are meant for it follow as a stream, through a sort by group and block.
+So a left row is shuffled once, a right row once for each group, and what leaves a task is a reduced result, never the pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import itertools
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from pressroom.session import settle
 
 BLOCK_ROWS = 2048
 COPIES_PER_TASK = 64
+#: Groups that left rows are dealt to, however many there are, as long as a group has no more rows than one task can hold.
+SWEEPS, LEAST_SWEPT, MOST_SWEPT = 36, 256, 1 << 16
 
 
 def blocks(df: DataFrame, position: str, block_rows: int, name: str) -> DataFrame:
@@ -23,32 +27,64 @@ def blocks(df: DataFrame, position: str, block_rows: int, name: str) -> DataFram
     return df.withColumn(name, F.floor(F.col(position) / F.lit(block_rows)).cast("int"))
 
 
-def hash_blocks(df: DataFrame, keys: list[str], rows: int, block_rows: int, name: str) -> DataFrame:
-    """About ``block_rows`` of the ``rows`` rows in each block; ``keys`` tell rows apart."""
-    number = max(1, -(-rows // block_rows))
-    return df.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(number)).cast("int"))
+def sweeps(rows: int) -> int:
+    """How many groups ``rows`` left rows are dealt to. Every group is passed by all right rows, so the number stays the same
+    until the rows of a group would be too many."""
+    return max(1, min(SWEEPS, -(-rows // LEAST_SWEPT)), -(-rows // MOST_SWEPT))
+
+
+def vector_rows(lists: pa.Array) -> np.ndarray:
+    """Equally long lists as the rows of a matrix."""
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(lists), -1)
 
 
 def tile_apply(
+    wanted: DataFrame,
     left: DataFrame,
     right: DataFrame,
-    work: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    work: Callable[[pa.Table, Iterator[pa.Table]], Iterator[pa.RecordBatch]],
     schema: str,
-    left_blocks: int,
 ) -> DataFrame:
-    """``left`` has ``_lb`` (below ``left_blocks``) and the wanted ``_rb`` on each row,
-    ``right`` has ``_rb``. Right blocks are copied to just those tiles that ask for them."""
-    wanted = _own_columns(left.select("_lb", "_rb").distinct())
-    if left_blocks <= COPIES_PER_TASK:
-        copies = right.join(wanted, "_rb")
-    else:
-        copies = _served(right, settle(wanted))
-    return (
-        _own_columns(left)
-        .groupBy("_lb", "_rb")
-        .cogroup(_own_columns(copies).groupBy("_lb", "_rb"))
-        .applyInPandas(lambda a, b: work(a, b), schema)
+    """``wanted (_lb, _rb)`` says which right blocks each group of ``left`` meets; ``left`` has ``_lb`` on each row, ``right`` has ``_rb``.
+    ``work`` gets all rows of a group, and the rows of its blocks one piece after another, in the order of ``_rb``."""
+    wanted = settle(_own_columns(wanted.select("_lb", "_rb").distinct()))
+    copies = _served(right, wanted)
+    left, copies = _own_columns(left), _own_columns(copies)
+    rows = F.struct(*[c for c in left.columns if c != "_lb"])
+    block = F.struct(*[c for c in copies.columns if c != "_lb"])
+    left_type, right_type = left.select(rows.alias("x")).schema["x"].dataType, copies.select(block.alias("x")).schema["x"].dataType
+    both = left.select("_lb", F.lit(None).cast("int").alias("_rb"), rows.alias("rows"), F.lit(None).cast(right_type).alias("block")).unionByName(
+        copies.select("_lb", "_rb", F.lit(None).cast(left_type).alias("rows"), block.alias("block"))
     )
+    tasks = min(SWEEPS, (wanted.agg(F.max("_lb")).first()[0] or 0) + 1)
+    dealt = both.repartitionById(tasks, F.pmod("_lb", F.lit(tasks)))
+    return dealt.sortWithinPartitions("_lb", F.asc_nulls_first("_rb")).mapInArrow(_swept(work), schema)
+
+
+def _swept(work):
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.Table]]:
+        """Stretches of rows of one group and one side."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group, is_left = batch.column("_lb").to_numpy(), batch.column("_rb").is_null().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((group[1:] != group[:-1]) | (is_left[1:] != is_left[:-1])) + 1
+            for a, b in itertools.pairwise([0, *cuts.tolist(), len(group)]):
+                side = batch.column("rows" if is_left[a] else "block").slice(a, b - a)
+                yield int(group[a]), bool(is_left[a]), pa.Table.from_arrays(side.flatten(), [f.name for f in side.type])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, found in itertools.groupby(pieces(batches), key=lambda x: x[0]):
+            rows = []
+            for _, is_left, piece in found:
+                if not is_left:
+                    found = itertools.chain([(_, is_left, piece)], found)
+                    break
+                rows.append(piece)
+            if rows:
+                yield from work(pa.concat_tables(rows).combine_chunks(), (piece for _, _, piece in found))
+
+    return run
 
 
 def _served(right: DataFrame, wanted: DataFrame) -> DataFrame:
