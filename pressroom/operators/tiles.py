@@ -20,6 +20,8 @@ BLOCK_ROWS = 2048
 COPIES_PER_TASK = 64
 #: Groups that left rows are dealt to, however many there are, as long as a group has no more rows than one task can hold.
 SWEEPS, LEAST_SWEPT, MOST_SWEPT = 36, 256, 1 << 16
+#: Lists that the rows of a group come in. A block comes as one.
+LEFT_PACKS = 32
 
 
 def blocks(df: DataFrame, position: str, block_rows: int, name: str) -> DataFrame:
@@ -46,21 +48,24 @@ def tile_apply(
     schema: str,
 ) -> DataFrame:
     """``wanted (_lb, _rb)`` says which right blocks each group of ``left`` meets; ``left`` has ``_lb`` on each row, ``right`` has ``_rb``.
-    ``work`` gets all rows of a group, and the rows of its blocks one piece after another, in the order of ``_rb``."""
+    ``work`` gets all rows of a group, and the rows of its blocks one piece after another, in the order of ``_rb``, at most a few thousand to a block."""
     wanted = settle(_own_columns(wanted.select("_lb", "_rb").distinct()))
-    copies = _served(right, wanted)
-    left, copies = _own_columns(left), _own_columns(copies)
-    rows = F.struct(*[c for c in left.columns if c != "_lb"])
-    block = F.struct(*[c for c in copies.columns if c != "_lb"])
-    left_type, right_type = left.select(rows.alias("x")).schema["x"].dataType, copies.select(block.alias("x")).schema["x"].dataType
-    both = left.select("_lb", F.lit(None).cast("int").alias("_rb"), rows.alias("rows"), F.lit(None).cast(right_type).alias("block")).unionByName(
-        copies.select("_lb", "_rb", F.lit(None).cast(left_type).alias("rows"), block.alias("block"))
-    )
+    copies = _served(_packed(right, "_rb", "block"), wanted)
+    left, copies = _packed(left, "_lb", "rows", LEFT_PACKS), _own_columns(copies)
+    none = lambda df, column: F.lit(None).cast(df.schema[column].dataType).alias(column)
+    both = left.select("_lb", F.lit(None).cast("int").alias("_rb"), "rows", none(copies, "block")).unionByName(copies.select("_lb", "_rb", none(left, "rows"), "block"))
     tasks = min(SWEEPS, (wanted.agg(F.max("_lb")).first()[0] or 0) + 1)
     dealt = both.repartitionById(tasks, F.pmod("_lb", F.lit(tasks)))
     return dealt.sortWithinPartitions("_lb", F.asc_nulls_first("_rb")).mapInArrow(_swept(work), schema)
 
 
+def _packed(df: DataFrame, key: str, name: str, packs: int = 1) -> DataFrame:
+    """The rows of each key as lists, since what a row costs on its way to Python is far more than what its numbers cost."""
+    rows = F.struct(*[c for c in df.columns if c != key])
+    pack = F.pmod(F.xxhash64(*df.columns), F.lit(packs)) if packs > 1 else F.lit(0)
+    return _own_columns(df.groupBy(key, pack.alias("_pack")).agg(F.collect_list(rows).alias(name)).drop("_pack"))
+
+
 def _swept(work):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.Table]]:
         """Stretches of rows of one group and one side."""
@@ -70,8 +75,13 @@ def _swept(work):
             group, is_left = batch.column("_lb").to_numpy(), batch.column("_rb").is_null().to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero((group[1:] != group[:-1]) | (is_left[1:] != is_left[:-1])) + 1
             for a, b in itertools.pairwise([0, *cuts.tolist(), len(group)]):
-                side = batch.column("rows" if is_left[a] else "block").slice(a, b - a)
-                yield int(group[a]), bool(is_left[a]), pa.Table.from_arrays(side.flatten(), [f.name for f in side.type])
+                lists = batch.column("rows" if is_left[a] else "block").slice(a, b - a)
+                side = lists.flatten()
+                found = pa.Table.from_arrays(side.flatten(), [f.name for f in side.type])
+                if not is_left[a]:
+                    block = batch.column("_rb").slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int32)
+                    found = found.append_column("_rb", pa.array(np.repeat(block, lists.value_lengths().to_numpy())))
+                yield int(group[a]), bool(is_left[a]), found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in itertools.groupby(pieces(batches), key=lambda x: x[0]):

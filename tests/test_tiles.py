@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from test_similarity import brute, items
 
@@ -89,3 +90,23 @@ def test_best_equals_brute_force_and_leaves_blocks_out():
     again = similarity.Best(ids, vectors, 4, found.groupby("item_id")["score"].min().to_numpy(), np.full(600, -1))
     again.meet(ids // 30, ids, vectors, decay)
     assert again.multiplied < 0.9 * 600 * 600 and again.result().to_pandas().equals(found)
+
+
+def test_blocks_are_packed_and_every_row_arrives(spark):
+    """A row is dear on its way to Python, so a block is one row there, and a group not many."""
+    right = spark.range(1000).selectExpr("cast(id % 3 as int) as _rb", "id as right")
+    packed = tiles._packed(right, "_rb", "block")
+    assert sorted(len(r["block"]) for r in packed.collect()) == [333, 333, 334]
+    left = spark.range(500).selectExpr("cast(id % 2 as int) as _lb", "id as left")
+    assert tiles._packed(left, "_lb", "rows", tiles.LEFT_PACKS).count() <= 2 * tiles.LEFT_PACKS
+    wanted = spark.createDataFrame([(0, 0), (0, 2), (1, 1)], "_lb int, _rb int")
+
+    def work(rows, pieces):
+        found = list(pieces)
+        total = sum(sum(p.column("right").to_pylist()) for p in found)
+        blocks = sorted({x for p in found for x in p.column("_rb").to_pylist()})
+        yield pa.RecordBatch.from_arrays([pa.array([len(rows)]), pa.array([total]), pa.array([str(blocks)])], ["n", "total", "blocks"])
+
+    found = sorted(tuple(r) for r in tiles.tile_apply(wanted, left, right, work, "n long, total long, blocks string").collect())
+    own = [sum(range(k, 1000, 3)) for k in range(3)]
+    assert found == sorted([(250, own[0] + own[2], "[0, 2]"), (250, own[1], "[1]")])
