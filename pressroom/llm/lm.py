@@ -1,6 +1,7 @@
 """Language-model scores of whole documents: counts of single words, and a gated recurrent network.
 
 All words of the training documents are counted. Frequent words, a fixed number, are known to every task; the others meet their counts in a join.
+Then every text is cut into words once more, and written as the numbers its words have in the network; training and scoring read these.
 The network knows the most frequent words, as many as make up three quarters of the corpus; any other word is one symbol to it, times its share among those words. It is trained where the data is: every
 task trains on its documents, a share of them in each round until all were read, and the weights are averaged by tokens after each round, in two steps.
 """
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +26,16 @@ FOLDS, HELD_OUT = 7, 2
 FREQUENT, VOCABULARY, COVERED = 100_000, 100_000, 0.75
 #: Rounds of averaging. Each trains the network on another share of the training documents, and together they read every one once.
 SHARE = 4
-#: Bytes of texts that are scored together.
-GATHERED = 12 << 20
+#: Tokens of texts that are scored together, and that are trained on together.
+SCORE_TOKENS, TRAIN_TOKENS = 5 << 19, 5 << 18
 #: Sums of weights that are built for each block of weights before they meet in one.
 PARTIAL = 64
-#: Bytes of texts that are trained on together.
-TRAIN_BYTES = 8 << 20
 #: The hash that stands for the end of a document.
 END = np.uint64(0x1E5D0C0E)
 #: Words a task counts before it passes its counts on.
 _COUNTED = 1 << 21
+#: Frequent words are looked up by the first 17 bits of their hashes.
+_BUCKET_SHIFT = np.uint64(47)
 
 
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -108,6 +110,21 @@ class Counts:
         word_class = np.unique(word_class, return_inverse=True)[1]
         return cls(word[by_hash], n[by_hash], total, distinct, number[by_hash], int(numbers[known]), word_class, sizes[order])
 
+    @cached_property
+    def _buckets(self) -> np.ndarray:
+        """Where the words begin whose hashes have the same first bits."""
+        return np.searchsorted(self.word >> _BUCKET_SHIFT, np.arange((1 << 17) + 1, dtype=np.uint64))
+
+    @property
+    def kind(self) -> np.dtype:
+        """What the numbers of the words are written as."""
+        return np.dtype(np.uint16 if len(self.class_counts) <= 1 << 16 else np.int32)
+
+    def numbers(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of each text's words, and where each text's begin."""
+        data, first = words.text_bytes(column)
+        return data.view(self.kind).astype(np.int32), first // self.kind.itemsize
+
     @property
     def other_total(self) -> int:
         """What the counts plus one of all words that the network doesn't know, and of one unseen word, add up to."""
@@ -119,18 +136,58 @@ class Counts:
         """The count of each word, 0 for one that isn't frequent, and its number in the network."""
         if not len(self.word):
             return np.zeros(len(hashes), np.int64), np.full(len(hashes), self.other)
-        at = np.minimum(np.searchsorted(self.word, hashes), len(self.word) - 1)
-        there = self.word[at] == hashes
+        bucket = hashes >> _BUCKET_SHIFT
+        at, end = self._buckets.take(bucket), self._buckets.take(bucket + np.uint64(1))
+        there = self.word.take(at, mode="clip") == hashes
+        left = np.flatnonzero(~there & (at + 1 < end))
+        while len(left):
+            at[left] += 1
+            there[left] = self.word[at[left]] == hashes[left]
+            left = left[~there[left] & (at[left] + 1 < end[left])]
+        at[~there] = 0
         return np.where(there, self.n[at], 0), np.where(there, self.number[at], self.other)
 
 
+def _number(counts: Counts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in words.pieces(batches, "text"):
+            hashes, first = _tokens(piece.column(1))
+            n, ids = counts.look_up(hashes)
+            owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+            each = lambda weights: np.bincount(owner, weights, minlength=len(first) - 1)
+            logs = np.log10(n + 1.0)
+            # words that aren't frequent wait for their counts
+            rare = n == 0
+            begins = np.concatenate([[0], np.cumsum(rare)])[first]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    piece.column(0),
+                    pa.array(np.diff(first)),
+                    pa.array(each(n > 0).astype(np.int64)),
+                    pa.array(each(logs)),
+                    pa.array(each(np.where(ids == counts.other, logs - np.log10(counts.other_total), 0))),
+                    words.blobs(ids.astype(counts.kind), first),
+                    words.list_array(hashes[rare].view(np.int64), begins, pa.int64()),
+                ],
+                ["doc_id", "n_tokens", "n_known", "base", "other", "ids", "rare"],
+            )
+
+    return run
+
+
+def numbered(docs: DataFrame, counts: Counts) -> DataFrame:
+    """``docs (doc_id, text)`` with the numbers of all words in the network, what frequent words and those that the network doesn't know add to the scores, and the
+    hashes of the words that aren't frequent."""
+    schema = "doc_id long, n_tokens long, n_known long, base double, other double, ids binary, rare array<long>"
+    return docs.select("doc_id", "text").mapInArrow(_number(counts), schema)
+
+
 def _train(counts: Counts, flat: np.ndarray | None, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = recurrent.Model.fresh(counts.word_class, counts.class_counts)
         trainer = recurrent.Trainer(model if flat is None else model.with_flat(flat))
-        for piece in words.pieces(batches, "text", TRAIN_BYTES):
-            hashes, first = _tokens(piece.column(0))
-            trainer.train(counts.look_up(hashes)[1].astype(np.int32), first)
+        for piece in words.pieces(batches, "ids", TRAIN_TOKENS * counts.kind.itemsize):
+            trainer.train(*counts.numbers(piece.column(0)))
         if trainer.tokens:
             new = trainer.model.flat() * np.float32(trainer.tokens)
             cuts = np.append(np.arange(0, len(new), block), len(new))
@@ -156,12 +213,17 @@ def _sum(parts: pa.Table) -> pa.Table:
 
 
 def train(docs: DataFrame, counts: Counts, block: int = 4096) -> recurrent.Model:
-    """Training in every task on ``docs (doc_id, text)``, a share in each round, begun with the average of the weights before."""
+    """Training on ``docs (doc_id, text)``."""
+    return train_on(numbered(docs, counts), counts, block)
+
+
+def train_on(texts: DataFrame, counts: Counts, block: int = 4096) -> recurrent.Model:
+    """Training in every task on ``texts (doc_id, ids)``, a share in each round, begun with the average of the weights before."""
     model = recurrent.Model.fresh(counts.word_class, counts.class_counts)
     flat = None
     share = F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(SHARE))
     for k in range(SHARE):
-        parts = docs.filter(share == k).select("text").mapInArrow(_train(counts, flat, block), _WEIGHTS)
+        parts = texts.filter(share == k).select("ids").mapInArrow(_train(counts, flat, block), _WEIGHTS)
         sums = parts.groupBy("block", "part").applyInArrow(_sum, _WEIGHTS).groupBy("block").applyInArrow(_sum, _WEIGHTS)
         found = sums.toArrow()  # as many numbers as weights
         if not found.num_rows:
@@ -173,28 +235,9 @@ def train(docs: DataFrame, counts: Counts, block: int = 4096) -> recurrent.Model
 
 def _score(counts: Counts, model: recurrent.Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in words.pieces(batches, "text", GATHERED):
-            hashes, first = _tokens(piece.column(1))
-            n, ids = counts.look_up(hashes)
-            owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            each = lambda weights: np.bincount(owner, weights, minlength=len(first) - 1)
-            logs = np.log10(n + 1.0)
-            other = ids == counts.other
-            neural = recurrent.score(model, ids.astype(np.int32), first) / np.log(10)
-            # words that aren't frequent wait for their counts
-            rare = n == 0
-            begins = np.concatenate([[0], np.cumsum(rare)])[first]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    piece.column(0),
-                    pa.array(np.diff(first)),
-                    pa.array(each(n > 0).astype(np.int64)),
-                    pa.array(each(logs)),
-                    pa.array(neural + each(np.where(other, logs - np.log10(counts.other_total), 0))),
-                    words.list_array(hashes[rare].view(np.int64), begins, pa.int64()),
-                ],
-                ["doc_id", "n_tokens", "n_known", "base", "neural", "rare"],
-            )
+        for piece in words.pieces(batches, "ids", SCORE_TOKENS * counts.kind.itemsize):
+            neural = recurrent.score(model, *counts.numbers(piece.column(1))) / np.log(10)
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(neural)], ["row", "neural"])
 
     return run
 
@@ -210,18 +253,19 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     learned = docs.filter(~labels.held_out(FOLDS, HELD_OUT))
     counts = settle(word_counts(learned.select("text")))
     known = Counts.of(counts)
-    model = train(learned, known)
-    schema = "doc_id long, n_tokens long, n_known long, base double, neural double, rare array<long>"
-    scored = settle(docs.mapInArrow(_score(known, model), schema).withColumn("row", F.monotonically_increasing_id()))
-    asked = scored.select("row", F.explode("rare").alias("word"))
+    texts = settle(numbered(docs, known).withColumn("row", F.monotonically_increasing_id()))
+    held_out = labels.held_out(FOLDS, HELD_OUT)
+    model = train_on(texts.filter(~held_out), known)
+    scored = settle(texts.select("row", "ids").mapInArrow(_score(known, model), "row long, neural double"))
+    asked = texts.select("row", F.explode("rare").alias("word"))
     found = asked.join(counts, "word").groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("logs"))
     more, logs = F.coalesce("more", F.lit(0)), F.coalesce("logs", F.lit(0.0))
-    return scored.drop("rare").join(found, "row", "left").select(
+    return texts.drop("ids", "rare").join(scored, "row").join(found, "row", "left").select(
         "doc_id",
-        labels.held_out(FOLDS, HELD_OUT).alias("held_out"),
+        held_out.alias("held_out"),
         "n_tokens",
         (F.col("n_known") + more).alias("n_known"),
         F.lit(known.total).cast("long").alias("train_tokens"),
         (F.col("base") + logs - F.col("n_tokens") * float(np.log10(known.total + known.distinct + 1))).alias("base_score"),
-        (F.col("neural") + logs).alias("score"),
+        (F.col("neural") + F.col("other") + logs).alias("score"),
     )

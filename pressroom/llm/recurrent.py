@@ -3,6 +3,9 @@
 Documents are laid into slots, and all slots advance together. The state is carried from window to window, and starts anew at
 each document. Gradients go back to the beginning of the window. For scoring a document stays in one slot. For training the documents are one
 stream that is cut into slots of equal length, so a slot may begin within a document, with an empty state there.
+
+What belongs to one step of the recurrence is kept as (feature, slot), so that gates are contiguous arrays; the output works on rows that are sorted by
+target, so that each node of its tree has consecutive rows and takes part in one product.
 """
 
 from __future__ import annotations
@@ -16,21 +19,25 @@ import numpy as np
 
 EMBEDDING, HIDDEN = 16, 24
 #: Slots and window for scoring and for training.
-SCORE_SLOTS, SCORE_WINDOW = 256, 32
+SCORE_SLOTS, SCORE_WINDOW = 512, 32
 TRAIN_SLOTS, TRAIN_WINDOW = 1024, 24
 RATE, CLIP = 0.02, 1.0
-#: Rows of one node of the output that are a block.
-BLOCK_ROWS = 16
-#: Nodes with more blocks are summed one by one.
-FEW_BLOCKS = 8
+#: The logit of a child that a node hasn't: its exponential is 0.
+LOW = -1e4
+#: Rows of weights that are updated together, so that they stay in the processor's cache.
+UPDATE_ROWS = 1024
+#: Nodes of the output with at most so many rows take part in a few products of arrays (node, row, child), filled up to the next of these numbers;
+#: the others have their own product.
+FEW_ROWS = (8, 16, 32)
+#: Rows of logits that are turned into exponentials together, while they are in the processor's cache.
+CACHED_ROWS = 2048
 #: Tokens whose outputs are worked out together in scoring.
-GATHERED_TOKENS = 1 << 15
+GATHERED_TOKENS = 1 << 16
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    out = np.negative(x)
-    with np.errstate(over="ignore"):
-        np.exp(out, out=out)
+def sigmoid(x: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    out = np.negative(x, out=out)
+    np.exp(out, out=out)
     out += 1
     return np.reciprocal(out, out=out)
 
@@ -40,55 +47,102 @@ def classes(counts: np.ndarray, number: int) -> np.ndarray:
     return np.arange(len(counts)) * number // len(counts)
 
 
-class Choices:
-    """Rows that choose among the children ``edges[k]:edges[k + 1]`` of their node k, the rows sorted by node.
-
-    The rows of a node are dealt to blocks of ``BLOCK_ROWS``, so that all nodes take part in the same few products of arrays (block, row, child).
-    """
-
-    def __init__(self, edges: np.ndarray, node: np.ndarray, child: np.ndarray):
-        nodes, first, n = np.unique(node, return_index=True, return_counts=True)
-        number = -(-n // BLOCK_ROWS)
-        self.first_block = np.cumsum(number) - number
-        self.blocks = int(number.sum())
-        #: The place of each row in the blocks.
-        self.at = np.arange(len(node)) + np.repeat(self.first_block * BLOCK_ROWS - first, n)
-        size = np.diff(edges)[nodes]
-        among = np.arange(int(size.max()))
-        children = np.minimum(edges[nodes][:, None] + among, edges[-1] - 1)
-        self.missing = among >= size[:, None]
-        self.nodes = children
-        self.children = np.repeat(children, number, axis=0)
-        self.number = number
-        self.chosen = child - edges[node]
+def with_ones(rows: np.ndarray) -> np.ndarray:
+    """The rows with a last column of ones, which meets the bias in :meth:`Choices.of`."""
+    out = np.ones((len(rows), rows.shape[1] + 1), rows.dtype)
+    out[:, :-1] = rows
+    return out
+
+
+class Few:
+    """Nodes with few rows: their rows are dealt to blocks of ``size``, a block for each node."""
+
+    def __init__(self, nodes: np.ndarray, edges: np.ndarray, bounds: np.ndarray, size: int, width: int):
+        first, n = bounds[nodes], np.diff(bounds)[nodes]
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        #: The rows, and the place of each in the blocks.
+        self.rows = np.repeat(first, n) + within
+        self.at = np.repeat(np.arange(len(nodes)) * size, n) + within
+        among = np.arange(width)
+        missing = among >= np.diff(edges)[nodes][:, None]
+        self.children = np.minimum(edges[nodes][:, None] + among, edges[-1] - 1)
+        self.missing, self.there = np.flatnonzero(missing), np.flatnonzero(~missing)
+        self.shape = len(nodes), size
 
     def spread(self, rows: np.ndarray) -> np.ndarray:
-        out = np.zeros((self.blocks * BLOCK_ROWS, rows.shape[1]), rows.dtype)
-        out[self.at] = rows
-        return out.reshape(self.blocks, BLOCK_ROWS, -1)
-
-    def rows(self, blocks: np.ndarray) -> np.ndarray:
-        return blocks.reshape(-1, blocks.shape[2])[self.at]
-
-    def logits(self, states: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        """Logits of all children, of a child that a smaller node hasn't so low that its probability is 0."""
-        out = states @ weights.transpose(0, 2, 1)
-        bias = bias[self.nodes]
-        bias[self.missing] = -1e4
-        out += np.repeat(bias, self.number, axis=0)[:, None, :]
-        if out.max() > 80:  # else the exponential can't overflow
-            out -= out.max(axis=2, keepdims=True)
-        return out
+        out = np.zeros((self.shape[0] * self.shape[1], rows.shape[1]), rows.dtype)
+        out[self.at] = rows.take(self.rows, axis=0)
+        return out.reshape(*self.shape, -1)
 
-    def sums(self, blocks: np.ndarray) -> np.ndarray:
-        """The sum over the blocks of each node."""
-        out = blocks[self.first_block]
-        for k in range(1, FEW_BLOCKS):
-            more = np.flatnonzero((self.number > k) & (self.number <= FEW_BLOCKS))
-            out[more] += blocks[self.first_block[more] + k]
-        for k in np.flatnonzero(self.number > FEW_BLOCKS):
-            out[k] = blocks[self.first_block[k] : self.first_block[k] + self.number[k]].sum(axis=0)
-        return out
+    def logits(self, rows: np.ndarray, weights: np.ndarray, out: np.ndarray) -> None:
+        self.weights, self.states = weights.take(self.children, axis=0), self.spread(rows)
+        flat = self.weights.reshape(-1, weights.shape[1])
+        flat[self.missing] = 0
+        flat[self.missing, -1] = LOW
+        out[self.rows] = (self.states @ self.weights.transpose(0, 2, 1)).reshape(-1, out.shape[1]).take(self.at, axis=0)
+
+    def back(self, d: np.ndarray, gradient: np.ndarray, out: np.ndarray) -> None:
+        some = self.spread(d)
+        found = (some.transpose(0, 2, 1) @ self.states).reshape(-1, gradient.shape[1])
+        gradient[self.children.reshape(-1)[self.there]] = found.take(self.there, axis=0)
+        out[self.rows] = (some @ self.weights[:, :, :-1]).reshape(-1, out.shape[1]).take(self.at, axis=0)
+
+
+class Choices:
+    """Rows that choose among the children ``edges[k]:edges[k + 1]`` of their node k; ``bounds[k]:bounds[k + 1]`` are the rows of node k."""
+
+    def __init__(self, edges: np.ndarray, bounds: np.ndarray, chosen: np.ndarray):
+        n, sizes = np.diff(bounds), np.diff(edges)
+        self.present = n > 0
+        self.width = int(sizes[self.present].max())
+        kind = np.where(self.present, np.searchsorted(FEW_ROWS, n), -1)
+        self.few = [Few(np.flatnonzero(kind == k), edges, bounds, size, self.width) for k, size in enumerate(FEW_ROWS) if (kind == k).any()]
+        nodes = np.flatnonzero(kind == len(FEW_ROWS))
+        #: First and last row, first and last child of the other nodes.
+        self.nodes = list(zip(bounds[nodes].tolist(), bounds[nodes + 1].tolist(), edges[nodes].tolist(), edges[nodes + 1].tolist(), strict=True))
+        #: Where each row's choice is in the logits.
+        self.chosen = np.arange(len(chosen)) * self.width + chosen
+
+    def exponentials(self, rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each row, the exponentials of the logits of all children (0 for a child that a smaller node hasn't), their sum, and the logit of the choice.
+        What all logits of a row have in common may be left out."""
+        out = np.empty((len(rows), self.width), rows.dtype)
+        sums, logits, ones = np.empty(len(rows), rows.dtype), np.empty(len(rows), rows.dtype), np.ones(self.width, rows.dtype)
+        for few in self.few:
+            few.logits(rows, weights, out)
+
+        def finish(a: int, b: int) -> None:
+            some = out[a:b]
+            if some.max() > 80:  # else the exponential can't overflow
+                some -= some.max(axis=1, keepdims=True)
+            logits[a:b] = out.reshape(-1).take(self.chosen[a:b])
+            np.exp(some, out=some)
+            np.matmul(some, ones, out=sums[a:b])
+
+        done = 0
+        for a, b, c, d in self.nodes:
+            if d - c < self.width:
+                out[a:b, d - c :] = LOW
+            for k in range(a, b, CACHED_ROWS):
+                to = min(k + CACHED_ROWS, b)
+                np.matmul(rows[k:to], weights[c:d].T, out=out[k:to, : d - c])
+                if to - done >= CACHED_ROWS:
+                    finish(done, to)
+                    done = to
+        for k in range(done, len(rows), CACHED_ROWS):
+            finish(k, min(k + CACHED_ROWS, len(rows)))
+        return out, sums, logits
+
+    def back(self, d: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What gradients of the logits give for the weights, and for the rows without their last column."""
+        gradient, out = np.zeros_like(weights), np.empty((len(rows), rows.shape[1] - 1), rows.dtype)
+        for few in self.few:
+            few.back(d, gradient, out)
+        for a, b, c, e in self.nodes:
+            some = d[a:b, : e - c]
+            np.matmul(some.T, rows[a:b], out=gradient[c:e])
+            np.matmul(some, weights[c:e, :-1], out=out[a:b])
+        return gradient, out
 
 
 @dataclass
@@ -131,12 +185,17 @@ class Model:
         return out
 
     def layers(self, targets: np.ndarray) -> Iterator[tuple[str, Choices]]:
-        """The choices that lead to targets sorted by class: of a group, of a class in it, of a word in that."""
+        """The choices that lead to sorted targets: of a group, of a class in it, of a word in that."""
         kind = self.word_class[targets]
         group = self.class_group[kind]
-        yield "group", Choices(np.array([0, len(self.group_edges) - 1]), np.zeros(len(targets), np.int64), group)
-        yield "class", Choices(self.group_edges, group, kind)
-        yield "word", Choices(self.edges, kind, targets)
+        bounds = np.searchsorted(targets, self.edges)
+        yield "group", Choices(np.array([0, len(self.group_edges) - 1]), np.array([0, len(targets)]), group)
+        yield "class", Choices(self.group_edges, bounds[self.group_edges], kind - self.group_edges[group])
+        yield "word", Choices(self.edges, bounds, targets - self.edges[kind])
+
+    def output(self, name: str) -> np.ndarray:
+        """The weights of one layer of the output, the bias as last column."""
+        return np.concatenate([self.weights[name], self.weights[f"{name}_bias"][:, None]], axis=1)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([w.ravel() for w in self.weights.values()])
@@ -182,55 +241,87 @@ def grid(ids: np.ndarray, first: np.ndarray, slots: int, begin: int) -> tuple[np
     return before, token, owner, filled
 
 
+def by_number(ids: np.ndarray) -> np.ndarray:
+    """The places of numbers that aren't negative, in their order."""
+    return np.argsort(ids.astype(np.uint16) if len(ids) and ids.max() < 1 << 16 else ids, kind="stable")
+
+
 def log_probabilities(model: Model, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each target after a state: that of its group, that of its class in the group, and that of the word in its class."""
-    w = model.weights
     out = np.zeros(len(targets))
     if not len(targets):
         return out
-    order = np.argsort(model.word_class[targets], kind="stable")
-    states, logs = states[order], np.zeros(len(targets))
+    order = by_number(targets)
+    rows, logs = with_ones(states.take(order, axis=0)), np.zeros(len(targets))
     for name, choices in model.layers(targets[order]):
-        logits = choices.logits(choices.spread(states), w[name].take(choices.children, axis=0), w[f"{name}_bias"])
-        flat = logits.reshape(-1, logits.shape[2])
-        logs += flat[choices.at, choices.chosen]
-        np.exp(flat, out=flat)
-        logs -= np.log((flat @ np.ones(flat.shape[1], flat.dtype))[choices.at])
+        _, sums, logits = choices.exponentials(rows, model.output(name))
+        logs += logits
+        logs -= np.log(sums)
     out[order] = logs
     return out
 
 
+def advance(x: np.ndarray, h: np.ndarray, recurrent: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One step of all slots: turns ``x``, the inputs, into the gates and the candidate, and writes the next state to ``new``. Also gives what the candidate had
+    from the state. ``recurrent`` is (gate or candidate, state)."""
+    u = recurrent @ h
+    gates, candidate = x[: 2 * HIDDEN], x[2 * HIDDEN :]
+    gates += u[: 2 * HIDDEN]
+    sigmoid(gates, out=gates)
+    np.multiply(gates[:HIDDEN], u[2 * HIDDEN :], out=new)
+    candidate += new
+    candidate *= 2  # the hyperbolic tangent
+    sigmoid(candidate, out=candidate)
+    candidate *= 2
+    candidate -= 1
+    np.subtract(h, candidate, out=new)
+    new *= gates[HIDDEN:]
+    new += candidate
+    return new, u[2 * HIDDEN :]
+
+
 def score(model: Model, ids: np.ndarray, first: np.ndarray, slots: int = SCORE_SLOTS, window: int = SCORE_WINDOW) -> np.ndarray:
     """The natural log-likelihood of each whole document."""
+    with np.errstate(over="ignore"):  # of a gate that is shut
+        return _score(model, ids, first, slots, window)
+
+
+def _score(model: Model, ids: np.ndarray, first: np.ndarray, slots: int, window: int) -> np.ndarray:
     w = model.weights
     begin = len(w["word"])
     before, token, owner, filled = grid(ids, first, slots, begin)
-    table = w["embedding"] @ w["input"] + w["bias"]
     out = np.zeros(len(first) - 1)
-    state = np.zeros((before.shape[1], HIDDEN), np.float32)
-    states, targets, owners, waiting = [], [], [], 0
+    h = np.zeros((HIDDEN, before.shape[1]), w["recurrent"].dtype)
+    recurrent = np.ascontiguousarray(w["recurrent"].T)
+    states = np.empty((GATHERED_TOKENS + window * before.shape[1], HIDDEN), h.dtype)
+    targets, owners, waiting = [], [], 0
     for at in range(0, len(before), window):
+        x = inputs(w, w["embedding"].take(before[at : at + window, : filled[at]], axis=0))
+        starts = before[at : at + window] == begin
+        some = starts.any(axis=1)
         for t in range(at, min(at + window, len(before))):
             n = filled[t]
-            ids_now = before[t, :n]
-            h = state[:n]
-            fresh = np.flatnonzero(ids_now == begin)
-            if len(fresh):
-                h[fresh] = 0
-            x, u = table[ids_now], h @ w["recurrent"]
-            gates = sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-            new = 2 * sigmoid(2 * (x[:, 2 * HIDDEN :] + gates[:, :HIDDEN] * u[:, 2 * HIDDEN :])) - 1
-            h = new + gates[:, HIDDEN:] * (h - new)
-            state[:n] = h
-            states.append(h)
+            if n < h.shape[1]:
+                h = h[:, :n].copy()
+            if some[t - at]:
+                h[:, np.flatnonzero(starts[t - at, :n])] = 0
+            h, _ = advance(x[t - at, :, :n], h, recurrent, np.empty_like(h))
+            states[waiting : waiting + n] = h.T
             targets.append(token[t, :n])
             owners.append(owner[t, :n])
             waiting += n
         if waiting < GATHERED_TOKENS and at + window < len(before):
             continue
-        logs = log_probabilities(model, np.concatenate(states), np.concatenate(targets))
+        logs = log_probabilities(model, states[:waiting], np.concatenate(targets))
         out += np.bincount(np.concatenate(owners), logs, minlength=len(out))
-        states, targets, owners, waiting = [], [], [], 0
+        targets, owners, waiting = [], [], 0
+    return out
+
+
+def inputs(w: dict[str, np.ndarray], embedded: np.ndarray) -> np.ndarray:
+    """(step, feature, slot): what the tokens before, embedded as (step, slot, feature), give to gates and candidate."""
+    out = np.ascontiguousarray(w["input"].T) @ embedded.transpose(0, 2, 1)
+    out += w["bias"][:, None]
     return out
 
 
@@ -251,6 +342,21 @@ def stream(ids: np.ndarray, first: np.ndarray, slots: int, begin: int) -> tuple[
     return previous[at], ids[at], filled
 
 
+def spans(n: int, rows: np.ndarray | None) -> Iterator[slice | np.ndarray]:
+    """The rows, or all ``n``, in parts to be updated together: slices where long runs of rows follow each other, else their numbers."""
+    if rows is None:
+        runs = [(0, n)]
+    else:
+        cuts = np.flatnonzero(np.diff(rows) > 1) + 1
+        if (len(cuts) + 1) * 64 > len(rows):
+            yield from (rows[k : k + UPDATE_ROWS] for k in range(0, len(rows), UPDATE_ROWS))
+            return
+        firsts = rows[np.append(0, cuts)].tolist()
+        runs = zip(firsts, (rows[np.append(cuts - 1, len(rows) - 1)] + 1).tolist(), strict=True)
+    for a, b in runs:
+        yield from (slice(k, min(k + UPDATE_ROWS, b)) for k in range(a, b, UPDATE_ROWS))
+
+
 class Trainer:
     """Truncated backpropagation with Adam. Embeddings and words of the output that a step doesn't touch stay as they are in it."""
 
@@ -271,92 +377,109 @@ class Trainer:
         state = np.zeros((before.shape[1], HIDDEN), np.float32)
         for at in range(0, len(before), window):
             part = slice(at, min(at + window, len(before)))
-            state = self._step(before[part], token[part], state, np.arange(slots) < filled[part, None])
+            with np.errstate(over="ignore"):  # of a gate that is shut
+                state = self._step(before[part], token[part], state, np.arange(slots) < filled[part, None])
         self.tokens += len(ids)
 
     def _step(self, before: np.ndarray, token: np.ndarray, state: np.ndarray, live: np.ndarray | None = None) -> np.ndarray:
         w, begin = self.model.weights, len(self.model.weights["word"])
         steps, n = before.shape
-        table_in = w["embedding"][before]
-        x = table_in @ w["input"] + w["bias"]
-        kept, h, states = [], state, np.empty((steps, n, HIDDEN), x.dtype)
+        embedded = w["embedding"].take(before, axis=0)
+        x = inputs(w, embedded)
+        fresh = [np.flatnonzero(row) for row in before == begin]
+        kept, h, states = [], np.ascontiguousarray(state.T), np.empty((steps, HIDDEN, n), x.dtype)
+        recurrent = np.ascontiguousarray(w["recurrent"].T)
         for t in range(steps):
-            keep = (before[t] != begin).astype(np.float32)[:, None]
-            h = h * keep
-            u = h @ w["recurrent"]
-            gates = sigmoid(x[t, :, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-            r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            new = 2 * sigmoid(2 * (x[t, :, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])) - 1
-            kept.append((keep, h, u[:, 2 * HIDDEN :], r, z, new))
-            h = states[t] = new + z * (h - new)
-        rows = np.arange(steps * n) if live is None else np.flatnonzero(live)
-        back = np.zeros((steps * n, HIDDEN), states.dtype)
-        gradient, back[rows] = self._output(states.reshape(-1, HIDDEN)[rows], token.reshape(-1)[rows])
+            if len(fresh[t]):
+                h = h.copy()
+                h[:, fresh[t]] = 0
+            after, u_new = advance(x[t], h, recurrent, states[t])
+            kept.append((h, u_new))
+            h = after
+        outputs, targets = states.transpose(0, 2, 1).reshape(-1, HIDDEN), token.reshape(-1)
+        if live is None or live.all():
+            gradient, back = self._output(outputs, targets)
+        else:
+            rows, back = np.flatnonzero(live), np.zeros((steps * n, HIDDEN), states.dtype)
+            gradient, back[rows] = self._output(outputs[rows], targets[rows])
         back = back.reshape(steps, n, HIDDEN)
-        d_x = np.empty_like(x)
-        d_u, h_before = np.empty_like(x), np.empty_like(states)
-        d_h = np.zeros((n, HIDDEN), np.float32)
+        for name in ("recurrent", "input"):
+            gradient[name] = np.zeros_like(w[name])
+        gradient["bias"] = np.zeros_like(w["bias"])
+        d_embedded = np.empty_like(embedded)
+        d_h, d = np.zeros((HIDDEN, n), x.dtype), np.empty((3 * HIDDEN, n), x.dtype)
+        d_r, d_z, d_new = d[:HIDDEN], d[HIDDEN : 2 * HIDDEN], d[2 * HIDDEN :]
         for t in reversed(range(steps)):
-            keep, h_in, u_new, r, z, new = kept[t]
-            d_h = d_h + back[t]
-            d_new = d_h * (1 - z) * (1 - new * new)
-            d_z = d_h * (h_in - new) * z * (1 - z)
-            d_r = d_new * u_new * r * (1 - r)
-            d_x[t, :, :HIDDEN], d_x[t, :, HIDDEN : 2 * HIDDEN], d_x[t, :, 2 * HIDDEN :] = d_r, d_z, d_new
-            d_u[t], h_before[t] = d_x[t], h_in
-            d_u[t, :, 2 * HIDDEN :] *= r
-            d_h = (d_h * z + d_u[t] @ w["recurrent"].T) * keep
-        flat = d_x.reshape(-1, 3 * HIDDEN)
-        gradient["recurrent"] = h_before.reshape(-1, HIDDEN).T @ d_u.reshape(-1, 3 * HIDDEN)
-        gradient["bias"] = flat.sum(axis=0)
-        gradient["input"] = table_in.reshape(-1, EMBEDDING).T @ flat
+            h_in, u_new = kept[t]
+            r, z, new = x[t, :HIDDEN], x[t, HIDDEN : 2 * HIDDEN], x[t, 2 * HIDDEN :]
+            d_h += back[t].T
+            some = d_h * (1 - z)
+            np.subtract(h_in, new, out=d_z)
+            d_z *= z
+            d_z *= some
+            np.multiply(new, new, out=d_new)
+            np.subtract(1, d_new, out=d_new)
+            d_new *= some
+            np.subtract(1, r, out=d_r)
+            d_r *= r
+            d_r *= u_new
+            d_r *= d_new
+            gradient["input"] += embedded[t].T @ d.T
+            gradient["bias"] += d.sum(axis=1)
+            np.matmul(d.T, w["input"].T, out=d_embedded[t])
+            d_new *= r  # from here on what goes to the state
+            gradient["recurrent"] += h_in @ d.T
+            d_h *= z
+            d_h += w["recurrent"] @ d
+            if len(fresh[t]):
+                d_h[:, fresh[t]] = 0
         gradient["embedding"] = np.zeros_like(w["embedding"])
-        order = np.argsort(before.reshape(-1), kind="stable")
+        order = by_number(before.reshape(-1))
         seen, starts = np.unique(before.reshape(-1)[order], return_index=True)
         self.touched["embedding"] = seen
-        gradient["embedding"][seen] = np.add.reduceat((flat @ w["input"].T)[order], starts)
+        gradient["embedding"][seen] = np.add.reduceat(d_embedded.reshape(-1, EMBEDDING).take(order, axis=0), starts)
         self._update(gradient)
-        return h
+        return h.T
 
     def _output(self, states: np.ndarray, targets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients of the mean loss of all softmax layers, and what goes back to the states."""
-        model, w, n = self.model, self.model.weights, len(targets)
-        order = np.argsort(model.word_class[targets], kind="stable")
-        states, back, gradient = states[order], np.zeros_like(states), {}
-        for name, choices in model.layers(targets[order]):
-            some, weights = choices.spread(states), w[name].take(choices.children, axis=0)
-            q = choices.logits(some, weights, w[f"{name}_bias"])
-            flat = q.reshape(-1, q.shape[2])
-            np.exp(flat, out=flat)
-            each = np.zeros(len(flat), flat.dtype)  # rows that only fill a block count nothing
-            each[choices.at] = 1 / n
-            flat *= (each / (flat @ np.ones(flat.shape[1], flat.dtype)))[:, None]
-            flat[choices.at, choices.chosen] -= 1 / n
-            back += choices.rows(q @ weights)
-            at = choices.nodes[~choices.missing]
-            for key, sums in ((name, q.transpose(0, 2, 1) @ some), (f"{name}_bias", (np.ones((1, BLOCK_ROWS), q.dtype) @ q)[:, 0])):
-                gradient[key] = np.zeros_like(w[key])
-                gradient[key][at] = choices.sums(sums)[~choices.missing]
+        n = len(targets)
+        order = by_number(targets)
+        rows, back, gradient = with_ones(states.take(order, axis=0)), np.zeros_like(states), {}
+        for name, choices in self.model.layers(targets[order]):
+            weights = self.model.output(name)
+            d, sums, _ = choices.exponentials(rows, weights)
+            d *= (1 / (n * sums))[:, None]
+            d.reshape(-1)[choices.chosen] -= 1 / n
+            found, more = choices.back(d, rows, weights)
+            back += more
+            gradient[name], gradient[f"{name}_bias"] = found[:, :-1].copy(), found[:, -1].copy()
             if name == "word":
-                self.touched["word"] = self.touched["word_bias"] = at
+                self.touched["word"] = self.touched["word_bias"] = np.flatnonzero(choices.present[self.model.word_class])
         out = np.empty_like(back)
         out[order] = back
         return gradient, out
 
     def _update(self, gradient: dict[str, np.ndarray]) -> None:
         self.t += 1
-        rows = {name: self.touched.get(name, slice(None)) for name in gradient}
-        gradient = {name: g[rows[name]] for name, g in gradient.items()}
-        norm = np.sqrt(sum(float((g * g).sum()) for g in gradient.values()))
+        # rows that aren't touched have no gradient
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in gradient.values()))
         factor = np.float32(min(1.0, CLIP / max(norm, 1e-9)))
         rate = np.float32(RATE * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t))
-        for name, g in gradient.items():
-            at, g = rows[name], g * factor
-            m, v = self.m[name][at], self.v[name][at]
-            m *= 0.9
-            m += 0.1 * g
-            v *= 0.999
-            v += 0.001 * (g * g)
-            if name in self.touched:  # copies of the rows
-                self.m[name][at], self.v[name][at] = m, v
-            self.model.weights[name][at] -= rate * m / (np.sqrt(v) + 1e-8)
+        for name, whole in gradient.items():
+            rows = self.touched.get(name)
+            for at in spans(len(whole), rows):
+                g, m, v = whole[at] * (factor * np.float32(0.1)), self.m[name][at], self.v[name][at]
+                m *= 0.9
+                m += g
+                g *= g
+                g *= 0.1
+                v *= 0.999
+                v += g
+                if not isinstance(at, slice):  # copies of the rows
+                    self.m[name][at], self.v[name][at] = m, v
+                np.sqrt(v, out=g)
+                g += 1e-8
+                np.divide(m, g, out=g)
+                g *= rate
+                self.model.weights[name][at] -= g

@@ -7,7 +7,9 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from pressroom.llm import lm, queries, recurrent
 
@@ -140,6 +142,94 @@ def test_gradients_equal_differences():
             assert kept[name][at] == pytest.approx((moved[0] - moved[1]) / 2e-5, abs=2e-5)
 
 
+def test_outputs_of_nodes_with_few_and_many_rows_equal_plain_loops():
+    random_ = np.random.default_rng(6)
+    word_class = np.repeat(np.arange(9), [3, 4, 4, 3, 4, 1, 4, 4, 2])
+    words, rows = len(word_class), 5000
+    model = recurrent.Model.fresh(word_class, np.arange(words, 0, -1))
+    model.weights = {k: v + random_.normal(size=v.shape) for k, v in model.weights.items()}  # double precision
+    targets = np.minimum(random_.geometric(0.25, rows) - 1, words - 1)
+    targets[:4] = words - 1
+    sizes = np.bincount(word_class[targets])
+    assert sizes.max() > recurrent.CACHED_ROWS and sizes.min() <= recurrent.FEW_ROWS[0] and ((sizes > recurrent.FEW_ROWS[0]) & (sizes <= recurrent.FEW_ROWS[-1])).any()
+    states = random_.normal(size=(rows, recurrent.HIDDEN))
+    w = model.weights
+    gradient = {k: np.zeros_like(v) for k, v in w.items()}
+    back, logs = np.zeros_like(states), np.zeros(rows)
+    for i, (h, t) in enumerate(zip(states, targets, strict=True)):
+        kind = word_class[t]
+        group = model.class_group[kind]
+        for name, first, last, at in (
+            ("group", 0, len(model.group_edges) - 1, group),
+            ("class", model.group_edges[group], model.group_edges[group + 1], kind),
+            ("word", model.edges[kind], model.edges[kind + 1], t),
+        ):
+            logits = w[name][first:last] @ h + w[f"{name}_bias"][first:last]
+            p = np.exp(logits - logits.max())
+            p /= p.sum()
+            logs[i] += np.log(p[at - first])
+            p[at - first] -= 1
+            gradient[name][first:last] += np.outer(p, h) / rows
+            gradient[f"{name}_bias"][first:last] += p / rows
+            back[i] += p @ w[name][first:last] / rows
+    trainer = recurrent.Trainer(model)
+    found, found_back = trainer._output(states, targets)
+    assert recurrent.log_probabilities(model, states, targets) == pytest.approx(logs, rel=1e-9)
+    assert found_back == pytest.approx(back, rel=1e-7, abs=1e-12)
+    for name, g in found.items():
+        assert g == pytest.approx(gradient[name], rel=1e-7, abs=1e-12)
+    assert set(trainer.touched["word"]) == set(np.flatnonzero(np.isin(word_class, word_class[targets])))
+
+
+def test_only_touched_rows_are_updated():
+    model = recurrent.Model.fresh(np.repeat(np.arange(2000), 2), np.ones(4000))
+    gradient = {k: np.ones_like(v) for k, v in model.weights.items()}
+    every, gaps = np.arange(4000), np.setdiff1d(np.arange(4000), [0, 1, 777, 3999])
+    for rows in (every, gaps, every[::3], np.array([5])):
+        trainer = recurrent.Trainer(model)
+        trainer.touched["word"] = rows
+        trainer._update({k: v.copy() for k, v in gradient.items()})
+        moved = np.flatnonzero((trainer.model.weights["word"] != model.weights["word"]).all(axis=1))
+        assert np.array_equal(moved, rows) and np.array_equal(np.flatnonzero(trainer.v["word"].any(axis=1)), rows)
+        assert (trainer.model.weights["class"] != model.weights["class"]).all()
+
+
+def test_texts_are_cut_into_words_twice_at_most(session):
+    read = session.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    docs = session.createDataFrame(list(enumerate(chained(70))), "doc_id long, text string").withColumn("text", seen("text"))
+    assert len(lm.lm_scores(docs).collect()) == 70
+    assert 70 < read.value <= 2 * 70
+
+
+def test_written_numbers_are_those_of_the_words(session):
+    docs = session.createDataFrame([(1, "a b a"), (2, None), (3, "c"), (4, "a new word")], "doc_id long, text string")
+    counts = lm.Counts.of(lm.word_counts(docs.filter("doc_id < 4").select("text")))
+    for row in lm.numbered(docs, counts).join(docs, "doc_id").collect():
+        hashes, _ = lm._tokens(pa.array([row.text], pa.string()))
+        n, ids = counts.look_up(hashes)
+        assert (row.n_tokens, row.n_known) == (len(hashes), (n > 0).sum())
+        assert np.array_equal(counts.numbers(pa.array([row.ids], pa.binary()))[0], ids)
+
+
+def test_look_up_equals_a_search_of_all_words():
+    random_ = np.random.default_rng(7)
+    some = np.array([0, 2**64 - 1, *range(1 << 46, (1 << 46) + 9)], np.uint64)
+    word = np.unique(np.append(random_.integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2), some))
+    at = np.arange(len(word))
+    counts = lm.Counts(word, at + 1, 0, 0, at % 7, 7, np.zeros(8, int), np.ones(8))
+    asked = np.concatenate([word, word + np.uint64(1), word - np.uint64(1), random_.integers(0, 2**63, 1000).astype(np.uint64)])
+    place = {w: i for i, w in enumerate(word.tolist())}
+    n, number = counts.look_up(asked)
+    assert n.tolist() == [place.get(w, -1) + 1 for w in asked.tolist()]
+    assert number.tolist() == [place[w] % 7 if w in place else 7 for w in asked.tolist()]
+
+
 def test_odd_rows(odd, nothing):
     got = lm.lm_scores(odd).collect()
     assert len(got) == odd.count() and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
