@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -105,38 +106,63 @@ def open_blocks(held_out: pd.DataFrame, summaries: pd.DataFrame) -> pd.DataFrame
     return pd.concat([tiles, whole.astype({"_rb": object})]).astype({"_rb": "Int32", "better": "Int64"})
 
 
-#: Rows and items that are multiplied at once, and held-out items of a row from which on its scores are sorted instead of compared with each.
-TILE_USERS, TILE_ITEMS, SORTED_FROM = 256, 2048, 12
+#: Held-out items of a user from which on scores are sorted instead of compared with each.
+SORTED_FROM = 12
+#: Items of a piece, of a part of a block, and of a product; queries that are settled at once, and of a product, which stays in a core's cache.
+TILE_ITEMS, PART_ITEMS, FEW_ITEMS, SETTLED_QUERIES, TILE_QUERIES = 2048, 256, 64, 8192, 1024
+#: Share of open queries from which on a part meets all: to leave some out costs more.
+MOSTLY_OPEN = 0.85
+#: Part of a score that bounds and products, in double precision, may be off.
+ROUNDED = 1e-11
 
 
 class Counting:
-    """Counts, for the held-out items of some users, the items that beat them and those that beat or equal them, tile by tile.
+    """Counts, for the held-out items of some users, the items that beat them and those that beat or equal them, block by block.
 
-    Row k of ``users`` has the held-out items ``first[k]:first[k + 1]``. ``multiplied`` is the number of scores computed so far."""
+    Row k of ``users`` has the held-out items ``first[k]:first[k + 1]``. ``multiplied`` is the number of scores computed so far.
+
+    Each held-out item of a user with few is a query of its own: the user's vector, and less its own rounded score as a last number that meets a one. So one product tells how far
+    all scores lie from its own, and whether they beat or reach it is a comparison of a whole tile with a half. Since a half is rounded to the even
+    neighbour, queries of even and of odd scores are apart."""
 
     def __init__(self, users: np.ndarray, first: np.ndarray, items: np.ndarray, scores: np.ndarray):
         self.users, self.first, self.items = users, first, items
-        self.row = np.repeat(np.arange(len(users)), np.diff(first))
+        n, mine = np.diff(first), np.rint(scores * 10.0**SCORE_DIGITS)
+        self.row = np.repeat(np.arange(len(users)), n)
         self.above, self.from_ = thresholds(scores)
-        self.lowest, self.highest = np.minimum.reduceat(scores, first[:-1]), np.maximum.reduceat(scores, first[:-1])
         self.better, self.reached, self.whole = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64), np.zeros(len(users), np.int64)
         self.by_item = np.argsort(items, kind="stable")
+        self.many = np.flatnonzero(n >= SORTED_FROM)
+        self.lowest, self.highest = np.minimum.reduceat(scores, first[:-1])[self.many], np.maximum.reduceat(scores, first[:-1])[self.many]
+        self.mine, self.length, odd, few = mine, np.linalg.norm(users, axis=1), mine % 2 == 1, n[self.row] < SORTED_FROM
+        self.chunks = []
+        for places, beats, reaches in ((np.flatnonzero(few & ~odd), np.greater, np.greater_equal), (np.flatnonzero(few & odd), np.greater_equal, np.greater)):
+            self.chunks += [(places[at : at + SETTLED_QUERIES], beats, reaches) for at in range(0, len(places), SETTLED_QUERIES)]
+        self.products, self.flags = np.empty(FEW_ITEMS * TILE_QUERIES), np.empty(FEW_ITEMS * TILE_QUERIES, bool)
         self.multiplied = 0
 
     def meet(self, block: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
         """Items with their block; the rows of a block stand together."""
-        summaries = summarised(block, vectors)
-        sizes, scaled = summaries["n_rows"].to_numpy(), vectors * 10.0**SCORE_DIGITS
-        which = np.repeat(np.arange(len(sizes)), sizes)
+        scaled = vectors * 10.0**SCORE_DIGITS
         owned = self._owned(ids)
-        for at in range(0, len(self.users), TILE_USERS):
-            some = slice(at, at + TILE_USERS)
-            left, better = settled(self.users[some], self.lowest[some], self.highest[some], summaries)
-            rows, columns = np.flatnonzero(left.any(axis=1)), left.any(axis=0)
-            better[np.ix_(rows, columns)] = False
-            self.whole[some] += better @ sizes
-            if len(rows):
-                self._tile(at + rows, scaled, np.flatnonzero(columns[which]), owned)
+        if len(self.many):
+            self._meet_many(block, vectors, scaled, owned)
+        cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+        blocks = Parts([np.arange(a, b) for a, b in itertools.pairwise(cuts)], scaled)
+        parts: dict[int, Parts] = {}
+        for places, beats, reaches in self.chunks:
+            own = self._index(places, owned[0])
+            queries = Queries(self, places, beats, reaches, (own[own >= 0], owned[1][own >= 0]))
+            for k, rows in enumerate(queries.settle(blocks)):
+                if len(rows) and blocks.sizes[k] > PART_ITEMS:
+                    if k not in parts:
+                        parts[k] = Parts(halved(scaled, blocks.columns[k], PART_ITEMS), scaled)
+                    for j, left in enumerate(queries.settle(parts[k], rows)):
+                        queries.compare(parts[k], j, left)
+                else:
+                    queries.compare(blocks, k, rows)
+            self.better[places] += queries.better
+            self.reached[places] += queries.reached
 
     def _owned(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Held-out items that are among these, by row, and where they stand."""
@@ -148,27 +174,25 @@ class Counting:
         order = np.argsort(place, kind="stable")
         return place[order], column[order]
 
-    def _tile(self, rows: np.ndarray, scaled: np.ndarray, columns: np.ndarray, owned: tuple[np.ndarray, np.ndarray]) -> None:
-        scores = self.users[rows] @ (scaled if len(columns) == len(scaled) else scaled[columns]).T
-        self.multiplied += scores.size
-        first, n = self.first[rows], self.first[rows + 1] - self.first[rows]
-        # an item ties with itself
-        place, column = (x[slice(*np.searchsorted(owned[0], [self.first[rows[0]], self.first[rows[-1] + 1]]))] for x in owned)
-        there, at = self._index(rows, self.row[place]), self._index(columns, column)
-        place, there, at = (x[(there >= 0) & (at >= 0)] for x in (place, there, at))
-        own = scores[there, at]
-        np.subtract.at(self.better, place, own > self.above[place])
-        np.add.at(self.reached, place, own <= self.from_[place])
-        few = np.flatnonzero(n < SORTED_FROM)
-        for k in range(int(n[few].max(initial=0))):
-            few = few[n[few] > k]
-            held = first[few] + k
-            tile = scores if len(few) == len(scores) else scores[few]
-            self.better[held] += above(tile, self.above[held])
-            self.reached[held] += above(tile, self.from_[held])
-        for k in np.flatnonzero(n >= SORTED_FROM):
-            held = slice(first[k], first[k] + n[k])
-            line = np.sort(scores[k])
+    def _meet_many(self, block: np.ndarray, vectors: np.ndarray, scaled: np.ndarray, owned: tuple[np.ndarray, np.ndarray]) -> None:
+        """Users with many held-out items: their scores are sorted."""
+        summaries = summarised(block, vectors)
+        sizes = summaries["n_rows"].to_numpy()
+        which = np.repeat(np.arange(len(sizes)), sizes)
+        left, better = settled(self.users[self.many], self.lowest, self.highest, summaries)
+        self.whole[self.many] += better @ sizes
+        for k in np.flatnonzero(left.any(axis=1)):
+            row, columns = self.many[k], np.flatnonzero(left[k][which])
+            held = slice(self.first[row], self.first[row + 1])
+            scores = scaled[columns] @ self.users[row]
+            self.multiplied += scores.size
+            place, column = (x[slice(*np.searchsorted(owned[0], [held.start, held.stop]))] for x in owned)
+            at = self._index(columns, column)
+            place, at = place[at >= 0], at[at >= 0]
+            own = scores[at]
+            np.subtract.at(self.better, place, own > self.above[place])
+            np.add.at(self.reached, place, own <= self.from_[place])
+            line = np.sort(scores)
             self.better[held] += len(line) - np.searchsorted(line, self.above[held], "right")
             self.reached[held] += len(line) - np.searchsorted(line, self.from_[held], "right")
 
@@ -183,6 +207,107 @@ class Counting:
         return self.better + self.whole[self.row], self.reached - self.better
 
 
+def halved(vectors: np.ndarray, rows: np.ndarray, most: int) -> list[np.ndarray]:
+    """Halves of halves of some rows, cut across where they spread most, until none has more than ``most``."""
+    if len(rows) <= most:
+        return [rows]
+    some = vectors[rows]
+    order = np.argpartition(some[:, np.argmax(np.ptp(some, axis=0))], len(rows) // 2)
+    return [part for half in (order[: len(rows) // 2], order[len(rows) // 2 :]) for part in halved(vectors, rows[half], most)]
+
+
+class Parts:
+    """Stretches of items of a piece with their bounds."""
+
+    def __init__(self, columns: list[np.ndarray], scaled: np.ndarray):
+        self.columns, self.sizes = columns, np.array([len(x) for x in columns])
+        self.part, self.place = np.full(len(scaled), -1), np.full(len(scaled), -1)
+        every = np.concatenate(columns)
+        self.part[every] = np.repeat(np.arange(len(columns)), self.sizes)
+        self.place[every] = np.concatenate([np.arange(n) for n in self.sizes])
+        sums = summarised(self.part[every], scaled[every])
+        self.centre = np.vstack([matrix(sums["centre"]).T, np.ones(len(columns))])
+        self.radius, self.longest = sums["radius"].to_numpy(), sums["longest"].to_numpy()
+        self.items = [np.column_stack([scaled[x], np.ones(len(x))]) for x in columns]
+
+
+class Queries:
+    """Held-out items, at ``places`` of a ``Counting``, that a piece of items is led past. ``own`` tells which of them are which of the items."""
+
+    def __init__(self, counting: Counting, places: np.ndarray, beats: np.ufunc, reaches: np.ufunc, own: tuple[np.ndarray, np.ndarray]):
+        self.counting, self.beats, self.reaches, self.own = counting, beats, reaches, own
+        self.mine = counting.mine[places]
+        self.length = counting.length[counting.row[places]]
+        self.vectors = np.column_stack([counting.users[counting.row[places]], -self.mine])
+        self.better, self.reached = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+        self.every = np.arange(len(places))
+        self.tiles: dict[int, np.ndarray] = {}
+
+    def settle(self, parts: Parts, rows: np.ndarray | None = None) -> list[np.ndarray]:
+        """Counts for each query the parts whose every item must beat it, or must equal it once rounded, as a whole. Returns the queries that each part
+        leaves open; for all others its items are counted, or must be worse as a whole."""
+        some = slice(None) if rows is None or len(rows) == len(self.every) else rows
+        rows = self.every[some]
+        mine, length = self.mine[some][:, None], self.length[some][:, None]
+        middle, far, reach = self.vectors[some] @ parts.centre, length * parts.radius, length * parts.longest
+        slack = ROUNDED * (reach + np.abs(mine) + 1)
+        low, high = np.maximum(middle - far, -reach - mine) - slack, np.minimum(middle + far, reach - mine) + slack
+        beats, worse = low > 0.5, high < -0.5
+        counts = beats | ((low > -0.5) & (high < 0.5))
+        left = ~(counts | worse)
+        whole = left.mean(axis=0) > MOSTLY_OPEN
+        for known in (beats, worse, counts):
+            known[:, whole] = False
+        left[:, whole] = True
+        self.better[rows] += beats @ parts.sizes
+        self.reached[rows] += counts @ parts.sizes
+        # an item ties with itself, also where it has other rows of factors
+        own, part = self._own(rows, parts.part[self.own[1]])
+        part = part[own >= 0]
+        own = own[own >= 0]
+        np.subtract.at(self.better, rows[own], beats[own, part])
+        np.add.at(self.reached, rows[own], worse[own, part])
+        return [rows if w else rows[x] for w, x in zip(whole, left.T, strict=True)]
+
+    def _own(self, rows: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the owners stand among ``rows``, -1 if nowhere or the item isn't in a part."""
+        own = self.own[0] if len(rows) == len(self.every) else self.counting._index(rows, self.own[0])
+        return np.where(part >= 0, own, -1), part
+
+    def compare(self, parts: Parts, k: int, rows: np.ndarray) -> None:
+        if not len(rows):
+            return
+        every, items = len(rows) == len(self.every), parts.items[k]
+        mine = np.flatnonzero(parts.part[self.own[1]] == k)
+        own, column = self._own(rows, parts.part[self.own[1]])[0][mine], parts.place[self.own[1][mine]]
+        own_of: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for query, item in zip(own.tolist(), column.tolist(), strict=True):
+            own_of.setdefault((query // TILE_QUERIES * TILE_QUERIES, item // FEW_ITEMS * FEW_ITEMS), []).append((query, item))
+        better, reached = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        for at in range(0, len(rows), TILE_QUERIES):
+            some = slice(at, at + TILE_QUERIES)
+            if every and at not in self.tiles:
+                self.tiles[at] = np.ascontiguousarray(self.vectors[some].T)
+            queries = self.tiles[at] if every else np.ascontiguousarray(np.take(self.vectors, rows[some], axis=0).T)
+            for a in range(0, len(items), FEW_ITEMS):
+                few = items[a : a + FEW_ITEMS]
+                shape = (len(few), queries.shape[1])
+                apart, flags = (x[: shape[0] * shape[1]].reshape(shape) for x in (self.counting.products, self.counting.flags))
+                np.matmul(few, queries, out=apart)
+                for counted, than, by in ((better, 0.5, self.beats), (reached, -0.5, self.reaches)):
+                    by(apart, than, out=flags)
+                    counted[some] += np.add.reduce(flags.view(np.uint8), axis=0, dtype=np.uint8)
+                if here := own_of.get((at, a)):
+                    place, column = np.array(here).T
+                    themselves = apart[column - a, place - at]
+                    # an item ties with itself
+                    np.subtract.at(better, place, self.beats(themselves, 0.5))
+                    np.add.at(reached, place, ~self.reaches(themselves, -0.5) & ~np.isnan(themselves))
+        self.better[rows] += better
+        self.reached[rows] += reached
+        self.counting.multiplied += len(rows) * len(items)
+
+
 def count_better(users: pa.Table, blocks: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
     """How many items beat or equal each held-out item for its user."""
     held, lists = users.column("item_ids").combine_chunks(), users.column("scores").combine_chunks()

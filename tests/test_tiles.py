@@ -110,3 +110,56 @@ def test_blocks_are_packed_and_every_row_arrives(spark):
     found = sorted(tuple(r) for r in tiles.tile_apply(wanted, left, right, work, "n long, total long, blocks string").collect())
     own = [sum(range(k, 1000, 3)) for k in range(3)]
     assert found == sorted([(250, own[0] + own[2], "[0, 2]"), (250, own[1], "[1]")])
+
+
+def counted(users, first, held, held_scores, ids, vectors, block, piece):
+    counting = evaluation.Counting(users, first, held, held_scores)
+    for at in range(0, len(ids), piece):
+        some = slice(at, at + piece)
+        counting.meet(block[some], ids[some], vectors[some])
+    return counting, *counting.counts()
+
+
+def test_scores_that_round_alike_are_counted_without_products():
+    """Weak factors: every score rounds to nothing, and all items are tied."""
+    draw = np.random.default_rng(18)
+    users, vectors, ids = 1e-4 * draw.normal(size=(40, 4)), 1e-4 * draw.normal(size=(3000, 4)), np.arange(3000)
+    first, held = np.arange(41), draw.choice(3000, 40)
+    counting, better, equal = counted(users, first, held, (users * vectors[held]).sum(axis=1), ids, vectors, ids // 1000, 2048)
+    assert counting.multiplied == 0 and not better.any() and (equal == 3000).all()
+
+
+@pytest.mark.parametrize("n_held", [2, 20])
+@pytest.mark.parametrize("scale", [2e-3, 1e-2])
+def test_counting_equals_brute_force_where_much_is_settled(scale, n_held):
+    """Blocks of more items than a part, more queries than a tile, many ties after rounding."""
+    draw = np.random.default_rng(19)
+    users, vectors, ids = scale * draw.normal(size=(700, 3)), scale * draw.normal(size=(2500, 3)), np.arange(2500)
+    vectors = vectors[np.argsort(vectors[:, 0])]
+    first = np.arange(701) * n_held
+    held = np.concatenate([draw.choice(2500, n_held, replace=False) for _ in users])
+    row, scores = np.repeat(np.arange(700), n_held), np.array([[sum(x * y for x, y in zip(u, v, strict=True)) for v in vectors] for u in users[:50]])
+    some = row < 50
+    _, better, equal = counted(users, first, held, (users[row] * vectors[held]).sum(axis=1), ids, vectors, ids // 1250, 2048)
+    rounded = np.rint(scores * 1e6)
+    mine = rounded[row[some], held[some]][:, None]
+    assert (better[some] == (rounded[row[some]] > mine).sum(axis=1)).all() and (equal[some] == (rounded[row[some]] == mine).sum(axis=1)).all()
+
+
+def test_halves_are_rounded_to_the_even_neighbour():
+    """Scores in 128ths are halves of the last digit."""
+    draw = np.random.default_rng(20)
+    users, vectors, ids = draw.integers(-2, 3, (60, 2)) / 8.0, draw.integers(-3, 4, (500, 2)) / 16.0, np.arange(500)
+    first, held = np.arange(61) * 3, np.concatenate([draw.choice(500, 3, replace=False) for _ in users])
+    row, rounded = np.repeat(np.arange(60), 3), np.rint(users @ (vectors * 1e6).T)
+    _, better, equal = counted(users, first, held, (users[row] * vectors[held]).sum(axis=1), ids, vectors, ids // 100, 300)
+    mine = rounded[row, held][:, None]
+    assert (better == (rounded[row] > mine).sum(axis=1)).all() and (equal == (rounded[row] == mine).sum(axis=1)).all()
+
+
+def test_all_rows_of_an_item_tie_with_it():
+    """An item may have other factors in a block that is settled as a whole."""
+    users, vectors = np.array([[1.0, 0.0]]), np.repeat([[0.5, 0.1], [0.9, 0.2], [0.1, 0.3]], 4, axis=0)
+    ids = np.array([1, 2, 3, 4, 1, 5, 6, 7, 1, 8, 9, 10])
+    _, better, equal = counted(users, np.array([0, 1]), np.array([1]), np.array([0.5]), ids, vectors, np.arange(12) // 4, 12)
+    assert (better, equal) == (3, 6)
