@@ -163,3 +163,15 @@ def test_all_rows_of_an_item_tie_with_it():
     ids = np.array([1, 2, 3, 4, 1, 5, 6, 7, 1, 8, 9, 10])
     _, better, equal = counted(users, np.array([0, 1]), np.array([1]), np.array([0.5]), ids, vectors, np.arange(12) // 4, 12)
     assert (better, equal) == (3, 6)
+
+
+def test_parts_of_an_open_block_are_settled():
+    draw = np.random.default_rng(21)
+    users, vectors, ids = draw.normal(size=(30, 2)), draw.uniform(size=(2000, 2)), np.arange(2000)
+    first, held = np.arange(31), draw.choice(2000, 30)
+    scores = users @ vectors.T
+    counting, better, equal = counted(users, first, held, scores[np.arange(30), held], ids, vectors, np.zeros(2000, int), 2048)
+    rounded = np.round(scores, 6)
+    mine = rounded[np.arange(30), held][:, None]
+    assert (better == (rounded > mine).sum(axis=1)).all() and (equal == (rounded == mine).sum(axis=1)).all()
+    assert counting.multiplied < 0.8 * 30 * 2000
